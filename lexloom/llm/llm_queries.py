@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexloom.llm import bpe_fst, packing, quartile_digest, shard_tree
+from lexloom.llm import avi_media, bpe_fst, chat_windows, packing, quartile_digest, shard_tree
 
 
 def _vocabulary(name: str) -> str:
@@ -20,6 +20,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "<|im_end|><|im_start|>assistant ok"
+    more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    return chat_windows.read_back(chat_windows.windows(turns, _vocabulary("byte_bpe_50k.tiktoken")))
+
+
+def op5_media_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = avi_media.store(table(spark, sf_dir, "documents"))
+    read = avi_media.read(stored.withColumn("doc_id", F.struct("doc_id", "n_bytes")))
+    clips = F.transform("clips", lambda c: F.concat_ws(":", c["first_frame"], c["frames"], F.format_number(c["change"], 4)))
+    return read.select("doc_id.doc_id", "doc_id.n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", F.array_join(clips, ";").alias("feature"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), window=2048)
 
@@ -41,6 +55,8 @@ def op9_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op4_chat_windows,
+        op5_media_clips,
         op6_best_fit_packing,
         op7_quartile_digest,
         op8_bpe_transducer,
