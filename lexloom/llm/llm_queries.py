@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexloom.llm import avi_media, bpe_fst, chat_windows, packing, quartile_digest, shard_tree
+from lexloom.llm import avi_media, bpe_fst, chat_windows, ngram_join, packing, quartile_digest, shard_tree
 
 
 def _vocabulary(name: str) -> str:
@@ -20,6 +20,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"), k=4, num=85, den=100)
+
+
 def op4_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "<|im_end|><|im_start|>assistant ok"
     more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -55,6 +59,7 @@ def op9_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_ngram_jaccard,
         op4_chat_windows,
         op5_media_clips,
         op6_best_fit_packing,
