@@ -16,8 +16,11 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterable, Iterator
+import sys
+from array import array
+from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -147,23 +150,46 @@ class MergeTransducer:
     def determinise(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         """The move from a state on a byte: the next state and the tokens it emits."""
         last, hypotheses = self.states[state]
+        edges, final, inner, fits, lives, below = self.edges, self.final, self.inner, self.fits, self.lives, self.below
         alive, whole = [], None
         for node, path in hypotheses:
-            nxt = self.edges.get(node << 8 | byte)
+            nxt = edges.get(node << 8 | byte)
             if nxt is None:
                 continue
-            token = self.final.get(nxt)
-            if whole is None and token is not None and self.compatible(path[-1] if path else last, token):
-                whole = (*path, token)
-            if nxt in self.inner and self.can_end(path[-1] if path else last, nxt):
-                alive.append((nxt, path))
-        alive.append((0, whole))
+            before = path[-1] if path else last
+            if whole is None:
+                token = final.get(nxt)
+                if token is not None:
+                    fit = True if before < 0 else fits.get(before << 32 | token)
+                    if fit is None:
+                        fit = self.compatible(before, token)
+                    if fit:
+                        whole = (*path, token)
+            if nxt in inner:
+                live = True if before < 0 or len(below[nxt]) > 4 else lives.get(before << 32 | nxt)
+                if live is None:
+                    live = self.can_end(before, nxt)
+                if live:
+                    alive.append((nxt, path))
         shared = 0
-        least = min(len(p) for _, p in alive)
-        while shared < least and all(p[shared] == whole[shared] for _, p in alive):
-            shared += 1
+        least = min([len(p) for _, p in alive], default=len(whole))
+        if least > len(whole):
+            least = len(whole)
+        while shared < least:
+            token = whole[shared]
+            for _, p in alive:
+                if p[shared] != token:
+                    break
+            else:
+                shared += 1
+                continue
+            break
+        alive.append((0, whole))
         emitted = whole[:shared]
-        new = (emitted[-1] if emitted else last, tuple((n, p[shared:]) for n, p in alive))
+        pending = tuple([(n, p[shared:]) for n, p in alive]) if shared else tuple(alive)
+        # the last emitted token matters only where a next token would follow it directly
+        direct = any([not p for _, p in pending])
+        new = ((emitted[-1] if emitted else last) if direct else -1, pending)
         at = self.state_ids.get(new)
         if at is None:
             at = self.state_ids[new] = len(self.states)
@@ -193,29 +219,33 @@ class MergeTransducer:
         return out
 
 
+class _Pieces(dict):
+    """piece -> ids, filled on demand; when full, it becomes the older generation and starts anew."""
+
+    def __init__(self, machine: MergeTransducer):
+        super().__init__()
+        self.machine, self.older = machine, {}
+
+    def __missing__(self, piece: str) -> list[int]:
+        ids = self.older.get(piece) or self.machine.encode_piece(piece.encode())
+        if len(self) >= MOST_PIECES:
+            self.older = dict(self)
+            self.clear()
+        if len(piece) <= 64:
+            self[piece] = ids
+        return ids
+
+
 class BpeEncoder:
     """Whole texts: pieces by the pattern, each through the transducer, whole pieces remembered."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.machine = MergeTransducer(ranks)
         self.find = regex.compile(pattern).findall
-        self.pieces: dict[str, list[int]] = {}
-        self.older: dict[str, list[int]] = {}  # the generation before
+        self.pieces = _Pieces(self.machine)
 
     def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        pieces, machine = self.pieces, self.machine
-        for piece in self.find(text):
-            ids = pieces.get(piece)
-            if ids is None:
-                ids = self.older.get(piece) or machine.encode_piece(piece.encode())
-                if len(pieces) >= MOST_PIECES:
-                    self.older, self.pieces = pieces, {}
-                    pieces = self.pieces
-                if len(piece) <= 64:
-                    pieces[piece] = ids
-            out += ids
-        return out
+        return list(chain.from_iterable(map(self.pieces.__getitem__, self.find(text))))
 
 
 #: UTF-8 by lead byte: (continuation bytes to come, least and greatest value of the first of them). Fixed values of the
@@ -258,15 +288,18 @@ class StreamDecoder:
     def __init__(self, tokens: dict[int, bytes]):
         self.tokens, self.machine = tokens, Utf8Machine()
         self.known: dict[tuple, object] = {}
+        self.whole = {i for i, t in tokens.items() if self.machine.run(0, t) == 0}
         self.reset()
 
     def reset(self) -> None:
         self.state: object = 0
         self.held: list[bytes] = []
 
-    def feed(self, ids: Iterable[int]) -> bytes:
+    def feed(self, ids: list[int]) -> bytes:
         """The bytes up to the last complete code point; what follows is held back."""
         tokens, known, state, held = self.tokens, self.known, self.state, self.held
+        if state == 0 and self.whole.issuperset(ids):  # every token begins and ends between code points
+            return b"".join(map(tokens.__getitem__, ids))
         done = 0
         for i in ids:
             data = tokens[i]
@@ -294,7 +327,7 @@ class StreamDecoder:
                 return len(data) - back
         return 0
 
-    def feed_text(self, ids: Iterable[int]) -> str:
+    def feed_text(self, ids: list[int]) -> str:
         return self.feed(ids).decode("utf-8", "replace")
 
     def finish(self) -> bytes:
@@ -303,6 +336,16 @@ class StreamDecoder:
         return out
 
 
+def little(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    a = array("I", ids)
+    if a.itemsize != 4:
+        return np.array(ids, "<u4").tobytes()
+    if sys.byteorder == "big":
+        a.byteswap()
+    return a.tobytes()
+
+
 @lru_cache(maxsize=4)
 def _encoder(data: bytes, pattern: str) -> BpeEncoder:
     return BpeEncoder(read_ranks(data), pattern)
@@ -355,7 +398,7 @@ def coded_digests(df: DataFrame, ranks_path: str, pattern: str, key: str = "doc_
                     whole.update(dec.feed(ids[i : i + chunk]))
                 whole.update(dec.finish())
                 n.append(len(ids))
-                a.append(hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest())
+                a.append(hashlib.sha256(little(ids)).hexdigest())
                 b.append(whole.hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())], ["k", "n_tokens", "ids_sha256", "decoded_sha256"])
 
