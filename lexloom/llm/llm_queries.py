@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexloom.llm import avi_media, bpe_fst, chat_windows, ngram_join, packing, quartile_digest, shard_tree
+from lexloom.llm import avi_media, bpe_fst, chat_windows, importance, ngram_join, packing, quartile_digest, shard_tree, toxicity
 
 
 def _vocabulary(name: str) -> str:
@@ -24,6 +24,12 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"), k=4, num=85, den=100)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    index = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, index).select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"), "evidence")
+
+
 def op4_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "<|im_end|><|im_start|>assistant ok"
     more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -56,16 +62,23 @@ def op9_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", F.crc32(F.coalesce(F.col("text"), F.lit(""))).alias("text_crc32"), F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return importance.resample(docs, importance.fit(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_ngram_jaccard,
+        op3_toxicity,
         op4_chat_windows,
         op5_media_clips,
         op6_best_fit_packing,
         op7_quartile_digest,
         op8_bpe_transducer,
         op9_hash_tree_shards,
+        op10_importance_resampling,
     )
 }
 SQL: dict[str, str] = {}
