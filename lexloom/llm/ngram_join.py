@@ -31,6 +31,8 @@ from lexloom.llm.tables import keep
 BITS, BLOCK, CHILDREN = 1024, 512, 512
 #: Ids counted in a worker before counts under HEAVY_PART are forgotten; the most ids put last, and their least count.
 COUNTED, HEAVY_PART, HEAVY_IDS, HEAVY = 4_000_000, 3, 100_000, 48
+#: Documents in a part of a tile; the bits of a tile that number its parts; bits of the Bloom filter.
+PART, PARTS, BLOOM = 20_000, np.uint64(255), 1 << 24
 
 
 def _sets(df: DataFrame, key: str, text: str, k: int) -> DataFrame:
@@ -77,70 +79,94 @@ def _least_overlap(n: int, num: int, den: int) -> int:
     return -(-num * n // den)
 
 
-def _prefixes(df: DataFrame, key: str, text: str, k: int, num: int, den: int, heavy: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """key, n, set_hash, bitmap, and the ids of a document's tiles; of tiles that many documents share, a part's number."""
+def _index(df: DataFrame, key: str, text: str, k: int, num: int, den: int, heavy: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """Rows (tile, node): the ids under which a document is looked up. The low 8 bits of a tile are the number of a part:
+    more than one where very many documents share the id, and equal sets share their parts."""
     shared = df.sparkSession.sparkContext.broadcast(heavy)  # at most HEAVY_IDS ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, times = shared.value
         for batch in batches:
-            n, h, bitmaps, tiles, parts = [], [], [], [], []
-            for i, t in enumerate(batch.column(1)):
+            tiles = []
+            for t in batch.column(1):
                 ids = shingle_ids(t.as_py(), k)
-                n.append(len(ids))
-                h.append(hashlib.blake2b(ids.tobytes(), digest_size=16).digest())
-                bits = np.zeros(BITS, np.uint8)
-                bits[(ids & np.uint64(BITS - 1)).astype(np.int64)] = 1
-                bitmaps.append(np.packbits(bits).tobytes())
                 size = len(ids) - _least_overlap(len(ids), num, den) + 1 if len(ids) else 0
+                own, part = ids[:size], np.uint64(0)
                 if len(last) and len(ids):
                     at = np.minimum(np.searchsorted(last, ids), len(last) - 1)
                     weight = np.where(last[at] == ids, times[at], 0)
-                    order = np.argsort(weight, kind="stable")[:size]  # ids ascend, so ties are by id
-                    own, weight = ids[order], weight[order]
-                else:
-                    own, weight = ids[:size], np.zeros(size, np.int64)
-                tiles.append(own.view(np.int64))
-                salt = int.from_bytes(h[-1][:4], "little")
-                parts.append((salt % np.maximum(1, weight // 20_000)).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(h, pa.binary()), pa.array(bitmaps, pa.binary()), pa.array(tiles, pa.list_(pa.int64())), pa.array(parts, pa.list_(pa.int32()))], ["key", "n", "set_hash", "bitmap", "tiles", "parts"])
+                    if weight.any():
+                        order = np.argsort(weight, kind="stable")[:size]  # ids ascend, so ties are by id
+                        own, weight = ids[order], weight[order]
+                        part = np.uint64(int.from_bytes(hashlib.blake2b(ids.tobytes(), digest_size=4).digest(), "little")) % np.clip(weight // PART, 1, 256).astype(np.uint64)
+                tiles.append((own & ~PARTS) | part)
+            sizes = [len(x) for x in tiles]
+            node = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), sizes)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.uint64), *tiles]).view(np.int64)), pa.array(node.astype(np.int64))], ["tile", "node"])
+
+    return df.select(F.col(key), F.col(text)).mapInArrow(run, "tile long, node long")
+
+
+def _arrays(df: DataFrame, key: str, text: str, k: int, nodes: DataFrame) -> DataFrame:
+    """node, n, bitmap, ids (sorted, 8 bytes each) of the documents in `nodes`, and of a few others that a Bloom filter of
+    fixed size lets through; so no text is shuffled."""
+    spots = lambda c: (F.pmod(F.xxhash64(F.lit(1), c), F.lit(BLOOM)), F.pmod(F.xxhash64(F.lit(2), c), F.lit(BLOOM)))
+    bits = nodes.select(F.explode(F.array(*spots(F.col("node")))).alias("x")).select(F.shiftright("x", 6).alias("w"), F.expr("shiftleft(1L, cast(x % 64 as int))").alias("b"))
+    words = np.zeros(BLOOM // 64, np.int64)
+    for w, b in bits.groupBy("w").agg(F.bit_or("b")).collect():  # at most BLOOM / 64 rows
+        words[w] = b
+    shared = df.sparkSession.sparkContext.broadcast(words.view(np.uint64))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def has(x):
+            return (shared.value[x >> 6] >> (x & 63).astype(np.uint64)) & np.uint64(1)
 
-    return df.select(F.col(key).alias("key"), F.col(text)).mapInArrow(run, "key long, n long, set_hash binary, bitmap binary, tiles array<long>, parts array<int>")
+        for batch in batches:
+            x, y = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
+            rows = np.flatnonzero(has(x) & has(y))
+            ids = [shingle_ids(batch.column(1)[i].as_py(), k) for i in rows.tolist()]
+            maps = []
+            for own in ids:
+                flags = np.zeros(BITS, np.uint8)
+                flags[(own & np.uint64(BITS - 1)).astype(np.int64)] = 1
+                maps.append(np.packbits(flags).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), pa.array([len(i) for i in ids], pa.int64()), pa.array(maps, pa.binary()), pa.array([i.tobytes() for i in ids], pa.binary())], ["node", "n", "bitmap", "ids"])
+
+    x, y = spots(F.col(key))
+    return df.select(F.col(key), F.col(text), x.alias("x"), y.alias("y")).mapInArrow(run, "node long, n long, bitmap binary, ids binary").filter("n > 0")
 
 
 def _shared_tiles(rows: DataFrame) -> DataFrame:
-    """rows (tile, part, node, n) -> those of tiles with more than one document, with `head`: the first document of the
-    tile's part. One row is held between batches, whatever a tile's size."""
+    """rows (tile, node) -> those of tiles with more than one row, with `head`: the smallest node of the tile's part. One
+    row is held between batches, whatever a tile's size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, head = None, None  # the last row, which waits for the next one; the head of its run
+        held, head = None, None  # the last row, which waits for the next one; the head of its run if that began before
         for batch in batches:
-            tile, part, node, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            tile, node = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
             if not len(tile):
                 continue
             if held is not None:
-                tile, part, node, n = (np.concatenate([[h], c]) for h, c in zip(held, (tile, part, node, n), strict=True))
-            same = (tile[1:] == tile[:-1]) & (part[1:] == part[:-1])
+                tile, node = (np.concatenate([[h], c]) for h, c in zip(held, (tile, node), strict=True))
+            same = tile[1:] == tile[:-1]
             first = np.concatenate([[True], ~same])
             heads = node[np.maximum.accumulate(np.where(first, np.arange(len(tile)), 0))]
-            alone = np.concatenate([~same, [True]])
-            if held is not None and head is not None:  # the run of the held row began before
-                run_end = int(np.argmax(~same)) if not same.all() else len(tile) - 1
-                heads[: run_end + 1] = head
-            wanted = ~(first & alone)
+            wanted = ~(first & np.concatenate([~same, [True]]))
             if head is not None:
+                end = len(tile) if same.all() else int(np.argmin(same)) + 1
+                heads[:end] = head
                 wanted[0] = True
-            yield made(tile[:-1], node[:-1], n[:-1], heads[:-1], wanted[:-1])
+            yield made(tile[:-1], node[:-1], heads[:-1], wanted[:-1])
             continues = not first[-1] or (len(tile) == 1 and head is not None)
             head = heads[-1] if continues else None
-            held = (tile[-1], part[-1], node[-1], n[-1])
+            held = (tile[-1], node[-1])
         if held is not None and head is not None:
-            yield made(*(np.array([x]) for x in (held[0], held[2], held[3], head)), np.array([True]))
+            yield made(*(np.array([x]) for x in (*held, head)), np.array([True]))
 
-    def made(tile, node, n, head, wanted):
-        return pa.RecordBatch.from_arrays([pa.array(c[wanted].astype(np.int64)) for c in (tile, node, n, head)], ["tile", "node", "n", "head"])
+    def made(tile, node, head, wanted):
+        return pa.RecordBatch.from_arrays([pa.array(c[wanted].astype(np.int64)) for c in (tile, node, head)], ["tile", "node", "head"])
 
-    return rows.repartition("tile", "part").sortWithinPartitions("tile", "part", "n", "node").select("tile", "part", "node", "n").mapInArrow(run, "tile long, node long, n long, head long")
+    return rows.repartition("tile").sortWithinPartitions("tile", "node").mapInArrow(run, "tile long, node long, head long")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -264,35 +290,28 @@ def join(df: DataFrame, k: int = 5, num: int = 80, den: int = 100, key: str = "d
     found = sorted((r[0] % (1 << 64), r[1]) for r in top.collect())
     heavy = (np.array([i for i, _ in found], np.uint64), np.array([n for _, n in found], np.int64))
 
-    nodes = classes.filter("node is not null")
-    told = _prefixes(docs.filter("__key is not null"), "__key", "__text", k, num, den, heavy)
-    told = told.filter("n > 0").join(nodes.select(F.col("set_hash").alias("s2"), "node"), (F.col("set_hash") == F.col("s2")) & (F.col("key") == F.col("node")))
-    told = keep(told.select("node", "n", "set_hash", "bitmap", "tiles", "parts").dropDuplicates(["node", "set_hash"]), "nodes")
-    index = told.select("node", "n", F.explode(F.arrays_zip("tiles", "parts")).alias("t")).select(F.col("t.tiles").alias("tile"), F.col("t.parts").alias("part"), "node", "n")
-    tiles = keep(_shared_tiles(index), "tiles")
-
-    needed = tiles.select(F.col("node").alias("needed")).distinct()
-
-    def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = [shingle_ids(t.as_py(), k).tobytes() for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["node", "ids"])
+    nodes = classes.filter("node is not null").select(F.col("node").alias("v"))
+    keyed = docs.filter("__key is not null")
+    shared = _shared_tiles(_index(keyed, "__key", "__text", k, num, den, heavy))
+    # copies have the tiles of the document that stands for them, which is the smallest: only it goes on
+    tiles = keep(shared.join(nodes.distinct(), F.col("node") == F.col("v"), "left_semi"), "tiles")
 
-    sets = docs.join(needed, F.col("__key") == F.col("needed"), "left_semi").mapInArrow(arrays, "node long, ids binary")
-    sets = keep(sets, "arrays")
+    mates = tiles.filter("node <> head")
+    needed = mates.select("node").unionByName(mates.select(F.col("head").alias("node"))).distinct()
+    sets = keep(_arrays(keyed, "__key", "__text", k, needed), "arrays")
 
-    mates = tiles.filter("node <> head").groupBy("node", "head").count()
-    best = mates.groupBy("node").agg(F.max(F.struct("count", -F.col("head"))).alias("b"))
-    pairs = best.select(F.col("node").alias("child"), (-F.col("b.col2")).alias("parent"))
-    links = keep(_verified(pairs, sets, num, den), "links")
+    best = mates.groupBy("node", "head").count().groupBy("node").agg(F.max_by("head", F.struct(F.col("count"), -F.col("head"))).alias("parent"))
+    links = keep(_verified(best.select("parent", F.col("node").alias("child")), sets, num, den), "links")
 
-    known = components(links)
-    now = tiles.select("tile", "node", "n").join(known.withColumnRenamed("node", "v"), F.col("node") == F.col("v"), "left").select("tile", "node", "n", F.coalesce("component", "node").alias("component"))
-    now = keep(now, "placed")
+    known = components(links).withColumnRenamed("node", "v")
+    whole = tiles.select(F.col("tile").bitwiseAND(~255).alias("tile"), "node")
+    now = keep(whole.join(known, F.col("node") == F.col("v"), "left").select("tile", "node", F.coalesce("component", "node").alias("component")), "placed")
     mixed = now.groupBy("tile").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select(F.col("tile").alias("m"))
-    open_tiles = keep(now.join(mixed, F.col("tile") == F.col("m"), "left_semi"), "open")
-    units = _units(open_tiles, num, den)
-    marked = units.join(told.select(F.col("node").alias("v"), "bitmap", F.col("n").alias("vn")), (F.col("node") == F.col("v")) & (F.col("n") == F.col("vn"))).drop("v", "vn")
+    open_tiles = now.join(mixed, F.col("tile") == F.col("m"), "left_semi")
+    sizes = sets.select(F.col("node").alias("v"), "n").distinct()
+    open_tiles = keep(open_tiles.join(sizes, F.col("node") == F.col("v")).select("tile", "node", "n", "component"), "open")
+    bitmaps = sets.select(F.col("node").alias("v"), F.col("n").alias("vn"), "bitmap")
+    marked = _units(open_tiles, num, den).join(bitmaps, (F.col("node") == F.col("v")) & (F.col("n") == F.col("vn"))).drop("v", "vn")
     possible = keep(_bounded_pairs(marked, num, den), "possible")
     more = keep(_verified(possible.select("parent", "child"), sets, num, den), "links")
     final = components(links.unionByName(more))
