@@ -1,7 +1,7 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine through block-max inverted indexes.
 
 Examples are a bounded sample of labelled rows (the same number of each class at most, lowest hash first). Terms are the
-words that chi-squared ties to the label within the examples; their document frequencies are counted over all documents.
+words and beginnings of words that chi-squared ties to the label within the examples; their document frequencies are counted over all documents.
 Examples lie in blocks of similar ones; the index has each term's postings by block and its largest weight in a block.
 Blocks are visited by falling upper bound until no block can hold a nearer example, so the nearest `k` are exact. Their
 votes, weighted by cosine and by how many labelled rows an example stands for, give a raw score; isotonic regression on
@@ -25,12 +25,50 @@ from lexloom.llm.tables import keep
 #: Documented bounds: examples of each class, terms, words of one example that are sent to the driver.
 EXAMPLES, TERMS, EXAMPLE_WORDS = 1500, 2000, 20_000
 BLOCK, NEAREST = 64, 24
-#: Chi-squared with one degree of freedom at p = 0.001; examples that a term must be in.
-CHI, LEAST_DF = 10.83, 3
+#: Chi-squared with one degree of freedom at p = 1e-7, as some 100,000 terms are tried; examples that a term must be in.
+CHI, LEAST_DF = 28.4, 4
+#: Lengths of the beginnings of words that are terms too, marked by a ^; words remembered with their known terms.
+STEMS, REMEMBERED = range(3, 8), 200_000
 
 _words = re.compile(r"\w+").findall
 
 
+def terms_of(word: str) -> list[str]:
+    return [word, *(f"^{word[:n]}" for n in STEMS if n <= len(word))]
+
+
+def count_terms(words: dict[str, int]) -> Counter:
+    out: Counter = Counter()
+    for w, n in words.items():
+        for t in terms_of(w):
+            out[t] += n
+    return out
+
+
+class Known(dict):
+    """word -> those of its terms that are known; filled on demand, emptied when full."""
+
+    def __init__(self, terms):
+        super().__init__()
+        self.terms = terms
+
+    def __missing__(self, word: str) -> tuple[str, ...]:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        found = self[word] = tuple(t for t in terms_of(word) if t in self.terms)
+        return found
+
+    def __reduce__(self):
+        return Known, (self.terms,)
+
+    def count(self, text: str) -> Counter:
+        out: Counter = Counter()
+        for w in _words(text.lower()):
+            for t in self[w]:
+                out[t] += 1
+        return out
+
+
 def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string")) % 4 == 2, F.lit(False))
 
@@ -40,7 +78,7 @@ def _vote_terms(docs: list[tuple[dict[str, int], int]]) -> list[str]:
     n = Counter(y for _, y in docs)
     df = {0: Counter(), 1: Counter()}
     for words, y in docs:
-        df[y].update(words.keys())
+        df[y].update({t for w in words for t in terms_of(w)})
     found = []
     for t in df[0].keys() | df[1].keys():
         a, b = df[1][t], df[0][t]
@@ -75,7 +113,8 @@ class Index:
 
     def __init__(self, docs: list[tuple[int, dict[str, int], int]], terms: list[str], df: dict[str, int], corpus: int, labelled: dict[int, int]):
         self.idf = {t: float(np.log((1 + corpus) / (1 + df.get(t, 0)))) for t in terms}
-        vectors = [(i, self.vector(w), y) for i, w, y in docs]
+        self.known = Known(frozenset(self.idf))
+        vectors = [(i, self.vector(count_terms(w)), y) for i, w, y in docs]
         # examples whose heaviest terms agree share blocks, which keeps a block's bounds low
         vectors.sort(key=lambda v: (max(v[1].items(), key=lambda x: (x[1], x[0]), default=("",))[0], v[2], v[0]))
         self.ids = [v[0] for v in vectors]
@@ -145,7 +184,7 @@ class Index:
     def score(self, text: str | None) -> tuple[float, list[tuple[float, int]]]:
         """A probability and the nearest examples (cosine, place). A text without known terms gets the share of such
         examples that are toxic; without examples the score is 0."""
-        query = self.vector(Counter(w for w in _words((text or "").lower()) if w in self.idf))
+        query = self.vector(self.known.count(text or ""))
         if not query:
             return self.bare, []
         near = self.nearest(query)
@@ -184,12 +223,12 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     shared = spark.sparkContext.broadcast(frozenset(terms))  # at most TERMS words
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df, n = Counter(), 0
+        df, n, known = Counter(), 0, Known(shared.value)
         for batch in batches:
             n += batch.num_rows
             for t in batch.column(0):
                 if t.is_valid:
-                    df.update(shared.value.intersection(_words(t.as_py().lower())))
+                    df.update(known.count(t.as_py()).keys())
         yield pa.RecordBatch.from_arrays([pa.array([*df, None], pa.string()), pa.array([*df.values(), n], pa.int64())], ["term", "n"])
 
     total = docs.select(text).mapInArrow(frequencies, "term string, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
