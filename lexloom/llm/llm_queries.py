@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexloom.llm import avi_media, bpe_fst, chat_windows, importance, ngram_join, packing, quartile_digest, shard_tree, toxicity
+from lexloom.llm import avi_media, bpe_fst, chat_windows, importance, ngram_join, packing, quartile_digest, secret_scan, shard_tree, toxicity
 
 
 def _vocabulary(name: str) -> str:
@@ -24,6 +24,12 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"), k=4, num=85, den=100)
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    forest = secret_scan.fit(secret_scan.labelled_findings(spark))
+    found = secret_scan.findings(table(spark, sf_dir, "documents"), forest)
+    return found.select("doc_id", "nth", F.length("candidate").alias("length"), F.sha2("candidate", 256).alias("candidate_sha256"), "score", "is_secret")
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     index = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -71,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_ngram_jaccard,
+        op2_secret_scan,
         op3_toxicity,
         op4_chat_windows,
         op5_media_clips,
