@@ -1,13 +1,73 @@
-"""Documents through toxicity, quality, near duplicates, secrets and packing."""
+"""Documents through toxicity, quality, near duplicates, secrets and packing.
+
+Each stage takes (spark, docs, sf_dir) and works on all of docs, the rows that the stage before kept; all but the last
+return the columns of documents. run() applies them to the documents of a folder, each stage's result written and read.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lexloom.llm import importance, ngram_join, packing, secret_scan, toxicity
+from lexloom.llm.llm_queries import table, vocabulary
+from lexloom.llm.tables import keep
+
+#: A document goes if its toxicity reaches this.
+TOXIC = 0.3
+#: Near duplicates: words in a shingle, and the least similarity as a ratio.
+WORDS, SIMILAR = 5, (80, 100)
+WINDOW = 2048
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score under TOXIC. Null and empty texts score by the share of such examples, so they stay."""
+    return toxicity.keep_clean(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")), threshold=TOXIC)
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that importance resampling draws; as many as look like the target, so clean ones stay."""
+    model = importance.fit(docs, table(spark, sf_dir, "labels"))
+    return importance.keep_selected(docs, model)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near duplicates: that of the smallest doc_id; of repeated rows with one doc_id
+    one stays. Documents without words, and rows without doc_id, stay."""
+    found = keep(ngram_join.join(docs, WORDS, *SIMILAR), "components")
+    go = found.filter("component_id <> doc_id").select(F.col("doc_id").alias("__go")).distinct()
+    left = docs.join(go, F.col("doc_id") == F.col("__go"), "left_anti")
+    twice = keep(docs.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").select(F.col("doc_id").alias("__twice")), "twice")
+    once = left.join(twice, F.col("doc_id") == F.col("__twice"), "left_anti")
+    again = left.join(twice, F.col("doc_id") == F.col("__twice"), "left_semi").dropDuplicates(["doc_id"])
+    return once.unionByName(again)
+
+
+def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, their secrets masked and n_chars counted anew."""
+    forest = secret_scan.fit(secret_scan.labelled_findings(spark))
+    out = secret_scan.redact(docs, forest)
+    return out.withColumn("n_chars", F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars"))) if "n_chars" in docs.columns else out
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in packed sequences: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+    return packing.pack_documents(docs, vocabulary("byte_bpe_50k.json"), WINDOW)
+
+
+STAGES = [
+    ("toxicity", toxicity_stage),
+    ("quality", quality_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("secrets", secret_stage),
+    ("packing", packing_stage),
+]
+#: Stages learn models and tokenize, which SQL can't express.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, f in STAGES:
-        docs = f(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = keep(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.llm.shingles import _tables, mix
@@ -122,6 +122,12 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     return Model(ratio, split_point(good, bad))
 
 
+def noise(key: Column, text: Column, seed: int = 10) -> Column:
+    """Gumbel noise that key and text decide."""
+    u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), key, text), 11).cast("double") + 0.5) * (2.0**-53)
+    return -F.log(-F.log(u))
+
+
 def with_ratio(docs: DataFrame, model: Model, key: str, text: str, seed: int = 10) -> DataFrame:
     """key, log_ratio, ngrams, gumbel (noise that key and text decide) for each row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -130,11 +136,10 @@ def with_ratio(docs: DataFrame, model: Model, key: str, text: str, seed: int = 1
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = [shared.value.log_ratio(t.as_py()) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x for x, _ in got], pa.float64()), pa.array([n for _, n in got], pa.int64()), batch.column(2)], ["k", "log_ratio", "ngrams", "h"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x for x, _ in got], pa.float64()), pa.array([n for _, n in got], pa.int64()), batch.column(2)], ["k", "log_ratio", "ngrams", "gumbel"])
 
-    rows = docs.select(F.col(key), F.col(text), F.xxhash64(F.lit(seed), F.col(key), F.col(text)).alias("h"))
-    u = (F.shiftrightunsigned("h", 11).cast("double") + 0.5) * (2.0**-53)
-    return rows.mapInArrow(run, f"k {kind}, log_ratio double, ngrams long, h long").select(F.col("k").alias(key), "log_ratio", "ngrams", (-F.log(-F.log(u))).alias("gumbel"))
+    rows = docs.select(F.col(key), F.col(text), noise(F.col(key), F.col(text), seed).alias("h"))
+    return rows.mapInArrow(run, f"k {kind}, log_ratio double, ngrams long, gumbel double").withColumnRenamed("k", key)
 
 
 def kth_largest(rows: DataFrame, value: str, k: int, bins: int = 4096) -> float | None:
@@ -173,3 +178,23 @@ def resample(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
     border = kth_largest(rows, "gumbel_key", k)
     chosen = F.col("gumbel_key") >= float(border) if border is not None else F.lit(False)
     return rows.select(key, "log_ratio", "ngrams", "gumbel_key", chosen.alias("selected"))
+
+
+def keep_selected(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of docs that resampling draws, with their columns as they are: the border is found on the narrow table of
+    keys, and each row's own key, computed again from its text, is held against it, so no text is shuffled."""
+    rows = resample(docs, model, key, text)
+    border = rows.filter("selected").agg(F.min("gumbel_key")).first()[0]
+    if border is None:
+        return docs.filter(F.lit(False))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def ratio(parts: Iterator) -> Iterator:
+        for part in parts:
+            yield part.map(lambda t: shared.value.log_ratio(t)[0]).astype(float)
+
+    import pandas as pd
+
+    ratio.__annotations__ = {"parts": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    own = F.pandas_udf(ratio, "double")(F.coalesce(F.col(text), F.lit("")))
+    return docs.filter(own * SHARPNESS + noise(F.col(key), F.col(text)) >= float(border))

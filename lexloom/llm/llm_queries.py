@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lexloom.llm import avi_media, bpe_fst, chat_windows, importance, ngram_join, packing, quartile_digest, secret_scan, shard_tree, toxicity
 
 
-def _vocabulary(name: str) -> str:
+def vocabulary(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -40,7 +40,7 @@ def op4_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "<|im_end|><|im_start|>assistant ok"
     more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
-    return chat_windows.read_back(chat_windows.windows(turns, _vocabulary("byte_bpe_50k.tiktoken")))
+    return chat_windows.read_back(chat_windows.windows(turns, vocabulary("byte_bpe_50k.tiktoken")))
 
 
 def op5_media_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +51,7 @@ def op5_media_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), window=2048)
+    return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), window=2048)
 
 
 def op7_quartile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +59,7 @@ def op7_quartile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe_fst.coded_digests(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.tiktoken"), packing.PATTERN)
+    return bpe_fst.coded_digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"), packing.PATTERN)
 
 
 def op9_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
