@@ -4,7 +4,8 @@
 2. Tiles. Two sets with |A n B| / |A u B| >= t share an id among the first n - ceil(t n) + 1 of each, in any one order of
    ids. The order puts ids that many documents hold last (counted over all documents; it only decides the cost). A tile
    is such an id and its documents. Ids that one document holds end here.
-3. Each document is first compared with the tile-mate that heads most of its tiles; the links give components.
+3. Each document is first compared with the tile-mate that heads most of its tiles, by bitmap and then exactly; the
+   links give components.
 4. Tiles that hold several components are cut by bands of size (sizes must agree within t) and, where a band is large,
    into blocks; every pair of bands and blocks that can hold links is a task's unit of bounded size. In it, pairs of
    different components are bounded by hashed bitmaps: bits set only in A count ids that B lacks, so
@@ -36,43 +37,47 @@ PART, PARTS, BLOOM = 20_000, np.uint64(255), 1 << 24
 
 
 def _sets(df: DataFrame, key: str, text: str, k: int) -> DataFrame:
-    """Rows of documents (n, set_hash) and of ids that many of them hold (id, times)."""
+    """Rows of documents (n, set_hash, bitmap) and of ids that many of them hold (id, times)."""
 
     def counts(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         ids, n = np.unique(np.concatenate(held), return_counts=True)
         return ids[n >= HEAVY_PART], n[n >= HEAVY_PART]
 
-    def made(keys, n, h, ids, times):
+    def made(keys, n, h, maps, ids, times):
         m = len(n)
         return pa.RecordBatch.from_arrays(
             [
                 pa.concat_arrays([keys, pa.nulls(len(ids), keys.type)]),
                 pa.array([*n, *[None] * len(ids)], pa.int64()),
                 pa.array([*h, *[None] * len(ids)], pa.binary()),
+                pa.array([*maps, *[None] * len(ids)], pa.binary()),
                 pa.concat_arrays([pa.nulls(m, pa.int64()), pa.array(ids.view(np.int64))]),
                 pa.concat_arrays([pa.nulls(m, pa.int64()), pa.array(times.astype(np.int64))]),
             ],
-            ["key", "n", "set_hash", "id", "times"],
+            ["key", "n", "set_hash", "bitmap", "id", "times"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, none = [], 0, np.zeros(0, np.uint64)
         for batch in batches:
-            n, h = [], []
+            n, h, maps = [], [], []
             for t in batch.column(1):
                 ids = shingle_ids(t.as_py(), k)
                 n.append(len(ids))
                 h.append(hashlib.blake2b(ids.tobytes(), digest_size=16).digest())
+                flags = np.zeros(BITS, np.uint8)
+                flags[(ids & np.uint64(BITS - 1)).astype(np.int64)] = 1
+                maps.append(np.packbits(flags).tobytes())
                 held.append(ids)
                 size += len(ids)
                 if size >= COUNTED:
-                    yield made(batch.column(0)[:0], [], [], *counts(held))
+                    yield made(batch.column(0)[:0], [], [], [], *counts(held))
                     held, size = [], 0
-            yield made(batch.column(0), n, h, none, none)
+            yield made(batch.column(0), n, h, maps, none, none)
         if held:
-            yield made(batch.column(0)[:0], [], [], *counts(held))
+            yield made(batch.column(0)[:0], [], [], [], *counts(held))
 
-    return df.select(F.col(key).alias("key"), F.col(text)).mapInArrow(run, "key long, n long, set_hash binary, id long, times long")
+    return df.select(F.col(key).alias("key"), F.col(text)).mapInArrow(run, "key long, n long, set_hash binary, bitmap binary, id long, times long")
 
 
 def _least_overlap(n: int, num: int, den: int) -> int:
@@ -108,8 +113,8 @@ def _index(df: DataFrame, key: str, text: str, k: int, num: int, den: int, heavy
 
 
 def _arrays(df: DataFrame, key: str, text: str, k: int, nodes: DataFrame) -> DataFrame:
-    """node, n, bitmap, ids (sorted, 8 bytes each) of the documents in `nodes`, and of a few others that a Bloom filter of
-    fixed size lets through; so no text is shuffled."""
+    """node, ids (sorted, 8 bytes each) of the documents in `nodes`, and of a few others that a Bloom filter of fixed size
+    lets through; so no text is shuffled."""
     spots = lambda c: (F.pmod(F.xxhash64(F.lit(1), c), F.lit(BLOOM)), F.pmod(F.xxhash64(F.lit(2), c), F.lit(BLOOM)))
     bits = nodes.select(F.explode(F.array(*spots(F.col("node")))).alias("x")).select(F.shiftright("x", 6).alias("w"), F.expr("shiftleft(1L, cast(x % 64 as int))").alias("b"))
     words = np.zeros(BLOOM // 64, np.int64)
@@ -125,15 +130,10 @@ def _arrays(df: DataFrame, key: str, text: str, k: int, nodes: DataFrame) -> Dat
             x, y = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
             rows = np.flatnonzero(has(x) & has(y))
             ids = [shingle_ids(batch.column(1)[i].as_py(), k) for i in rows.tolist()]
-            maps = []
-            for own in ids:
-                flags = np.zeros(BITS, np.uint8)
-                flags[(own & np.uint64(BITS - 1)).astype(np.int64)] = 1
-                maps.append(np.packbits(flags).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), pa.array([len(i) for i in ids], pa.int64()), pa.array(maps, pa.binary()), pa.array([i.tobytes() for i in ids], pa.binary())], ["node", "n", "bitmap", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), pa.array([i.tobytes() for i in ids], pa.binary())], ["node", "ids"])
 
     x, y = spots(F.col(key))
-    return df.select(F.col(key), F.col(text), x.alias("x"), y.alias("y")).mapInArrow(run, "node long, n long, bitmap binary, ids binary").filter("n > 0")
+    return df.select(F.col(key), F.col(text), x.alias("x"), y.alias("y")).mapInArrow(run, "node long, ids binary").filter(F.octet_length("ids") > 0)
 
 
 def _shared_tiles(rows: DataFrame) -> DataFrame:
@@ -202,6 +202,26 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     return rows.mapInArrow(run, "a long, b long")
 
 
+def _at_most(n: np.ndarray, m: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The largest overlap that sizes and bitmaps of two sets leave possible."""
+    return np.minimum(n - np.bitwise_count(x & ~y).sum(-1, dtype=np.int64), m - np.bitwise_count(y & ~x).sum(-1, dtype=np.int64))
+
+
+def _likely(pairs: DataFrame, meta: DataFrame, num: int, den: int) -> DataFrame:
+    """pairs (parent, child) that sizes and bitmaps leave possible."""
+    side = lambda name: meta.select(F.col("node").alias(name + "_"), F.col("n").alias(name + "_n"), F.col("bitmap").alias(name + "_b"))
+    both = pairs.join(side("child"), F.col("child") == F.col("child_")).join(side("parent"), F.col("parent") == F.col("parent_"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = (batch.column(c).to_numpy() for c in ("child_n", "parent_n"))
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, BITS // 64) for c in ("child_b", "parent_b"))
+            hit = pa.array((num + den) * _at_most(n, m, x, y) >= num * (n + m))
+            yield pa.RecordBatch.from_arrays([batch.column("parent").filter(hit), batch.column("child").filter(hit)], ["parent", "child"])
+
+    return both.select("parent", "child", "child_n", "parent_n", "child_b", "parent_b").mapInArrow(run, "parent long, child long").distinct()
+
+
 def _bounded_pairs(rows: DataFrame, num: int, den: int) -> DataFrame:
     """rows (unit columns, side, node, n, component, bitmap) -> pairs of different components within a unit that sizes and
     bitmaps leave possible. A unit has at most two blocks; `side` 0 and 1 are compared with each other, side 2 within."""
@@ -241,9 +261,7 @@ def _bounded_pairs(rows: DataFrame, num: int, den: int) -> DataFrame:
                     others = others[side[others] != side[i]]
                 if not len(others):
                     continue
-                x, y = bits[i], bits[others]
-                most = np.minimum(n[i] - np.bitwise_count(x & ~y).sum(1, dtype=np.int64), n[others] - np.bitwise_count(y & ~x).sum(1, dtype=np.int64))
-                hit = others[(num + den) * most >= num * (n[i] + n[others])]
+                hit = others[(num + den) * _at_most(n[i], n[others], bits[i], bits[others]) >= num * (n[i] + n[others])]
                 a += [int(node[i])] * len(hit)
                 b += node[hit].tolist()
             if a:
@@ -296,24 +314,24 @@ def join(df: DataFrame, k: int = 5, num: int = 80, den: int = 100, key: str = "d
     # copies have the tiles of the document that stands for them, which is the smallest: only it goes on
     tiles = keep(shared.join(nodes.distinct(), F.col("node") == F.col("v"), "left_semi"), "tiles")
 
+    meta = first.filter("n > 0 and key is not null").select(F.col("key").alias("node"), "n", "bitmap")
     mates = tiles.filter("node <> head")
-    needed = mates.select("node").unionByName(mates.select(F.col("head").alias("node"))).distinct()
-    sets = keep(_arrays(keyed, "__key", "__text", k, needed), "arrays")
-
     best = mates.groupBy("node", "head").count().groupBy("node").agg(F.max_by("head", F.struct(F.col("count"), -F.col("head"))).alias("parent"))
-    links = keep(_verified(best.select("parent", F.col("node").alias("child")), sets, num, den), "links")
+    exact = lambda pairs: _verified(pairs, keep(_arrays(keyed, "__key", "__text", k, pairs.select(F.explode(F.array("parent", "child")).alias("node")).distinct()), "arrays"), num, den)
+    likely = keep(_likely(best.select("parent", F.col("node").alias("child")), meta, num, den), "likely")
+    links = keep(exact(likely), "links")
 
     known = components(links).withColumnRenamed("node", "v")
     whole = tiles.select(F.col("tile").bitwiseAND(~255).alias("tile"), "node")
     now = keep(whole.join(known, F.col("node") == F.col("v"), "left").select("tile", "node", F.coalesce("component", "node").alias("component")), "placed")
     mixed = now.groupBy("tile").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select(F.col("tile").alias("m"))
     open_tiles = now.join(mixed, F.col("tile") == F.col("m"), "left_semi")
-    sizes = sets.select(F.col("node").alias("v"), "n").distinct()
-    open_tiles = keep(open_tiles.join(sizes, F.col("node") == F.col("v")).select("tile", "node", "n", "component"), "open")
-    bitmaps = sets.select(F.col("node").alias("v"), F.col("n").alias("vn"), "bitmap")
+    sizes = meta.select(F.col("node").alias("v"), "n")
+    open_tiles = keep(open_tiles.join(sizes, F.col("node") == F.col("v")).select("tile", "node", "n", "component").distinct(), "open")
+    bitmaps = meta.select(F.col("node").alias("v"), F.col("n").alias("vn"), "bitmap")
     marked = _units(open_tiles, num, den).join(bitmaps, (F.col("node") == F.col("v")) & (F.col("n") == F.col("vn"))).drop("v", "vn")
     possible = keep(_bounded_pairs(marked, num, den), "possible")
-    more = keep(_verified(possible.select("parent", "child"), sets, num, den), "links")
+    more = keep(exact(possible.select("parent", "child")), "links")
     final = components(links.unionByName(more))
 
     of_class = classes.join(final.withColumnRenamed("node", "v"), F.col("node") == F.col("v"), "left").select(F.col("set_hash").alias("s2"), F.coalesce("component", "node").alias("component"))
