@@ -161,7 +161,10 @@ def _scan(text: Column, forest: str) -> tuple[Column, Column]:
     """The pieces of the text between candidates, and the candidates with their scores, in order."""
     pieces = F.split(text, CANDIDATE, -1)
     found = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
-    near = F.transform(found, lambda c, i: F.struct(c.alias("candidate"), F.right(F.get(pieces, i), F.lit(NEAR)).alias("before"), F.left(F.get(pieces, i + 1), F.lit(NEAR)).alias("after")))
+    # each candidate between its neighbouring pieces, without looking the pieces up again for each candidate
+    after = F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
+    near = F.zip_with(F.zip_with(found, pieces, lambda c, b: F.struct(c.alias("candidate"), F.right(b, F.lit(NEAR)).alias("before"))), after, lambda x, a: F.struct(x["candidate"].alias("candidate"), x["before"].alias("before"), F.left(a, F.lit(NEAR)).alias("after")))
+    near = F.filter(near, lambda x: x["candidate"].isNotNull())
     told = F.transform(near, lambda x: F.struct(x["candidate"].alias("candidate"), x["before"].alias("before"), x["after"].alias("after"), features(x["candidate"], x["before"], x["after"]).alias("values")))
     return pieces, F.transform(told, lambda x: F.struct(x["candidate"].alias("candidate"), x["before"].alias("before"), x["after"].alias("after"), forest_score(x["values"], forest).alias("score")))
 
