@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Entries kept in one worker: moves of the machine, and whole pieces. Beyond it the memory is emptied and refilled.
-MOST_MOVES, MOST_PIECES = 600_000, 250_000
+MOST_MOVES, MOST_PIECES = 1_000_000, 350_000
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
