@@ -28,14 +28,22 @@ from lexloom.llm.components import components
 from lexloom.llm.shingles import shingle_ids
 from lexloom.llm.tables import keep
 
-#: Bits of a bitmap; documents of a band in one block; children compared with one copy of their parent.
-BITS, BLOCK, CHILDREN = 1024, 512, 512
+#: Least bits of a bitmap (it has 1.5 for each id or more, a power of two); documents of a band in one block; children
+#: compared with one copy of their parent.
+BITS, BLOCK, CHILDREN = 512, 512, 512
 #: Ids counted in a worker before counts under HEAVY_PART are forgotten; the most ids put last, and their least count.
 COUNTED, HEAVY_PART, HEAVY_IDS, HEAVY = 4_000_000, 3, 100_000, 48
 #: Documents in a part of a tile; the bits of a tile that number its parts; bits of the Bloom filter.
 PART, PARTS, BLOOM = 20_000, np.uint64(255), 1 << 24
 
 
+def _bitmap(ids: np.ndarray) -> bytes:
+    bits = max(BITS, 1 << (3 * len(ids) // 2).bit_length())
+    flags = np.zeros(bits, np.uint8)
+    flags[(ids & np.uint64(bits - 1)).astype(np.int64)] = 1
+    return np.packbits(flags).tobytes()
+
+
 def _sets(df: DataFrame, key: str, text: str, k: int) -> DataFrame:
     """Rows of documents (n, set_hash, bitmap) and of ids that many of them hold (id, times)."""
 
@@ -65,9 +73,7 @@ def _sets(df: DataFrame, key: str, text: str, k: int) -> DataFrame:
                 ids = shingle_ids(t.as_py(), k)
                 n.append(len(ids))
                 h.append(hashlib.blake2b(ids.tobytes(), digest_size=16).digest())
-                flags = np.zeros(BITS, np.uint8)
-                flags[(ids & np.uint64(BITS - 1)).astype(np.int64)] = 1
-                maps.append(np.packbits(flags).tobytes())
+                maps.append(_bitmap(ids))
                 held.append(ids)
                 size += len(ids)
                 if size >= COUNTED:
@@ -202,9 +208,14 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     return rows.mapInArrow(run, "a long, b long")
 
 
-def _at_most(n: np.ndarray, m: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """The largest overlap that sizes and bitmaps of two sets leave possible."""
-    return np.minimum(n - np.bitwise_count(x & ~y).sum(-1, dtype=np.int64), m - np.bitwise_count(y & ~x).sum(-1, dtype=np.int64))
+def _at_most(n: int, m: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The largest overlap that sizes and bitmaps leave possible, of one set and several of another width of bitmap (rows
+    of y). A wider bitmap is folded: an id's bit is its rest by the width."""
+    if y.shape[1] > len(x):
+        y = np.bitwise_or.reduce(y.reshape(len(y), -1, len(x)), axis=1)
+    elif y.shape[1] < len(x):
+        x = np.bitwise_or.reduce(x.reshape(-1, y.shape[1]), axis=0)
+    return np.minimum(n - np.bitwise_count(x & ~y).sum(1, dtype=np.int64), m - np.bitwise_count(y & ~x).sum(1, dtype=np.int64))
 
 
 def _likely(pairs: DataFrame, meta: DataFrame, num: int, den: int) -> DataFrame:
@@ -215,8 +226,9 @@ def _likely(pairs: DataFrame, meta: DataFrame, num: int, den: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, m = (batch.column(c).to_numpy() for c in ("child_n", "parent_n"))
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, BITS // 64) for c in ("child_b", "parent_b"))
-            hit = pa.array((num + den) * _at_most(n, m, x, y) >= num * (n + m))
+            maps = zip(*(batch.column(c).to_pylist() for c in ("child_b", "parent_b")), strict=True)
+            most = [int(_at_most(n[i], m[i], np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)[None])[0]) for i, (x, y) in enumerate(maps)]
+            hit = pa.array((num + den) * np.array(most, np.int64) >= num * (n + m))
             yield pa.RecordBatch.from_arrays([batch.column("parent").filter(hit), batch.column("child").filter(hit)], ["parent", "child"])
 
     return both.select("parent", "child", "child_n", "parent_n", "child_b", "parent_b").mapInArrow(run, "parent long, child long").distinct()
@@ -248,7 +260,9 @@ def _bounded_pairs(rows: DataFrame, num: int, den: int) -> DataFrame:
 
     def pairs(table, edges):
         side, node, n, comp = (table.column(c).to_numpy() for c in ("side", "node", "n", "component"))
-        bits = np.frombuffer(b"".join(table.column("bitmap").to_pylist()), np.uint64).reshape(len(table), BITS // 64)
+        maps = table.column("bitmap").to_pylist()
+        width = np.array([len(x) // 8 for x in maps])
+        by_width = {w: (np.cumsum(width == w) - 1, np.frombuffer(b"".join(x for x in maps if len(x) == 8 * w), np.uint64).reshape(-1, w)) for w in np.unique(width).tolist()}
         for s, e in zip(edges, edges[1:], strict=False):
             order = s + np.argsort(n[s:e], kind="stable")
             a, b = [], []
@@ -261,9 +275,13 @@ def _bounded_pairs(rows: DataFrame, num: int, den: int) -> DataFrame:
                     others = others[side[others] != side[i]]
                 if not len(others):
                     continue
-                hit = others[(num + den) * _at_most(n[i], n[others], bits[i], bits[others]) >= num * (n[i] + n[others])]
-                a += [int(node[i])] * len(hit)
-                b += node[hit].tolist()
+                at, own = by_width[int(width[i])]
+                for w, (place, rows) in by_width.items():
+                    some = others[width[others] == w]
+                    if len(some):
+                        hit = some[(num + den) * _at_most(n[i], n[some], own[at[i]], rows[place[some]]) >= num * (n[i] + n[some])]
+                        a += [int(node[i])] * len(hit)
+                        b += node[hit].tolist()
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
