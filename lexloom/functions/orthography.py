@@ -165,7 +165,11 @@ def edit1_keys(key: Column) -> Column:
 
 def substrings(key: Column, low: int = 4, high: int = 7) -> Column:
     """array<string>: all distinct substrings of these lengths."""
-    parts = [F.when(F.length(key) >= n, F.transform(F.sequence(F.lit(1), F.length(key) - n + 1), lambda i, n=n: F.substring(key, i, F.lit(n)))).otherwise(F.array().cast("array<string>")) for n in range(low, high + 1)]
+    def of(n: int) -> Column:
+        cut = F.transform(F.sequence(F.lit(1), F.length(key) - n + 1), lambda i: F.substring(key, i, F.lit(n)))
+        return F.when(F.length(key) >= n, cut).otherwise(F.array().cast("array<string>"))
+
+    parts = [of(n) for n in range(low, high + 1)]
     return F.array_distinct(F.concat(*parts))
 
 

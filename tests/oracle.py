@@ -22,7 +22,7 @@ def canon(v):
         return tuple(canon(x) for x in v)
     if isinstance(v, dict):
         return tuple((k, canon(x)) for k, x in sorted(v.items()))
-    if v is None or v is pd.NaT or (isinstance(v, float) and v != v):
+    if v is None or v is pd.NaT or v is pd.NA or (isinstance(v, float) and v != v):
         return None
     if isinstance(v, (bool, np.bool_)):
         return bool(v)
