@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lexloom.llm.tables import bound_batches
+
 WIDTH, HEIGHT, FPS = 32, 18, 25
 SAMPLES = WIDTH * HEIGHT
 BINS = 16
@@ -232,6 +234,7 @@ def _parts(batch: pa.RecordBatch, column: int, size) -> Iterator[tuple[int, list
 
 def store(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, n_bytes (of the text), media: an AVI file that holds each whole text (null: empty)."""
+    bound_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -258,6 +261,7 @@ def read_media(media: list[bytes]) -> list[tuple[bytes, np.ndarray, float]]:
 def read(df: DataFrame, key: str = "doc_id", media: str = "media") -> DataFrame:
     """key, payload_bytes, payload_sha256, tail_crc32 (of the last 32 bytes), media_bytes, media_sha256, clips: timed clip
     rows, in order. A null file has nulls; a file without frames has no clips; a broken one raises ValueError."""
+    bound_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

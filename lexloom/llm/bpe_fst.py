@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lexloom.llm.tables import bound_batches
+
 #: Entries kept in one worker: moves of the machine, and whole pieces. Beyond it the memory is emptied and refilled.
 MOST_MOVES, MOST_PIECES = 1_000_000, 350_000
 
@@ -367,6 +369,7 @@ def _bytes(path: str) -> bytes:
 def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", out: str = "ids") -> DataFrame:
     """Add `out`, the token ids of `text` (array of int). Null and empty texts give an empty array. Texts are encoded
     whole, of any length; other columns are passed on as they are, an older `out` column is replaced."""
+    bound_batches(df.sparkSession)
     ranks = df.sparkSession.sparkContext.broadcast(_bytes(ranks_path))
 
     @F.pandas_udf(_ids_type())
@@ -383,6 +386,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", out
 
 def coded_digests(df: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id", text: str = "text", chunk: int = 8192) -> DataFrame:
     """For each row of df: key, n_tokens, ids_sha256, decoded_sha256. Ids go through the stream decoder in chunks."""
+    bound_batches(df.sparkSession)
     ranks = df.sparkSession.sparkContext.broadcast(_bytes(ranks_path))
     kind = df.schema[key].dataType
 

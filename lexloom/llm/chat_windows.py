@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from lexloom.llm.bpe_fst import _bytes, read_ranks
 from lexloom.llm.packing import PATTERN
-from lexloom.llm.tables import keep
+from lexloom.llm.tables import bound_batches, keep
 
 START, END = "<|im_start|>", "<|im_end|>"
 #: Turn numbers to a block of prefix sums.
@@ -54,6 +54,7 @@ def _counter(data: bytes):
 
 
 def _turns(df: DataFrame, ranks_path: str, conv: str, turn: str, role: str, text: str) -> DataFrame:
+    bound_batches(df.sparkSession)
     ranks = df.sparkSession.sparkContext.broadcast(_bytes(ranks_path))
 
     def tokens(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -141,6 +142,7 @@ def parse(text: str) -> list[tuple[str, str]]:
 def read_back(formatted: DataFrame, conv: str = "conv_id") -> DataFrame:
     """What the windows say, for each conversation: n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars. A hash
     over a conversation is sequential: its windows stream through one task, of which only one is held at a time."""
+    bound_batches(formatted.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, state = None, None

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.llm.shingles import _tables, mix
-from lexloom.llm.tables import keep
+from lexloom.llm.tables import bound_batches, keep
 
 #: Documented bound: labelled documents of each class whose n-grams or ratios teach the models.
 EXAMPLES = 5000
@@ -91,12 +91,13 @@ def split_point(good: np.ndarray, bad: np.ndarray) -> float:
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", examples: int = EXAMPLES) -> Model:
     """Count the models. The target is at most `examples` documents labelled 1; the raw model is all of docs."""
+    bound_batches(docs.sparkSession)
     known = labels.select(F.col(key).alias("k"), F.col(label).cast("int").alias("y")).filter("k is not null and y in (0, 1)").groupBy("k").agg(F.max("y").alias("y"))
     chosen = None
     for y in (0, 1):
         part = known.filter(F.col("y") == y).orderBy(F.xxhash64("k"), "k").limit(examples)
         chosen = part if chosen is None else chosen.unionByName(part)
-    chosen = keep(chosen, "chosen")  # at most 2 * examples rows
+    chosen = keep(chosen, "chosen", 2)  # at most 2 * examples rows
     rows = docs.select(F.col(key).alias("d"), F.col(text).alias("t"))
     marked = rows.join(F.broadcast(chosen), F.col("d") == F.col("k"), "left").select("y", "t")
     width = BUCKETS + REPEATS
@@ -130,6 +131,7 @@ def noise(key: Column, text: Column, seed: int = 10) -> Column:
 
 def with_ratio(docs: DataFrame, model: Model, key: str, text: str, seed: int = 10) -> DataFrame:
     """key, log_ratio, ngrams, gumbel (noise that key and text decide) for each row."""
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema[key].dataType.simpleString()
 
@@ -183,6 +185,7 @@ def resample(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
 def keep_selected(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of docs that resampling draws, with their columns as they are: the border is found on the narrow table of
     keys, and each row's own key, computed again from its text, is held against it, so no text is shuffled."""
+    bound_batches(docs.sparkSession)
     rows = resample(docs, model, key, text)
     border = rows.filter("selected").agg(F.min("gumbel_key")).first()[0]
     if border is None:

@@ -26,13 +26,15 @@ from pyspark.sql import functions as F
 
 from lexloom.llm.components import components
 from lexloom.llm.shingles import shingle_ids
-from lexloom.llm.tables import keep
+from lexloom.llm.tables import bound_batches, keep
 
 #: Least bits of a bitmap (it has 1.5 for each id or more, a power of two); documents of a band in one block; children
 #: compared with one copy of their parent.
 BITS, BLOCK, CHILDREN = 512, 512, 512
 #: Ids counted in a worker before counts under HEAVY_PART are forgotten; the most ids put last, and their least count.
-COUNTED, HEAVY_PART, HEAVY_IDS, HEAVY = 4_000_000, 3, 100_000, 48
+COUNTED, HEAVY_PART, HEAVY_IDS, HEAVY = 2_000_000, 2, 1_000_000, 3
+#: Documents to a file of the narrow tables between steps.
+ROWS_IN_FILE = 40_000
 #: Documents in a part of a tile; the bits of a tile that number its parts; bits of the Bloom filter.
 PART, PARTS, BLOOM = 20_000, np.uint64(255), 1 << 24
 
@@ -175,12 +177,12 @@ def _shared_tiles(rows: DataFrame) -> DataFrame:
     return rows.repartition("tile").sortWithinPartitions("tile", "node").mapInArrow(run, "tile long, node long, head long")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int, files: int) -> DataFrame:
     """pairs (parent, child) that link, by exact intersection of sorted arrays. A parent's array goes to each part of its
     children; a part is of about CHILDREN."""
     degree = pairs.groupBy("parent").count().select("parent", F.ceil(F.col("count") / CHILDREN).alias("parts"))
     split = pairs.join(degree, "parent").select("parent", F.pmod(F.xxhash64("child"), F.col("parts")).alias("part"), "child")
-    split = keep(split, "pairs")
+    split = keep(split, "pairs", files)
     children = split.join(sets, split["child"] == sets["node"]).select("parent", "part", F.lit(1).alias("kind"), F.col("node"), "ids")
     parents = split.select("parent", "part").distinct().join(sets, F.col("parent") == F.col("node")).select("parent", "part", F.lit(0).alias("kind"), "node", "ids")
     rows = children.unionByName(parents).repartition("parent", "part").sortWithinPartitions("parent", "part", "kind")
@@ -319,40 +321,49 @@ def join(df: DataFrame, k: int = 5, num: int = 80, den: int = 100, key: str = "d
     key are one node of the links; a row without a key gets the smallest key with an equal set, or null, and links no
     others. Repeated rows each get a row. Extra columns are not read; an empty table gives an empty result."""
     docs = df.select(F.col(key).cast("long").alias("__key"), F.col(text).alias("__text"))
-    first = keep(_sets(docs, "__key", "__text", k), "sets")
+    bound_batches(df.sparkSession)
+    files = max(2, -(-docs.select("__key").count() // ROWS_IN_FILE))
+    first = keep(_sets(docs, "__key", "__text", k), "sets", files)
     of_docs = first.filter("n is not null").select("key", "n", "set_hash")
-    classes = keep(of_docs.filter("n > 0").groupBy("set_hash").agg(F.min("key").alias("node")), "classes")
+    classes = keep(of_docs.filter("n > 0").groupBy("set_hash").agg(F.min("key").alias("node")), "classes", files)
     top = first.filter("id is not null").groupBy("id").agg(F.sum("times").alias("times")).filter(F.col("times") >= HEAVY).orderBy(F.desc("times"), "id").limit(HEAVY_IDS)
-    found = sorted((r[0] % (1 << 64), r[1]) for r in top.collect())
-    heavy = (np.array([i for i, _ in found], np.uint64), np.array([n for _, n in found], np.int64))
+    found = top.toArrow()  # 16 bytes a row
+    ids, times = (found.column(c).to_numpy() for c in ("id", "times"))
+    ids = ids.view(np.uint64)
+    order = np.argsort(ids)
+    heavy = (ids[order], times[order].astype(np.int32))
 
     nodes = classes.filter("node is not null").select(F.col("node").alias("v"))
     keyed = docs.filter("__key is not null")
     shared = _shared_tiles(_index(keyed, "__key", "__text", k, num, den, heavy))
     # copies have the tiles of the document that stands for them, which is the smallest: only it goes on
-    tiles = keep(shared.join(nodes.distinct(), F.col("node") == F.col("v"), "left_semi"), "tiles")
+    tiles = keep(shared.join(nodes.distinct(), F.col("node") == F.col("v"), "left_semi"), "tiles", files)
 
     meta = first.filter("n > 0 and key is not null").select(F.col("key").alias("node"), "n", "bitmap")
     mates = tiles.filter("node <> head")
     best = mates.groupBy("node", "head").count().groupBy("node").agg(F.max_by("head", F.struct(F.col("count"), -F.col("head"))).alias("parent"))
-    exact = lambda pairs: _verified(pairs, keep(_arrays(keyed, "__key", "__text", k, pairs.select(F.explode(F.array("parent", "child")).alias("node")).distinct()), "arrays"), num, den)
-    likely = keep(_likely(best.select("parent", F.col("node").alias("child")), meta, num, den), "likely")
-    links = keep(exact(likely), "links")
+    exact = lambda pairs: _verified(pairs, keep(_arrays(keyed, "__key", "__text", k, pairs.select(F.explode(F.array("parent", "child")).alias("node")).distinct()), "arrays", files), num, den, files)
+    likely = keep(_likely(best.select("parent", F.col("node").alias("child")), meta, num, den), "likely", files)
+    links = keep(exact(likely), "links", files)
 
-    known = components(links).withColumnRenamed("node", "v")
+    known = components(links, files).withColumnRenamed("node", "v")
     whole = tiles.select(F.col("tile").bitwiseAND(~255).alias("tile"), "node")
-    now = keep(whole.join(known, F.col("node") == F.col("v"), "left").select("tile", "node", F.coalesce("component", "node").alias("component")), "placed")
+    now = keep(whole.join(known, F.col("node") == F.col("v"), "left").select("tile", "node", F.coalesce("component", "node").alias("component")), "placed", files)
     mixed = now.groupBy("tile").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select(F.col("tile").alias("m"))
-    open_tiles = now.join(mixed, F.col("tile") == F.col("m"), "left_semi")
+    open_tiles = keep(now.join(mixed, F.col("tile") == F.col("m"), "left_semi"), "mixed", files)
+    # of tiles with the same documents one is enough; a passage gives many such
+    twins = open_tiles.groupBy("tile").agg(F.count(F.lit(1)).alias("k"), *[F.sum(F.xxhash64(F.lit(i), "node").cast("decimal(38,0)")).alias(f"s{i}") for i in (1, 2)])
+    alone = twins.groupBy("k", "s1", "s2").agg(F.min("tile").alias("m")).select("m")
+    open_tiles = open_tiles.join(alone, F.col("tile") == F.col("m"), "left_semi")
     sizes = meta.select(F.col("node").alias("v"), "n")
-    open_tiles = keep(open_tiles.join(sizes, F.col("node") == F.col("v")).select("tile", "node", "n", "component").distinct(), "open")
+    open_tiles = keep(open_tiles.join(sizes, F.col("node") == F.col("v")).select("tile", "node", "n", "component").distinct(), "open", files)
     bitmaps = meta.select(F.col("node").alias("v"), F.col("n").alias("vn"), "bitmap")
     marked = _units(open_tiles, num, den).join(bitmaps, (F.col("node") == F.col("v")) & (F.col("n") == F.col("vn"))).drop("v", "vn")
-    possible = keep(_bounded_pairs(marked, num, den), "possible")
-    more = keep(exact(possible.select("parent", "child")), "links")
-    final = components(links.unionByName(more))
+    possible = keep(_bounded_pairs(marked, num, den), "possible", files)
+    more = keep(exact(possible.select("parent", "child")), "links", files)
+    final = components(links.unionByName(more), files)
 
     of_class = classes.join(final.withColumnRenamed("node", "v"), F.col("node") == F.col("v"), "left").select(F.col("set_hash").alias("s2"), F.coalesce("component", "node").alias("component"))
-    of_class = keep(of_class, "of_class")
+    of_class = keep(of_class, "of_class", files)
     out = of_docs.join(of_class, F.col("set_hash") == F.col("s2"), "left")
     return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "key").alias("component_id"))

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from lexloom.llm.bpe_fst import _bytes
 from lexloom.llm.ranks import rank_within
-from lexloom.llm.tables import keep
+from lexloom.llm.tables import bound_batches, keep
 
 #: Splits texts into pieces before merging; fixed value of the public byte-level vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -45,6 +45,7 @@ def _tokenizer(data: bytes):
 def pieces(df: DataFrame, vocabulary: str, window: int = 2048, key: str = "doc_id", text: str = "text") -> DataFrame:
     """A row for each piece: key, piece, start, length, ids_crc32. A document is its ids and id 0 (null or empty text:
     only that); one longer than `window` is cut so that the first piece takes what is over."""
+    bound_batches(df.sparkSession)
     data = df.sparkSession.sparkContext.broadcast(_bytes(vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,6 +117,7 @@ def plan(histogram: dict[int, int], window: int) -> tuple[dict[int, list[tuple[i
 def pack(piece_rows: DataFrame, window: int = 2048, key: str = "doc_id") -> DataFrame:
     """Rows of pieces (any with key, piece, start, length, ids_crc32) with sequence_id and offset added. Equal rows,
     repeated keys and null keys are pieces like any other; an empty table gives an empty result."""
+    bound_batches(piece_rows.sparkSession)
     counts = {r[0]: r[1] for r in piece_rows.groupBy("length").count().collect()}  # at most `window` rows
     if any(not 0 < n <= window for n in counts):
         raise ValueError(f"lengths must be in 1 .. {window}")

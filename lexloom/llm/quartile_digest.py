@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lexloom.llm.tables import bound_batches
+
 BUCKETS = 256
 #: Offsets back from the newest byte.
 TRIPLETS = ((1, 2), (1, 3), (2, 3), (1, 4), (2, 4), (3, 4))
@@ -106,6 +108,7 @@ def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     """key, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for every row of df. Null
     texts are empty; an only document is its own next; rows with equal keys follow each other by text; an empty table
     gives an empty result."""
+    bound_batches(df.sparkSession)
     kind = df.schema[key].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

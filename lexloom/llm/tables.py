@@ -29,11 +29,19 @@ def _delete_on_exit(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
 
 
-def keep(df: DataFrame, name: str) -> DataFrame:
+def keep(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: a lost executor costs no recomputation of what is
-    upstream. The files go when the driver's JVM ends."""
+    upstream. The files go when the driver's JVM ends. `files` deals narrow rows out to so many files first; a file
+    system may start a process for each file that it makes."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/lexloom-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.repartition(files) if files else df).write.parquet(path)
     _delete_on_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def bound_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """At most so many rows in a batch between JVM and Python (a session setting; a smaller one stays): texts are long."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "10000")) <= rows:
+        spark.conf.set(name, rows)

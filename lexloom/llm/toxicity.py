@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.llm.tables import keep
+from lexloom.llm.tables import bound_batches, keep
 
 #: Documented bounds: examples of each class, terms, words of one example that are sent to the driver.
 EXAMPLES, TERMS, EXAMPLE_WORDS = 1500, 2000, 20_000
@@ -197,6 +197,7 @@ class Index:
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", examples: int = EXAMPLES) -> Index:
     """The index of at most `examples` labelled documents of each class, of rows that aren't held out. Rows without a key,
     text or label of 0 or 1 teach nothing."""
+    bound_batches(docs.sparkSession)
     known = labels.select(F.col(key).alias("k"), F.col(label).cast("int").alias("y")).filter("k is not null and y in (0, 1)").filter(~held_out(F.col("k")))
     known = known.groupBy("k").agg(F.max("y").alias("y"))
     counts = {r[0]: r[1] for r in known.groupBy("y").count().collect()}
@@ -204,7 +205,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     for y in (0, 1):
         part = known.filter(F.col("y") == y).orderBy(F.xxhash64("k"), "k").limit(2 * examples)
         chosen = part if chosen is None else chosen.unionByName(part)
-    chosen = keep(chosen, "chosen")  # at most 4 * examples rows; twice as many as used, as some may have no document here
+    chosen = keep(chosen, "chosen", 2)  # at most 4 * examples rows; twice as many as used, as some may have no document here
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -213,7 +214,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
     rows = docs.select(F.col(key).alias("d"), F.col(text).alias("t")).filter("t is not null").join(F.broadcast(chosen), F.col("d") == F.col("k")).select("k", "y", "t")
     got = rows.mapInArrow(words, "k long, y int, words array<string>, n array<int>")
-    got = keep(got, "examples").withColumn("h", F.xxhash64("k")).dropDuplicates(["k"])
+    got = keep(got, "examples", 4).withColumn("h", F.xxhash64("k")).dropDuplicates(["k"])
     found = []
     for y in (0, 1):
         found += got.filter(F.col("y") == y).orderBy("h", "k").limit(examples).collect()
@@ -238,6 +239,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
 def score(docs: DataFrame, index: Index, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, score, evidence (the nearest labelled examples: id, label, cosine) of every row, from its text alone."""
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(index)
     near = pa.list_(pa.struct([("example", pa.int64()), ("label", pa.int32()), ("cosine", pa.float64())]))
 
@@ -257,6 +259,7 @@ def score(docs: DataFrame, index: Index, key: str = "doc_id", text: str = "text"
 
 def keep_clean(docs: DataFrame, index: Index, text: str = "text", threshold: float = 0.3) -> DataFrame:
     """The rows of docs whose score is below the threshold, with their columns as they are."""
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def clean(parts: Iterator) -> Iterator:
