@@ -92,7 +92,7 @@ def stem_variants(key: Column) -> Column:
 
 def alternatives(lemma: Column) -> Column:
     """array<string>: a headword that lists spellings, parted at commas, semicolons and words for `or`."""
-    return F.filter(F.transform(F.split(lemma, r"\s*(?:,|;| or | atau | ou )\s*"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(lemma, r"\s*(?:,|;| or | atau | ou )\s*"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def lookup_keys(lemma: Column) -> Column:

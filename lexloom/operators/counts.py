@@ -11,9 +11,12 @@ from lexloom.functions.tokens import bare, is_word, normalize, tokenize
 
 def bucket_of(value: Column, rules: list[tuple[str, str]], other: str = "other") -> Column:
     """The name of the first rule (substring, name) that a string, or any string of an array, holds."""
+    def holds(sub: str) -> Column:
+        return F.exists(value, lambda x: F.coalesce(x.contains(sub), F.lit(False)))
+
     out = None
     for sub, name in rules:
-        hit = F.exists(value, lambda x, sub=sub: F.coalesce(x.contains(sub), F.lit(False)))
+        hit = holds(sub)
         out = F.when(hit, name) if out is None else out.when(hit, name)
     return F.coalesce(out, F.lit(other)) if out is not None else F.lit(other)
 

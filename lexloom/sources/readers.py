@@ -152,7 +152,7 @@ def html_events(pages: DataFrame, key: str, html: str, head: str = "h[1-6]", ite
 def pipe_table(text: Column, pair: int = 2) -> Column:
     """array<array<string>>: rows of a Markdown table without its rule, cut into groups of `pair` cells."""
     rows = F.filter(F.split(text, "\n"), lambda s: s.rlike(r"^\s*\|") & ~s.rlike(r"^[\s|:\-]+$"))
-    cells = F.transform(rows, lambda s: F.transform(F.split(F.regexp_replace(F.trim(s), r"^\||\|$", ""), r"\|"), F.trim))
+    cells = F.transform(rows, lambda s: F.transform(F.split(F.regexp_replace(F.trim(s), r"^\||\|$", ""), r"\|"), lambda x: F.trim(x)))
     return F.flatten(F.transform(cells, lambda c: F.transform(F.sequence(F.lit(0), F.floor(F.size(c) / pair).cast("int") - 1), lambda i: F.slice(c, i * pair + 1, pair))))
 
 
