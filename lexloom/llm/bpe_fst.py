@@ -23,6 +23,7 @@ from functools import lru_cache
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -353,10 +354,6 @@ def _encoder(data: bytes, pattern: str) -> BpeEncoder:
     return BpeEncoder(read_ranks(data), pattern)
 
 
-def _ids_type() -> T.DataType:
-    return T.ArrayType(T.IntegerType())
-
-
 def _bytes(path: str) -> bytes:
     """A vocabulary file, read once on the driver; at most 16 MB, as it goes to every executor."""
     with open(path, "rb") as f:
@@ -372,16 +369,12 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", out
     bound_batches(df.sparkSession)
     ranks = df.sparkSession.sparkContext.broadcast(_bytes(ranks_path))
 
-    @F.pandas_udf(_ids_type())
-    def ids(texts: Iterator) -> Iterator:
+    def ids(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         enc = _encoder(ranks.value, pattern)
         for part in texts:
             yield part.map(lambda t: np.array(enc.encode(t) if t else [], np.int32))
 
-    import pandas as pd
-
-    ids.func.__annotations__ = {"texts": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return df.withColumn(out, ids(F.col(text)))
+    return df.withColumn(out, F.pandas_udf(ids, "array<int>")(F.col(text)))
 
 
 def coded_digests(df: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id", text: str = "text", chunk: int = 8192) -> DataFrame:

@@ -13,6 +13,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -192,12 +193,9 @@ def keep_selected(docs: DataFrame, model: Model, key: str = "doc_id", text: str
         return docs.filter(F.lit(False))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def ratio(parts: Iterator) -> Iterator:
+    def ratio(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in parts:
             yield part.map(lambda t: shared.value.log_ratio(t)[0]).astype(float)
 
-    import pandas as pd
-
-    ratio.__annotations__ = {"parts": Iterator[pd.Series], "return": Iterator[pd.Series]}
     own = F.pandas_udf(ratio, "double")(F.coalesce(F.col(text), F.lit("")))
     return docs.filter(own * SHARPNESS + noise(F.col(key), F.col(text)) >= float(border))

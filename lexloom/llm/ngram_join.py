@@ -35,6 +35,8 @@ BITS, BLOCK, CHILDREN = 512, 512, 512
 COUNTED, HEAVY_PART, HEAVY_IDS, HEAVY = 2_000_000, 2, 1_000_000, 3
 #: Documents to a file of the narrow tables between steps.
 ROWS_IN_FILE = 40_000
+#: Tiles of a document that tell where a pair meets first (pairs that meet in none of them are told wherever they meet).
+FIRST_TILES = 32
 #: Documents in a part of a tile; the bits of a tile that number its parts; bits of the Bloom filter.
 PART, PARTS, BLOOM = 20_000, np.uint64(255), 1 << 24
 
@@ -237,8 +239,9 @@ def _likely(pairs: DataFrame, meta: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def _bounded_pairs(rows: DataFrame, num: int, den: int) -> DataFrame:
-    """rows (unit columns, side, node, n, component, bitmap) -> pairs of different components within a unit that sizes and
-    bitmaps leave possible. A unit has at most two blocks; `side` 0 and 1 are compared with each other, side 2 within."""
+    """rows (unit columns, side, node, n, component, bitmap, own) -> pairs of different components within a unit that sizes
+    and bitmaps leave possible. A unit has at most two blocks; `side` 0 and 1 are compared with each other, side 2 within.
+    `own` are a document's first open tiles: a pair that meets in several tiles is told in the first of them."""
     unit = ["tile", "band", "i", "j"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,7 +265,7 @@ def _bounded_pairs(rows: DataFrame, num: int, den: int) -> DataFrame:
 
     def pairs(table, edges):
         side, node, n, comp = (table.column(c).to_numpy() for c in ("side", "node", "n", "component"))
-        maps = table.column("bitmap").to_pylist()
+        maps, tile, own_tiles = table.column("bitmap").to_pylist(), table.column("tile").to_numpy(), table.column("own")
         width = np.array([len(x) // 8 for x in maps])
         by_width = {w: (np.cumsum(width == w) - 1, np.frombuffer(b"".join(x for x in maps if len(x) == 8 * w), np.uint64).reshape(-1, w)) for w in np.unique(width).tolist()}
         for s, e in zip(edges, edges[1:], strict=False):
@@ -282,12 +285,15 @@ def _bounded_pairs(rows: DataFrame, num: int, den: int) -> DataFrame:
                     some = others[width[others] == w]
                     if len(some):
                         hit = some[(num + den) * _at_most(n[i], n[some], own[at[i]], rows[place[some]]) >= num * (n[i] + n[some])]
-                        a += [int(node[i])] * len(hit)
-                        b += node[hit].tolist()
+                        mine = set(own_tiles[i].as_py()) if len(hit) else None
+                        for j in hit.tolist():
+                            if min(mine.intersection(own_tiles[j].as_py()), default=tile[i]) == tile[i]:
+                                a.append(int(node[i]))
+                                b.append(int(node[j]))
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    ordered = rows.repartition(*unit).sortWithinPartitions(*unit).select(*unit, "side", "node", "n", "component", "bitmap")
+    ordered = rows.repartition(*unit).sortWithinPartitions(*unit).select(*unit, "side", "node", "n", "component", "bitmap", "own")
     return ordered.mapInArrow(run, "a long, b long").filter("a <> b").select(F.greatest("a", "b").alias("child"), F.least("a", "b").alias("parent")).distinct()
 
 
@@ -359,6 +365,8 @@ def join(df: DataFrame, k: int = 5, num: int = 80, den: int = 100, key: str = "d
     open_tiles = keep(open_tiles.join(sizes, F.col("node") == F.col("v")).select("tile", "node", "n", "component").distinct(), "open", files)
     bitmaps = meta.select(F.col("node").alias("v"), F.col("n").alias("vn"), "bitmap")
     marked = _units(open_tiles, num, den).join(bitmaps, (F.col("node") == F.col("v")) & (F.col("n") == F.col("vn"))).drop("v", "vn")
+    first_tiles = open_tiles.groupBy(F.col("node").alias("v")).agg(F.slice(F.array_sort(F.collect_set("tile")), 1, FIRST_TILES).alias("own"))
+    marked = marked.join(first_tiles, F.col("node") == F.col("v")).drop("v")
     possible = keep(_bounded_pairs(marked, num, den), "possible", files)
     more = keep(exact(possible.select("parent", "child")), "links", files)
     final = components(links.unionByName(more), files)

@@ -16,6 +16,7 @@ from collections.abc import Iterator
 from heapq import heappush, heapreplace
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -262,11 +263,8 @@ def keep_clean(docs: DataFrame, index: Index, text: str = "text", threshold: flo
     bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
-    def clean(parts: Iterator) -> Iterator:
+    def clean(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in parts:
             yield part.map(lambda t: shared.value.score(t)[0] < threshold).astype(bool)
 
-    import pandas as pd
-
-    clean.__annotations__ = {"parts": Iterator[pd.Series], "return": Iterator[pd.Series]}
     return docs.filter(F.pandas_udf(clean, "boolean")(F.coalesce(F.col(text), F.lit(""))))

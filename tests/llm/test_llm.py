@@ -1,0 +1,534 @@
+"""The operators of the llm folder against brute force, round trips and held-out labels, and on odd input."""
+
+import hashlib
+import os
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from lexloom.llm import avi_media, bpe_fst, chat_windows, components, importance, llm_queries, ngram_join, packing, quartile_digest, ranks, secret_scan, shard_tree, shingles, toxicity
+from lexloom.llm.tables import keep
+
+P = pytest.importorskip("public_tokenizers")
+SF = "/root/testdata/sf0.001"
+RANKS, VOCABULARY = P.path("byte_bpe_50k.tiktoken"), P.path("byte_bpe_50k.json")
+here = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+
+ODD = [
+    (1, None, "x"), (2, "", "x"), (3, "  \n\t ", "y"), (4, "one", "y"), (5, "one two three", None), (6, "ONE two\tthree", "z"),
+    (7, "a b c d e f g h i j " * 400, "z"), (8, "a b c d e f g h i j " * 400, "z"), (8, "a b c d e f g h i j " * 400, "z"),
+    (9, "é🙂 漢字 " * 3000, "z"), (10, "x" * 70_000, "z"), (None, "no id here at all", "z"), (11, "<|im_end|> <\\|im_start|>", "z"),
+]
+
+
+def odd(spark, rows=ODD):
+    """Documents with nulls, empty and long texts, repeated rows and columns whose names clash with the operators' own."""
+    return spark.createDataFrame(rows, "doc_id long, text string, size string").withColumn("k", F.lit(1)).withColumn("node", F.lit("n")).withColumn("rank", F.lit(0))
+
+
+def docs(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+# --- n-gram Jaccard join ---
+
+
+def brute_components(rows, k, num, den):
+    sets = {}
+    for i, t in rows:
+        w = (t or "").encode().lower().split()
+        sets.setdefault(i, set()).add(frozenset(tuple(w[j : j + k]) for j in range(max(1, len(w) - k + 1))) if w else frozenset())
+    up = {i: i for i in sets}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    ids = sorted(sets)
+    for a in ids:
+        for b in ids:
+            if a < b and any(x and y and den * len(x & y) >= num * len(x | y) for x in sets[a] for y in sets[b]):
+                p, q = sorted((root(a), root(b)))
+                up[q] = p
+    return {i: root(i) for i in ids}, {i: max(map(len, s)) for i, s in sets.items()}
+
+
+def noisy_copies(seed, n=60):
+    r = random.Random(seed)
+    words = [f"w{i}" for i in range(400)]
+    passage = [r.choice(words) for _ in range(60)]
+    rows, i = [], 0
+    while len(rows) < n:
+        base = [r.choice(words) for _ in range(r.choice([3, 8, 40, 150, 400]))]
+        if r.random() < 0.3:
+            base += passage
+        for _ in range(r.choice([1, 1, 2, 6])):
+            t = list(base)
+            for _ in range(r.choice([0, 0, 1, 2, 5])):
+                t[r.randrange(len(t))] = r.choice(words)
+            rows.append((i, " ".join(t)))
+            i += 1
+    return rows
+
+
+@pytest.mark.parametrize("seed,k,num,den", [(1, 4, 85, 100), (2, 5, 80, 100), (3, 1, 50, 100)])
+def test_join_is_exact(spark, seed, k, num, den):
+    rows = noisy_copies(seed)
+    got = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string"), k, num, den).collect()
+    want, sizes = brute_components(rows, k, num, den)
+    assert {r["doc_id"]: r["component_id"] for r in got} == want
+    assert {r["doc_id"]: r["n_shingles"] for r in got} == sizes
+    assert len(set(want.values())) < len(want)
+
+
+@here
+def test_join_on_documents_with_small_batches_and_blocks(spark, monkeypatch):
+    rows = [(r["doc_id"], r["text"]) for r in docs(spark).collect()]
+    want, _ = brute_components(rows, 4, 85, 100)
+    monkeypatch.setattr(ngram_join, "BLOCK", 3)
+    monkeypatch.setattr(ngram_join, "CHILDREN", 2)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        got = ngram_join.join(docs(spark), 4, 85, 100).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert {r["doc_id"]: r["component_id"] for r in got} == want
+
+
+def test_join_on_odd_rows(spark):
+    got = ngram_join.join(odd(spark), 4, 85, 100).collect()
+    assert len(got) == len(ODD)
+    by = defaultdict(set)
+    for r in got:
+        by[r["doc_id"]].add((r["n_shingles"], r["component_id"]))
+    assert by[1] == {(0, 1)} and by[2] == {(0, 2)} and by[3] == {(0, 3)} and by[4] == {(1, 4)}
+    assert by[5] == {(1, 5)} and by[6] == {(1, 5)} and by[7] == {(10, 7)} and by[8] == {(10, 7)} and by[None] == {(2, None)}
+    assert ngram_join.join(odd(spark).limit(0), 4, 85, 100).count() == 0
+
+
+def test_shingle_ids_of_long_texts_do_not_depend_on_segments(monkeypatch):
+    text = " ".join(f"word{i % 97}" for i in range(5000)) + " " + "y" * 5000 + " end"
+    whole = shingles.shingle_ids(text, 3)
+    monkeypatch.setattr(shingles, "SEGMENT", 101)
+    assert (shingles.shingle_ids(text, 3) == whole).all()
+    assert len(shingles.shingle_ids("A b\x0bC\x85d", 2)) == 2  # \x85 parts nothing
+
+
+def test_components_of_chains_and_stars(spark):
+    edges = [(i, i + 1) for i in range(0, 40)] + [(100, x) for x in range(101, 130)] + [(7, 7), (200, 201), (200, 201)]
+    got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert all(got[i] == 0 for i in range(41)) and all(got[i] == 100 for i in range(100, 130)) and got[201] == 200
+    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+# --- secrets ---
+
+
+def test_secrets_are_found_and_look_alikes_left(spark):
+    forest = secret_scan.fit(secret_scan.labelled_findings(spark, 2000))
+    h = hashlib.sha1(b"s").hexdigest()
+    rows = [
+        (1, f'thing of token = "{h}" and so on', "x"), (2, f"fixed in commit {h} of the branch", "x"), (3, None, "x"), (4, "", "x"), (5, "plain words only here", "x"),
+        (6, "card number 2669109448945250 on file", "x"), (7, f'api_key = "{h[:32]}" then token = "{h}"', "x"), (7, f'api_key = "{h[:32]}" then token = "{h}"', "x"),
+    ]
+    df = odd(spark, rows)
+    got = {(r["doc_id"], r["nth"]): (r["candidate"], r["is_secret"]) for r in secret_scan.findings(df, forest).collect()}
+    assert got[1, 0] == (h, True) and not got[2, 0][1] and not got[6, 0][1] and got[7, 0] == (h[:32], True) and got[7, 1] == (h, True)
+    assert {k[0] for k in got} == {1, 2, 6, 7}
+    clean = secret_scan.redact(df, forest)
+    assert clean.columns == df.columns and clean.count() == len(rows)
+    text = {r["doc_id"]: r["text"] for r in clean.collect()}
+    assert text[1] == 'thing of token = "[SECRET]" and so on' and text[2] == rows[1][1] and text[3] is None and text[4] == ""
+    assert text[7] == 'api_key = "[SECRET]" then token = "[SECRET]"'
+    plan = secret_scan.findings(df, forest)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_forest_on_held_out_findings(spark):
+    rows = keep(secret_scan.labelled_findings(spark, 4000).withColumn("h", F.pmod(F.xxhash64("candidate"), F.lit(4))), "h")
+    forest = secret_scan.fit(rows.filter("h <> 0").drop("h"))
+    score = secret_scan.forest_score(secret_scan.features(F.col("candidate"), F.right("before", F.lit(60)), F.left("after", F.lit(60))), forest)
+    right = rows.filter("h = 0").select(((score >= 0.5).cast("double") == F.col("label")).cast("int").alias("ok")).agg(F.avg("ok")).first()[0]
+    assert right > 0.95
+
+
+# --- toxicity ---
+
+
+def toy_labels():
+    r = random.Random(5)
+    plain = [f"n{i}" for i in range(300)]
+    rows = []
+    for i in range(400):
+        bad = i % 5 == 0
+        rows.append((i, " ".join([r.choice(plain) for _ in range(30)] + (["vileword", "badterm"] if bad else [])), int(bad)))
+    return rows
+
+
+def test_nearest_is_exact():
+    r = random.Random(2)
+    terms = [f"t{i}" for i in range(40)]
+    sample = [(i, dict(Counter(r.choice(terms) for _ in range(6))), i % 2) for i in range(500)]
+    index = toxicity.Index(sample, terms, dict.fromkeys(terms, 20), 1000, {0: 250, 1: 250})
+    vectors = {i: index.vector(toxicity.count_terms(w)) for i, w, _ in sample}
+    for _ in range(30):
+        q = index.vector(Counter(r.choice(terms) for _ in range(4)))
+        want = sorted((-round(sum(w * vectors[i].get(t, 0) for t, w in q.items()), 9) for i in vectors))[: toxicity.NEAREST]
+        got = [-round(s, 9) for s, _ in index.nearest(q)]
+        assert np.allclose(got, want[: len(got)]) and len(got) == sum(w < 0 for w in want)
+
+
+def test_toxicity_on_held_out_rows(spark):
+    rows = toy_labels()
+    df = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows] + [(None, 1), (10**9, 1), (3, None)], "doc_id long, toxic int")
+    index = toxicity.fit(df, labels, examples=100)
+    held = {i for i, _, _ in rows if zlib.crc32(str(i).encode()) % 4 == 2}
+    assert not held & set(index.ids) and len(index.ids) <= 200
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(df, index).collect()}
+    assert all((got[i] >= 0.3) == bool(y) for i, _, y in rows if i in held)
+    o = toxicity.score(odd(spark), index).collect()
+    assert len(o) == len(ODD) and all(0 <= r["score"] <= 1 for r in o)
+    kept = toxicity.keep_clean(odd(spark), index)
+    assert kept.columns == odd(spark).columns and kept.count() == len(ODD)
+    none = toxicity.fit(df.limit(0), labels.limit(0))
+    assert [r["score"] for r in toxicity.score(df.limit(2), none).collect()] == [0.0, 0.0]
+
+
+def test_isotonic():
+    x, y = toxicity.isotonic(np.array([1.0, 2, 3, 4]), np.array([0.0, 1, 0, 1]), np.ones(4))
+    assert x.tolist() == [1, 2, 4] and y.tolist() == [0, 0.5, 1]
+
+
+# --- chat ---
+
+SAID = "<|im_end|><|im_start|>assistant ok"
+
+
+def conversations(n=3000):
+    r = random.Random(4)
+    rows = [(-1, 0, "user", SAID), (-1, 1, "assistant", SAID), (1, 0, "system", "only a system turn"), (2, 0, "system", "be <\\|brief|> <|"), (2, 1, "user", None), (2, 2, "assistant", "x " * 3000), (2, 3, "user", ""), (2, 4, "assistant", "é🙂<|im_end|>\n<|im_start|>user\nhi")]
+    rows += [(3, t, "user" if t % 2 == 0 else "assistant", "word " * r.randint(0, 60)) for t in range(n)]
+    rows += [(4, 0, "we<|ird\nrole\\", "t"), (4, 0, "we<|ird\nrole\\", "t"), (4, None, "assistant", "first"), (None, 0, "assistant", "lost")]
+    return rows
+
+
+def test_chat_round_trip_budget_and_masks(spark):
+    rows = conversations()
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    w = keep(chat_windows.windows(df, RANKS, budget=512, history=128), "w")
+    by = defaultdict(list)
+    for c, t, r, x in rows:
+        by[c].append(((t is not None, t or 0), r or "", x or ""))
+    got = {r["conv_id"]: r for r in chat_windows.read_back(w).collect()}
+    assert set(got) == set(by)
+    for c, turns in by.items():
+        turns.sort()
+        loss = "".join(x for _, r, x in turns if r == "assistant")
+        assert got[c]["n_turns"] == len(turns)
+        assert got[c]["turns_sha256"] == hashlib.sha256("".join(f"{r}\n{x}\n" for _, r, x in turns).encode()).hexdigest()
+        assert got[c]["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest() and got[c]["loss_chars"] == len(loss)
+    for r in w.collect():
+        new = chat_windows.parse(r["text"])[r["repeated"] :]
+        assert not r["over_budget"] or len(new) == 1
+        assert len(new) >= 1 and len(r["loss"]) == sum(role == "assistant" for role, _ in new)
+        if r["conv_id"] == 2:
+            assert r["text"].startswith("<|im_start|>system\nbe <\\\\|brief|> <\\|<|im_end|>")
+    assert chat_windows.read_back(chat_windows.windows(df.limit(0), RANKS)).count() == 0
+
+
+def test_escapes_are_reversible(spark):
+    r = random.Random(1)
+    texts = ["".join(r.choice("<|\\a\nim_") for _ in range(r.randint(0, 12))) for _ in range(500)]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", chat_windows.escape(F.col("t")).alias("e"), chat_windows.escape_role(F.col("t")).alias("r")).collect()
+    assert all(chat_windows.unescape(x["e"]) == x["t"] and "<|" not in x["e"] and chat_windows.unescape_role(x["r"]) == x["t"] and "\n" not in x["r"] for x in got)
+
+
+# --- media ---
+
+
+def test_media_round_trip(spark):
+    r = np.random.default_rng(1)
+    data = [avi_media.payload(t) for _, t, _ in ODD] + [r.integers(0, 256, 576 * 7, dtype=np.uint8).tobytes(), bytes(576), b"\xff" * 1152]
+    back = avi_media.read_media(avi_media.encode_all(data))
+    assert [b[0] for b in back] == data
+    assert avi_media.payload("") == b"\xff" * 576 and len(avi_media.payload("x" * 577)) == 1152
+    got = avi_media.read(avi_media.store(odd(spark))).collect()
+    assert len(got) == len(ODD)
+    for (i, t, _) in ODD:
+        assert (i, hashlib.sha256(avi_media.payload(t)).hexdigest()) in {(x["doc_id"], x["payload_sha256"]) for x in got}
+    clips = avi_media.clip_rows(avi_media.read(avi_media.store(odd(spark)))).filter("doc_id = 10").collect()
+    assert sum(c["frames"] for c in clips) == -(-70_000 // 576)
+    assert avi_media.read(avi_media.store(odd(spark).limit(0))).count() == 0
+
+
+def test_shots_begin_where_the_picture_changes():
+    hist = np.zeros((30, 16))
+    hist[:10, 0], hist[10:22, 5], hist[22:, 9] = 1, 1, 1
+    assert [(a, n) for a, n, _ in avi_media.shots(hist)] == [(0, 10), (10, 12), (22, 8)]
+    with pytest.raises(ValueError):
+        avi_media.index(b"no file")
+
+
+# --- packing ---
+
+
+def test_plan_is_gapless_and_tight():
+    for s in range(60):
+        r = random.Random(s)
+        window = r.choice([10, 64, 2048])
+        hist = {r.randint(1, window): r.randint(1, 50) for _ in range(r.randint(1, 30))}
+        runs, used = packing.plan(hist, window)
+        seqs = defaultdict(list)
+        for n, c in hist.items():
+            for q in range(c):
+                a, k, first, off = [x for x in runs[n] if x[0] <= q][-1]
+                seqs[first + (q - a) // k].append((off + (q - a) % k * n, n))
+        assert set(seqs) == set(range(used))
+        for v in seqs.values():
+            at = 0
+            for o, n in sorted(v):
+                assert o == at
+                at += n
+            assert at <= window
+    with pytest.raises(ValueError):
+        packing.plan({11: 1}, 10)
+
+
+def test_ids_are_those_of_the_tokenizers_library():
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(VOCABULARY)
+    t.encode_special_tokens = True
+    data = open(VOCABULARY, "rb").read()
+    for x in [t for _, t, _ in ODD if t] + ["<|endoftext|> it's 12 x\n\n  y"]:
+        ids = t.encode(x, add_special_tokens=False).ids
+        assert packing.piece_ids(x, 0, len(ids) + 1, data) == [*ids, 0]
+    assert packing.PATTERN == P.PATTERN
+
+
+def test_packing_whole_tables(spark):
+    got = packing.pack_documents(odd(spark), VOCABULARY, window=256).collect()
+    seqs, pieces = defaultdict(list), Counter()
+    for r in got:
+        seqs[r["sequence_id"]].append((r["offset"], r["length"]))
+        pieces[r["doc_id"]] += r["length"]
+        assert r["length"] == 256 or r["piece"] == 0
+    for v in seqs.values():
+        at = 0
+        for o, n in sorted(v):
+            assert o == at
+            at += n
+        assert at <= 256
+    data = open(VOCABULARY, "rb").read()
+    want = Counter()
+    for i, t, _ in ODD:
+        want[i] += len(packing.piece_ids(t, 0, 10**9, data))
+    assert pieces == want and len(seqs) <= -(-sum(want.values()) // 256) + 1
+    assert packing.pack_documents(odd(spark).limit(0), VOCABULARY).count() == 0
+
+
+def test_ranks_are_gapless(spark):
+    df = spark.range(5000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5).cast("int").alias("g"), "id")
+    got = defaultdict(list)
+    for r in ranks.rank_within(df, "g", ["id"], block_rows=100).collect():
+        got[r["g"]].append(r["rank"])
+    assert all(sorted(v) == list(range(len(v))) for v in got.values())
+
+
+# --- fingerprints ---
+
+
+def test_fingerprints_of_neighbours(spark):
+    rows = [(i, f"text number {i} " * (i % 7)) for i in random.Random(3).sample(range(-500, 3000, 7), 400)] + [(10**12, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in quartile_digest.fingerprints(df).collect()}
+    order = sorted(rows)
+    assert len(got) == len(rows)
+    for (i, t), (_, n) in zip(order, [*order[1:], order[0]], strict=True):
+        t, n = t or "", n or ""
+        e = quartile_digest.edited(t, n)
+        g = got[i]
+        assert g["n_chars"] == len(t) and g["edited_sha256"] == hashlib.sha256(e.encode()).hexdigest()
+        assert g["fingerprint"] == quartile_digest.digest(t) and g["edited_fingerprint"] == quartile_digest.digest(e)
+        assert g["near_next"] == quartile_digest.likeness(quartile_digest.digest(t), quartile_digest.digest(n))
+    assert quartile_digest.fingerprints(df.limit(0)).count() == 0
+    assert quartile_digest.fingerprints(df.limit(1)).count() == 1
+    assert quartile_digest.fingerprints(odd(spark)).count() == len(ODD)
+
+
+@here
+def test_edited_texts_are_nearer_than_neighbours(spark):
+    rows = quartile_digest.fingerprints(docs(spark)).collect()
+    assert all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in rows)
+    better = sum(r["near_edited"] > r["near_next"] for r in rows)
+    assert better > 0.95 * len(rows)
+
+
+def test_digest_chunks_agree(monkeypatch):
+    data = os.urandom(5000)
+    whole = quartile_digest.digest(data)
+    monkeypatch.setattr(quartile_digest, "CHUNK", 64)
+    assert quartile_digest.digest(data) == whole and quartile_digest.likeness(whole, whole) == 1.0
+
+
+# --- byte-level BPE ---
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return bpe_fst.BpeEncoder(bpe_fst.read_ranks(open(RANKS, "rb").read()), P.PATTERN)
+
+
+def test_transducer_agrees_with_the_library(encoder, monkeypatch):
+    import tiktoken
+
+    lib = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=encoder.machine.ranks, special_tokens={})
+    r = random.Random(9)
+    letters = "abcdefghij ABz\n\t  .,!'s’éあ漢字🙂‍01239_-=<>|"
+    texts = ["".join(r.choice(letters) for _ in range(r.randint(0, 200))) for _ in range(400)] + ["a" * 5000, "ab" * 3000, " " * 999, "🙂" * 500, "aaaabaaab" * 300, "<|endoftext|>"] + [t for _, t, _ in ODD if t]
+    assert all(encoder.encode(t) == lib.encode_ordinary(t) for t in texts)
+    monkeypatch.setattr(bpe_fst, "MOST_MOVES", 50)
+    monkeypatch.setattr(bpe_fst, "MOST_PIECES", 5)
+    small = bpe_fst.BpeEncoder(encoder.machine.ranks, P.PATTERN)
+    assert all(small.encode(t) == lib.encode_ordinary(t) for t in texts[:120] + ["abcdefgh" * 300])
+
+
+def test_stream_decoder_holds_back_incomplete_characters(encoder):
+    text = "é🙂漢字 plain 🙂" * 50
+    for n in (1, 2, 3, 7):
+        dec, out = bpe_fst.StreamDecoder(encoder.machine.tokens), []
+        ids = encoder.encode(text)
+        for i in range(0, len(ids), n):
+            part = dec.feed(ids[i : i + n])
+            part.decode()  # whole characters only
+            out.append(part)
+        assert (b"".join(out) + dec.finish()).decode() == text
+    machine = bpe_fst.Utf8Machine()
+    for bad in (b"\xc0", b"\xff", b"\xe0\x80", b"\xed\xa0", b"\xf5", b"a\x80"):
+        assert machine.run(0, bad) is None
+    assert machine.run(0, "é🙂漢".encode()) == 0
+
+
+def test_coded_digests_on_odd_rows(spark, encoder):
+    got = bpe_fst.coded_digests(odd(spark), RANKS, P.PATTERN).collect()
+    want = sorted((str(i), hashlib.sha256((t or "").encode()).hexdigest(), len(encoder.encode(t or ""))) for i, t, _ in ODD)
+    assert sorted((str(r["doc_id"]), r["decoded_sha256"], r["n_tokens"]) for r in got) == want
+    assert bpe_fst.coded_digests(odd(spark).limit(0), RANKS, P.PATTERN).count() == 0
+    ids = bpe_fst.encode(odd(spark), RANKS, P.PATTERN).filter("doc_id = 11").first()["ids"]
+    assert ids == encoder.encode(ODD[-1][1])
+
+
+# --- shards ---
+
+
+def test_growth_moves_rows_only_into_the_new_shard(spark):
+    tree = shard_tree.balanced_tree(40)
+    df = spark.range(20_000).select(shard_tree.place(F.col("id"), tree).alias("a"), shard_tree.place(F.col("id"), shard_tree.grown(tree)).alias("b"), shard_tree.place(F.col("id"), shard_tree.grown(tree, 2)).alias("c"))
+    rows = df.collect()
+    assert all(r["b"] in (r["a"], 40) and r["c"] in (r["b"], 41) for r in rows)
+    sizes = Counter(r["a"] for r in rows)
+    assert set(sizes) == set(range(40)) and max(sizes.values()) < 1.3 * 500 and min(sizes.values()) > 0.7 * 500
+    assert 350 < sum(r["b"] == 40 for r in rows) < 650
+
+
+def test_weights_confine_movement_to_their_subtree(spark):
+    tree = shard_tree.balanced_tree(40)
+    heavier = [shard_tree.Shard(s.number, s.region, s.rack, 3.0 if s.number == 12 else s.weight) for s in tree]
+    region = {s.number: s.region for s in tree}
+    rows = spark.range(10_000).select(shard_tree.place(F.col("id"), tree).alias("a"), shard_tree.place(F.col("id"), heavier).alias("b")).collect()
+    moved = [r for r in rows if r["a"] != r["b"]]
+    assert moved and all(region[r["b"]] == "r1" for r in moved)
+    none = [shard_tree.Shard(s.number, s.region, s.rack, 0.0 if s.number == 3 else 1.0) for s in tree]
+    assert 3 not in {r[0] for r in spark.range(3000).select(shard_tree.place(F.col("id"), none)).collect()}
+
+
+def test_assigned_rows(spark):
+    tree = shard_tree.balanced_tree(4, 1, 2)
+    got = shard_tree.assign(odd(spark), tree, more=shard_tree.grown(tree)).collect()
+    assert len(got) == len(ODD)
+    slots = defaultdict(list)
+    for r in got:
+        slots[r["shard"]].append(r["slot"])
+        assert r["size"] == len((r["text"] or "").encode()) + 16 and r["grown_shard"] in (r["shard"], 4)
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+    assert shard_tree.assign(odd(spark).limit(0), tree).count() == 0
+
+
+# --- importance resampling ---
+
+
+def test_kth_largest_is_exact(spark):
+    r = random.Random(6)
+    values = [r.gauss(0, 1) for _ in range(500)] + [2.5] * 20
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for k in (1, 5, 18, 19, 25, 100, 519, 520, 600):
+        assert importance.kth_largest(df, "v", k, bins=7) == sorted(values, reverse=True)[min(k, len(values)) - 1]
+    assert importance.kth_largest(df, "v", 0) is None and importance.kth_largest(df.limit(0), "v", 3) is None
+
+
+def test_resampling_keeps_target_like_rows(spark):
+    r = random.Random(8)
+    words = [f"word{i}" for i in range(200)]
+    good = [(i, " ".join(r.choice(words) for _ in range(80))) for i in range(200)]
+    bad = [(1000 + i, " ".join(r.choice(words) + "***" for _ in range(80)) if i % 2 else " ".join([r.choice(words)] * 80)) for i in range(40)]
+    df = spark.createDataFrame(good + bad, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i, _ in good[:100]] + [(i, 0) for i, _ in bad[:20]] + [(None, 1)], "doc_id long, quality int")
+    model = importance.fit(df, labels)
+    got = {r["doc_id"]: r["selected"] for r in importance.resample(df, model).collect()}
+    assert sum(got[i] for i, _ in good) >= 195 and sum(got[i] for i, _ in bad) <= 2
+    kept = importance.keep_selected(df, model)
+    assert {r["doc_id"] for r in kept.collect()} == {i for i, s in got.items() if s} and kept.columns == df.columns
+    assert importance.resample(df, model, k=10).filter("selected").count() == 10
+    o = importance.resample(odd(spark), model)
+    assert o.count() == len(ODD)
+    assert importance.resample(df.limit(0), model).count() == 0 and importance.keep_selected(df.limit(0), model).count() == 0
+    empty = importance.fit(df.limit(0), labels.limit(0))
+    assert importance.resample(df.limit(3), empty).filter("selected").count() == 3
+
+
+# --- queries and pipeline ---
+
+
+def test_every_operator_has_one_query():
+    assert [n.split("_")[0] for n in llm_queries.QUERIES] == [f"op{i}" for i in range(1, 11)]
+
+
+@here
+def test_pipeline_stages(spark):
+    import corpus_pipeline
+
+    d = docs(spark)
+    columns = d.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = keep(stage(spark, d, SF), name)
+        assert out.columns == columns, name
+        assert 0 < out.count() <= d.count(), name
+        if name == "near_duplicates":
+            rows = [(r["doc_id"], r["text"]) for r in d.collect()]
+            want, _ = brute_components(rows, 5, 80, 100)
+            assert sorted(r["doc_id"] for r in out.collect()) == sorted(i for i in want if want[i] == i)
+        if name == "secrets":
+            assert out.count() == d.count()
+        d = out
+    packed = corpus_pipeline.STAGES[-1][1](spark, d, SF)
+    assert packed.select("doc_id").distinct().count() == d.count()
+
+
+def test_pipeline_stages_on_odd_and_empty_documents(spark):
+    import corpus_pipeline
+
+    if not os.path.isdir(SF):
+        pytest.skip("no test tables")
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    rows = [(i, t, "en", s, None if t is None else len(t)) for i, t, s in ODD]
+    for d in (spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), docs(spark).limit(0)):
+        for name, stage in corpus_pipeline.STAGES:
+            d = keep(stage(spark, d, SF), name)
+            assert name == "packing" or d.columns == columns
