@@ -48,10 +48,16 @@ def split_affixes(word: Column, lose_rest: bool = False) -> Column:
     return F.when(marks >= 2, many).when(marks == 1, one).otherwise(F.array(word))
 
 
+def cut_token(raw: Column, compat: bool = False) -> Column:
+    """array<string>: the tokens of one raw token."""
+    return _full(F.flatten(F.transform(split_quotes(raw), lambda w: split_affixes(w, compat))))
+
+
 def tokenize(text: Column, compat: bool = False) -> Column:
     """array<string> of a sentence. `compat` keeps two oddities: the doubled six dots and the lost rest."""
-    words = F.flatten(F.transform(raw_tokens(F.coalesce(text, F.lit("")), compat), split_quotes))
-    return _full(F.flatten(F.transform(words, lambda w: split_affixes(w, compat))))
+    plain = r"^[^-='’‘]*\z"  # most tokens have nothing to cut
+    cut = lambda w: F.when(w.rlike(plain), F.array(w)).otherwise(cut_token(w, compat))
+    return _full(F.flatten(F.transform(raw_tokens(F.coalesce(text, F.lit("")), compat), cut)))
 
 
 def is_word(word: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexloom.functions.binding import let
-from lexloom.functions.tokens import bare, is_word, normalize, tokenize
+from lexloom.functions.tokens import bare, cut_token, is_word, normalize, raw_tokens, tokenize
 
 
 def bucket_of(value: Column, rules: list[tuple[str, str]], other: str = "other") -> Column:
@@ -37,13 +37,22 @@ def forms(tokens: DataFrame, *carry: str) -> DataFrame:
     return tokens.filter(is_word(F.col("token"))).select(*carry, normalize(F.col("token")).alias("form")).filter(F.col("form") != "")
 
 
-def frequency_by(form_rows: DataFrame, group: str, names: list[str] | None = None) -> DataFrame:
-    """form, frequency, breakdown: counts by group packed as name:n|name:n in the order of `names` (else sorted), zeros
-    left out. Counts are made once by form and group, then rolled up."""
-    long = form_rows.groupBy("form", group).count()
-    part = F.struct(*([F.array_position(F.array(*map(F.lit, names)), F.col(group)).alias("at")] if names else []), F.col(group).alias("g"), F.col("count").alias("n"))
+def form_counts(df: DataFrame, text: str, *groups: str, compat: bool = False) -> DataFrame:
+    """groups, form, n: normalized words and their counts. How a raw token is cut depends on it alone, so raw tokens are
+    counted first and each distinct one is cut and normalized once: the costly expressions see types, not tokens."""
+    raw = df.select(*groups, F.explode(raw_tokens(F.coalesce(F.col(text), F.lit("")), compat)).alias("raw")).groupBy(*groups, "raw").agg(F.count(F.lit(1)).alias("n"))
+    cut = raw.select(*groups, "n", F.explode(cut_token(F.col("raw"), compat)).alias("token"))
+    told = cut.filter(is_word(F.col("token"))).select(*groups, normalize(F.col("token")).alias("form"), "n").filter(F.col("form") != "")
+    return told.groupBy(*groups, "form").agg(F.sum("n").alias("n"))
+
+
+def frequency_by(counted: DataFrame, group: str, names: list[str] | None = None) -> DataFrame:
+    """form, frequency, breakdown of a table of counts (form, group, n): counts by group packed as name:n|name:n in the
+    order of `names` (else sorted), zeros left out."""
+    long = counted.groupBy("form", group).agg(F.sum("n").alias("n"))
+    part = F.struct(*([F.array_position(F.array(*map(F.lit, names)), F.col(group)).alias("at")] if names else []), F.col(group).alias("g"), F.col("n").alias("n"))
     packed = F.array_join(F.transform(F.sort_array(F.collect_list(part)), lambda p: F.concat_ws(":", p["g"], p["n"])), "|")
-    return long.groupBy("form").agg(F.sum("count").alias("frequency"), packed.alias("breakdown"))
+    return long.groupBy("form").agg(F.sum("n").alias("frequency"), packed.alias("breakdown"))
 
 
 def bare_rollup(frequencies: DataFrame) -> DataFrame:
@@ -56,9 +65,9 @@ def parse_breakdown(packed: Column) -> Column:
     return F.str_to_map(packed, F.lit(r"\|"), F.lit(":"))
 
 
-def cohort_counts(form_rows: DataFrame, cohorts: dict[str, Column]) -> DataFrame:
-    """form and, for each cohort, the rows that its condition holds for; one pass."""
-    return form_rows.groupBy("form").agg(*[F.count_if(c).alias(name) for name, c in cohorts.items()])
+def cohort_counts(counted: DataFrame, cohorts: dict[str, Column]) -> DataFrame:
+    """form and, for each cohort, the counts of the rows that its condition holds for; one pass over (form, ..., n)."""
+    return counted.groupBy("form").agg(*[F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0)).alias(name) for name, c in cohorts.items()])
 
 
 def wide_counts(long: DataFrame, row: str, column: str, values: list[str], n: str = "n", least_total: int = 0) -> DataFrame:

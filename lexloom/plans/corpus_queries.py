@@ -55,12 +55,8 @@ forms AS (SELECT * FROM norm WHERE form <> '')
 """
 
 
-def _forms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return counts.forms(counts.token_rows(table(spark, sf_dir, "documents"), "text", "doc_id", "lang", "source"), "doc_id", "lang", "source")
-
-
-def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _forms(spark, sf_dir).groupBy("form").agg(F.count(F.lit(1)).alias("n"))
+def _counts(spark: SparkSession, sf_dir: str, *groups: str) -> DataFrame:
+    return counts.form_counts(table(spark, sf_dir, "documents"), "text", *groups)
 
 
 COUNTED = TOKENS + ", counted AS (SELECT form, count(*) AS n FROM forms GROUP BY form)"
@@ -69,7 +65,7 @@ COUNTED = TOKENS + ", counted AS (SELECT form, count(*) AS n FROM forms GROUP BY
 @query(f"WITH {TOKENS} SELECT form, CAST(sum(n) AS BIGINT) AS frequency, string_agg(lang || ':' || n, '|' ORDER BY k) AS breakdown FROM (SELECT form, lang, count(*) AS n, list_position(['en', 'fr', 'de', 'es'], lang) AS k FROM forms GROUP BY form, lang) GROUP BY form")
 def freq_token_by_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forms with their frequency and its breakdown by language."""
-    return counts.frequency_by(_forms(spark, sf_dir), "lang", ["en", "fr", "de", "es"])
+    return counts.frequency_by(_counts(spark, sf_dir, "lang"), "lang", ["en", "fr", "de", "es"])
 
 
 @query(f"WITH {COUNTED} SELECT form, CAST(sum(n) AS BIGINT) AS frequency FROM (SELECT regexp_replace(form, '^[-=]+|[-=]+$', '', 'g') AS form, n FROM counted) WHERE form <> '' GROUP BY form")
@@ -91,7 +87,7 @@ def freq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def freq_by_source_cohorts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts in cohorts of sources, in one pass."""
     s = F.col("source")
-    return counts.cohort_counts(_forms(spark, sf_dir), {"everything": F.lit(True), "traditional": ~s.isin("src1", "src2", "src3"), "archive": s.isin("src4", "src5")})
+    return counts.cohort_counts(_counts(spark, sf_dir, "source"), {"everything": F.lit(True), "traditional": ~s.isin("src1", "src2", "src3"), "archive": s.isin("src4", "src5")})
 
 
 @query(f"WITH {COUNTED} SELECT form, n FROM counted WHERE n >= 2")
@@ -103,7 +99,7 @@ def freq_min2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {TOKENS} SELECT source, form, count(*) AS n FROM forms GROUP BY source, form HAVING count(*) >= 3")
 def freq_by_book(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts by source and form."""
-    return _forms(spark, sf_dir).groupBy("source", "form").agg(F.count(F.lit(1)).alias("n")).filter("n >= 3")
+    return _counts(spark, sf_dir, "source").filter("n >= 3")
 
 
 @query(f"WITH {COUNTED}, clean AS (SELECT replace(form, 'mp', 'np') AS form, n FROM counted WHERE regexp_matches(form, '^[a-z]+$')) SELECT form, CAST(sum(n) AS BIGINT) AS n FROM clean GROUP BY form")

@@ -31,8 +31,7 @@ _POS_SQL = "pos(lemma, p) AS (VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in
 @query(f"WITH {TOKENS}, {_POS_SQL}, t AS (SELECT form, count(*) AS n FROM forms GROUP BY form) SELECT form, n, CASE WHEN p IS NULL THEN [] ELSE [p] END AS poss FROM t LEFT JOIN pos ON form = lemma WHERE n >= 2")
 def pos_lookup_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts of speech of forms, empty where unknown."""
-    d = table(spark, sf_dir, "documents")
-    c = counts.forms(counts.token_rows(d, "text", "doc_id")).groupBy("form").agg(F.count(F.lit(1)).alias("n")).filter("n >= 2")
+    c = counts.form_counts(table(spark, sf_dir, "documents"), "text").filter("n >= 2")
     pos = spark.createDataFrame(_POS, "lemma string, p string")
     return c.join(pos, F.col("form") == F.col("lemma"), "left").select("form", "n", F.when(F.col("p").isNull(), F.array().cast("array<string>")).otherwise(F.array("p")).alias("poss"))
 

@@ -8,13 +8,19 @@ from lexloom.streaming import incremental
 
 
 def test_frequency_breakdown_order_and_zeros(spark):
-    df = spark.createDataFrame([("a", "x"), ("a", "y"), ("a", "x"), ("b", "y")], "form string, g string")
+    df = spark.createDataFrame([("a", "x", 1), ("a", "y", 1), ("a", "x", 1), ("b", "y", 1)], "form string, g string, n long")
     got = {r["form"]: (r["frequency"], r["breakdown"]) for r in counts.frequency_by(df, "g", ["y", "x"]).collect()}
     assert got == {"a": (3, "y:1|x:2"), "b": (1, "y:1")}
     assert spark.range(1).select(counts.parse_breakdown(F.lit("y:1|x:2"))).first()[0] == {"y": "1", "x": "2"}
     assert counts.frequency_by(df.limit(0), "g").count() == 0
 
 
+def test_form_counts_agree_with_tokens(spark):
+    df = spark.createDataFrame([("A", "k=eyaypakasnu an! an =an ‘itak’"), ("B", None), ("B", "an")], "g string, t string")
+    slow = counts.forms(counts.token_rows(df, "t", "g"), "g").groupBy("g", "form").count()
+    assert {tuple(r) for r in counts.form_counts(df, "t", "g").collect()} == {tuple(r) for r in slow.collect()}
+
+
 def test_string_or_list_buckets(spark):
     df = spark.createDataFrame([('["北海道", "樺太"]',), ("北海道",), (None,), ("x",)], "raw string")
     c = counts.bucket_of(counts.string_or_list(F.col("raw")), [("樺太", "sakhalin"), ("北海道", "hokkaido")])
