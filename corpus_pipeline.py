@@ -36,8 +36,11 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     one stays. Documents without words, and rows without doc_id, stay."""
     found = keep(ngram_join.join(docs, WORDS, *SIMILAR), "components")
     go = found.filter("component_id <> doc_id").select(F.col("doc_id").alias("__go")).distinct()
-    left = docs.join(go, F.col("doc_id") == F.col("__go"), "left_anti")
+    # texts move once, at every size: how many documents go isn't bounded, so they aren't broadcast
+    left = docs.join(go.hint("shuffle_merge"), F.col("doc_id") == F.col("__go"), "left_anti")
     twice = keep(docs.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").select(F.col("doc_id").alias("__twice")), "twice")
+    if twice.isEmpty():
+        return left
     once = left.join(twice, F.col("doc_id") == F.col("__twice"), "left_anti")
     again = left.join(twice, F.col("doc_id") == F.col("__twice"), "left_semi").dropDuplicates(["doc_id"])
     return once.unionByName(again)
