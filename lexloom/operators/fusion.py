@@ -104,3 +104,18 @@ def derived_cognates(words: DataFrame, derived: Column, known: DataFrame, lemma:
     """form, sources: derived forms that aren't words already, with the lemmas they come from."""
     new = words.withColumn("form", derived).join(known.select(F.col(lemma).alias("__l")).distinct(), F.col("form") == F.col("__l"), "left_anti")
     return new.groupBy("form").agg(F.array_sort(F.collect_set(lemma)).alias("sources"))
+
+
+def override(rows: DataFrame, changes: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """rows with `value` replaced where a change has equal keys (arrays compare as a whole)."""
+    c = changes.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col(value).alias("__new"))
+    on = None
+    for k in keys:
+        on = F.col(k).eqNullSafe(F.col(f"__{k}")) if on is None else on & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return rows.join(c, on, "left").withColumn(value, F.coalesce("__new", value)).select(*rows.columns)
+
+
+def variant_pairs(rows: DataFrame, id_: str, origin: str) -> DataFrame:
+    """a, b, origin: pairs of different rows of one origin, each once. Origins are lemmas with a handful of forms."""
+    r = rows.select(F.col(id_).alias("b"), F.col(origin).alias("__o"))
+    return rows.join(r, (F.col(origin) == F.col("__o")) & (F.col(id_) < F.col("b"))).select(F.col(id_).alias("a"), "b", origin)

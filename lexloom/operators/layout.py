@@ -135,3 +135,35 @@ def range_lookup(rows: DataFrame, at: str, ranges: list[tuple[int, int, str]], n
     for low, high, what in reversed(ranges):
         out = F.when(F.col(at).between(low, high), what).otherwise(out)
     return rows.withColumn(name, out)
+
+
+def split_at_last_rule(lines: DataFrame, page: str, n: str, line: str, rule: str = r"^[-─━_]{3,}$") -> DataFrame:
+    """page, body, notes: the lines of a page before and after its last rule; without a rule all are body."""
+    at = F.max(F.when(F.col(line).rlike(rule), F.col(n))).over(Window.partitionBy(page))
+    marked = lines.withColumn("__at", at).filter(~F.col(line).rlike(rule))
+    is_note = F.col("__at").isNotNull() & (F.col(n) > F.col("__at"))
+    part = lambda cond: F.array_join(F.transform(F.sort_array(F.collect_list(F.when(cond, F.struct(n, line)))), lambda x: x[line]), "\n")
+    return marked.groupBy(page).agg(part(~is_note).alias("body"), part(is_note).alias("notes"))
+
+
+def tagged_turns(lines: DataFrame, key: str, n: str, line: str, number: str = r"^(\d+)\.\s*(.*)$", tag: str = r"^【(.+?)】\s*(.*)$") -> DataFrame:
+    """key, num, parts (map tag -> text, '' for the numbered line itself): numbered turns with tagged lines below them;
+    lines without a tag continue the last one."""
+    w = Window.partitionBy(key).orderBy(n)
+    rows = lines.withColumn("num", F.last(F.when(F.col(line).rlike(number), F.regexp_extract(line, number, 1).cast("int")), True).over(w)).filter("num is not null")
+    own = F.when(F.col(line).rlike(number), F.lit("")).when(F.col(line).rlike(tag), F.regexp_extract(line, tag, 1))
+    rows = rows.withColumn("tag", F.last(own, True).over(w))
+    said = F.when(F.col(line).rlike(number), F.regexp_extract(line, number, 2)).when(F.col(line).rlike(tag), F.regexp_extract(line, tag, 2)).otherwise(F.trim(line))
+    each = rows.groupBy(key, "num", "tag").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(n, said.alias("t")))), lambda x: x["t"]), " ").alias("text"))
+    return each.groupBy(key, "num").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("tag", "text")))).alias("parts"))
+
+
+def page_block(text: Column, page: int) -> Column:
+    """The block behind `<!-- page N -->` up to the next such mark."""
+    return F.regexp_replace(F.regexp_extract(text, rf"(?s)<!-- page {page} -->(.*?)(?=<!-- page \d+ -->|\z)", 1), r"^\s+|\s+\z", "")
+
+
+def entry_on_page(entries: DataFrame, pages: DataFrame, page: str, lemma: str, text: str) -> DataFrame:
+    """entries with `at`: where `lemma,` begins a line of its page (0 if it doesn't)."""
+    j = entries.join(pages.select(F.col(page).alias("__p"), F.col(text).alias("__t")), F.col(page) == F.col("__p"), "left")
+    return j.withColumn("at", F.coalesce(F.position(F.concat(F.lit("\n"), F.col(lemma), F.lit(",")), F.concat(F.lit("\n"), F.col("__t"))), F.lit(0))).drop("__p", "__t")

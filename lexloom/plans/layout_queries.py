@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexloom.functions import orthography, textclean
-from lexloom.operators import decisions, layout
+from lexloom.functions import orthography, textclean, textdiff
+from lexloom.operators import decisions, fusion, layout
 from lexloom.plans.corpus_queries import Query, table
 from lexloom.sources import readers, sinks
 from lexloom.streaming import incremental
@@ -247,3 +247,39 @@ def compact_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 def batch_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Request rows for texts, bodies only."""
     return sinks.request_lines(table(spark, sf_dir, "benchmark"), "item_id", F.concat(F.lit("Translate: "), "text"), "none")
+
+
+@query("SELECT p_brand AS page, coalesce(string_agg(p_name, chr(10) ORDER BY p_partkey) FILTER (WHERE r IS NULL OR p_partkey < r), '') AS body, coalesce(string_agg(p_name, chr(10) ORDER BY p_partkey) FILTER (WHERE p_partkey > r), '') AS notes FROM (SELECT *, max(CASE WHEN p_size = 7 THEN p_partkey END) OVER (PARTITION BY p_brand) AS r FROM part) WHERE p_size <> 7 GROUP BY p_brand")
+def footnote_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's body and its notes below the last rule."""
+    lines = table(spark, sf_dir, "part").select(F.col("p_brand").alias("page"), F.col("p_partkey").alias("n"), F.when(F.col("p_size") == 7, "-----").otherwise(F.col("p_name")).alias("line"))
+    return layout.split_at_last_rule(lines, "page", "n", "line")
+
+
+@query()
+def tagged_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbered turns with tagged lines."""
+    p = table(spark, sf_dir, "part")
+    line = F.when(F.col("p_size") % 4 == 0, F.concat_ws(". ", "p_partkey", "p_name")).when(F.col("p_size") % 4 == 1, F.concat(F.lit("【訳】"), "p_type")).otherwise(F.col("p_name"))
+    return layout.tagged_turns(p.select(F.col("p_brand").alias("k"), F.col("p_partkey").alias("n"), line.alias("line")), "k", "n", "line")
+
+
+@query("SELECT p_partkey, [p_brand] AS ja, CASE WHEN p_size > 40 THEN 'changed' ELSE p_type END AS v FROM part")
+def array_override(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values replaced by a key that holds a list."""
+    p = table(spark, sf_dir, "part").select("p_partkey", F.array("p_brand").alias("ja"), F.col("p_type").alias("v"), "p_size")
+    c = p.filter("p_size > 40").select("p_partkey", "ja", F.lit("changed").alias("v"))
+    return fusion.override(p.drop("p_size"), c, ["p_partkey", "ja"], "v")
+
+
+@query("SELECT a.s_suppkey AS a, b.s_suppkey AS b, a.s_nationkey AS origin FROM supplier a JOIN supplier b ON a.s_nationkey = b.s_nationkey AND a.s_suppkey < b.s_suppkey")
+def variant_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Different forms of one origin, in pairs."""
+    return fusion.variant_pairs(table(spark, sf_dir, "supplier").withColumnRenamed("s_nationkey", "origin"), "s_suppkey", "origin")
+
+
+@query()
+def review_diffs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Differences of two readings, small kana restored from one, and sort keys."""
+    d = spark.createDataFrame([(1, "イタク\nx", "イタㇰ\nx"), (2, "ｱ b", "ｱ c"), (3, None, "n")], "id int, a string, b string")
+    return d.select("id", textdiff.unified_diff("a", "b").alias("diff"), textdiff.word_diff("a", "b").alias("words"), textdiff.restore_small_kana("a", "b").alias("restored"), textdiff.compatibility_key("a").alias("key"))

@@ -164,3 +164,33 @@ def first_present(df: DataFrame, *names: str) -> Column:
 
 def literal_table(spark: SparkSession, rows: list[tuple], schema: str | T.StructType) -> DataFrame:
     return spark.createDataFrame(rows, schema)
+
+
+def gloss_sheets(spark: SparkSession, path: str, name: str = "(?i)gloss|meaning|english") -> DataFrame:
+    """sheet, row, lemma, gloss of a folder of TSV sheets whose gloss column is told by its header: each Latin word of
+    another cell is a lemma."""
+    whole = spark.read.text(path, wholetext=True).select(stem().alias("sheet"), F.split("value", r"\r?\n").alias("ls"))
+    head = F.split(F.col("ls")[0], "\t")
+    at = F.array_position(F.transform(head, lambda h: h.rlike(name)), True)
+    rows = whole.withColumn("g", at).filter("g > 0").select("sheet", "g", F.posexplode(F.slice("ls", 2, F.size("ls"))).alias("row", "line")).filter(F.trim("line") != "")
+    rows = rows.withColumn("cells", F.split("line", "\t", -1))
+    words = F.flatten(F.transform(F.filter("cells", lambda c, i: i + 1 != F.col("g")), lambda c: F.regexp_extract_all(c, F.lit(r"[A-Za-z][A-Za-z'=\-]+"), F.lit(0))))
+    return rows.select("sheet", "row", F.explode(words).alias("lemma"), F.get("cells", F.col("g").cast("int") - 1).alias("gloss"))
+
+
+def zip_members(spark: SparkSession, path: str, encoding: str = "utf-8") -> DataFrame:
+    """path, member, text of the files in zip archives, one archive at a time in a task."""
+    import io
+    import zipfile
+
+    def run(batches):
+        import pandas as pd
+
+        for pdf in batches:
+            out = []
+            for p, content in zip(pdf["path"], pdf["content"], strict=True):
+                with zipfile.ZipFile(io.BytesIO(content)) as z:
+                    out += [(p, m, z.read(m).decode(encoding, "replace")) for m in z.namelist() if not m.endswith("/")]
+            yield pd.DataFrame(out, columns=["path", "member", "text"])
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "path string, member string, text string")

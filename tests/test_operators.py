@@ -138,3 +138,31 @@ def test_file_stream_sees_each_file_once(spark, tmp_path):
     (tmp_path / "in" / "2.json").write_text('{"a": "y"}\n')
     run()
     assert seen == ["x", "y"]
+
+
+def test_differences_and_unicode_forms(spark):
+    from lexloom.functions import textdiff
+
+    d = spark.createDataFrame([("イタク an", "イタㇰ am"), (None, "x")], "a string, b string")
+    r = d.select(textdiff.restore_small_kana("a", "b").alias("k"), textdiff.word_diff("a", "b").alias("w"), textdiff.ascii_only("a").alias("u"), textdiff.compatibility_key(F.lit("Ａｱ")).alias("c"), textdiff.unescape_html(F.lit("&lt;&eacute;")).alias("h")).collect()
+    assert r[0]["k"] == "イタㇰ an" and r[1]["k"] is None and "+ am" in r[0]["w"] and r[0]["u"] == " an" and r[0]["c"] == "aア" and r[0]["h"] == "<é"
+
+
+def test_archives_and_sheets(spark, tmp_path):
+    import zipfile
+
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("x/y.txt", "hello")
+    assert [(r["member"], r["text"]) for r in readers.zip_members(spark, str(tmp_path / "a.zip")).collect()] == [("x/y.txt", "hello")]
+    (tmp_path / "s.tsv").write_text("word\tEnglish meaning\nkamuy, pase\tgod\n\n")
+    assert {(r["lemma"], r["gloss"]) for r in readers.gloss_sheets(spark, str(tmp_path / "s.tsv")).collect()} == {("kamuy", "god"), ("pase", "god")}
+
+
+def test_page_lookups(spark):
+    t = "<!-- page 1 -->\nabe, fire\n<!-- page 2 -->\nkotan, village"
+    assert spark.range(1).select(layout.page_block(F.lit(t), 1)).first()[0] == "abe, fire"
+    e = spark.createDataFrame([(1, "abe"), (1, "x"), (3, "y")], "page int, lemma string")
+    p = spark.createDataFrame([(1, "head\nabe, fire")], "page int, text string")
+    assert {r["lemma"]: r["at"] > 0 for r in layout.entry_on_page(e, p, "page", "lemma", "text").collect()} == {"abe": True, "x": False, "y": False}
+    turns = spark.createDataFrame([("k", 0, "1. hello"), ("k", 1, "【訳】 hi"), ("k", 2, "there"), ("k", 3, "2. bye")], "k string, n int, line string")
+    assert {r["num"]: r["parts"] for r in layout.tagged_turns(turns, "k", "n", "line").collect()} == {1: {"": "hello", "訳": "hi there"}, 2: {"": "bye"}}
