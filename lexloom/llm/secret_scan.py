@@ -24,6 +24,8 @@ RUN = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]{0,80}[0-9])[A-Za-z0-9+/_=-]{16,}"
 ASSIGNED = r"(?<=(?i:password|passwd|pwd|secret|api_key|apikey|token)\s{0,2}[:=]\s{0,2}[\"']?)[^\s\"']{6,}"
 BLOCK = r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----[A-Za-z0-9+/=\s]*-----END [A-Z ]{0,20}PRIVATE KEY-----"
 CANDIDATE = f"{BLOCK}|{RUN}|{ASSIGNED}"
+#: The same question for a whole text, without looking behind each of its letters.
+NAMED = r"(?i)(?:password|passwd|pwd|secret|api_key|apikey|token)\s{0,2}[:=]\s{0,2}[\"']?[^\s\"']{6}"
 #: Characters before and after a candidate that are looked at.
 NEAR = 60
 MASK = "[SECRET]"
@@ -157,6 +159,10 @@ def forest_score(values: Column, forest: str, depth: int = DEPTH) -> Column:
     return F.aggregate(trees, F.lit(0.0), lambda s, tree: s + vote(tree)) / F.size(trees)
 
 
+def has_candidate(text: Column) -> Column:
+    return text.rlike(f"{BLOCK}|{RUN}") | text.rlike(NAMED)
+
+
 def _scan(text: Column, forest: str) -> tuple[Column, Column]:
     """The pieces of the text between candidates, and the candidates with their scores, in order."""
     pieces = F.split(text, CANDIDATE, -1)
@@ -173,7 +179,7 @@ def findings(df: DataFrame, forest: str, key: str = "doc_id", text: str = "text"
     """key, nth (candidate of its text, from 0), candidate, before, after, score, is_secret: one row for each candidate of
     each whole text. Null and empty texts have none; repeated rows each have theirs; other columns aren't read."""
     _, scored = _scan(F.col("__t"), forest)
-    rows = df.select(F.col(key), F.col(text).alias("__t")).filter(F.col("__t").rlike(CANDIDATE))
+    rows = df.select(F.col(key), F.col(text).alias("__t")).filter(has_candidate(F.col("__t")))
     rows = rows.select(key, F.posexplode(scored).alias("nth", "c"))
     return rows.select(key, "nth", "c.candidate", "c.before", "c.after", "c.score", (F.col("c.score") >= threshold).alias("is_secret"))
 
@@ -184,4 +190,4 @@ def redact(df: DataFrame, forest: str, text: str = "text", threshold: float = 0.
     pieces, scored = _scan(t, forest)
     shown = F.transform(scored, lambda c: F.when(c["score"] >= threshold, F.lit(mask)).otherwise(c["candidate"]))
     whole = F.array_join(F.flatten(F.zip_with(pieces, shown, lambda p, c: F.array(p, F.coalesce(c, F.lit(""))))), "")
-    return df.withColumn(text, F.when(t.rlike(CANDIDATE), whole).otherwise(t))
+    return df.withColumn(text, F.when(has_candidate(t), whole).otherwise(t))
