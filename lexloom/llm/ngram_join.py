@@ -369,7 +369,8 @@ def join(df: DataFrame, k: int = 5, num: int = 80, den: int = 100, key: str = "d
     marked = marked.join(first_tiles, F.col("node") == F.col("v")).drop("v")
     possible = keep(_bounded_pairs(marked, num, den), "possible", files)
     more = keep(exact(possible.select("parent", "child")), "links", files)
-    final = components(links.unionByName(more), files)
+    stars = known.select(F.col("v").alias("a"), F.col("component").alias("b"))  # what is joined already needs no rounds
+    final = components(stars.unionByName(more), files)
 
     of_class = classes.join(final.withColumnRenamed("node", "v"), F.col("node") == F.col("v"), "left").select(F.col("set_hash").alias("s2"), F.coalesce("component", "node").alias("component"))
     of_class = keep(of_class, "of_class", files)

@@ -35,7 +35,8 @@ def keep(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
     system may start a process for each file that it makes."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/lexloom-{name}-{uuid.uuid4().hex}"
-    (df.repartition(files) if files else df).write.parquet(path)
+    # no file that only marks success: the table is read only after its job has ended well
+    (df.repartition(files) if files else df).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
     _delete_on_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
