@@ -216,10 +216,10 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     rows = docs.select(F.col(key).alias("d"), F.col(text).alias("t")).filter("t is not null").join(F.broadcast(chosen), F.col("d") == F.col("k")).select("k", "y", "t")
     got = rows.mapInArrow(words, "k long, y int, words array<string>, n array<int>")
     got = keep(got, "examples", 4).withColumn("h", F.xxhash64("k")).dropDuplicates(["k"])
-    found = []
+    sample = []
     for y in (0, 1):
-        found += got.filter(F.col("y") == y).orderBy("h", "k").limit(examples).collect()
-    sample = [(r["k"], dict(zip(r["words"], r["n"], strict=True)), r["y"]) for r in found]
+        rows = got.filter(F.col("y") == y).orderBy("h", "k").limit(examples).toLocalIterator()  # one row at a time
+        sample += [(r["k"], dict(zip(r["words"], r["n"], strict=True)), r["y"]) for r in rows]
     terms = _vote_terms([(w, y) for _, w, y in sample])
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(frozenset(terms))  # at most TERMS words
