@@ -95,8 +95,8 @@ def _least_overlap(n: int, num: int, den: int) -> int:
 
 
 def _index(df: DataFrame, key: str, text: str, k: int, num: int, den: int, heavy: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """Rows (tile, node): the ids under which a document is looked up. The low 8 bits of a tile are the number of a part:
-    more than one where very many documents share the id, and equal sets share their parts."""
+    """Rows (tile, node): the ids under which a document is looked up. The low 8 bits of a tile are 0, or the number of a
+    part (from 1) where very many documents share the id; equal sets share their parts."""
     shared = df.sparkSession.sparkContext.broadcast(heavy)  # at most HEAVY_IDS ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,7 +113,8 @@ def _index(df: DataFrame, key: str, text: str, k: int, num: int, den: int, heavy
                     if weight.any():
                         order = np.argsort(weight, kind="stable")[:size]  # ids ascend, so ties are by id
                         own, weight = ids[order], weight[order]
-                        part = np.uint64(int.from_bytes(hashlib.blake2b(ids.tobytes(), digest_size=4).digest(), "little")) % np.clip(weight // PART, 1, 256).astype(np.uint64)
+                        parts, drawn = np.clip(weight // PART, 1, 255).astype(np.uint64), np.uint64(int.from_bytes(hashlib.blake2b(ids.tobytes(), digest_size=4).digest(), "little"))
+                        part = np.where(parts > 1, drawn % parts + np.uint64(1), np.uint64(0))
                 tiles.append((own & ~PARTS) | part)
             sizes = [len(x) for x in tiles]
             node = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), sizes)
@@ -146,9 +147,14 @@ def _arrays(df: DataFrame, key: str, text: str, k: int, nodes: DataFrame) -> Dat
     return df.select(F.col(key), F.col(text), x.alias("x"), y.alias("y")).mapInArrow(run, "node long, ids binary").filter(F.octet_length("ids") > 0)
 
 
+def _parted(tile: np.ndarray) -> np.ndarray:
+    return (tile & np.int64(PARTS)) > 0
+
+
 def _shared_tiles(rows: DataFrame) -> DataFrame:
-    """rows (tile, node) -> those of tiles with more than one row, with `head`: the smallest node of the tile's part. One
-    row is held between batches, whatever a tile's size."""
+    """rows (tile, node) -> those of tiles with more than one row, with `head`: the smallest node of the tile's part. A row
+    alone in its part stays as its own head, as the id's other parts may hold more. One row is held between batches,
+    whatever a tile's size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, head = None, None  # the last row, which waits for the next one; the head of its run if that began before
@@ -161,7 +167,7 @@ def _shared_tiles(rows: DataFrame) -> DataFrame:
             same = tile[1:] == tile[:-1]
             first = np.concatenate([[True], ~same])
             heads = node[np.maximum.accumulate(np.where(first, np.arange(len(tile)), 0))]
-            wanted = ~(first & np.concatenate([~same, [True]]))
+            wanted = ~(first & np.concatenate([~same, [True]])) | _parted(tile)
             if head is not None:
                 end = len(tile) if same.all() else int(np.argmin(same)) + 1
                 heads[:end] = head
@@ -170,8 +176,8 @@ def _shared_tiles(rows: DataFrame) -> DataFrame:
             continues = not first[-1] or (len(tile) == 1 and head is not None)
             head = heads[-1] if continues else None
             held = (tile[-1], node[-1])
-        if held is not None and head is not None:
-            yield made(*(np.array([x]) for x in (*held, head)), np.array([True]))
+        if held is not None and (head is not None or _parted(held[0])):
+            yield made(*(np.array([x]) for x in (*held, held[1] if head is None else head)), np.array([True]))
 
     def made(tile, node, head, wanted):
         return pa.RecordBatch.from_arrays([pa.array(c[wanted].astype(np.int64)) for c in (tile, node, head)], ["tile", "node", "head"])

@@ -86,6 +86,17 @@ def test_join_is_exact(spark, seed, k, num, den):
     assert len(set(want.values())) < len(want)
 
 
+def test_join_is_exact_where_tiles_have_parts(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "PART", 1)
+    notice = " ".join(f"n{i}" for i in range(10))  # held by all of these, and in the prefix of a few
+    rows = noisy_copies(3, 20) + [(1000 + i, f"{notice} " + " ".join(f"x{i}y{j}" for j in range(60))) for i in range(60)]
+    rows += [(2000 + i, f"{notice} z{i}") for i in range(4)]
+    got = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string"), 1, 50, 100).collect()
+    want, _ = brute_components(rows, 1, 50, 100)
+    assert len({want[2000 + i] for i in range(4)}) == 1
+    assert {r["doc_id"]: r["component_id"] for r in got} == want
+
+
 @here
 def test_join_on_documents_with_small_batches_and_blocks(spark, monkeypatch):
     rows = [(r["doc_id"], r["text"]) for r in docs(spark).collect()]
