@@ -1,6 +1,6 @@
 """Secret scans with native expressions only: candidates by pattern, false positives removed by a random forest.
 
-A candidate is a long run of token characters with a digit in it, a value assigned to a secret's name, or a private key
+A candidate is a long run of token characters with a digit in it ('=' only at its end, so NAME=value gives the value), a value assigned to a secret's name, or a private key
 block. Each has features of itself (length, kinds of characters, transitions between them and between letters, distinct
 characters, entropy, coverage by dictionary words, placeholders, known prefixes) and of its place (path, assignment,
 quotes, neighbouring words). A random forest (pyspark.ml) learns from labelled findings; its trees become one literal
@@ -20,10 +20,12 @@ from pyspark.sql import functions as F
 from lexloom.llm.tables import keep
 
 #: What can be a secret (Java regex): a run of token characters with a digit; the value of a secret's name; a key block.
-RUN = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]{0,80}[0-9])[A-Za-z0-9+/_=-]{16,}"
+RUN = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,80}[0-9])[A-Za-z0-9+/_-]{16,}+(?!=[\"']?[^\s\"'=]{6})={0,2}"
 ASSIGNED = r"(?<=(?i:password|passwd|pwd|secret|api_key|apikey|token)\s{0,2}[:=]\s{0,2}[\"']?)[^\s\"']{6,}"
 BLOCK = r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----[A-Za-z0-9+/=\s]*-----END [A-Z ]{0,20}PRIVATE KEY-----"
-CANDIDATE = f"{BLOCK}|{RUN}|{ASSIGNED}"
+#: A run that is all of a value is told without the marks that close it; else the whole value of a name goes before a run.
+WHOLE = rf"{RUN}(?=[.)}}\]]*(?:[\s\"',;&<]|$))"
+CANDIDATE = f"{BLOCK}|{WHOLE}|{ASSIGNED}|{RUN}"
 #: The same question for a whole text, without looking behind each of its letters.
 NAMED = r"(?i)(?:password|passwd|pwd|secret|api_key|apikey|token)\s{0,2}[:=]\s{0,2}[\"']?[^\s\"']{6}"
 #: Characters before and after a candidate that are looked at.
@@ -142,8 +144,13 @@ def _trees(model) -> str:
 
 
 def fit(findings: DataFrame, trees: int = TREES, depth: int = DEPTH) -> str:
-    """The forest learnt from labelled findings (before, candidate, after, label of 0 or 1), as JSON of bounded size."""
-    rows = findings.select(array_to_vector(features(F.col("candidate"), F.right("before", F.lit(NEAR)), F.left("after", F.lit(NEAR)))).alias("features"), F.col("label").cast("double").alias("label"))
+    """The forest learnt from labelled findings (before, candidate, after, label of 0 or 1), as JSON of bounded size. Each
+    is learnt as the scan cuts it: by the candidate that holds most of it, or as it stands where the scan finds none."""
+    start, end = F.length("before"), F.length("before") + F.length("candidate")
+    places = F.transform(_near(F.concat("before", "candidate", "after")), lambda x: F.struct((F.least(end, x["start"] + F.length(x["candidate"])) - F.greatest(start, x["start"])).alias("common"), x["candidate"].alias("candidate"), x["before"].alias("before"), x["after"].alias("after")))
+    own = F.struct(F.lit(0).alias("common"), "candidate", F.right("before", F.lit(NEAR)).alias("before"), F.left("after", F.lit(NEAR)).alias("after"))
+    cut = findings.select(F.array_max(F.concat(F.filter(places, lambda x: x["common"] > 0), F.array(own))).alias("c"), F.col("label").cast("double").alias("label"))
+    rows = cut.select(array_to_vector(features(F.col("c.candidate"), F.col("c.before"), F.col("c.after"))).alias("features"), "label")
     return _trees(RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=SEED, maxBins=64, subsamplingRate=0.8).fit(keep(rows, "features")))
 
 
@@ -163,14 +170,30 @@ def has_candidate(text: Column) -> Column:
     return text.rlike(f"{BLOCK}|{RUN}") | text.rlike(NAMED)
 
 
-def _scan(text: Column, forest: str) -> tuple[Column, Column]:
-    """The pieces of the text between candidates, and the candidates with their scores, in order."""
-    pieces = F.split(text, CANDIDATE, -1)
-    found = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
+def _cut(text: Column) -> tuple[Column, Column]:
+    """The pieces of the text between candidates, and the candidates, in order."""
+    return F.split(text, CANDIDATE, -1), F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
+
+
+def _between(pieces: Column, found: Column) -> Column:
     # each candidate between its neighbouring pieces, without looking the pieces up again for each candidate
     after = F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
     near = F.zip_with(F.zip_with(found, pieces, lambda c, b: F.struct(c.alias("candidate"), F.right(b, F.lit(NEAR)).alias("before"))), after, lambda x, a: F.struct(x["candidate"].alias("candidate"), x["before"].alias("before"), F.left(a, F.lit(NEAR)).alias("after")))
-    near = F.filter(near, lambda x: x["candidate"].isNotNull())
+    return F.filter(near, lambda x: x["candidate"].isNotNull())
+
+
+def _near(text: Column) -> Column:
+    """The candidates of a text in order, each with its first letter's place (from 0) and what stands around it."""
+    pieces, found = _cut(text)
+    lengths = F.zip_with(pieces, found, lambda p, c: F.length(p) + F.coalesce(F.length(c), F.lit(0)))
+    starts = F.transform(pieces, lambda p, i: F.aggregate(F.slice(lengths, 1, i), F.lit(0), lambda s, x: s + x) + F.length(p))
+    return F.zip_with(_between(pieces, found), F.slice(starts, 1, F.size(found)), lambda x, s: x.withField("start", s))
+
+
+def _scan(text: Column, forest: str) -> tuple[Column, Column]:
+    """The pieces of the text between candidates, and the candidates with their scores, in order."""
+    pieces, found = _cut(text)
+    near = _between(pieces, found)
     told = F.transform(near, lambda x: F.struct(x["candidate"].alias("candidate"), x["before"].alias("before"), x["after"].alias("after"), features(x["candidate"], x["before"], x["after"]).alias("values")))
     return pieces, F.transform(told, lambda x: F.struct(x["candidate"].alias("candidate"), x["before"].alias("before"), x["after"].alias("after"), forest_score(x["values"], forest).alias("score")))
 

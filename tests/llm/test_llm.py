@@ -161,6 +161,16 @@ def test_secrets_are_found_and_look_alikes_left(spark):
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
 
 
+def test_unquoted_assignments_give_their_values(spark):
+    forest = secret_scan.fit(secret_scan.labelled_findings(spark, 4000))
+    h, b64 = hashlib.sha1(b"u").hexdigest(), "Ab3" + "xY7Qz2Lm9KdR" * 3 + "q=="
+    ghp = "ghp_" + b64[:36]
+    rows = [(1, f"run with token={h} and so on", h), (2, f"file export TOKEN={ghp} once", ghp), (3, f"of API_KEY={ghp}", ghp), (4, f"and api_key={b64} here", b64), (5, f"the my_access_key={h}; end", h), (6, f"SERVICE_TOKEN_NAME_2={h}", h), (7, f"the fix commit={h} of", h)]
+    got = {r["doc_id"]: r for r in secret_scan.findings(odd(spark, [(i, t, "x") for i, t, _ in rows]), forest).collect()}
+    assert {i: r["candidate"] for i, r in got.items()} == {i: v for i, _, v in rows}
+    assert {i for i, r in got.items() if r["is_secret"]} >= {1, 2, 3, 4, 5} and not got[7]["is_secret"]
+
+
 def test_forest_on_held_out_findings(spark):
     rows = keep(secret_scan.labelled_findings(spark, 4000).withColumn("h", F.pmod(F.xxhash64("candidate"), F.lit(4))), "h")
     forest = secret_scan.fit(rows.filter("h <> 0").drop("h"))
