@@ -119,7 +119,7 @@ def page_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def clustered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of a page gathered into lines by their height."""
-    w = table(spark, sf_dir, "lineitem").filter("l_linenumber <= 4").select((F.col("l_orderkey") % 50).alias("page"), (F.col("l_quantity") * 10).alias("y"), F.col("l_extendedprice").alias("x"), F.col("l_returnflag").alias("t"))
+    w = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") % 50).alias("page"), (F.col("l_quantity") * 10).alias("y"), F.col("l_extendedprice").alias("x"), F.col("l_returnflag").alias("t"))
     return layout.cluster_lines(w, ["page"], "y", "x", "t", 4.0)
 
 

@@ -166,3 +166,12 @@ def test_page_lookups(spark):
     assert {r["lemma"]: r["at"] > 0 for r in layout.entry_on_page(e, p, "page", "lemma", "text").collect()} == {"abe": True, "x": False, "y": False}
     turns = spark.createDataFrame([("k", 0, "1. hello"), ("k", 1, "【訳】 hi"), ("k", 2, "there"), ("k", 3, "2. bye")], "k string, n int, line string")
     assert {r["num"]: r["parts"] for r in layout.tagged_turns(turns, "k", "n", "line").collect()} == {1: {"": "hello", "訳": "hi there"}, 2: {"": "bye"}}
+
+
+def test_clustered_lines_take_every_line_number(spark, tmp_path):
+    from lexloom.plans import layout_queries
+
+    rows = [(50, n, float(n), float(n), f"w{n}") for n in range(1, 8)]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_returnflag string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = layout_queries.clustered_lines(spark, str(tmp_path)).collect()
+    assert sorted(r["text"] for r in got) == [f"w{n}" for n in range(1, 8)]
