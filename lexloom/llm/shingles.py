@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 
 #: Space and \x09-\x0D part words; A-Z are lower-cased, nothing else.
@@ -11,7 +9,7 @@ _space = np.zeros(256, bool)
 _space[[0x20, *range(0x09, 0x0E)]] = True
 _P = 0x9E3779B97F4A7C15
 _PI = pow(_P, -1, 1 << 64)
-#: Bytes hashed at once (more only within one word).
+#: Bytes or code points hashed at once (more only within one word).
 SEGMENT = 1 << 20
 _powers = {"n": 0}
 
@@ -36,34 +34,33 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _hash_segment(data: bytes) -> np.ndarray:
-    b = np.frombuffer(data, np.uint8)
-    gap = np.ones(len(b) + 2, bool)
-    gap[1:-1] = _space[b]
+def hash_spans(x: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each span x[start:end] of whole numbers below 2**32; spans ascend and don't overlap. Spans are hashed in
+    segments of about SEGMENT values and never cut, so results don't depend on it."""
+    out, i = [np.zeros(0, np.uint64)], 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + SEGMENT, "right")))
+        base, last = int(starts[i]), int(ends[j - 1])
+        up, down = _tables(last - base + 1)
+        sums = np.zeros(last - base + 1, np.uint64)
+        np.cumsum((x[base:last].astype(np.uint64) + np.uint64(1)) * up[: last - base], out=sums[1:])
+        a = starts[i:j] - base
+        out.append(mix((sums[ends[i:j] - base] - sums[a]) * down[a]))
+        i = j
+    return out[1] if len(out) == 2 else np.concatenate(out)
+
+
+def runs(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of each run of true values."""
+    gap = np.ones(len(inside) + 2, bool)
+    np.logical_not(inside, out=gap[1:-1])
     edge = np.flatnonzero(gap[1:] != gap[:-1])
-    starts, ends = edge[0::2], edge[1::2]
-    up, down = _tables(len(b) + 1)
-    sums = np.zeros(len(b) + 1, np.uint64)
-    np.cumsum((b.astype(np.uint64) + np.uint64(1)) * up[: len(b)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts])
+    return edge[0::2], edge[1::2]
 
 
 def word_hashes(text: str) -> np.ndarray:
-    data = text.encode().lower()  # of bytes: A-Z only
-    if len(data) <= SEGMENT:
-        return _hash_segment(data)
-    out, at = [], 0
-    while at < len(data):
-        end = at + SEGMENT
-        if end < len(data):
-            cut = max(data.rfind(c, at, end) for c in (b" ", b"\t", b"\n", b"\v", b"\f", b"\r"))
-            if cut <= at:
-                found = re.compile(rb"[\x20\x09-\x0D]").search(data, end)
-                cut = found.start() if found else len(data)
-            end = cut
-        out.append(_hash_segment(data[at:end]))
-        at = end
-    return np.concatenate(out)
+    b = np.frombuffer(text.encode().lower(), np.uint8)  # of bytes: A-Z only
+    return hash_spans(b, *runs(~_space[b]))
 
 
 def shingle_ids(text: str | None, k: int) -> np.ndarray:

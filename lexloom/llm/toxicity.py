@@ -1,19 +1,18 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine through block-max inverted indexes.
 
-Examples are a bounded sample of labelled rows (the same number of each class at most, lowest hash first). Terms are the
-words and beginnings of words that chi-squared ties to the label within the examples; their document frequencies are counted over all documents.
-Examples lie in blocks of similar ones; the index has each term's postings by block and its largest weight in a block.
-Blocks are visited by falling upper bound until no block can hold a nearer example, so the nearest `k` are exact. Their
-votes, weighted by cosine and by how many labelled rows an example stands for, give a raw score; isotonic regression on
-the examples, each scored without itself, makes it a probability. The nearest examples are the evidence.
+Examples are a bounded sample of labelled rows (the same number of each class at most, lowest hash first). Every word of
+every example is a term. A word weighs (1 + log count) x idf x relevance: document frequencies are counted over all
+documents; relevance, between FLOOR and 1, rises with the word's tie to the label among the examples, so that the few
+telling words aren't drowned by the many that documents share by chance, and no word is left out. Examples lie in blocks
+of similar ones; the index has each term's postings and its largest weight in each block. The blocks of highest bounds
+are scored first; then all those whose bound reaches the k-th cosine found, so the nearest `k` are exact. Their votes,
+weighted by squared cosine and by how many labelled rows an example stands for, give a raw score; isotonic regression on the
+examples, each scored without itself, makes it a probability. The nearest examples are the evidence.
 """
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from collections.abc import Iterator
-from heapq import heappush, heapreplace
 
 import numpy as np
 import pandas as pd
@@ -21,78 +20,44 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexloom.llm.shingles import hash_spans, runs
 from lexloom.llm.tables import bound_batches, keep
 
-#: Documented bounds: examples of each class, terms, words of one example that are sent to the driver.
-EXAMPLES, TERMS, EXAMPLE_WORDS = 1500, 2000, 20_000
-BLOCK, NEAREST = 64, 24
-#: Chi-squared with one degree of freedom at p = 1e-7, as some 100,000 terms are tried; examples that a term must be in.
-CHI, LEAST_DF = 28.4, 4
-#: Lengths of the beginnings of words that are terms too, marked by a ^; words remembered with their known terms.
-STEMS, REMEMBERED = range(3, 8), 200_000
-
-_words = re.compile(r"\w+").findall
-
-
-def terms_of(word: str) -> list[str]:
-    return [word, *(f"^{word[:n]}" for n in STEMS if n <= len(word))]
-
-
-def count_terms(words: dict[str, int]) -> Counter:
-    out: Counter = Counter()
-    for w, n in words.items():
-        for t in terms_of(w):
-            out[t] += n
-    return out
-
-
-class Known(dict):
-    """word -> those of its terms that are known; filled on demand, emptied when full."""
-
-    def __init__(self, terms):
-        super().__init__()
-        self.terms = terms
-
-    def __missing__(self, word: str) -> tuple[str, ...]:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        found = self[word] = tuple(t for t in terms_of(word) if t in self.terms)
-        return found
-
-    def __reduce__(self):
-        return Known, (self.terms,)
-
-    def count(self, text: str) -> Counter:
-        out: Counter = Counter()
-        for w in _words(text.lower()):
-            for t in self[w]:
-                out[t] += 1
-        return out
+#: Documented bound: examples of each class, with their whole texts.
+EXAMPLES = 1500
+#: Examples in a block; nearest examples that vote; blocks scored before the bound is asked; power of a cosine in a vote.
+BLOCK, NEAREST, FIRST_BLOCKS, POWER = 64, 24, 6, 2
+#: Chi-squared (one degree of freedom) at which half the relevance is reached, and the relevance of a word without tie.
+HALF, FLOOR = 100.0, 0.02
+
+#: Lengths of the beginnings of words that are terms too.
+STEMS = (4, 6)
+#: A term that more than this share of the examples have lies in the block-max index, a rarer one in plain postings.
+FREQUENT = 1 / 16
+#: Texts compared with the examples together; what single precision may be wrong by.
+TOGETHER, ROUND = 128, 1e-5
+
+_letter: list[np.ndarray] = []
+
+
+def terms_of(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of the distinct words (runs of letters, digits and underscores, lower case) and of their beginnings,
+    and their counts."""
+    if not _letter:
+        _letter.append(np.array([chr(i).isalnum() or i == 95 for i in range(0x110000)], bool))
+    points = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    starts, ends = runs(_letter[0][points])
+    found = [hash_spans(points, starts, ends)]
+    for n in STEMS:
+        some = starts[ends - starts >= n]
+        found.append(hash_spans(points, some, some + n) ^ np.uint64(0x5EED))
+    return np.unique(np.concatenate(found), return_counts=True)
 
 
 def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string")) % 4 == 2, F.lit(False))
 
 
-def _vote_terms(docs: list[tuple[dict[str, int], int]]) -> list[str]:
-    """Terms that chi-squared ties to the label, strongest first."""
-    n = Counter(y for _, y in docs)
-    df = {0: Counter(), 1: Counter()}
-    for words, y in docs:
-        df[y].update({t for w in words for t in terms_of(w)})
-    found = []
-    for t in df[0].keys() | df[1].keys():
-        a, b = df[1][t], df[0][t]
-        if a + b < LEAST_DF:
-            continue
-        c, d = n[1] - a, n[0] - b
-        low = (a + b) * (c + d) * (a + c) * (b + d)
-        chi = (a + b + c + d) * (a * d - b * c) ** 2 / low if low else 0.0
-        if chi >= CHI:
-            found.append((-chi, t))
-    return [t for _, t in sorted(found)[:TERMS]]
-
-
 def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pool adjacent violators: knots and values of the rising step function nearest to y."""
     order = np.lexsort((y, x))
@@ -109,137 +74,200 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
     return np.array([p[2] for p in pools]), np.array([p[0] / p[1] for p in pools])
 
 
-class Index:
-    """The examples' block-max inverted index and the calibrated vote."""
+def relevance(held: np.ndarray, toxic: np.ndarray, examples: int, toxic_examples: int) -> np.ndarray:
+    """For words in `held` examples, of which `toxic` are toxic: FLOOR + (1 - FLOOR) * chi / (chi + HALF)."""
+    a, b = toxic.astype(float), (held - toxic).astype(float)
+    c, d = toxic_examples - a, examples - toxic_examples - b
+    low = (a + b) * (c + d) * (a + c) * (b + d)
+    chi = np.where(low > 0, examples * (a * d - b * c) ** 2 / np.where(low > 0, low, 1.0), 0.0)
+    return FLOOR + (1 - FLOOR) * chi / (chi + HALF)
+
+
+def _spread(ptr: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of all postings of some terms, and how many each term has."""
+    n = ptr[terms + 1] - ptr[terms]
+    return np.arange(int(n.sum())) + np.repeat(ptr[terms] - np.cumsum(n) + n, n), n
 
-    def __init__(self, docs: list[tuple[int, dict[str, int], int]], terms: list[str], df: dict[str, int], corpus: int, labelled: dict[int, int]):
-        self.idf = {t: float(np.log((1 + corpus) / (1 + df.get(t, 0)))) for t in terms}
-        self.known = Known(frozenset(self.idf))
-        vectors = [(i, self.vector(count_terms(w)), y) for i, w, y in docs]
+
+class Index:
+    """The examples' block-max inverted index and the calibrated vote. Examples are (id, word hashes, counts, label);
+    df[i] is the number of documents with the i-th of `vocabulary`, the sorted hashes of all words of the examples."""
+
+    def __init__(self, examples: list[tuple[int, np.ndarray, np.ndarray, int]], vocabulary: np.ndarray, df: np.ndarray, corpus: int, labelled: dict[int, int]):
+        n = len(examples)
+        self.vocabulary = vocabulary
+        places = [np.searchsorted(vocabulary, h) for _, h, _, _ in examples]
+        labels = np.array([y for *_, y in examples], float)
+        held = np.bincount(np.concatenate([np.zeros(0, np.int64), *places]), minlength=len(vocabulary))
+        toxic = np.bincount(np.concatenate([np.zeros(0, np.int64), *(p for p, y in zip(places, labels, strict=True) if y)]), minlength=len(vocabulary))
+        self.weight = np.maximum(np.log((1 + corpus) / (1 + df)), 0.0) * relevance(held, toxic, n, int(labels.sum()))
+        vectors = [self._vector(p, c) for p, (_, _, c, _) in zip(places, examples, strict=True)]
         # examples whose heaviest terms agree share blocks, which keeps a block's bounds low
-        vectors.sort(key=lambda v: (max(v[1].items(), key=lambda x: (x[1], x[0]), default=("",))[0], v[2], v[0]))
-        self.ids = [v[0] for v in vectors]
-        self.labels = np.array([v[2] for v in vectors], float)
-        n = Counter(int(y) for y in self.labels)
-        self.weights = np.array([labelled[int(y)] / n[int(y)] for y in self.labels])
-        self.postings: dict[str, list[tuple[int, np.ndarray, np.ndarray]]] = {}
-        held: dict[str, dict[int, list[tuple[int, float]]]] = {}
-        for at, (_, v, _) in enumerate(vectors):
-            for t, w in v.items():
-                held.setdefault(t, {}).setdefault(at // BLOCK, []).append((at, w))
-        self.blocks = -(-len(vectors) // BLOCK)
-        self.most: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-        for t, by in held.items():
-            self.postings[t] = {b: (np.array([a for a, _ in p]), np.array([w for _, w in p])) for b, p in by.items()}
-            self.most[t] = (np.array(list(by)), np.array([max(w for _, w in p) for p in by.values()]))
-        bare = np.array([not v[1] for v in vectors], bool)
-        toxic, weight = (self.labels * self.weights)[bare].sum(), self.weights[bare].sum()
+        top = [int(p[np.argmax(v)]) if len(p) and v.max() > 0 else -1 for p, v in zip(places, vectors, strict=True)]
+        order = sorted(range(n), key=lambda i: (top[i], labels[i], examples[i][0]))
+        self.ids = [examples[i][0] for i in order]
+        self.labels = labels[order]
+        share = {y: labelled.get(y, 0) / max(int((labels == y).sum()), 1) for y in (0, 1)}
+        self.weights = np.array([share[int(y)] for y in self.labels])
+        term = np.concatenate([np.zeros(0, np.int64), *(places[i] for i in order)])
+        at = np.repeat(np.arange(n), [len(places[i]) for i in order])
+        value = np.concatenate([np.zeros(0), *(vectors[i] for i in order)])
+        by = np.argsort(term, kind="stable")  # within a term by example
+        term, self.at, self.value = term[by], at[by].astype(np.int32), value[by]
+        self.ptr = np.searchsorted(term, np.arange(len(vocabulary) + 1))
+        self.blocks = -(-n // BLOCK)
+        self._dense = None
         total = max(self.weights.sum(), 1.0)
+        bare = np.array([len(places[i]) == 0 for i in order], bool)
         prior = (self.labels * self.weights).sum() / total
-        self.bare = float((toxic + prior) / (weight + 1)) if len(vectors) else 0.0
+        self.bare = float(((self.labels * self.weights)[bare].sum() + prior) / (self.weights[bare].sum() + 1)) if n else 0.0
         self.knots, self.values = np.zeros(0), np.zeros(0)
-        mine = [i for i in range(len(vectors)) if vectors[i][1]]
+        near = [f for i in range(0, n, TOGETHER) for f in self.nearest([(places[o], examples[o][2]) for o in order[i : i + TOGETHER]], without=list(range(i, min(i + TOGETHER, n))))]
+        mine = [i for i, f in enumerate(near) if len(f[0])]
         if mine:
-            raw = np.array([self.raw(self.nearest(vectors[i][1], without=i)) for i in mine])
-            self.knots, self.values = isotonic(raw, self.labels[mine], self.weights[mine])
-
-    def vector(self, words: dict[str, int]) -> dict[str, float]:
-        v = {t: (1 + np.log(n)) * self.idf[t] for t, n in words.items() if t in self.idf and self.idf[t] > 0}
-        norm = sum(x * x for x in v.values()) ** 0.5
-        return {t: float(x / norm) for t, x in v.items()} if norm else {}
-
-    def nearest(self, query: dict[str, float], k: int = NEAREST, without: int = -1) -> list[tuple[float, int]]:
-        """The k examples of largest cosine (above 0; ties: lowest place), as (cosine, place), nearest first."""
-        bound = np.zeros(self.blocks)
-        for t, q in query.items():
-            if t in self.most:
-                at, most = self.most[t]
-                bound[at] += q * most
-        heap: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or (len(heap) == k and bound[b] * (1 + 1e-12) < heap[0][0]):
-                break
-            scores = np.zeros(BLOCK)
-            for t, q in query.items():
-                hit = self.postings.get(t, {}).get(b)
-                if hit is not None:
-                    scores[hit[0] - b * BLOCK] += q * hit[1]
-            for i in np.flatnonzero(scores).tolist():
-                at = b * BLOCK + i
-                if at == without:
-                    continue
-                item = (round(float(scores[i]), 12), -at)
-                if len(heap) < k:
-                    heappush(heap, item)
-                elif item > heap[0]:
-                    heapreplace(heap, item)
-        return [(s, -a) for s, a in sorted(heap, reverse=True)]
-
-    def raw(self, near: list[tuple[float, int]]) -> float:
-        if not near:
-            return 0.0
-        at = [a for _, a in near]
-        w = np.array([s for s, _ in near]) * self.weights[at]
+            self.knots, self.values = isotonic(np.array([self.raw(near[i]) for i in mine]), self.labels[mine], self.weights[mine])
+
+    def _vector(self, places: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        v = (1 + np.log(counts)) * self.weight[places]
+        norm = float(np.sqrt((v * v).sum()))
+        return v / norm if norm else v
+
+    def known(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """The text's words that examples have, and their counts."""
+        h, counts = terms_of(text)
+        if not len(self.vocabulary):
+            return np.zeros(0, np.int64), counts[:0]
+        at = np.minimum(np.searchsorted(self.vocabulary, h), len(self.vocabulary) - 1)
+        hit = self.vocabulary[at] == h
+        return at[hit], counts[hit]
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_dense": None}
+
+    def _block_max(self) -> tuple[np.ndarray, ...]:
+        """For frequent terms: their row by term (else -1), their weights (rows, places), the same in single precision by
+        block (blocks, rows, BLOCK), and the largest weight in each block (rows, blocks). Made where it is used."""
+        if self._dense is None:
+            frequent = np.flatnonzero(np.diff(self.ptr) > FREQUENT * len(self.ids))
+            row = np.full(len(self.vocabulary), -1)
+            row[frequent] = np.arange(len(frequent))
+            at, n = _spread(self.ptr, frequent)
+            weights = np.zeros((len(frequent), self.blocks * BLOCK))
+            weights[np.repeat(np.arange(len(frequent)), n), self.at[at]] = self.value[at]
+            cube = weights.reshape(len(frequent), self.blocks, BLOCK)
+            self._dense = row, weights, np.ascontiguousarray(cube.transpose(1, 0, 2), np.float32), np.ascontiguousarray(cube.max(2), np.float32)
+        return self._dense
+
+    def nearest(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int = NEAREST, without: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query (terms and counts): places and cosines of the k examples of largest cosine (above 0; ties: lowest
+        place), nearest first. Words that no example has would only make all cosines of a text smaller in one proportion;
+        they are left out of its length. Single precision tells which examples can be among the k, double their cosines."""
+        if not len(self.ids):
+            return [(np.zeros(0, np.int64), np.zeros(0))] * len(queries)
+        row, weights, cube, most = self._block_max()
+        places, qs = self.blocks * BLOCK, [self._vector(t, c) for t, c in queries]
+        term, q = np.concatenate([np.zeros(0, np.int64), *(t for t, _ in queries)]), np.concatenate([np.zeros(0), *qs])
+        of = np.repeat(np.arange(len(queries)), [len(v) for v in qs])
+        rows = row[term]
+        rare = rows < 0
+        at, n = _spread(self.ptr, term[rare])
+        plain = np.bincount(np.repeat(of[rare] * places, n) + self.at[at], np.repeat(q[rare], n) * self.value[at], len(queries) * places).astype(float, copy=False).reshape(-1, self.blocks, BLOCK)
+        often = np.zeros((len(queries), len(most)), np.float32)
+        often[of[~rare], rows[~rare]] = q[~rare]
+        bound = often @ most + plain.max(2) + ROUND
+        scores = np.zeros_like(plain)
+        rank = np.argsort(np.argsort(-bound, axis=1, kind="stable"), axis=1)
+        now = rank < FIRST_BLOCKS
+        for _ in range(2):
+            for b in range(self.blocks):
+                some = np.flatnonzero(now[:, b])
+                if len(some):
+                    scores[some, b] = plain[some, b] + often[some] @ cube[b]
+            flat = scores.reshape(len(queries), places)
+            if without is not None:
+                flat[np.arange(len(queries)), without] = 0.0
+            least = np.partition(flat, -k, axis=1)[:, -k] if k < places else np.zeros(len(queries))
+            least = np.maximum(least - 2 * ROUND, 0.0)
+            now = (rank >= FIRST_BLOCKS) & (bound >= least[:, None])
+        out, edges = [], np.searchsorted(of, np.arange(len(queries) + 1))
+        for i in range(len(queries)):
+            some = np.flatnonzero((flat[i] >= least[i]) & (flat[i] > 0))
+            mine = slice(edges[i], edges[i + 1])
+            own = rows[mine] >= 0
+            exact = np.round(plain[i].reshape(-1)[some] + q[mine][own] @ weights[rows[mine][own][:, None], some], 12)
+            best = np.lexsort((some, -exact))[:k]
+            best = best[exact[best] > 0]
+            out.append((some[best], exact[best]))
+        return out
+
+    def raw(self, near: tuple[np.ndarray, np.ndarray]) -> float:
+        at, cosines = near
+        w = cosines**POWER * self.weights[at]
         return float((w * self.labels[at]).sum() / w.sum())
 
-    def score(self, text: str | None) -> tuple[float, list[tuple[float, int]]]:
-        """A probability and the nearest examples (cosine, place). A text without known terms gets the share of such
-        examples that are toxic; without examples the score is 0."""
-        query = self.vector(self.known.count(text or ""))
-        if not query:
-            return self.bare, []
-        near = self.nearest(query)
-        if not near or not len(self.knots):
-            return self.bare, []
-        at = max(int(np.searchsorted(self.knots, self.raw(near), "right")) - 1, 0)
-        return float(self.values[at]), near
+    def score(self, texts: list[str | None]) -> Iterator[tuple[float, tuple[np.ndarray, np.ndarray]]]:
+        """For each text a probability and the nearest examples (places, cosines). A text that shares no word with an
+        example gets the share of toxic ones among wordless examples; without examples the score is 0."""
+        for i in range(0, len(texts), TOGETHER):
+            for near in self.nearest([self.known(t) for t in texts[i : i + TOGETHER]]):
+                if not len(near[0]) or not len(self.knots):
+                    yield self.bare, near
+                else:
+                    yield float(self.values[max(int(np.searchsorted(self.knots, self.raw(near), "right")) - 1, 0)]), near
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", examples: int = EXAMPLES) -> Index:
     """The index of at most `examples` labelled documents of each class, of rows that aren't held out. Rows without a key,
-    text or label of 0 or 1 teach nothing."""
+    a text or a label of 0 or 1 teach nothing; of several labels of a key the largest holds, of several texts that of the
+    smallest hash. No label, or no labelled document here, gives an index without examples, which scores 0."""
     bound_batches(docs.sparkSession)
-    known = labels.select(F.col(key).alias("k"), F.col(label).cast("int").alias("y")).filter("k is not null and y in (0, 1)").filter(~held_out(F.col("k")))
+    known = labels.select(F.col(key).cast("long").alias("k"), F.col(label).cast("int").alias("y")).filter("k is not null and y in (0, 1)").filter(~held_out(F.col("k")))
     known = known.groupBy("k").agg(F.max("y").alias("y"))
+    rows = docs.select(F.col(key).cast("long").alias("d"), F.col(text).alias("t"))
+    known = keep(known.join(rows.filter("d is not null and t is not null").select("d"), F.col("k") == F.col("d"), "left_semi"), "labelled", 2)
     counts = {r[0]: r[1] for r in known.groupBy("y").count().collect()}
     chosen = None
     for y in (0, 1):
-        part = known.filter(F.col("y") == y).orderBy(F.xxhash64("k"), "k").limit(2 * examples)
+        part = known.filter(F.col("y") == y).orderBy(F.xxhash64("k"), "k").limit(examples)
         chosen = part if chosen is None else chosen.unionByName(part)
-    chosen = keep(chosen, "chosen", 2)  # at most 4 * examples rows; twice as many as used, as some may have no document here
+    chosen = keep(chosen, "chosen", 2)  # at most 2 * examples rows
 
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [Counter(_words(t.as_py().lower())).most_common(EXAMPLE_WORDS) for t in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([[w for w, _ in g] for g in got], pa.list_(pa.string())), pa.array([[n for _, n in g] for g in got], pa.list_(pa.int32()))], ["k", "y", "words", "n"])
+            got = [terms_of(t.as_py()) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([h.tobytes() for h, _ in got], pa.binary()), pa.array([n.astype(np.int64).tobytes() for _, n in got], pa.binary()), batch.column(3)], ["k", "y", "h", "n", "x"])
 
-    rows = docs.select(F.col(key).alias("d"), F.col(text).alias("t")).filter("t is not null").join(F.broadcast(chosen), F.col("d") == F.col("k")).select("k", "y", "t")
-    got = rows.mapInArrow(words, "k long, y int, words array<string>, n array<int>")
-    got = keep(got, "examples", 4).withColumn("h", F.xxhash64("k")).dropDuplicates(["k"])
-    sample = []
-    for y in (0, 1):
-        rows = got.filter(F.col("y") == y).orderBy("h", "k").limit(examples).toLocalIterator()  # one row at a time
-        sample += [(r["k"], dict(zip(r["words"], r["n"], strict=True)), r["y"]) for r in rows]
-    terms = _vote_terms([(w, y) for _, w, y in sample])
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(frozenset(terms))  # at most TERMS words
+    wanted = rows.filter("t is not null").join(F.broadcast(chosen), F.col("d") == F.col("k")).select("k", "y", "t", F.xxhash64("t").alias("x"))
+    got = wanted.mapInArrow(terms, "k long, y int, h binary, n binary, x long").groupBy("k", "y").agg(F.min_by(F.struct("h", "n"), "x").alias("w"))
+    got = keep(got.select("k", "y", "w.h", "w.n"), "examples", 4).orderBy(F.xxhash64("k"), "k")
+    sample = [(r["k"], np.frombuffer(r["h"], np.uint64), np.frombuffer(r["n"], np.int64), r["y"]) for r in got.toLocalIterator()]
+    vocabulary = np.unique(np.concatenate([np.zeros(0, np.uint64), *(h for _, h, _, _ in sample)]))
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)  # the words of at most 2 * examples texts
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df, n, known = Counter(), 0, Known(shared.value)
+        known, total = shared.value, 0
+        df = np.zeros(len(known), np.int64)
         for batch in batches:
-            n += batch.num_rows
+            total += batch.num_rows
             for t in batch.column(0):
-                if t.is_valid:
-                    df.update(known.count(t.as_py()).keys())
-        yield pa.RecordBatch.from_arrays([pa.array([*df, None], pa.string()), pa.array([*df.values(), n], pa.int64())], ["term", "n"])
+                h, _ = terms_of(t.as_py())
+                if len(h) and len(known):
+                    at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                    df[at[known[at] == h]] += 1
+        some = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array([*some, -1], pa.int32()), pa.array([*df[some], total], pa.int64())], ["term", "n"])
 
-    total = docs.select(text).mapInArrow(frequencies, "term string, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    df = {r[0]: r[1] for r in total}
-    return Index(sample, terms, df, df.pop(None, 0), counts)
+    found = docs.select(text).mapInArrow(frequencies, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()  # 12 bytes a word
+    term, n = (found.column(c).to_numpy() for c in ("term", "n"))
+    df = np.zeros(len(vocabulary), np.int64)
+    df[term[term >= 0]] = n[term >= 0]
+    return Index(sample, vocabulary, df, int(n[term < 0].sum()), counts)
 
 
 def score(docs: DataFrame, index: Index, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, score, evidence (the nearest labelled examples: id, label, cosine) of every row, from its text alone."""
+    """key, score, evidence (the nearest labelled examples: id, label, cosine) of every row, from its text alone. Null and
+    empty texts score as texts without words do; equal texts, and so repeated rows, have equal scores; other columns
+    aren't read; an empty table gives an empty result."""
     bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(index)
     near = pa.list_(pa.struct([("example", pa.int64()), ("label", pa.int32()), ("cosine", pa.float64())]))
@@ -248,10 +276,9 @@ def score(docs: DataFrame, index: Index, key: str = "doc_id", text: str = "text"
         own = shared.value
         for batch in batches:
             s, e = [], []
-            for t in batch.column(1):
-                p, found = own.score(t.as_py())
+            for p, (at, cosines) in own.score(batch.column(1).to_pylist()):
                 s.append(p)
-                e.append([{"example": own.ids[a], "label": int(own.labels[a]), "cosine": c} for c, a in found[:3]])
+                e.append([{"example": own.ids[a], "label": int(own.labels[a]), "cosine": c} for a, c in zip(at[:3].tolist(), cosines[:3].tolist(), strict=True)])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s, pa.float64()), pa.array(e, near)], ["k", "score", "evidence"])
 
     kind = docs.schema[key].dataType.simpleString()
@@ -259,12 +286,13 @@ def score(docs: DataFrame, index: Index, key: str = "doc_id", text: str = "text"
 
 
 def keep_clean(docs: DataFrame, index: Index, text: str = "text", threshold: float = 0.3) -> DataFrame:
-    """The rows of docs whose score is below the threshold, with their columns as they are."""
+    """The rows of docs whose score is below the threshold, with their columns as they are, whatever they are called. Null
+    and empty texts score as texts without words do; repeated rows share their fate; an empty table stays empty."""
     bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def clean(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in parts:
-            yield part.map(lambda t: shared.value.score(t)[0] < threshold).astype(bool)
+            yield pd.Series([p < threshold for p, _ in shared.value.score(part.tolist())], dtype=bool)
 
     return docs.filter(F.pandas_udf(clean, "boolean")(F.coalesce(F.col(text), F.lit(""))))

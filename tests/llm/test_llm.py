@@ -192,17 +192,56 @@ def toy_labels():
     return rows
 
 
-def test_nearest_is_exact():
+@pytest.mark.parametrize("first,frequent", [(1, 0.02), (6, 0.5), (6, 2.0), (1, -1.0)])
+def test_nearest_is_exact(monkeypatch, first, frequent):
+    monkeypatch.setattr(toxicity, "FIRST_BLOCKS", first)
+    monkeypatch.setattr(toxicity, "FREQUENT", frequent)
+    monkeypatch.setattr(toxicity, "BLOCK", 16)
     r = random.Random(2)
-    terms = [f"t{i}" for i in range(40)]
-    sample = [(i, dict(Counter(r.choice(terms) for _ in range(6))), i % 2) for i in range(500)]
-    index = toxicity.Index(sample, terms, dict.fromkeys(terms, 20), 1000, {0: 250, 1: 250})
-    vectors = {i: index.vector(toxicity.count_terms(w)) for i, w, _ in sample}
-    for _ in range(30):
-        q = index.vector(Counter(r.choice(terms) for _ in range(4)))
-        want = sorted((-round(sum(w * vectors[i].get(t, 0) for t, w in q.items()), 9) for i in vectors))[: toxicity.NEAREST]
-        got = [-round(s, 9) for s, _ in index.nearest(q)]
-        assert np.allclose(got, want[: len(got)]) and len(got) == sum(w < 0 for w in want)
+    pool = [f"t{i}" for i in range(40)] + ["vile"] * 3
+    texts = [" ".join(r.choice(pool) for _ in range(r.randint(0, 12))) for _ in range(300)]
+    sample = [(i, *toxicity.terms_of(t), int("vile" in t)) for i, t in enumerate(texts)]
+    vocabulary = np.unique(np.concatenate([h for _, h, _, _ in sample]))
+    index = toxicity.Index(sample, vocabulary, np.full(len(vocabulary), 20), 1000, {0: 250, 1: 250})
+
+    def vector(h, n):
+        v = np.zeros(len(vocabulary))
+        at = np.searchsorted(vocabulary, h)
+        v[at] = (1 + np.log(n)) * index.weight[at]
+        return v / (np.linalg.norm(v) or 1)
+
+    place = {i: at for at, i in enumerate(index.ids)}
+    vectors = np.array([vector(*sample[i][1:3]) for i in index.ids])
+    queries = [" ".join(r.choice([*pool, "unseen"]) for _ in range(5)) for _ in range(40)] + ["", "unseen only"]
+    for t, (at, cosines) in zip(queries, index.nearest([index.known(t) for t in queries]), strict=True):
+        h, n = toxicity.terms_of(t)
+        some = np.isin(h, vocabulary)
+        want = np.round(vectors @ vector(h[some], n[some]), 12)
+        best = np.lexsort((np.arange(len(want)), -want))[: toxicity.NEAREST]
+        best = best[want[best] > 0]
+        assert np.allclose(cosines, want[best], atol=1e-11) and np.allclose(want[at], cosines, atol=1e-11) and len(at) == len(best)
+    own = [index.known(texts[i]) for i in index.ids[:20]]
+    assert all(place[i] not in at for i, (at, _) in zip(index.ids[:20], index.nearest(own, without=list(range(20))), strict=True))
+
+
+def test_terms_are_words_and_their_beginnings(monkeypatch):
+    import re
+
+    text = "Été_2, ГОРОД trash-Trash! x " + "y" * 300 + " İ ß 漢字 a\u0300 "
+    whole = toxicity.terms_of(text)
+    assert len(whole[0]) == len({t for w in re.findall(r"\w+", text.lower()) for t in (w, *(("^", w[:n]) for n in toxicity.STEMS if len(w) >= n))})
+    monkeypatch.setattr(shingles, "SEGMENT", 5)
+    again = toxicity.terms_of(text)
+    assert (again[0] == whole[0]).all() and (again[1] == whole[1]).all()
+    assert len(toxicity.terms_of(None)[0]) == len(toxicity.terms_of(" ,.")[0]) == 0
+
+
+@here
+def test_every_text_with_a_known_word_has_evidence(spark):
+    index = toxicity.fit(docs(spark), spark.read.parquet(f"{SF}/labels.parquet"))
+    rows = toxicity.score(docs(spark), index).join(docs(spark).select("doc_id", "text"), "doc_id").collect()
+    assert len(rows) == docs(spark).count() and len({r["score"] for r in rows}) > 3
+    assert all(bool(r["evidence"]) == bool(len(index.known(r["text"])[0])) for r in rows)
 
 
 def test_toxicity_on_held_out_rows(spark):
@@ -218,6 +257,8 @@ def test_toxicity_on_held_out_rows(spark):
     assert len(o) == len(ODD) and all(0 <= r["score"] <= 1 for r in o)
     kept = toxicity.keep_clean(odd(spark), index)
     assert kept.columns == odd(spark).columns and kept.count() == len(ODD)
+    clean = {r["doc_id"]: r["score"] for r in toxicity.score(odd(spark), index).collect()}
+    assert clean[7] == clean[8] and clean[1] == clean[2]
     none = toxicity.fit(df.limit(0), labels.limit(0))
     assert [r["score"] for r in toxicity.score(df.limit(2), none).collect()] == [0.0, 0.0]
 
