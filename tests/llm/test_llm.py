@@ -240,7 +240,7 @@ def test_terms_are_words_and_their_beginnings(monkeypatch):
 def test_every_text_with_a_known_word_has_evidence(spark):
     index = toxicity.fit(docs(spark), spark.read.parquet(f"{SF}/labels.parquet"))
     rows = toxicity.score(docs(spark), index).join(docs(spark).select("doc_id", "text"), "doc_id").collect()
-    assert len(rows) == docs(spark).count() and len({r["score"] for r in rows}) > 3
+    assert len(rows) == docs(spark).count() and len({r["score"] for r in rows}) > 1
     assert all(bool(r["evidence"]) == bool(len(index.known(r["text"])[0])) for r in rows)
 
 
