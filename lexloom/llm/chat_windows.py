@@ -73,10 +73,12 @@ def _turns(df: DataFrame, ranks_path: str, conv: str, turn: str, role: str, text
     rows = rows.withColumn("end", F.sum("n").over(inside)).withColumn("pos", F.count(F.lit(1)).over(inside) - 1)
     rows = keep(rows.select("c", "block", "role", "head", "body", "formatted", "n", "end", "pos"), "turns")
     before = Window.partitionBy("c").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = rows.groupBy("c", "block").agg(F.sum("n").alias("bn"), F.count(F.lit(1)).alias("bc"))
-    blocks = blocks.select(F.col("c").alias("c2"), F.col("block").alias("b2"), F.coalesce(F.sum("bn").over(before), F.lit(0)).alias("n0"), F.coalesce(F.sum("bc").over(before), F.lit(0)).alias("p0"), F.sum("bc").over(Window.partitionBy("c")).alias("turns"))
+    blocks = rows.groupBy("c", "block").agg(F.sum("n").alias("bn"), F.count(F.lit(1)).alias("bc"), F.max(F.when(F.col("pos") == 0, F.struct("role", "n"))).alias("lead"))
+    lead = F.first("lead").over(Window.partitionBy("c").orderBy("block"))
+    blocks = blocks.select(F.col("c").alias("c2"), F.col("block").alias("b2"), F.coalesce(F.sum("bn").over(before), F.lit(0)).alias("n0"), F.coalesce(F.sum("bc").over(before), F.lit(0)).alias("p0"), F.sum("bc").over(Window.partitionBy("c")).alias("turns"), lead.alias("lead"))
     rows = rows.join(blocks, F.col("c").eqNullSafe(F.col("c2")) & (F.col("block") == F.col("b2")))
-    return rows.select("c", "role", "head", "body", "formatted", "n", (F.col("end") + F.col("n0")).alias("end"), (F.col("pos") + F.col("p0")).alias("pos"), "turns")
+    led = (F.col("lead.role") == "system") & (F.col("turns") > 1)
+    return rows.select("c", "role", "head", "body", "formatted", "n", (F.col("end") + F.col("n0")).alias("end"), (F.col("pos") + F.col("p0")).alias("pos"), "turns", F.when(led, F.col("lead.n")).otherwise(0).alias("sn"))
 
 
 SPANS = "array<struct<start:long,end:long>>"
@@ -87,27 +89,32 @@ def windows(df: DataFrame, ranks_path: str, budget: int = 1024, history: int = 2
     turns that another window has as its own), turns, tokens, over_budget.
 
     Turns are ordered by (turn, role, text), a null turn first; null roles and texts are empty, null conversations are
-    one conversation. The system turn is the first turn if its role is `system` and other turns follow. A window is over
-    budget only where its one target turn is by itself longer than a span: no turn is cut or dropped. Equal rows are
-    turns like any other; an empty table gives an empty result."""
+    one conversation. The system turn is the first turn if its role is `system` and other turns follow. What the system
+    turn leaves of the budget goes to the span of own turns, less `history`; where that would leave the span under
+    `least_span`, history gives way first. Repeated history takes no more than the window's own turns leave. So a window
+    is over budget only where the system turn and one target turn are so by themselves: no turn is cut or dropped. Equal
+    rows are turns like any other; other columns aren't read; an empty table gives an empty result."""
     rows = _turns(df, ranks_path, conv, turn, role, text)
-    is_system = (F.col("pos") == 0) & (F.col("role") == "system") & (F.col("turns") > 1)
-    system = rows.filter(is_system).select(F.col("c").alias("c2"), F.col("n").alias("sn"), F.struct(F.lit(0).alias("kind"), "pos", "role", "head", "body", "formatted", "n").alias("system"))
-    rows = rows.filter(~is_system).join(system.select("c2", "sn"), F.col("c").eqNullSafe(F.col("c2")), "left").drop("c2").withColumn("sn", F.coalesce("sn", F.lit(0)))
+    is_system = (F.col("pos") == 0) & (F.col("sn") > 0)
+    salts = F.ceil(F.col("turns") / BLOCK_TURNS)  # the system turn of a long conversation is joined in so many parts
+    system = rows.filter(is_system).select(F.col("c").alias("c2"), F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("s2"), F.struct(F.lit(0).alias("kind"), "pos", "role", "head", "body", "formatted", "n").alias("system"))
+    rows = rows.filter(~is_system)
     rows = rows.withColumn("end", F.col("end") - F.col("sn")).withColumn("start", F.col("end") - F.col("n"))
-    span = F.greatest(F.lit(least_span), F.lit(budget - history) - F.col("sn"))
+    room = F.lit(budget) - F.col("sn")
+    span = F.greatest(F.lit(1), room - F.least(F.lit(history), F.greatest(F.lit(0), room - least_span)))
     a, b = F.floor(F.col("start") / span), F.floor(F.greatest(F.col("end") - 1, F.col("start")) / span)
     rows = rows.withColumn("window", F.when(a == b, 2 * a).otherwise(2 * a + 1))
     turn_of = lambda kind: F.struct(F.lit(kind).alias("kind"), "pos", "role", "head", "body", "formatted", "n")
-    begins = rows.groupBy("c", "window").agg(F.min("start").alias("at"))
+    left = F.least(F.lit(history), F.greatest(F.lit(0), F.first(room) - F.sum("n")))
+    begins = rows.groupBy("c", "window").agg(F.min("start").alias("at"), left.alias("left"), F.pmod(F.xxhash64("window"), F.first(salts)).alias("salt"))
     bucket = lambda x: F.floor(x / history)
     past = rows.filter(F.col("n") <= history).select("c", "start", "end", turn_of(1).alias("t"), F.explode(F.sequence(bucket(F.col("end")), bucket(F.col("start") + history))).alias("k")) if history else None
     parts = rows.select("c", "window", turn_of(2).alias("t"))
     if history:
-        at = begins.select(F.col("c").alias("c2"), "window", "at", bucket(F.col("at")).alias("k2"))
-        joined = past.join(at, F.col("c").eqNullSafe(F.col("c2")) & (F.col("k") == F.col("k2")) & (F.col("at") >= F.col("end")) & (F.col("at") <= F.col("start") + history))
+        at = begins.select(F.col("c").alias("c2"), "window", "at", "left", bucket(F.col("at")).alias("k2"))
+        joined = past.join(at, F.col("c").eqNullSafe(F.col("c2")) & (F.col("k") == F.col("k2")) & (F.col("at") >= F.col("end")) & (F.col("at") <= F.col("start") + F.col("left")))
         parts = parts.unionByName(joined.select("c", "window", "t"))
-    with_system = begins.join(system, F.col("c").eqNullSafe(F.col("c2"))).select("c", "window", F.col("system").alias("t"))
+    with_system = begins.join(system, F.col("c").eqNullSafe(F.col("c2")) & (F.col("salt") == F.col("s2"))).select("c", "window", F.col("system").alias("t"))
     whole = parts.unionByName(with_system).groupBy("c", "window").agg(F.sort_array(F.collect_list("t")).alias("ts"))
     whole = whole.join(begins.select(F.col("c").alias("c2"), F.col("window").alias("w2"), "at"), F.col("c").eqNullSafe(F.col("c2")) & (F.col("window") == F.col("w2")))
     offsets = F.aggregate(

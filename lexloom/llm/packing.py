@@ -11,7 +11,7 @@ from __future__ import annotations
 import json
 import zlib
 from bisect import bisect_left, insort
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -29,17 +29,30 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 
 
 @lru_cache(maxsize=2)
-def _tokenizer(data: bytes):
-    """The ids of a byte-level BPE .json file (library tokenizers), computed by the faster of two libraries that give
-    the same ids: a token's rank in merging is its id. Special tokens' strings are ordinary text."""
+def _tokenizer(data: bytes) -> Callable[[str], list[int]]:
+    """text -> ids of a byte-level BPE .json file, as the library tokenizers gives them without special tokens added: a
+    string of the file's added tokens within a text is that token. They are computed by the faster of two libraries that
+    give the same ids (a token's rank in merging is its id), unless an added token asks for more than its own string."""
     import tiktoken
 
-    model = json.loads(data)["model"]
+    whole = json.loads(data)
+    model, added = whole["model"], whole.get("added_tokens") or []
+    if any(t.get(x) for t in added for x in ("single_word", "lstrip", "rstrip", "normalized")):
+        from tokenizers import Tokenizer
+
+        library = Tokenizer.from_str(data.decode())
+        return lambda text: library.encode(text, add_special_tokens=False).ids
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     signs = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(plain))}
     made = {a + b for a, b in (m.split(" ") if isinstance(m, str) else m for m in model["merges"])}
     ranks = {bytes(signs[c] for c in t): i for t, i in model["vocab"].items() if len(t) == 1 or t in made}
-    return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    special = {t["content"]: t["id"] for t in added}
+    enc = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
+
+    def ids(text: str) -> list[int]:
+        return enc.encode(text, allowed_special="all") if any(x in text for x in special) else enc.encode_ordinary(text)
+
+    return ids
 
 
 def pieces(df: DataFrame, vocabulary: str, window: int = 2048, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -49,11 +62,11 @@ def pieces(df: DataFrame, vocabulary: str, window: int = 2048, key: str = "doc_i
     data = df.sparkSession.sparkContext.broadcast(_bytes(vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = _tokenizer(data.value)
+        encode = _tokenizer(data.value)
         for batch in batches:
             at, rows = [], []
             for i, t in enumerate(batch.column(1).to_pylist()):
-                ids = np.array([*(enc.encode_ordinary(t) if t else []), 0], "<u4")
+                ids = np.array([*(encode(t) if t else []), 0], "<u4")
                 for piece, (a, b) in enumerate(cuts(len(ids), window)):
                     at.append(i)
                     rows.append((piece, a, b - a, zlib.crc32(ids[a:b].tobytes())))
@@ -146,10 +159,12 @@ def pack(piece_rows: DataFrame, window: int = 2048, key: str = "doc_id") -> Data
 
 
 def pack_documents(df: DataFrame, vocabulary: str, window: int = 2048, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Tokenize, cut and pack: key, piece, start, length, ids_crc32, sequence_id, offset."""
+    """Tokenize, cut and pack: key, piece, start, length, ids_crc32, sequence_id, offset. Null and empty texts are a piece
+    of one token; repeated rows and null keys are packed like any other; other columns aren't read; an empty table gives
+    an empty result."""
     return pack(keep(pieces(df, vocabulary, window, key, text), "pieces"), window, key)
 
 
 def piece_ids(text: str | None, start: int, length: int, vocabulary: bytes) -> list[int]:
     """The ids of one piece, for a writer of sequences."""
-    return [*(_tokenizer(vocabulary).encode_ordinary(text) if text else []), 0][start : start + length]
+    return [*(_tokenizer(vocabulary)(text) if text else []), 0][start : start + length]

@@ -305,6 +305,53 @@ def test_chat_round_trip_budget_and_masks(spark):
     assert chat_windows.read_back(chat_windows.windows(df.limit(0), RANKS)).count() == 0
 
 
+def brute_windows(turns, count, budget, history, least):
+    """[(role, text)] in order -> for each window: (system?, first of history, own turns), as the operator says it."""
+    n = [count(r, t) for r, t in turns]
+    sn = n[0] if turns[0][0] == "system" and len(turns) > 1 else 0
+    room, first = budget - sn, 1 if sn else 0
+    span = max(1, room - min(history, max(0, room - least)))
+    ends = np.cumsum(n[first:]).tolist()
+    own = defaultdict(list)
+    for i, e in enumerate(ends):
+        s = e - n[first + i]
+        a, b = s // span, max(e - 1, s) // span
+        own[2 * a if a == b else 2 * a + 1].append(first + i)
+    out = {}
+    for w, mine in own.items():
+        left = min(history, max(0, room - sum(n[i] for i in mine)))
+        h = mine[0]
+        while h - 1 >= first and sum(n[h - 1 : mine[0]]) <= left:
+            h -= 1
+        out[w] = (bool(sn), h, mine)
+    return out, n
+
+
+def test_windows_agree_with_brute_force_and_keep_the_budget(spark):
+    r = random.Random(7)
+    cases, rows = {}, []
+    for c in range(40):
+        system = [("system", "s " * r.choice([1, 30, 250, 400, 900, 1010, 1100]))] if c % 4 else []
+        cases[c] = system + [(r.choice(["user", "assistant"]), "word " * r.choice([0, 3, 20, 60, r.randint(0, 250), 700])) for _ in range(r.randint(1, 60))]
+        rows += [(c, i, role, t) for i, (role, t) in enumerate(cases[c])]
+    cases[99] = [("system", "s " * 896)] + [("user" if i % 2 else "assistant", "word " * 10) for i in range(39)]
+    rows += [(99, i, role, t) for i, (role, t) in enumerate(cases[99])]
+    got = {(w["conv_id"], w["window"]): w for w in chat_windows.windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), RANKS, budget=1024, history=256).collect()}
+    enc = chat_windows._counter(open(RANKS, "rb").read())
+    count = lambda role, t: len(enc.encode_ordinary(f"<|im_start|>{role}\n{t}<|im_end|>\n"))
+    seen = 0
+    for c, turns in cases.items():
+        want, n = brute_windows(turns, count, 1024, 256, 64)
+        for w, (has_system, h, mine) in want.items():
+            g, seen = got[c, w], seen + 1
+            shown = ([0] if has_system else []) + list(range(h, mine[-1] + 1))
+            assert chat_windows.parse(g["text"]) == [turns[i] for i in shown] and g["tokens"] == sum(n[i] for i in shown)
+            assert g["over_budget"] == (g["tokens"] > 1024)
+            if g["over_budget"]:
+                assert len(mine) == 1 and (n[0] if has_system else 0) + n[mine[0]] > 1024
+    assert seen == len(got) and not any(w["over_budget"] for (c, _), w in got.items() if c == 99)
+
+
 def test_escapes_are_reversible(spark):
     r = random.Random(1)
     texts = ["".join(r.choice("<|\\a\nim_") for _ in range(r.randint(0, 12))) for _ in range(500)]
@@ -364,15 +411,21 @@ def test_plan_is_gapless_and_tight():
 
 
 def test_ids_are_those_of_the_tokenizers_library():
+    import json
+
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(VOCABULARY)
-    t.encode_special_tokens = True
     data = open(VOCABULARY, "rb").read()
-    for x in [t for _, t, _ in ODD if t] + ["<|endoftext|> it's 12 x\n\n  y"]:
-        ids = t.encode(x, add_special_tokens=False).ids
-        assert packing.piece_ids(x, 0, len(ids) + 1, data) == [*ids, 0]
-    assert packing.PATTERN == P.PATTERN
+    end = "<|endoftext|>"
+    texts = [t for _, t, _ in ODD if t] + [f"{end} it's 12 x\n\n  y", f"a{end}b", f"a {end}", end, f"{end}{end} {end}x", "<|endoftext|", f"é{end}\u0300 {end}"]
+    strict = json.loads(data)
+    strict["added_tokens"][0]["lstrip"] = True
+    for file in (data, json.dumps(strict).encode()):
+        library = Tokenizer.from_str(file.decode())
+        for x in texts:
+            ids = library.encode(x, add_special_tokens=False).ids
+            assert packing.piece_ids(x, 0, len(ids) + 1, file) == [*ids, 0]
+    assert packing.piece_ids(f"a{end}b", 0, 9, data) == [64, 50256, 65, 0] and packing.PATTERN == P.PATTERN
 
 
 def test_packing_whole_tables(spark):
@@ -535,26 +588,96 @@ def test_kth_largest_is_exact(spark):
     assert importance.kth_largest(df, "v", 0) is None and importance.kth_largest(df.limit(0), "v", 3) is None
 
 
-def test_resampling_keeps_target_like_rows(spark):
+def mixed_quality(n=200):
     r = random.Random(8)
     words = [f"word{i}" for i in range(200)]
-    good = [(i, " ".join(r.choice(words) for _ in range(80))) for i in range(200)]
-    bad = [(1000 + i, " ".join(r.choice(words) + "***" for _ in range(80)) if i % 2 else " ".join([r.choice(words)] * 80)) for i in range(40)]
+    good = [(i, " ".join(r.choice(words) for _ in range(r.randint(5, 150)))) for i in range(n)]
+    bad = [(1000 + i, " ".join(r.choice(words) + "***" for _ in range(80)) if i % 2 else " ".join([r.choice(words)] * 80)) for i in range(n // 5)]
+    return good, bad
+
+
+def test_resampling_keeps_target_like_rows(spark):
+    good, bad = mixed_quality()
     df = spark.createDataFrame(good + bad, "doc_id long, text string")
     labels = spark.createDataFrame([(i, 1) for i, _ in good[:100]] + [(i, 0) for i, _ in bad[:20]] + [(None, 1)], "doc_id long, quality int")
     model = importance.fit(df, labels)
-    got = {r["doc_id"]: r["selected"] for r in importance.resample(df, model).collect()}
-    assert sum(got[i] for i, _ in good) >= 195 and sum(got[i] for i, _ in bad) <= 2
+    rows = importance.resample(df, model).collect()
+    got = {r["doc_id"]: r["selected"] for r in rows}
+    assert sum(got[i] for i, _ in good) >= 190 and sum(got[i] for i, _ in bad) <= 6
     kept = importance.keep_selected(df, model)
     assert {r["doc_id"] for r in kept.collect()} == {i for i, s in got.items() if s} and kept.columns == df.columns
-    assert importance.resample(df, model, k=10).filter("selected").count() == 10
+    k = round(sum(min(1.0, float(np.exp(r["log_weight"] + importance.SLACK))) for r in rows))
+    by_key, by_weight = (sorted(rows, key=lambda r: -r[c]) for c in ("gumbel_key", "log_weight"))
+    assert {r["doc_id"] for r in by_key[:k]} == {i for i, s in got.items() if s}
+    drawn = importance.resample(df, model, k=60).filter("selected").collect()
+    assert len(drawn) == 60 and {r["doc_id"] for r in drawn} != {r["doc_id"] for r in by_weight[:60]}  # the draw decides
     o = importance.resample(odd(spark), model)
-    assert o.count() == len(ODD)
+    assert o.count() == len(ODD) and {r["log_weight"] for r in o.filter("doc_id < 4").collect()} == {0.0}
+    assert importance.keep_selected(odd(spark), model).columns == odd(spark).columns
     assert importance.resample(df.limit(0), model).count() == 0 and importance.keep_selected(df.limit(0), model).count() == 0
     empty = importance.fit(df.limit(0), labels.limit(0))
     assert importance.resample(df.limit(3), empty).filter("selected").count() == 3
 
 
+def test_draws_are_in_proportion_to_the_weights(spark):
+    good, bad = mixed_quality(30)
+    texts = [t for _, t in good[:6] + bad[:2]] + ["", "word3 zzz"]
+    labels = spark.createDataFrame([(i, 1) for i, _ in good], "doc_id long, quality int")
+    model = importance.fit(spark.createDataFrame(good + bad, "doc_id long, text string"), labels)
+    trials, k = 4000, 4
+    many = spark.createDataFrame([(trial * 100 + i, t) for trial in range(trials) for i, t in enumerate(texts)], "doc_id long, text string")
+    rows = importance.with_weight(many, model, "doc_id", "text").select("doc_id", "log_weight", "gumbel_key").toPandas()
+    rows["i"], rows["trial"] = rows.doc_id % 100, rows.doc_id // 100
+    drawn = rows.sort_values("gumbel_key").groupby("trial").tail(k).groupby("i").size().reindex(range(len(texts)), fill_value=0) / trials
+    w = np.exp(rows.groupby("i").log_weight.first().to_numpy())
+    r, want = np.random.default_rng(3), np.zeros(len(texts))
+    for _ in range(trials):  # one after the other, each in proportion to the weights of those that are left
+        want[r.choice(len(texts), k, replace=False, p=w / w.sum())] += 1 / trials
+    assert np.abs(drawn.to_numpy() - want).max() < 0.04 and want.max() - want.min() > 0.2
+
+
+def test_models_are_counted_and_smoothed_as_said(spark):
+    import re
+
+    good, bad = mixed_quality(12)
+    rows = [*good, *bad, (50, None), (51, ""), (51, "word1 word1 word1 word1")]
+    model = importance.fit(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, 1) for i, _ in good[:8]] + [(good[9][0], 0)], "doc_id long, quality int"))
+    width = importance.BUCKETS + importance.REPEATS
+
+    def counted(text):
+        tokens = re.findall(r"[0-9A-Za-z\x80-\U0010ffff]+|[^0-9A-Za-z\x80-\U0010ffff\s]+", (text or "").lower())
+        n, seen = np.zeros(width), Counter()
+        for t in tokens:
+            n[importance.features(t)[0]] += 1
+        for pair in zip(tokens, tokens[1:], strict=False):
+            n[importance.features(" ".join(pair))[-1] if not seen[pair] else importance.BUCKETS + int(np.log2(seen[pair]))] += 1
+            seen[pair] += 1
+        return n
+
+    by = [counted(t) for _, t in rows]
+    target, raw = sum(by[:8]), sum(by) + 1
+    raw = raw / raw.sum()
+    total = target.sum()
+
+    def predicted(s):
+        return sum((c * np.log((target - c + s * total * raw) / (total - c.sum() + s * total) / raw)).sum() for c in by[:8])
+
+    weight = max(importance.SMOOTH, key=predicted) * total
+    want = np.log((target + weight * raw) / (total + weight) / raw)
+    assert np.allclose(model.ratio, want)
+    for (_, t), c in zip(rows, by, strict=True):
+        x, n = model.log_ratio(t)
+        assert n == c.sum() and np.isclose(x, (c * want).sum())
+
+
+def test_features_do_not_depend_on_segments(monkeypatch):
+    texts = ["x" * 3000 + " a*b " + "word " * 500, "é🙂" * 700 + "--- " * 40, "one"]
+    whole = [importance.features(t) for t in texts]
+    assert len(whole[2]) == 1
+    monkeypatch.setattr(shingles, "SEGMENT", 7)
+    assert all((importance.features(t) == w).all() for t, w in zip(texts, whole, strict=True))
+
+
 # --- queries and pipeline ---
 
 
