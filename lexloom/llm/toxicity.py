@@ -34,8 +34,8 @@ HALF, FLOOR = 100.0, 0.02
 STEMS = (4, 6)
 #: A term that more than this share of the examples have lies in the block-max index, a rarer one in plain postings.
 FREQUENT = 1 / 16
-#: Texts compared with the examples together; what single precision may be wrong by.
-TOGETHER, ROUND = 128, 1e-5
+#: Texts compared with the examples together.
+TOGETHER = 128
 
 _letter: list[np.ndarray] = []
 
@@ -85,8 +85,12 @@ def relevance(held: np.ndarray, toxic: np.ndarray, examples: int, toxic_examples
 
 def _spread(ptr: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The places of all postings of some terms, and how many each term has."""
-    n = ptr[terms + 1] - ptr[terms]
-    return np.arange(int(n.sum())) + np.repeat(ptr[terms] - np.cumsum(n) + n, n), n
+    first = ptr[terms]
+    n = ptr[terms + 1] - first
+    ends = np.cumsum(n)
+    at = np.repeat(first - ends + n, n)
+    at += np.arange(len(at))
+    return at, n
 
 
 class Index:
@@ -145,8 +149,8 @@ class Index:
         return self.__dict__ | {"_dense": None}
 
     def _block_max(self) -> tuple[np.ndarray, ...]:
-        """For frequent terms: their row by term (else -1), their weights (rows, places), the same in single precision by
-        block (blocks, rows, BLOCK), and the largest weight in each block (rows, blocks). Made where it is used."""
+        """For frequent terms: their row by term (else -1), their weights by block (blocks, rows, BLOCK), and the largest
+        weight in each block (rows, blocks). Made where it is used."""
         if self._dense is None:
             frequent = np.flatnonzero(np.diff(self.ptr) > FREQUENT * len(self.ids))
             row = np.full(len(self.vocabulary), -1)
@@ -155,49 +159,52 @@ class Index:
             weights = np.zeros((len(frequent), self.blocks * BLOCK))
             weights[np.repeat(np.arange(len(frequent)), n), self.at[at]] = self.value[at]
             cube = weights.reshape(len(frequent), self.blocks, BLOCK)
-            self._dense = row, weights, np.ascontiguousarray(cube.transpose(1, 0, 2), np.float32), np.ascontiguousarray(cube.max(2), np.float32)
+            self._dense = row, np.ascontiguousarray(cube.transpose(1, 0, 2)), cube.max(2)
         return self._dense
 
     def nearest(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int = NEAREST, without: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each query (terms and counts): places and cosines of the k examples of largest cosine (above 0; ties: lowest
         place), nearest first. Words that no example has would only make all cosines of a text smaller in one proportion;
-        they are left out of its length. Single precision tells which examples can be among the k, double their cosines."""
+        they are left out of its length."""
         if not len(self.ids):
             return [(np.zeros(0, np.int64), np.zeros(0))] * len(queries)
-        row, weights, cube, most = self._block_max()
+        row, cube, most = self._block_max()
         places, qs = self.blocks * BLOCK, [self._vector(t, c) for t, c in queries]
         term, q = np.concatenate([np.zeros(0, np.int64), *(t for t, _ in queries)]), np.concatenate([np.zeros(0), *qs])
         of = np.repeat(np.arange(len(queries)), [len(v) for v in qs])
         rows = row[term]
         rare = rows < 0
-        at, n = _spread(self.ptr, term[rare])
-        plain = np.bincount(np.repeat(of[rare] * places, n) + self.at[at], np.repeat(q[rare], n) * self.value[at], len(queries) * places).astype(float, copy=False).reshape(-1, self.blocks, BLOCK)
-        often = np.zeros((len(queries), len(most)), np.float32)
+        plain, edges = np.zeros((len(queries), places)), np.searchsorted(of, np.arange(len(queries) + 1))
+        for i in range(len(queries)):  # one at a time: what a query needs stays in the processor's cache
+            own = slice(edges[i], edges[i + 1])
+            at, n = _spread(self.ptr, term[own][rare[own]])
+            if len(at):
+                plain[i] = np.bincount(self.at[at], np.repeat(q[own][rare[own]], n) * self.value[at], places)
+        plain = plain.reshape(-1, self.blocks, BLOCK)
+        often = np.zeros((len(queries), len(most)))
         often[of[~rare], rows[~rare]] = q[~rare]
-        bound = often @ most + plain.max(2) + ROUND
+        bound = often @ most + plain.max(2) + 1e-9
         scores = np.zeros_like(plain)
         rank = np.argsort(np.argsort(-bound, axis=1, kind="stable"), axis=1)
         now = rank < FIRST_BLOCKS
         for _ in range(2):
             for b in range(self.blocks):
                 some = np.flatnonzero(now[:, b])
-                if len(some):
+                if len(some) == len(queries):
+                    scores[:, b] = plain[:, b] + often @ cube[b]
+                elif len(some):
                     scores[some, b] = plain[some, b] + often[some] @ cube[b]
             flat = scores.reshape(len(queries), places)
             if without is not None:
                 flat[np.arange(len(queries)), without] = 0.0
             least = np.partition(flat, -k, axis=1)[:, -k] if k < places else np.zeros(len(queries))
-            least = np.maximum(least - 2 * ROUND, 0.0)
-            now = (rank >= FIRST_BLOCKS) & (bound >= least[:, None])
-        out, edges = [], np.searchsorted(of, np.arange(len(queries) + 1))
+            now = (rank >= FIRST_BLOCKS) & (bound >= np.maximum(least, 1e-9)[:, None])
+        flat, out = np.round(flat, 9), []
+        least = np.maximum(np.partition(flat, -k, axis=1)[:, -k], 1e-9) if k < places else np.full(len(queries), 1e-9)
         for i in range(len(queries)):
-            some = np.flatnonzero((flat[i] >= least[i]) & (flat[i] > 0))
-            mine = slice(edges[i], edges[i + 1])
-            own = rows[mine] >= 0
-            exact = np.round(plain[i].reshape(-1)[some] + q[mine][own] @ weights[rows[mine][own][:, None], some], 12)
-            best = np.lexsort((some, -exact))[:k]
-            best = best[exact[best] > 0]
-            out.append((some[best], exact[best]))
+            some = np.flatnonzero(flat[i] >= least[i])
+            best = np.argsort(-flat[i, some], kind="stable")[:k]
+            out.append((some[best], flat[i, some[best]]))
         return out
 
     def raw(self, near: tuple[np.ndarray, np.ndarray]) -> float:
