@@ -20,13 +20,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def secret_model(spark: SparkSession) -> str:
+    return secret_scan.fit(secret_scan.labelled_findings(spark), secret_scan.vocabulary_words(vocabulary("byte_bpe_50k.tiktoken")))
+
+
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"), k=4, num=85, den=100)
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    forest = secret_scan.fit(secret_scan.labelled_findings(spark))
-    found = secret_scan.findings(table(spark, sf_dir, "documents"), forest)
+    found = secret_scan.findings(table(spark, sf_dir, "documents"), secret_model(spark))
     return found.select("doc_id", "nth", F.length("candidate").alias("length"), F.sha2("candidate", 256).alias("candidate_sha256"), "score", "is_secret")
 
 

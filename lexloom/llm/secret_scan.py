@@ -47,7 +47,7 @@ HEAD = rf"^(?:{URL}(?=[^\s@\"'/]{{4}})|{NAMED}(?=[^\s\"'=]{{4}}))"
 #: Characters before and after a candidate that are looked at.
 NEAR = 60
 MASK = "[SECRET]"
-TREES, DEPTH, SEED = 24, 7, 2
+TREES, DEPTH, SEED = 24, 8, 2
 #: Labelled findings made by labelled_findings(); bits of the dictionary's Bloom filter.
 FINDINGS, BITS = 9000, 1 << 18
 
@@ -140,12 +140,14 @@ def labelled_findings(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
     secret_name = F.concat(_pick(3, ["", "", "my_", "db_", "prod_", "user.", "export ", "{\"", "AWS_"]), _pick(4, ["token", "secret", "password", "api_key", "access_key", "auth_token", "client_secret", "TOKEN", "API_KEY", "SECRET_ACCESS_KEY", "apiKey", "token_2"]))
     assign = _pick(5, [" = \"", "=\"", ": \"", " = '", "=", ": ", ":", " := \"", "\": \"", "\": \"", "   = ", "    : \"", "=>'"])
     letters = F.translate(b64, "0123456789", "kLmNpQrStV")
-    pass_words = F.concat(_pick(16, DICTIONARY), F.substring(digits, 3, 2), _pick(17, ["", "!", "#", "$"]), _pick(18, DICTIONARY), _pick(19, ["!", "", "9", "?"]))
+    real = [w for w in DICTIONARY if not re.search(PLACEHOLDER, w)]
+    pass_words = F.concat(_pick(16, real), F.substring(digits, 3, 2), _pick(17, ["", "!", "#", "$"]), _pick(18, real), _pick(19, ["!", "", "9", "?"]))
     words = F.concat_ws(" ", *[_pick(20 + i, [*DICTIONARY, "the", "and", "of", "for", "in", "le", "der", "el", "thing", "once", "ander"]) for i in range(4)])
     harmless = _pick(6, ["commit ", "sha256: ", "sha1 = ", "md5 ", "checksum: ", "etag \"", "uuid ", "id: ", "id=", "order ", "version ", "call ", "", "", "see ", "ref ", "card ", "phone "])
     place = _pick(7, ["https://host/", "/usr/lib/", "path: /data/", "src=\"/img/", "./build/", "docs/"])
     uuid = F.concat_ws("-", F.substring(hexes, 1, 8), F.substring(hexes, 9, 4), F.substring(hexes, 13, 4), F.substring(hexes, 17, 4), F.substring(hexes, 21, 12))
-    fake = _pick(8, ["your_api_key_here_1234", "xxxxxxxxxxxxxxxx1234", "example_token_123456", "changeme_password_1", "dummy-secret-000000000", "test_key_1234567890", "1234567890abcdef1234567890abcdef"])
+    fake = F.concat(_pick(8, ["your", "my", "example", "test", "sample", "dummy", "changeme", "placeholder", "replace_me", "xxxxxxxx", "insert"]), _pick(26, ["_", "-", "", "."]), _pick(27, ["api_key", "token", "secret", "password", "key", "value", "xxxxxxxx", "access"]), _pick(28, ["_here", "_1234", "123456", "-000000000", "", "_xxxx", "1234567890"]))
+    fake = F.when(fake.rlike(PLACEHOLDER), fake).otherwise(F.concat(F.lit("your_"), fake))
     kinds = [  # (label, before, candidate, after)
         (1, F.concat(secret_name, assign), cut(hexes, 40), 1), (1, F.concat(secret_name, assign), cut(hexes, 32), 1), (1, F.concat(secret_name, assign), cut(b64, 40), 1),
         (1, F.concat(secret_name, assign), F.concat(F.lit("ghp_"), cut(b64, 36)), 1), (1, _pick(9, ["key ", "use ", "id = \"", "with ", ""]), F.concat(F.lit("AKIA"), cut(upper, 16)), 0),
@@ -158,7 +160,7 @@ def labelled_findings(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
         (0, F.concat(_pick(14, ["password", "token", "secret", "credentials"]), _pick(10, [": ", " = ", ":", "=", " := "])), _pick(15, [w for w in DICTIONARY if len(w) >= 6]), 0), (0, F.concat(_pick(14, ["token", "secret", "auth_token"]), _pick(10, [": ", " = ", "="])), F.concat(_pick(15, DICTIONARY), F.lit("."), _pick(16, DICTIONARY), F.lit("_"), _pick(17, DICTIONARY)), 0),
         (0, F.concat(_pick(8, ["https", "ftp", "mysql"]), F.lit("://"), _pick(7, ["user", "username", "me"]), F.lit(":")), _pick(13, ["password", "<password>", "${PASSWORD}", "your_password", "xxxxxxxx"]), 2),
         (0, harmless, cut(hexes, 40), 0), (0, harmless, cut(hexes, 64), 0), (0, harmless, uuid, 0), (0, harmless, cut(digits, 16), 0), (0, place, two(12), 0),
-        (0, F.lit(""), two(13), 0), (0, F.concat(secret_name, assign), fake, 1), (0, place, cut(hexes, 32), 0), (0, F.lit("data:image/png;base64,"), F.concat(F.lit("iVBORw0KGgo"), cut(b64, 80)), 0),
+        (0, F.lit(""), two(13), 0), *[(0, F.concat(secret_name, assign), fake, 1)] * 3, (0, place, cut(hexes, 32), 0), (0, F.lit("data:image/png;base64,"), F.concat(F.lit("iVBORw0KGgo"), cut(b64, 80)), 0),
         (0, F.concat(_pick(14, ["password", "token", "secret"]), assign), _pick(15, ["required", "string;", "process.env.VALUE", "get_password()", "os.environ", "<redacted>", "${SECRET}", "None,"]), 1),
     ]
     parts = None
@@ -203,7 +205,7 @@ def fit(findings: DataFrame, words: Iterable[str] | None = None, trees: int = TR
     own = F.struct(F.lit(0).alias("common"), "candidate", F.right("before", F.lit(NEAR)).alias("before"), F.left("after", F.lit(NEAR)).alias("after"))
     cut = findings.select(F.array_max(F.concat(F.filter(places, lambda x: x["common"] > 0), F.array(own))).alias("c"), F.col("label").cast("double").alias("label"))
     rows = cut.select(array_to_vector(features(F.col("c.candidate"), F.col("c.before"), F.col("c.after"), json.dumps(held))).alias("features"), "label")
-    forest = _trees(RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=SEED, maxBins=64, subsamplingRate=0.8).fit(keep(rows, "features")))
+    forest = _trees(RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=SEED, maxBins=64, subsamplingRate=0.8, featureSubsetStrategy="onethird").fit(keep(rows, "features")))
     return json.dumps({"forest": forest, "lexicon": held})
 
 
