@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexloom.llm import importance, ngram_join, packing, secret_scan, toxicity
-from lexloom.llm.llm_queries import table, vocabulary
+from lexloom.llm.llm_queries import secret_model, table, vocabulary
 from lexloom.llm.tables import keep
 
 #: A document goes if its toxicity reaches this.
@@ -48,8 +48,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their secrets masked and n_chars counted anew."""
-    forest = secret_scan.fit(secret_scan.labelled_findings(spark))
-    out = secret_scan.redact(docs, forest)
+    out = secret_scan.redact(docs, secret_model(spark))
     return out.withColumn("n_chars", F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars"))) if "n_chars" in docs.columns else out
 
 
