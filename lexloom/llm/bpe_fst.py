@@ -378,7 +378,9 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", out
 
 
 def coded_digests(df: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id", text: str = "text", chunk: int = 8192) -> DataFrame:
-    """For each row of df: key, n_tokens, ids_sha256, decoded_sha256. Ids go through the stream decoder in chunks."""
+    """For each row of df: key, n_tokens, ids_sha256, decoded_sha256. Ids go through the stream decoder in chunks. Null and
+    empty texts have no ids, so the digests of nothing; texts of any length are encoded whole; repeated rows and null keys
+    are rows like any other; other columns aren't read; an empty table gives an empty result."""
     bound_batches(df.sparkSession)
     ranks = df.sparkSession.sparkContext.broadcast(_bytes(ranks_path))
     kind = df.schema[key].dataType

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.llm.shingles import hash_spans, mix
-from lexloom.llm.tables import bound_batches, keep
+from lexloom.llm.tables import bound_batches, discard, keep, resting
 
 #: Documented bound: labelled documents whose n-grams are the target.
 EXAMPLES = 5000
@@ -114,6 +114,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     raw /= raw.sum()
     total = target.sum()
     if not total:
+        discard(chosen)
         return Model(np.zeros(width), 0.0, 1.0)
     shared = docs.sparkSession.sparkContext.broadcast((target, raw))
 
@@ -130,6 +131,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
             yield pa.RecordBatch.from_arrays([pa.array(n, pa.int64()), pa.array(means, pa.list_(pa.float64()))], ["n", "means"])
 
     rows = marked.filter("y").select("t").mapInArrow(alone, "n long, means array<double>").collect()  # the target's documents
+    discard(chosen)
     n, means = np.array([r["n"] for r in rows], float), np.array([r["means"] for r in rows]).reshape(-1, len(SMOOTH))
     best = int(np.argmax(n @ means))
     weight = SMOOTH[best] * total
@@ -196,7 +198,7 @@ def resample(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
         k = round(rows.agg(F.sum(F.least(F.lit(1.0), F.exp(F.col("log_weight") + SLACK)))).first()[0] or 0.0)
     border = kth_largest(rows, "gumbel_key", k)
     chosen = F.col("gumbel_key") >= float(border) if border is not None else F.lit(False)
-    return rows.withColumn("selected", chosen)
+    return resting(rows.withColumn("selected", chosen), rows)
 
 
 def keep_selected(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", k: int | None = None) -> DataFrame:
@@ -204,7 +206,9 @@ def keep_selected(docs: DataFrame, model: Model, key: str = "doc_id", text: str
     found on the narrow table of keys, and each row's own key, computed again from its text, is held against it, so no
     text is shuffled. Null and empty texts and repeated rows: see resample; an empty table stays empty."""
     bound_batches(docs.sparkSession)
-    border = resample(docs, model, key, text, k).filter("selected").agg(F.min("gumbel_key")).first()[0]
+    rows = resample(docs, model, key, text, k)
+    border = rows.filter("selected").agg(F.min("gumbel_key")).first()[0]
+    discard(rows)
     if border is None:
         return docs.filter(F.lit(False))
     shared = docs.sparkSession.sparkContext.broadcast(model)

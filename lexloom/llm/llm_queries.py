@@ -66,9 +66,10 @@ def op8_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tree = shard_tree.balanced_tree(40)
-    out = shard_tree.assign(table(spark, sf_dir, "documents").select("doc_id", "text"), tree, more=shard_tree.grown(tree))
-    return out.select("doc_id", "size", F.crc32(F.coalesce(F.col("text"), F.lit(""))).alias("text_crc32"), F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+    tree, text = shard_tree.balanced_tree(40), F.coalesce(F.col("text"), F.lit(""))
+    narrow = table(spark, sf_dir, "documents").select("doc_id", (F.octet_length(text).cast("long") + 16).alias("size"), F.crc32(text).alias("text_crc32"))
+    out = shard_tree.assign_sized(narrow, tree, more=shard_tree.grown(tree))
+    return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
 def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:

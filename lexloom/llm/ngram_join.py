@@ -24,9 +24,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexloom.llm.bloom import filled, has, spots
 from lexloom.llm.components import components
 from lexloom.llm.shingles import shingle_ids
-from lexloom.llm.tables import bound_batches, keep
+from lexloom.llm.tables import bound_batches, discard, keep, resting
 
 #: Least bits of a bitmap (it has 1.5 for each id or more, a power of two); documents of a band in one block; children
 #: compared with one copy of their parent.
@@ -37,8 +38,8 @@ COUNTED, HEAVY_PART, HEAVY_IDS, HEAVY = 2_000_000, 2, 1_000_000, 3
 ROWS_IN_FILE = 40_000
 #: Tiles of a document that tell where a pair meets first (pairs that meet in none of them are told wherever they meet).
 FIRST_TILES = 32
-#: Documents in a part of a tile; the bits of a tile that number its parts; bits of the Bloom filter.
-PART, PARTS, BLOOM = 20_000, np.uint64(255), 1 << 24
+#: Documents in a part of a tile; the bits of a tile that number its parts.
+PART, PARTS = 20_000, np.uint64(255)
 
 
 def _bitmap(ids: np.ndarray) -> bytes:
@@ -126,20 +127,12 @@ def _index(df: DataFrame, key: str, text: str, k: int, num: int, den: int, heavy
 def _arrays(df: DataFrame, key: str, text: str, k: int, nodes: DataFrame) -> DataFrame:
     """node, ids (sorted, 8 bytes each) of the documents in `nodes`, and of a few others that a Bloom filter of fixed size
     lets through; so no text is shuffled."""
-    spots = lambda c: (F.pmod(F.xxhash64(F.lit(1), c), F.lit(BLOOM)), F.pmod(F.xxhash64(F.lit(2), c), F.lit(BLOOM)))
-    bits = nodes.select(F.explode(F.array(*spots(F.col("node")))).alias("x")).select(F.shiftright("x", 6).alias("w"), F.expr("shiftleft(1L, cast(x % 64 as int))").alias("b"))
-    words = np.zeros(BLOOM // 64, np.int64)
-    for w, b in bits.groupBy("w").agg(F.bit_or("b")).collect():  # at most BLOOM / 64 rows
-        words[w] = b
-    shared = df.sparkSession.sparkContext.broadcast(words.view(np.uint64))
+    shared = df.sparkSession.sparkContext.broadcast(filled(nodes, "node"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def has(x):
-            return (shared.value[x >> 6] >> (x & 63).astype(np.uint64)) & np.uint64(1)
-
         for batch in batches:
             x, y = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
-            rows = np.flatnonzero(has(x) & has(y))
+            rows = np.flatnonzero(has(shared.value, x, y))
             ids = [shingle_ids(batch.column(1)[i].as_py(), k) for i in rows.tolist()]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), pa.array([i.tobytes() for i in ids], pa.binary())], ["node", "ids"])
 
@@ -215,7 +208,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int, files: int)
                         break
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return rows.mapInArrow(run, "a long, b long")
+    links = keep(rows.mapInArrow(run, "a long, b long"), "links", files)
+    discard(split)
+    return links
 
 
 def _at_most(n: int, m: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -354,31 +349,42 @@ def join(df: DataFrame, k: int = 5, num: int = 80, den: int = 100, key: str = "d
     meta = first.filter("n > 0 and key is not null").select(F.col("key").alias("node"), "n", "bitmap")
     mates = tiles.filter("node <> head")
     best = mates.groupBy("node", "head").count().groupBy("node").agg(F.max_by("head", F.struct(F.col("count"), -F.col("head"))).alias("parent"))
-    exact = lambda pairs: _verified(pairs, keep(_arrays(keyed, "__key", "__text", k, pairs.select(F.explode(F.array("parent", "child")).alias("node")).distinct()), "arrays", files), num, den, files)
+
+    def exact(pairs: DataFrame) -> DataFrame:
+        arrays = keep(_arrays(keyed, "__key", "__text", k, pairs.select(F.explode(F.array("parent", "child")).alias("node")).distinct()), "arrays", files)
+        found = _verified(pairs, arrays, num, den, files)
+        discard(arrays)
+        return found
+
     likely = keep(_likely(best.select("parent", F.col("node").alias("child")), meta, num, den), "likely", files)
-    links = keep(exact(likely), "links", files)
+    links = exact(likely)
 
-    known = components(links, files).withColumnRenamed("node", "v")
+    found = components(links, files)
+    known = found.withColumnRenamed("node", "v")
     whole = tiles.select(F.col("tile").bitwiseAND(~255).alias("tile"), "node")
     now = keep(whole.join(known, F.col("node") == F.col("v"), "left").select("tile", "node", F.coalesce("component", "node").alias("component")), "placed", files)
     mixed = now.groupBy("tile").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select(F.col("tile").alias("m"))
-    open_tiles = keep(now.join(mixed, F.col("tile") == F.col("m"), "left_semi"), "mixed", files)
+    open_tiles = every_open = keep(now.join(mixed, F.col("tile") == F.col("m"), "left_semi"), "mixed", files)
+    discard(now, tiles, likely, links)
     # of tiles with the same documents one is enough; a passage gives many such
     twins = open_tiles.groupBy("tile").agg(F.count(F.lit(1)).alias("k"), *[F.sum(F.xxhash64(F.lit(i), "node").cast("decimal(38,0)")).alias(f"s{i}") for i in (1, 2)])
     alone = twins.groupBy("k", "s1", "s2").agg(F.min("tile").alias("m")).select("m")
     open_tiles = open_tiles.join(alone, F.col("tile") == F.col("m"), "left_semi")
     sizes = meta.select(F.col("node").alias("v"), "n")
     open_tiles = keep(open_tiles.join(sizes, F.col("node") == F.col("v")).select("tile", "node", "n", "component").distinct(), "open", files)
+    discard(every_open)
     bitmaps = meta.select(F.col("node").alias("v"), F.col("n").alias("vn"), "bitmap")
     marked = _units(open_tiles, num, den).join(bitmaps, (F.col("node") == F.col("v")) & (F.col("n") == F.col("vn"))).drop("v", "vn")
     first_tiles = open_tiles.groupBy(F.col("node").alias("v")).agg(F.slice(F.array_sort(F.collect_set("tile")), 1, FIRST_TILES).alias("own"))
     marked = marked.join(first_tiles, F.col("node") == F.col("v")).drop("v")
     possible = keep(_bounded_pairs(marked, num, den), "possible", files)
-    more = keep(exact(possible.select("parent", "child")), "links", files)
+    discard(open_tiles)
+    more = exact(possible.select("parent", "child"))
     stars = known.select(F.col("v").alias("a"), F.col("component").alias("b"))  # what is joined already needs no rounds
     final = components(stars.unionByName(more), files)
 
     of_class = classes.join(final.withColumnRenamed("node", "v"), F.col("node") == F.col("v"), "left").select(F.col("set_hash").alias("s2"), F.coalesce("component", "node").alias("component"))
     of_class = keep(of_class, "of_class", files)
+    discard(possible, more, found, final, classes)
     out = of_docs.join(of_class, F.col("set_hash") == F.col("s2"), "left")
-    return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "key").alias("component_id"))
+    return resting(out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "key").alias("component_id")), first, of_class)

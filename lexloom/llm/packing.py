@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from lexloom.llm.bpe_fst import _bytes
 from lexloom.llm.ranks import rank_within
-from lexloom.llm.tables import bound_batches, keep
+from lexloom.llm.tables import bound_batches, keep, resting, unused
 
 #: Splits texts into pieces before merging; fixed value of the public byte-level vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -138,13 +138,14 @@ def pack(piece_rows: DataFrame, window: int = 2048, key: str = "doc_id") -> Data
     arrays = {n: tuple(np.array(c, np.int64) for c in zip(*r, strict=True)) for n, r in runs.items()}
     spark = piece_rows.sparkSession
     shared = spark.sparkContext.broadcast(arrays)  # bounded by the window: runs follow lengths, not pieces
-    ranked = rank_within(piece_rows, "length", [key, "piece", "start", "ids_crc32"], "__rank", counts=counts)
-    names = [c for c in ranked.columns if c != "__rank"]
+    place = unused("__rank", piece_rows)
+    ranked = rank_within(piece_rows.drop("sequence_id", "offset"), "length", [key, "piece", "start", "ids_crc32"], place, counts=counts)
+    names = [c for c in ranked.columns if c != place]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             length = batch.column("length").to_numpy(zero_copy_only=False)
-            rank = batch.column("__rank").to_numpy(zero_copy_only=False)
+            rank = batch.column(place).to_numpy(zero_copy_only=False)
             seq, off = np.zeros(len(rank), np.int64), np.zeros(len(rank), np.int64)
             for n in np.unique(length):
                 rows = np.flatnonzero(length == n)
@@ -162,7 +163,8 @@ def pack_documents(df: DataFrame, vocabulary: str, window: int = 2048, key: str
     """Tokenize, cut and pack: key, piece, start, length, ids_crc32, sequence_id, offset. Null and empty texts are a piece
     of one token; repeated rows and null keys are packed like any other; other columns aren't read; an empty table gives
     an empty result."""
-    return pack(keep(pieces(df, vocabulary, window, key, text), "pieces"), window, key)
+    rows = keep(pieces(df, vocabulary, window, key, text), "pieces")
+    return resting(pack(rows, window, key), rows)
 
 
 def piece_ids(text: str | None, start: int, length: int, vocabulary: bytes) -> list[int]:

@@ -7,6 +7,8 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexloom.llm.tables import unused
+
 #: Groups are counted on the driver: one row for each, at most so many.
 MOST_GROUPS = 65_536
 
@@ -17,7 +19,8 @@ def rank_within(df: DataFrame, key: str, order: list[str], rank: str = "rank", b
     A group is split into blocks of about `block_rows` rows by a hash of the order columns; rows are ranked inside a
     block, and each block starts after the counts of the blocks before it. So the largest task holds some blocks,
     however many rows one key has. Ranks follow (block, order), not `order` over the whole group. Rows that are
-    equal in `order` may exchange ranks. Empty input gives an empty result.
+    equal in `order` may exchange ranks. Other columns stay, whatever they are called (an older `rank` is replaced). Empty input
+    gives an empty result.
     """
     if counts is None:
         rows = df.groupBy(key).count().limit(MOST_GROUPS + 1).collect()
@@ -28,16 +31,17 @@ def rank_within(df: DataFrame, key: str, order: list[str], rank: str = "rank", b
     total = sum(counts.values())
     block_rows = block_rows or max(512, math.isqrt(total))
     kind = df.schema[key].dataType
-    blocks = spark.createDataFrame([(k, math.ceil(n / block_rows)) for k, n in counts.items()], f"__k {kind.simpleString()}, __n long")
-    salted = df.join(F.broadcast(blocks), F.col(key) == F.col("__k")).drop("__k")
-    salted = salted.withColumn("__b", F.pmod(F.xxhash64(F.lit(17), *order), F.col("__n"))).drop("__n")
-    sizes = salted.groupBy(key, "__b").count()
-    before = Window.partitionBy(key).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(F.col(key).alias("__k"), F.col("__b").alias("__c"), F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__start"))
-    inside = Window.partitionBy(key, "__b").orderBy(*order)
-    ranked = salted.withColumn("__r", F.row_number().over(inside) - 1)
+    own, n, b, c, r, start = (unused(f"__{x}", df) for x in ("key", "n", "b", "c", "r", "start"))
+    blocks = spark.createDataFrame([(k, math.ceil(m / block_rows)) for k, m in counts.items()], f"`{own}` {kind.simpleString()}, `{n}` long")
+    salted = df.join(F.broadcast(blocks), F.col(key) == F.col(own)).drop(own)
+    salted = salted.withColumn(b, F.pmod(F.xxhash64(F.lit(17), *order), F.col(n))).drop(n)
+    sizes = salted.groupBy(key, b).agg(F.count(F.lit(1)).alias(n))
+    before = Window.partitionBy(key).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(F.col(key).alias(own), F.col(b).alias(c), F.coalesce(F.sum(n).over(before), F.lit(0)).alias(start))
+    inside = Window.partitionBy(key, b).orderBy(*order)
+    ranked = salted.withColumn(r, F.row_number().over(inside) - 1)
     return (
-        ranked.join(starts, (F.col(key) == F.col("__k")) & (F.col("__b") == F.col("__c")))
-        .withColumn(rank, (F.col("__start") + F.col("__r")).cast("long"))
-        .drop("__k", "__b", "__c", "__r", "__start")
+        ranked.join(starts, (F.col(key) == F.col(own)) & (F.col(b) == F.col(c)))
+        .withColumn(rank, (F.col(start) + F.col(r)).cast("long"))
+        .drop(own, b, c, r, start)
     )

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexloom.llm.bpe_fst import _bytes
-from lexloom.llm.tables import keep
+from lexloom.llm.tables import discard, keep
 
 # Java regular expressions. No part of them looks back or ahead over text that it could meet again, so scans are linear.
 #: A secret's name, whatever is before it; the end of the name, a closing quote, a sign of assignment, an opening quote.
@@ -205,7 +205,9 @@ def fit(findings: DataFrame, words: Iterable[str] | None = None, trees: int = TR
     own = F.struct(F.lit(0).alias("common"), "candidate", F.right("before", F.lit(NEAR)).alias("before"), F.left("after", F.lit(NEAR)).alias("after"))
     cut = findings.select(F.array_max(F.concat(F.filter(places, lambda x: x["common"] > 0), F.array(own))).alias("c"), F.col("label").cast("double").alias("label"))
     rows = cut.select(array_to_vector(features(F.col("c.candidate"), F.col("c.before"), F.col("c.after"), json.dumps(held))).alias("features"), "label")
-    forest = _trees(RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=SEED, maxBins=64, subsamplingRate=0.8, featureSubsetStrategy="onethird").fit(keep(rows, "features")))
+    known = keep(rows, "features")
+    forest = _trees(RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=SEED, maxBins=64, subsamplingRate=0.8, featureSubsetStrategy="onethird").fit(known))
+    discard(known)
     return json.dumps({"forest": forest, "lexicon": held})
 
 

@@ -70,12 +70,19 @@ def place(key: Column, tree: list[Shard], seed: int = 9) -> Column:
     return at.cast("int")
 
 
-def assign(df: DataFrame, tree: list[Shard], key: str = "doc_id", text: str = "text", more: list[Shard] | None = None, seed: int = 9) -> DataFrame:
-    """df with size (UTF-8 bytes of the text plus 16; null: 16), shard, slot (0, 1, 2 ... within a shard) and, if `more`
-    is given, grown_shard: the shard in that tree. Repeated keys go to the same shard and get slots of their own; extra
-    columns stay, older ones with these names are replaced. The texts move once, to blocks of their shard."""
-    out = df.drop("size", "shard", "slot", "grown_shard")
-    out = out.withColumn("size", F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("long") + 16).withColumn("shard", place(F.col(key), tree, seed))
+def assign_sized(df: DataFrame, tree: list[Shard], key: str = "doc_id", size: str = "size", more: list[Shard] | None = None, seed: int = 9) -> DataFrame:
+    """df with shard, slot (0, 1, 2 ... within a shard) and, if `more` is given, grown_shard: the shard in that tree. All
+    columns of df move once, to blocks of their shard, so give it only what the result needs. Null keys are a key like
+    any other, repeated keys go to the same shard and get slots of their own; extra columns stay, older ones with these
+    names are replaced; an empty table gives an empty result."""
+    out = df.drop("shard", "slot", "grown_shard").withColumn("shard", place(F.col(key), tree, seed))
     if more is not None:
         out = out.withColumn("grown_shard", place(F.col(key), more, seed))
-    return rank_within(out, "shard", [key, "size"], "slot")
+    return rank_within(out, "shard", [key, size], "slot")
+
+
+def assign(df: DataFrame, tree: list[Shard], key: str = "doc_id", text: str = "text", more: list[Shard] | None = None, seed: int = 9) -> DataFrame:
+    """assign_sized for a writer of shards, which needs the texts: df with `size` too, the UTF-8 bytes of the text plus 16
+    (null: 16). The texts move once."""
+    sized = df.drop("size").withColumn("size", F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("long") + 16)
+    return assign_sized(sized, tree, key, "size", more, seed)

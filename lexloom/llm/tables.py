@@ -31,14 +31,36 @@ def _delete_on_exit(spark: SparkSession, path: str) -> None:
 
 def keep(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: a lost executor costs no recomputation of what is
-    upstream. The files go when the driver's JVM ends. `files` deals narrow rows out to so many files first; a file
-    system may start a process for each file that it makes."""
+    upstream. The files go with discard(), or when the driver's JVM ends. `files` deals narrow rows out to so many files
+    first; a file system may start a process for each file that it makes."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/lexloom-{name}-{uuid.uuid4().hex}"
     # no file that only marks success: the table is read only after its job has ended well
     (df.repartition(files) if files else df).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
     _delete_on_exit(spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    return resting(spark.read.schema(df.schema).parquet(path), path)
+
+
+def resting(df: DataFrame, *on: DataFrame | str) -> DataFrame:
+    """df, marked as read from kept tables (or their paths), which discard(df) then deletes."""
+    df._kept = [path for x in on for path in ([x] if isinstance(x, str) else getattr(x, "_kept", []))]
+    return df
+
+
+def discard(*dfs: DataFrame) -> None:
+    """Delete the kept tables that df rests on; for when all that is computed from them has been written."""
+    for df in dfs:
+        for path in getattr(df, "_kept", []):
+            at = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def unused(name: str, *dfs: DataFrame) -> str:
+    """name, made longer until no column of dfs is called so."""
+    taken = {c.lower() for df in dfs for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def bound_batches(spark: SparkSession, rows: int = 1000) -> None:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.llm.shingles import hash_spans, runs
-from lexloom.llm.tables import bound_batches, keep
+from lexloom.llm.tables import bound_batches, discard, keep
 
 #: Documented bound: examples of each class, with their whole texts.
 EXAMPLES = 1500
@@ -246,8 +246,10 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
     wanted = rows.filter("t is not null").join(F.broadcast(chosen), F.col("d") == F.col("k")).select("k", "y", "t", F.xxhash64("t").alias("x"))
     got = wanted.mapInArrow(terms, "k long, y int, h binary, n binary, x long").groupBy("k", "y").agg(F.min_by(F.struct("h", "n"), "x").alias("w"))
-    got = keep(got.select("k", "y", "w.h", "w.n"), "examples", 4).orderBy(F.xxhash64("k"), "k")
-    sample = [(r["k"], np.frombuffer(r["h"], np.uint64), np.frombuffer(r["n"], np.int64), r["y"]) for r in got.toLocalIterator()]
+    got = keep(got.select("k", "y", "w.h", "w.n"), "examples", 4)
+    in_order = got.orderBy(F.xxhash64("k"), "k").toLocalIterator()
+    sample = [(r["k"], np.frombuffer(r["h"], np.uint64), np.frombuffer(r["n"], np.int64), r["y"]) for r in in_order]
+    discard(known, chosen, got)
     vocabulary = np.unique(np.concatenate([np.zeros(0, np.uint64), *(h for _, h, _, _ in sample)]))
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)  # the words of at most 2 * examples texts
 

@@ -27,7 +27,8 @@ ODD = [
 
 def odd(spark, rows=ODD):
     """Documents with nulls, empty and long texts, repeated rows and columns whose names clash with the operators' own."""
-    return spark.createDataFrame(rows, "doc_id long, text string, size string").withColumn("k", F.lit(1)).withColumn("node", F.lit("n")).withColumn("rank", F.lit(0))
+    df = spark.createDataFrame(rows, "doc_id long, text string, size string").withColumn("k", F.lit(1)).withColumn("node", F.lit("n")).withColumn("rank", F.lit(0))
+    return df.select("*", *[F.lit("own").alias(c) for c in ("__key", "__text", "__n", "__b", "__r", "__start", "__c", "__rank", "__t", "__go", "head", "block")])
 
 
 def docs(spark):
@@ -654,9 +655,60 @@ def test_assigned_rows(spark):
         slots[r["shard"]].append(r["slot"])
         assert r["size"] == len((r["text"] or "").encode()) + 16 and r["grown_shard"] in (r["shard"], 4)
     assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+    assert all(r["__b"] == r["__key"] == r["__start"] == "own" for r in got)
     assert shard_tree.assign(odd(spark).limit(0), tree).count() == 0
 
 
+def draws(key, children, seed):
+    """-ln(u) / weight of each child, told again: the least wins. As the engine hashes the columns one after the other."""
+    import xxhash
+
+    out = []
+    for name, weight in children:
+        h = xxhash.xxh64_intdigest(seed.to_bytes(4, "little"), seed=42)
+        h = xxhash.xxh64_intdigest(name.encode(), seed=h)
+        h = h if key is None else xxhash.xxh64_intdigest(key.to_bytes(8, "little", signed=True), seed=h)
+        out.append((-np.log(((h >> 11) + 0.5) * 2.0**-53) / weight, name))
+    return min(out)[1]
+
+
+def test_places_agree_with_draws_told_again(spark):
+    tree = [shard_tree.Shard(s.number, s.region, s.rack, [1.0, 0.5, 3.0][s.number % 3]) for s in shard_tree.balanced_tree(23, 2, 3)]
+    keys = [None, 0, -7, 2**62, *range(1, 400)]
+    got = spark.createDataFrame([(k,) for k in keys], "k long").select("k", shard_tree.place(F.col("k"), tree).alias("s")).collect()
+    weight = lambda some: sum(s.weight for s in some)
+    for r in got:
+        region = draws(r["k"], [(x, weight(s for s in tree if s.region == x)) for x in dict.fromkeys(s.region for s in tree)], 9)
+        rack = draws(r["k"], [(x, weight(s for s in tree if s.rack == x)) for x in dict.fromkeys(s.rack for s in tree if s.region == region)], 9)
+        assert r["s"] == int(draws(r["k"], [(str(s.number), s.weight) for s in tree if s.rack == rack], 9))
+
+
+# --- tables ---
+
+
+def test_kept_tables_go_when_discarded(spark):
+    from lexloom.llm import tables
+
+    at = tables.shared_dir(spark).removeprefix("file://")
+    df = keep(spark.range(3), "three")
+    assert df.count() == 3 and any(n.startswith("lexloom-three") for n in os.listdir(at))
+    tables.discard(df, spark.range(2))
+    assert not any(n.startswith("lexloom-three") for n in os.listdir(at))
+    assert tables.unused("A", spark.range(1).select(F.lit(1).alias("a"), F.lit(2).alias("a_"))) == "A__"
+
+
+def test_join_leaves_only_what_its_result_reads(spark):
+    from lexloom.llm import tables
+
+    at = tables.shared_dir(spark).removeprefix("file://")
+    before = set(os.listdir(at))
+    out = ngram_join.join(spark.createDataFrame(noisy_copies(5, 30), "doc_id long, text string"), 2, 50, 100)
+    left = {n.split("-")[1] for n in set(os.listdir(at)) - before}
+    assert left == {"sets", "of_class"} and out.count() > 0
+    tables.discard(out)
+    assert set(os.listdir(at)) == before
+
+
 # --- importance resampling ---
 
 
@@ -792,9 +844,20 @@ def test_pipeline_stages_on_odd_and_empty_documents(spark):
 
     if not os.path.isdir(SF):
         pytest.skip("no test tables")
-    columns = ["doc_id", "text", "lang", "source", "n_chars"]
-    rows = [(i, t, "en", s, None if t is None else len(t)) for i, t, s in ODD]
-    for d in (spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), docs(spark).limit(0)):
+    columns = ["doc_id", "text", "lang", "source", "n_chars", "row", "may", "gone", "goes", "rows", "r", "s", "c", "id", "component"]
+    rows = [(i, t, "en", s, None if t is None else len(t), *["own"] * 10) for i, t, s in ODD]
+    for d in (spark.createDataFrame(rows, f"doc_id long, text string, lang string, source string, n_chars long, {', '.join(f'{c} string' for c in columns[5:])}"), docs(spark).limit(0)):
+        columns = d.columns
         for name, stage in corpus_pipeline.STAGES:
             d = keep(stage(spark, d, SF), name)
             assert name == "packing" or d.columns == columns
+
+
+def test_near_duplicates_of_rows_with_one_id_or_none(spark):
+    import corpus_pipeline
+
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(5, long), (5, long), (5, "another text of the same id with words of its own"), (7, long + " end"), (None, long + " tail"), (None, "no id and no copy of it in here"), (9, ""), (9, ""), (2, None), (8, "one two"), (3, "ONE two")]
+    got = corpus_pipeline.near_duplicate_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()
+    want = [(5, long), rows[2], rows[5], (9, ""), (9, ""), (2, None), (3, "ONE two")]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
