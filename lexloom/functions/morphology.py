@@ -30,10 +30,22 @@ PERSONS = {
 VERBS = ["v", "vi", "vt", "vd", "vc"]
 # Universal tag -> parts of speech; of two tags for one part the later holds.
 UPOS = {
-    "VERB": ["vi", "vd", "vc", "v"], "AUX": ["auxv", "cop"], "NOUN": ["n", "nl", "nmlz"], "PRON": ["pron"], "PROPN": ["propn"],
-    "DET": ["adn"], "ADV": ["adv"], "CCONJ": ["cconj"], "PART": ["sfp", "pers"], "INTJ": ["intj"],
-    "SCONJ": ["cconj", "sconj", "padv"], "ADP": ["post", "advp", "postp", "parti"], "NUM": ["num"], "PUNCT": ["punct"],
-}
+    "VERB": ["vi", "vd", "vc", "v", "verb"],
+    "NOUN": ["n", "nl", "nmlz", "noun"],
+    "PRON": ["pron", "int"],
+    "PROPN": ["propn"],
+    "DET": ["adn", "determiner"],
+    "ADV": ["adv"],
+    "CCONJ": ["cconj"],
+    "SCONJ": ["cconj", "sconj", "padv"],
+    "POST": ["post"],
+    "AUX": ["auxv", "cop"],
+    "PART": ["sfp", "pers"],
+    "INTJ": ["intj"],
+    "ADP": ["advp", "postp", "parti"],
+    "NUM": ["num"],
+    "PUNCT": ["punct"],
+}
 
 
 def literal_map(values: dict[str, str]) -> Column:

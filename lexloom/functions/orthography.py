@@ -11,13 +11,17 @@ TS = [("ts", "c"), ("Ts", "C"), ("TS", "C")]
 VOICED = ("bBdDgGzZjJ", "pPtTkKsScC")
 MACRONS = [("ā", "aa"), ("ē", "ee"), ("ī", "ii"), ("ō", "oo"), ("ū", "uu"), ("Ā", "AA"), ("Ē", "EE"), ("Ī", "II"), ("Ō", "OO"), ("Ū", "UU")]
 ALPHABET = "aceèhiklmnoprstuwy'-"
-STEM_PREFIXES = ["yayko", "yaykoy", "ikoy", "ako", "aki", "ane", "ami", "asi", "yay", "yai", "uko", "uwe", "sir", "esi", "eko", "eu", "an", "ae", "ai", "ar", "ko", "ku", "e", "i", "a"]
+# Beginnings of stems, longest first.
+STEM_PREFIXES = ("yayko", "yaykoy", "ikoy", "ako", "aki", "ane", "ami", "asi", "yay", "yai", "uko", "uwe", "sir", "esi", "eko", "eu", "an", "ae", "ai", "ar", "ko", "ku", "e", "i", "a")
+# English words that tell nothing.
 EN_STOP = (
-    "a an and the to of is it in on for as or by with from that this be are was were him her his she he they them we our "
-    "you your i my me do did does not no any some all but if when where what who which have has had been being one's ones "
-    "n v vt vi adj adv conj prep interj part pron ph"
-).split()
-JA_STOP = "の に を は が と で から まで や そして また など こと もの ため ある いる する なる れる られる せる させる".split()
+    "a", "an", "and", "the", "to", "of", "is", "it", "in", "on", "for", "as", "or", "by", "with", "from", "this", "that", "be", "are", "was", "were",
+    "him", "her", "his", "he", "she", "they", "them", "we", "our", "you", "your", "i", "my", "me", "do", "did", "does", "not", "no", "any", "some",
+    "all", "but", "if", "when", "where", "what", "who", "which", "have", "has", "had", "been", "being", "one's", "ones",
+    "n", "v", "vt", "vi", "adj", "adv", "conj", "prep", "interj", "part", "pron", "ph",
+)
+# Japanese words that tell nothing.
+JA_STOP = ("の", "に", "を", "は", "が", "と", "で", "から", "まで", "や", "そして", "また", "など", "こと", "もの", "ため", "ある", "いる", "する", "なる", "れる", "られる", "せる", "させる")
 KANA_HEAD = "^[ァ-ヴーㇰ-ㇿ・]+"
 
 
@@ -67,7 +71,7 @@ def kana_key(c: Column) -> Column:
 
 def prefix_stems(key: Column) -> Column:
     """array<string>: what is left behind each known beginning, of three letters or more."""
-    stem = lambda p: F.regexp_replace(F.substring(key, len(p) + 1, 1000), r"^['\-]+", "")
+    stem = lambda p: F.regexp_replace(F.right(key, F.length(key) - len(p)), r"^['\-]+", "")
     each = [F.when(key.startswith(p) & (F.length(stem(p)) >= 3) & F.lit(ALPHABET).contains(F.left(stem(p), F.lit(1))), stem(p)) for p in STEM_PREFIXES]
     return F.array_distinct(F.array_compact(F.array(*each)))
 
@@ -114,7 +118,7 @@ def gloss_tokens_en(text: Column) -> Column:
 def gloss_tokens_ja(text: Column, single: list[str] | None = None, old: str = "", new: str = "") -> Column:
     """array<string>: runs of Japanese of two letters or more that aren't stop words, and single ones that are listed."""
     runs = F.regexp_extract_all(modern_kanji(F.coalesce(text, F.lit("")), old, new), F.lit("[一-鿿ぁ-ゖァ-ヺ]+"), F.lit(0))
-    return F.array_distinct(F.filter(runs, lambda r: F.when(F.length(r) >= 2, ~r.isin(JA_STOP)).otherwise(r.isin(single or []))))
+    return F.array_distinct(F.filter(runs, lambda r: F.when(F.length(r) >= 2, ~r.isin(*JA_STOP)).otherwise(r.isin(single or []))))
 
 
 def gloss_tokens(text: Column) -> Column:

@@ -87,8 +87,8 @@ def test_concordance_context_is_all_or_nothing(spark):
 
 
 def test_upos(spark):
-    got = dict(values(spark, [("vt",), ("cconj",), ("n",), ("zzz",)], "p string", "p", morphology.upos(F.col("p"))))
-    assert got == {"vt": "_", "cconj": "SCONJ", "n": "NOUN", "zzz": "_"}
+    want = {"vt": "_", "cconj": "SCONJ", "n": "NOUN", "zzz": "_", "verb": "VERB", "noun": "NOUN", "int": "PRON", "determiner": "DET", "post": "POST", "parti": "ADP"}
+    assert dict(values(spark, [(p,) for p in want], "p string", "p", morphology.upos(F.col("p")))) == want
     assert one(spark, morphology.upos(F.lit("vt"), corrected=True)) == "VERB"
 
 
@@ -118,6 +118,20 @@ def test_expansions(spark):
     assert one(spark, textclean.template_words(F.lit("N1 kes{pa,to} a=kor itak=an V2!"))) == ["kespa", "kesto", "kor", "ita" + "k"]
 
 
+def test_nested_brackets_and_entities(spark):
+    assert one(spark, F.trim(textclean.squeeze(textclean.strip_brackets(F.lit("a [b [c [d [e] d] c] b] z"))))) == "a z"
+    assert one(spark, textclean.strip_brackets(F.lit("a [b [c] z ] y] x"))) == "a   y] x"
+    assert one(spark, textclean.strip_brackets(F.lit("a [b [c] z"))) == "a [b   z"
+    assert one(spark, textclean.strip_html(F.lit("<p>caf&eacute; &amp;lt; &#233;&#x1F642; &hellip;&nbsp;&bogus; &#0;</p>"))) == "café &lt; é🙂 … &bogus; &#0;"
+
+
+def test_wikitext_templates(spark):
+    en = textclean.wiki_glosses_en(F.lit("# {{qualifier|archaic|rare}} to [[go|walk]] ''far'' , {{m|ain|ku=|thing}}<ref name=a/>\n## no\n# &lt;x&gt; {{unknown|{{l|en|y}}}}"))
+    assert one(spark, en) == ["archaic|rare to walk far, thing", "<x>"]
+    ja = textclean.wiki_glosses_ja(F.lit("# {{noun form of|ain|ape|所属形}}、{{form of|ain|所属形|tr=x|mat}}\n# {{alternative form of|ain|cise|t=家}}。{{verb form of|ain|ek|複数形|t=来る}}\n# {{おくりがな2|食|た|べる|x}}...\n# {{quote|ain|z}}"))
+    assert one(spark, textclean.markup_free(ja)) == sorted(["apeの所属形", "matの所属形", "家の別形", "来る", "食べる～"])
+
+
 def test_layout_texts(spark):
     assert one(spark, textclean.strip_footnotes(F.lit("itak^24 an²⁴"))) == "itak an"
     assert one(spark, textclean.utterance(F.lit("[カナ [?] x] itak ＝an 。"))) == "itak =an"
