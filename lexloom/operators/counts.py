@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lexloom.functions.binding import let
 from lexloom.functions.tokens import bare, cut_token, is_word, normalize, raw_tokens, tokenize
+from lexloom.operators.ranking import with_totals
 
 
 def bucket_of(value: Column, rules: list[tuple[str, str]], other: str = "other") -> Column:
@@ -82,25 +83,29 @@ def ngrams(df: DataFrame, tokens: Column, n: int, *carry: str) -> DataFrame:
     return df.select(*carry, F.explode(runs).alias("gram"))
 
 
-def ngrams_across(df: DataFrame, key: str, tokens: Column, n: int) -> DataFrame:
-    """gram: runs of n tokens of the stream of all rows in order of key, over row borders too. Rows pass on their last
-    tokens to the rows after them by ranges of keys, so no task sorts all tokens: a row takes what it lacks from the
-    rows before it, of which there are at most n - 1 that matter if none is empty (empty rows are dropped first)."""
-    rows = df.select(F.col(key).alias("k"), tokens.alias("t")).filter(F.size("t") > 0)
-    tails = rows.select("k", F.slice("t", F.greatest(F.size("t") - (n - 2), F.lit(1)), n - 1).alias("tail"))
-    w = Window.orderBy("k").rowsBetween(-(n - 1), -1)
-    before = tails.select("k", F.slice(F.reverse(F.flatten(F.collect_list("tail").over(w))), 1, n - 1).alias("b"))
-    joined = rows.join(before, "k").select(F.concat(F.reverse(F.coalesce("b", F.array().cast("array<string>"))), "t").alias("all"))
+def ngrams_across(df: DataFrame, keys: list[str], tokens: Column, n: int) -> DataFrame:
+    """gram: runs of n tokens of the stream of all rows in order of keys, over row borders too. Rows without tokens are
+    dropped first. The rows are numbered in order, by ranges of the keys; the last n - 1 tokens of a row go to the n - 1
+    rows after it, which takes one join on numbers: no task sorts or holds the stream."""
+    rows = with_totals(df.select(*keys, tokens.alias("t")).filter(F.size("t") > 0), [F.col(k) for k in keys], "at").select("at", "t")
+    tails = rows.select(F.explode(F.sequence(F.col("at") + 1, F.col("at") + (n - 1))).alias("to"), "at", F.slice("t", F.greatest(F.size("t") - (n - 2), F.lit(1)), n - 1).alias("tail"))
+    held = tails.groupBy("to").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("at", "tail"))), lambda x: x["tail"])).alias("b"))
+    before = F.coalesce("b", F.array().cast("array<string>"))
+    joined = rows.join(held, F.col("at") == F.col("to"), "left").select(F.concat(F.slice(before, F.greatest(F.size(before) - (n - 2), F.lit(1)), n - 1), "t").alias("all"))
     return ngrams(joined, F.col("all"), n)
 
 
 def ranked(counts: DataFrame, n: str, tie: str, by: str | None = None) -> DataFrame:
-    """counts with rank (from 1), cumulative, share and the Zipf expectation. Types are few beside tokens: the window is
-    over a table of counts, and over one group at a time where `by` is given."""
-    w = Window.partitionBy(by) if by else Window.partitionBy()
-    order = w.orderBy(F.desc(n), tie)
-    upto = order.rowsBetween(Window.unboundedPreceding, 0)
-    return counts.withColumn("rank", F.row_number().over(order)).withColumn("cumulative", F.sum(n).over(upto)).withColumn("share", F.col("cumulative") / F.sum(n).over(w)).withColumn("expected", F.first(n).over(order) / F.col("rank"))
+    """counts with rank (from 1, largest first, ties by `tie`), cumulative, share and the Zipf expectation; within one
+    group at a time where `by` is given, else by ranges over the whole table."""
+    if by:
+        w = Window.partitionBy(by)
+        order = w.orderBy(F.desc(n), tie)
+        upto = order.rowsBetween(Window.unboundedPreceding, 0)
+        return counts.withColumn("rank", F.row_number().over(order)).withColumn("cumulative", F.sum(n).over(upto)).withColumn("share", F.col("cumulative") / F.sum(n).over(w)).withColumn("expected", F.first(n).over(order) / F.col("rank"))
+    whole = counts.agg(F.sum(n).alias("__all"), F.max(n).alias("__most"))
+    out = with_totals(counts, [-F.col(n), F.col(tie)], "rank", {"cumulative": n}).crossJoin(F.broadcast(whole))  # one row
+    return out.withColumn("share", F.col("cumulative") / F.col("__all")).withColumn("expected", F.col("__most") / F.col("rank")).drop("__all", "__most")
 
 
 def coverage(counts: DataFrame, covered: Column, n: str = "n") -> DataFrame:

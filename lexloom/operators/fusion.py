@@ -115,7 +115,17 @@ def override(rows: DataFrame, changes: DataFrame, keys: list[str], value: str) -
     return rows.join(c, on, "left").withColumn(value, F.coalesce("__new", value)).select(*rows.columns)
 
 
+def variants_of_origin(rows: DataFrame, id_: str, origin: str) -> DataFrame:
+    """id, origin, representative (the smallest id of the origin) and others (how many further rows the origin has): the
+    variants of an origin as a class. Pairs are made by variant_pairs, from these, for origins of a size that is asked for."""
+    first = rows.groupBy(F.col(origin).alias("__o")).agg(F.min(id_).alias("representative"), (F.count(F.lit(1)) - 1).alias("others"))
+    return rows.join(first, F.col(origin) == F.col("__o")).filter("others > 0").select(id_, origin, "representative", "others")
+
+
 def variant_pairs(rows: DataFrame, id_: str, origin: str) -> DataFrame:
-    """a, b, origin: pairs of different rows of one origin, each once. Origins are lemmas with a handful of forms."""
-    r = rows.select(F.col(id_).alias("b"), F.col(origin).alias("__o"))
-    return rows.join(r, (F.col(origin) == F.col("__o")) & (F.col(id_) < F.col("b"))).select(F.col(id_).alias("a"), "b", origin)
+    """a, b, origin: each row with each later one of its origin. The later ones of an origin are one sorted list a row
+    takes a tail of, so the join is on origins, not on pairs; the result itself has all pairs. For large origins use
+    variants_of_origin."""
+    lists = rows.groupBy(F.col(origin).alias("__o")).agg(F.sort_array(F.collect_list(id_)).alias("ids")).filter(F.size("ids") > 1)
+    tails = lists.select("__o", F.posexplode("ids").alias("at", "a"), "ids").select("__o", "a", F.slice("ids", F.col("at") + 2, F.size("ids")).alias("rest"))
+    return tails.select("a", F.explode("rest").alias("b"), F.col("__o").alias(origin)).filter("a < b")

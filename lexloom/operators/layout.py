@@ -76,17 +76,21 @@ def as_of(left: DataFrame, right: DataFrame, on: str, left_at: str, right_at: st
 
 
 def nearest(left: DataFrame, right: DataFrame, on: str, id_: str, left_y: str, right_y: str, value: str, width: float | None = None) -> DataFrame:
-    """id, value, distance: the right row of the same key that is nearest in y (ties: least value). With `width` only
-    rows that near count, and the join is by buckets of that width."""
-    r = right.select(F.col(on).alias("__k"), F.col(right_y).alias("__y"), F.col(value).alias("__v"))
-    if width is None:
-        pairs = left.join(r, F.col(on) == F.col("__k"))
-    else:
-        b = F.floor(F.col(left_y) / width)
-        near = left.withColumn("__b", F.explode(F.array(b - 1, b, b + 1)))
-        pairs = near.join(r.withColumn("__c", F.floor(F.col("__y") / width)), (F.col(on) == F.col("__k")) & (F.col("__b") == F.col("__c"))).filter(F.abs(F.col(left_y) - F.col("__y")) <= width)
-    d = F.abs(F.col(left_y) - F.col("__y"))
-    return pairs.groupBy(id_).agg(F.min(F.struct(d.alias("distance"), F.col("__v").alias(value))).alias("m")).select(id_, f"m.{value}", "m.distance")
+    """id, value, distance: the right row of the same key that is nearest in y (ties: least value), of those within
+    `width` if it is given. Both sides are sorted together once; the nearest row at or above and the nearest at or below
+    are carried to each left row, so no pairs are made. Left rows without a right one are left out."""
+    a = left.select(F.col(on).alias("__k"), F.col(left_y).cast("double").alias("__y"), F.col(id_).alias("__id"), F.lit(None).cast(right.schema[value].dataType).alias("__v"))
+    b = right.filter(F.col(right_y).isNotNull()).groupBy(F.col(on).alias("__k"), F.col(right_y).cast("double").alias("__y")).agg(F.min(value).alias("__v"))
+    both = a.unionByName(b.select("__k", "__y", F.lit(None).cast(left.schema[id_].dataType).alias("__id"), "__v"))
+    seen = F.when(F.col("__id").isNull(), F.struct("__y", "__v"))
+    # right rows come first among equals on the way down, and last on the way up, so both see rows at the same place
+    down = Window.partitionBy("__k").orderBy("__y", F.col("__id").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    up = Window.partitionBy("__k").orderBy("__y", F.col("__id").isNotNull()).rowsBetween(0, Window.unboundedFollowing)
+    rows = both.withColumn("__a", F.last(seen, True).over(down)).withColumn("__b", F.first(seen, True).over(up)).filter(F.col("__id").isNotNull())
+    told = lambda s: F.when(F.col(s).isNotNull(), F.struct(F.abs(F.col("__y") - F.col(f"{s}.__y")).alias("distance"), F.col(f"{s}.__v").alias("v")))
+    out = rows.withColumn("m", F.least(told("__a"), told("__b"))).filter("m is not null")
+    out = out.filter(F.col("m.distance") <= width) if width is not None else out
+    return out.select(F.col("__id").alias(id_), F.col("m.v").alias(value), F.col("m.distance").alias("distance"))
 
 
 def cluster_lines(words: DataFrame, keys: list[str], y: str, x: str, text: str, tolerance: float, moving: bool = False) -> DataFrame:

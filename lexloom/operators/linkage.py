@@ -1,7 +1,9 @@
 """Record linkage between dictionaries: stages from exact keys to substrings, each for what the last one left.
 
-Queries have (id, lemma, gloss), entries have (entry, source, base_conf, ord, lemma, definition). Each stage yields
-(id, entry, kind, score); of equal scores the entry first in order wins.
+Queries have (id, lemma, gloss) and perhaps kana; entries have (entry, source, base_conf, ord, lemma, definition) and
+perhaps lemma_kana. Each stage yields (id, entry, kind, score); of equal scores the entry first in order wins. Old forms
+of characters are read as new ones by `old` and `new`, two strings of equal length (a table of pairs, see
+readers.kanji_pairs).
 """
 
 from __future__ import annotations
@@ -9,32 +11,78 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.functions.orthography import edit1_keys, gloss_tokens_en, gloss_tokens_ja, jaccard, latin_key, lookup_keys, substrings
+from lexloom.functions.orthography import edit1_keys, gloss_lookup_variants, gloss_tokens_en, gloss_tokens_ja, jaccard, kana_key, latin_key, lookup_keys, primary_gloss, stem_variants, substrings, variants
+
+# Sources whose one-word concepts make gloss matches by chance.
+BLOCKED = ("asjp", "pannous_swadesh", "shimabukuro_proto")
 
 
 def best(matches: DataFrame) -> DataFrame:
-    return matches.groupBy("id").agg(F.min_by(F.struct("entry", "kind", "score"), F.struct(-F.col("score"), F.col("ord"), F.col("entry"))).alias("r")).select("id", "r.*")
+    return matches.groupBy("id").agg(F.min_by(F.struct("entry", "kind", "score"), F.struct(-F.col("score"), F.col("step"), F.col("ord"), F.col("entry"))).alias("r")).select("id", "r.*")
 
 
-def _scored(pairs: DataFrame, kind: str, base: Column, weight: float, least: float, most: float) -> DataFrame:
+def _scored(pairs: DataFrame, kind: str, base: Column, weight: float, least: float, most: float, step: Column | int = 0) -> DataFrame:
     overlap = jaccard(F.col("tokens"), F.col("etokens"))
     rows = pairs.withColumn("overlap", overlap).filter(F.col("overlap") >= least)
-    return rows.select("id", "entry", "ord", F.lit(kind).alias("kind"), F.round(F.least(F.lit(most), base + weight * F.col("overlap")), 6).alias("score"))
+    step = F.lit(step) if isinstance(step, int) else step
+    return rows.select("id", "entry", "ord", step.alias("step"), F.lit(kind).alias("kind"), F.round(F.least(F.lit(most), base + weight * F.col("overlap")), 6).alias("score"))
+
+
+def _given(df: DataFrame, name: str) -> Column:
+    return F.col(name) if name in df.columns else F.lit("")
+
+
+def _tokens(text: Column, old: str, new: str) -> Column:
+    return F.array_union(gloss_tokens_en(text), gloss_tokens_ja(text, old=old, new=new))
+
+
+def prepared_queries(queries: DataFrame, old: str = "", new: str = "") -> DataFrame:
+    return queries.select("id", "lemma", lookup_keys(F.col("lemma")).alias("keys"), kana_key(_given(queries, "kana")).alias("kana"), _tokens(F.col("gloss"), old, new).alias("tokens"), primary_gloss(F.col("gloss"), old, new).alias("primary"))
 
 
-def prepared_queries(queries: DataFrame) -> DataFrame:
-    return queries.select("id", lookup_keys(F.col("lemma")).alias("keys"), F.array_union(gloss_tokens_en(F.col("gloss")), gloss_tokens_ja(F.col("gloss"))).alias("tokens"))
+def prepared_entries(entries: DataFrame, old: str = "", new: str = "") -> DataFrame:
+    """Entries with their keys and the tokens of their definitions, and `index`: the first eight English and the first
+    eight Japanese tokens, in order of the definition."""
+    d = F.col("definition")
+    en, ja = gloss_tokens_en(d), gloss_tokens_ja(d, old=old, new=new)
+    index = F.array_union(F.filter(F.slice(en, 1, 8), lambda t: F.length(t).between(3, 20)), F.slice(ja, 1, 8))
+    return entries.select("entry", "source", "base_conf", "ord", latin_key(F.col("lemma")).alias("ekey"), kana_key(_given(entries, "lemma_kana")).alias("ekana"), F.array_union(en, ja).alias("etokens"), index.alias("index"), primary_gloss(d, old, new).alias("eprimary"), F.length("definition").alias("long"))
 
 
-def prepared_entries(entries: DataFrame) -> DataFrame:
-    return entries.select("entry", "source", "base_conf", "ord", latin_key(F.col("lemma")).alias("ekey"), F.array_union(gloss_tokens_en(F.col("definition")), gloss_tokens_ja(F.col("definition"))).alias("etokens"))
+def ota_words(entries: DataFrame, title: str = "title", description: str = "description") -> DataFrame:
+    """word, definition: the Latin words of three to twenty letters inside a Japanese entry's description, each time they
+    are there, with the entry's title."""
+    words = F.regexp_extract_all(F.coalesce(F.col(description), F.lit("")), F.lit(r"\b[a-z][a-z\-']{2,}\b"), F.lit(0))
+    return entries.filter(F.coalesce(F.col(title), F.lit("")) != "").select(F.explode(words).alias("word"), F.col(title).alias("definition")).filter(F.length("word") <= 20)
 
 
-def exact_stage(q: DataFrame, e: DataFrame) -> DataFrame:
-    """Any key of the query is the entry's key."""
+def first_variant(queries: DataFrame, latin: list[DataFrame], kana: DataFrame, old: str = "", new: str = "") -> DataFrame:
+    """id, entry, kind, score of the oldest matcher: spellings in order, and of one spelling the Latin sources in order;
+    the first that hits holds, with its entry of most gloss overlap; where none hits, the kana source."""
+    q = queries.select("id", _tokens(F.col("gloss"), old, new).alias("tokens"), kana_key(_given(queries, "kana")).alias("kana"), F.array_distinct(F.flatten(F.transform(variants(F.col("lemma")), lambda v: stem_variants(latin_key(v))))).alias("keys"))
+    keys = q.select("id", "tokens", F.posexplode("keys").alias("at", "key")).filter("key <> ''")
+    sources = [prepared_entries(e, old, new).withColumn("nth", F.lit(i)) for i, e in enumerate(latin)]
+    every = sources[0]
+    for e in sources[1:]:
+        every = every.unionByName(e)
+    hit = _scored(keys.join(every, F.col("key") == F.col("ekey")), "latn", F.col("base_conf"), 0.15, 0.0, 1.0, F.struct("at", "nth"))
+    told = hit.groupBy("id").agg(F.min_by(F.struct("entry", "kind", "score"), F.struct("step", -F.col("score"), F.col("ord"), F.col("entry"))).alias("r")).select("id", "r.*")
+    other = prepared_entries(kana, old, new)
+    by_kana = best(_scored(q.filter("kana <> ''").join(other, F.col("kana") == F.col("ekana")), "kana", F.lit(0.7), 0.2, 0.0, 1.0))
+    return told.unionByName(by_kana.join(told.select("id"), "id", "left_anti"))
+
+
+def exact_stage(q: DataFrame, e: DataFrame, ota: DataFrame | None = None, old: str = "", new: str = "") -> DataFrame:
+    """Any key of the query is the entry's key, or the kana are the entry's, or a key is a Latin word inside a Japanese
+    entry; the largest score of all."""
     keys = q.select("id", "tokens", F.explode("keys").alias("key"))
-    pairs = keys.join(e, F.col("key") == F.col("ekey"))
-    return best(_scored(pairs, "latn", F.col("base_conf"), 0.10, 0.0, 1.0))
+    found = _scored(keys.join(e, F.col("key") == F.col("ekey")), "latn", F.col("base_conf"), 0.10, 0.0, 1.0)
+    by_kana = q.filter("kana <> ''").join(e, F.col("kana") == F.col("ekana"))
+    found = found.unionByName(_scored(by_kana, "kana", F.col("base_conf") - 0.05, 0.15, 0.0, 1.0, 1))
+    if ota is not None:
+        inside = ota.select("word", F.concat(F.lit("ota:"), "definition").alias("entry"), F.lit(0).cast("long").alias("ord"), _tokens(F.col("definition"), old, new).alias("etokens")).distinct()
+        found = found.withColumn("entry", F.col("entry").cast("string")).unionByName(_scored(keys.filter(F.length("key") >= 3).join(inside, F.col("key") == F.col("word")), "ota_reverse", F.lit(0.65), 0.20, 0.0, 0.95, 2))
+    return best(found)
 
 
 def edit_stage(q: DataFrame, e: DataFrame, least_length: int = 5) -> DataFrame:
@@ -45,19 +93,28 @@ def edit_stage(q: DataFrame, e: DataFrame, least_length: int = 5) -> DataFrame:
     return best(_scored(pairs, "fuzzy_edit1", F.col("base_conf") - 0.20, 0.20, 0.10, 0.90))
 
 
-def gloss_stage(q: DataFrame, e: DataFrame, blocked: list[str] = (), en_weight: int = 1, ja_weight: int = 2, least_weight: int = 3, least_overlap: float = 0.18) -> DataFrame:
-    """Glosses that share tokens: shared weight (Japanese double) first, then the larger of recall and Jaccard. An entry
-    is indexed under its first eight tokens."""
-    e = e.filter(~F.col("source").isin(list(blocked))) if blocked else e
-    e = e.withColumn("etok", F.explode(F.slice("etokens", 1, 8)))
+def gloss_stage(q: DataFrame, e: DataFrame, blocked: tuple[str, ...] = BLOCKED, en_weight: int = 1, ja_weight: int = 2, least_weight: int = 3, least_overlap: float = 0.18) -> DataFrame:
+    """Glosses that share tokens: shared weight (Japanese double) first, then the larger of recall and Jaccard."""
+    e = e.filter(~F.col("source").isin(*blocked)) if blocked else e
     weight = F.when(F.col("tok").rlike("[^\\x00-\\x7F]"), ja_weight).otherwise(en_weight)
-    pairs = q.select("id", F.explode("tokens").alias("tok")).join(e.select("entry", "etok"), F.col("tok") == F.col("etok"))
+    pairs = q.select("id", F.explode("tokens").alias("tok")).join(e.select("entry", F.explode("index").alias("etok")), F.col("tok") == F.col("etok"))
     heavy = pairs.groupBy("id", "entry").agg(F.sum(weight).alias("w")).filter(F.col("w") >= least_weight)
-    told = heavy.join(q.select("id", "tokens"), "id").join(e.select("entry", "ord", "etokens").distinct(), "entry")
+    told = heavy.join(q.select("id", "tokens"), "id").join(e.select("entry", "ord", "etokens"), "entry")
     inter = F.size(F.array_intersect("tokens", "etokens"))
     overlap = F.greatest(inter / F.size("etokens"), inter / F.size(F.array_union("tokens", "etokens")))
     rows = told.withColumn("overlap", overlap).filter(F.col("overlap") >= least_overlap)
-    return best(rows.select("id", "entry", "ord", F.lit("reverse_gloss").alias("kind"), F.round(F.least(F.lit(0.78), 0.50 + 0.25 * F.col("overlap")), 6).alias("score")))
+    return best(rows.select("id", "entry", "ord", F.lit(0).alias("step"), F.lit("reverse_gloss").alias("kind"), F.round(F.least(F.lit(0.78), 0.50 + 0.25 * F.col("overlap")), 6).alias("score")))
+
+
+def primary_stage(q: DataFrame, e: DataFrame, blocked: tuple[str, ...] = BLOCKED, longest: int = 8) -> DataFrame:
+    """The first Japanese run of the query's gloss (of eight letters at most), also without verbal endings and its kanji
+    alone, is an indexed token or such a first run of a definition; short definitions and the run itself count more."""
+    e = e.filter(~F.col("source").isin(*blocked)) if blocked else e
+    own = F.when(F.length("eprimary").between(1, longest), F.filter(gloss_lookup_variants(F.col("eprimary")), lambda x: F.length(x) <= longest)).otherwise(F.array().cast("array<string>"))
+    index = e.select("entry", "ord", "base_conf", "long", F.explode(F.array_union("index", own)).alias("etok"))
+    asked = q.filter(F.length("primary").between(1, longest)).select("id", "primary", F.posexplode(gloss_lookup_variants(F.col("primary"))).alias("step", "tok"))
+    score = F.least(F.lit(0.72), F.col("base_conf") - 0.20 + F.when(F.col("long") > 80, 0.0).otherwise(0.05) + F.when(F.col("tok") == F.col("primary"), 0.04).otherwise(0.0))
+    return best(asked.join(index, F.col("tok") == F.col("etok")).select("id", "entry", "ord", "step", F.lit("primary_ja").alias("kind"), F.round(score, 6).alias("score")))
 
 
 def substring_stage(q: DataFrame, e: DataFrame, least_length: int = 6) -> DataFrame:
@@ -68,20 +125,21 @@ def substring_stage(q: DataFrame, e: DataFrame, least_length: int = 6) -> DataFr
     return best(_scored(pairs, "substring", F.col("base_conf") - 0.25, 0.25, 0.15, 0.70))
 
 
-def cascade(queries: DataFrame, entries: DataFrame, manual: DataFrame | None = None, blocked: list[str] = ()) -> DataFrame:
-    """id, entry, kind, score for all queries (nulls where nothing fits): each stage takes what the stages before left,
-    then manual pairs (lemma, entry)."""
-    q, e = prepared_queries(queries), prepared_entries(entries)
-    out = None
-    for stage in (exact_stage, edit_stage, lambda a, b: gloss_stage(a, b, blocked), substring_stage):
-        left = q if out is None else q.join(out.select("id"), "id", "left_anti")
-        got = stage(left, e)
-        out = got if out is None else out.unionByName(got)
+def cascade(queries: DataFrame, entries: DataFrame, manual: DataFrame | None = None, ota: DataFrame | None = None, blocked: tuple[str, ...] = BLOCKED, old: str = "", new: str = "") -> DataFrame:
+    """id, entry, kind, score for all queries (nulls where nothing fits): the result of the first stage that has one, then
+    of manual pairs (lemma, entry). Every stage is planned once and reads the prepared tables; the first stage of each
+    query is an aggregate, so no stage runs again to tell what it left."""
+    q, e = prepared_queries(queries, old, new), prepared_entries(entries, old, new)
+    stages = [exact_stage(q, e, ota, old, new), edit_stage(q, e), gloss_stage(q, e, blocked), primary_stage(q, e, blocked), substring_stage(q, e)]
     if manual is not None:
-        left = queries.join(out.select("id"), "id", "left_anti")
-        got = left.join(manual.select(F.rtrim("lemma").alias("__m"), "entry"), F.rtrim("lemma") == F.col("__m")).groupBy("id").agg(F.min("entry").alias("entry"))
-        out = out.unionByName(got.select("id", "entry", F.lit("manual").alias("kind"), F.lit(1.0).alias("score")))
-    return queries.select("id").join(out, "id", "left")
+        pairs = manual.select(F.rtrim("lemma").alias("__m"), F.col("entry")).groupBy("__m").agg(F.min("entry").alias("entry"))
+        stages.append(queries.join(pairs, F.rtrim("lemma") == F.col("__m")).select("id", "entry", F.lit("manual").alias("kind"), F.lit(1.0).alias("score")))
+    out = None
+    for i, found in enumerate(stages):
+        found = found.select("id", F.lit(i).alias("stage"), F.struct((F.col("entry").cast("string") if ota is not None else F.col("entry")).alias("entry"), "kind", "score").alias("r"))
+        out = found if out is None else out.unionByName(found)
+    first = out.groupBy("id").agg(F.min_by("r", "stage").alias("r")).select("id", "r.*")
+    return queries.select("id").join(first, "id", "left")
 
 
 def match_summary(matches: DataFrame, by: str = "kind") -> DataFrame:

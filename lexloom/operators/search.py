@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.functions.binding import let
@@ -80,10 +80,10 @@ def concordance(sentences: DataFrame, keywords: list[Keyword], k: int = 1, book:
     )
 
 
-def neighbours(tokens: DataFrame, key: str, pos: str = "pos", token: str = "token") -> DataFrame:
-    """tokens with prev, next and after_next within their text."""
-    w = Window.partitionBy(key).orderBy(pos)
-    return tokens.withColumn("prev", F.lag(token).over(w)).withColumn("next", F.lead(token).over(w)).withColumn("after_next", F.lead(token, 2).over(w))
+def neighbours(df: DataFrame, tokens: Column, *carry: str) -> DataFrame:
+    """carry, pos, token, prev, next, after_next of each token of each row, told inside the row: nothing is shuffled."""
+    near = let(tokens, lambda t: F.transform(t, lambda w, i: F.struct(w.alias("token"), F.get(t, i - 1).alias("prev"), F.get(t, i + 1).alias("next"), F.get(t, i + 2).alias("after_next"))))
+    return df.select(*carry, F.posexplode(near).alias("pos", "x")).select(*carry, "pos", "x.*")
 
 
 def lookup(entries: DataFrame, needle: str, columns: list[str], source: str, lemma: str, ord_: str, most: int = 12) -> DataFrame:
@@ -93,3 +93,19 @@ def lookup(entries: DataFrame, needle: str, columns: list[str], source: str, lem
         hit = hit | F.coalesce(F.col(c).contains(needle), F.lit(False))
     first = entries.filter(hit).groupBy(source, lemma).agg(F.min_by(F.struct(*[c for c in entries.columns if c not in (source, lemma)]), ord_).alias("r"))
     return first.select(source, lemma, "r.*").orderBy(ord_, source, lemma).limit(most)
+
+
+def segmented(words: DataFrame, word: str, morphemes: DataFrame, morpheme: str) -> DataFrame:
+    """words with `breaks`: whether a word is a sequence of known morphemes, of which there may be any number. Substrings
+    of the distinct words, of lengths that morphemes have, meet the morphemes by a join; which places can be reached from
+    the beginning is then a fold over a word's hits in order of their starts."""
+    known = morphemes.select(F.col(morpheme).alias("__m")).filter("__m <> ''").distinct()
+    lengths = [r[0] for r in known.select(F.length("__m").alias("n")).distinct().collect()]  # lengths, not morphemes
+    w = words.select(F.col(word).alias("__w")).filter("__w is not null").distinct()
+    cut = lambda n: F.transform(F.sequence(F.lit(1), F.length("__w") - n + 1), lambda i: F.struct((i - 1).alias("a"), F.substring(F.col("__w"), i, F.lit(n)).alias("s")))
+    none = F.array().cast("array<struct<a:int,s:string>>")
+    pieces = F.concat(*[F.when(F.length("__w") >= n, cut(n)).otherwise(none) for n in sorted(lengths)]) if lengths else none
+    hits = w.select("__w", F.explode(pieces).alias("p")).select("__w", "p.a", "p.s").join(known, F.col("s") == F.col("__m")).groupBy("__w").agg(F.sort_array(F.collect_list(F.struct("a", (F.col("a") + F.length("s")).alias("b")))).alias("hits"))
+    reached = F.aggregate("hits", F.array(F.lit(0)), lambda at, h: F.when(F.array_contains(at, h["a"]) & ~F.array_contains(at, h["b"]), F.concat(at, F.array(h["b"]))).otherwise(at))
+    told = hits.filter(F.array_contains(reached, F.length("__w"))).select(F.col("__w").alias("__ok"))
+    return words.join(told, F.col(word) == F.col("__ok"), "left").withColumn("breaks", F.col("__ok").isNotNull() | (F.col(word) == "")).drop("__ok")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lexloom.functions import tokens as tk
 from lexloom.operators import counts, search
+from lexloom.operators.ranking import with_totals
 from lexloom.sources import sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -143,13 +144,9 @@ def substring_and_word_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Turns as sentences: conv_id is the book; conversations are numbered 0, 1, ... so idx follows (conv_id, turn)."""
-    c = table(spark, sf_dir, "conversations")
-    sizes = c.groupBy("conv_id").count()
-    w = Window.orderBy("conv_id").rowsBetween(Window.unboundedPreceding, -1)
-    first = sizes.select("conv_id", F.coalesce(F.sum("count").over(w), F.lit(0)).alias("first"))
-    inside = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn")) - 1
-    return c.withColumn("n", inside).join(first, "conv_id").select(F.col("conv_id").alias("book"), (F.col("first") + F.col("n")).alias("idx"), F.col("text").alias("sentence"), _words().alias("words"))
+    """Turns as sentences: conv_id is the book; idx numbers them 0, 1, ... in order of (conv_id, turn)."""
+    c = with_totals(table(spark, sf_dir, "conversations"), [F.col("conv_id"), F.col("turn")], "at")
+    return c.select(F.col("conv_id").alias("book"), (F.col("at") - 1).alias("idx"), F.col("text").alias("sentence"), _words().alias("words"))
 
 
 @query(f"""WITH s AS (SELECT conv_id AS book, row_number() OVER (ORDER BY conv_id, turn) - 1 AS idx, text AS sentence, {_WORDS} AS words FROM conversations),
@@ -164,10 +161,10 @@ def concordance_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("book", "idx", F.size("words").cast("long").alias("n_words"), F.transform("intervals", lambda i: i["start"].cast("long")).alias("starts"), F.md5("sentence").alias("sentence_md5"))
 
 
-@query(f"WITH w AS (SELECT doc_id, {_WORDS} AS ws FROM documents) SELECT doc_id, array_to_string(list_transform(ws, lambda x: CASE WHEN x = 'the' THEN '**' || x || '**' ELSE x END), ' ') AS shown FROM w WHERE list_contains(ws, 'the') AND len(ws) <= 200")
+@query(f"WITH w AS (SELECT doc_id, {_WORDS} AS ws FROM documents) SELECT doc_id, array_to_string(list_transform(ws, lambda x: CASE WHEN x = 'the' THEN '**' || x || '**' ELSE x END), ' ') AS shown FROM w WHERE list_contains(ws, 'the')")
 def highlighted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hits marked in the running text of short documents."""
-    d = table(spark, sf_dir, "documents").select("doc_id", _words().alias("ws")).filter(F.size("ws") <= 200)
+    """Hits marked in the running text."""
+    d = table(spark, sf_dir, "documents").select("doc_id", _words().alias("ws"))
     d = d.withColumn("f", search.find([("the", None)], F.col("ws"))).filter(F.size("f") > 0)
     return d.select("doc_id", F.array_join(search.highlight(F.col("ws"), search.intervals(F.col("f"), 1)), " ").alias("shown"))
 
@@ -254,8 +251,8 @@ def fivegrams(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH t AS (SELECT unnest({_WORDS}) AS w, conv_id, turn, generate_subscripts({_WORDS}, 1) AS i FROM conversations), g AS (SELECT w || ' ' || lead(w) OVER (ORDER BY conv_id, turn, i) AS gram FROM t) SELECT gram, count(*) AS n FROM g WHERE gram IS NOT NULL GROUP BY gram HAVING count(*) >= 2")
 def bigrams_across(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs over the borders of turns too, as of one stream."""
-    c = table(spark, sf_dir, "conversations").withColumn("k", F.struct("conv_id", "turn"))
-    return counts.ngrams_across(c, "k", _words(), 2).groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n >= 2")
+    c = table(spark, sf_dir, "conversations")
+    return counts.ngrams_across(c, ["conv_id", "turn"], _words(), 2).groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n >= 2")
 
 
 @query(_gram_sql(2).replace(" HAVING count(*) >= 5", " ORDER BY count(*) DESC, gram LIMIT 20"))
@@ -365,12 +362,12 @@ def syllable_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("form", "n", tk.syllables(F.col("form")).alias("syllables"), tk.accent(F.col("form")).alias("accent"), tk.to_sakhalin(F.col("form")).alias("southern"))
 
 
-@query()
+@query(f"""WITH RECURSIVE {_WC}, {_BW}, m AS (SELECT w FROM bw WHERE length(w) > 1), reach AS (SELECT form, 0 AS place FROM counted UNION SELECT r.form, r.place + length(m.w) AS place FROM reach r JOIN m ON substr(r.form, r.place + 1, length(m.w)) = m.w)
+SELECT form, n, form IN (SELECT form FROM reach WHERE place = length(form)) AS breaks FROM counted""")
 def wordbreak_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which frequent words are sequences of the 200 most frequent short ones."""
-    c = _word_counts(spark, sf_dir)
-    short = c.filter(F.length("form") <= 4).orderBy(F.desc("n"), "form").limit(200).agg(F.array_sort(F.collect_list("form")).alias("ms"))
-    return c.filter("n >= 3").crossJoin(F.broadcast(short)).select("form", "n", tk.word_break(F.col("form"), F.col("ms")).alias("breaks"))
+    """Which words are sequences of known morphemes (here the benchmark's words of two letters or more)."""
+    known = table(spark, sf_dir, "benchmark").select(F.explode(_words()).alias("m")).filter(F.length("m") > 1)
+    return search.segmented(_word_counts(spark, sf_dir), "form", known, "m").select("form", "n", "breaks")
 
 
 @query(f"WITH {_WC}, t AS (SELECT form, n FROM counted ORDER BY n DESC, form LIMIT 50) SELECT form, n, length(form) AS letters FROM t ORDER BY length(form) DESC, form LIMIT 10")
@@ -436,6 +433,5 @@ def conllu_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH t AS (SELECT doc_id, unnest({_WORDS}) AS w, generate_subscripts({_WORDS}, 1) AS i FROM documents), n AS (SELECT w, lead(w) OVER (PARTITION BY doc_id ORDER BY i) AS nx, lead(w, 2) OVER (PARTITION BY doc_id ORDER BY i) AS ax FROM t) SELECT nx AS next_word, count(*) AS n, count(DISTINCT ax) AS after_types FROM n WHERE w = 'the' AND nx IS NOT NULL GROUP BY nx")
 def next_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What follows a word, and how varied what follows that is."""
-    t = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(_words()).alias("pos", "token"))
-    n = search.neighbours(t, "doc_id").filter("token = 'the' and next is not null")
+    n = search.neighbours(table(spark, sf_dir, "documents"), _words()).filter("token = 'the' and next is not null")
     return n.groupBy(F.col("next").alias("next_word")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("after_next").alias("after_types"))

@@ -197,11 +197,11 @@ def citations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("x", "cite", F.when(F.col("cite") == "", F.col("x")).otherwise(textclean.strip_citation(F.col("x"), F.col("cite"))).alias("rest"))
 
 
-@query("SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'exact_match' WHEN doc_id % 4 = 1 THEN 'normalized_match' WHEN doc_id % 4 = 2 AND doc_id % 8 <> 2 THEN 'judge' ELSE 'manual_review' END AS method, CASE WHEN doc_id % 4 <= 1 THEN 'a' WHEN doc_id % 4 = 2 AND doc_id % 8 <> 2 THEN 'b' ELSE '' END AS winner, CASE WHEN doc_id % 4 <= 1 THEN false WHEN doc_id % 4 = 2 AND doc_id % 8 <> 2 THEN doc_id % 3 = 0 ELSE true END AS review FROM documents WHERE length(text) >= 20")
+@query("SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'exact_match' WHEN doc_id % 4 = 1 THEN 'normalized_match' WHEN doc_id % 4 = 2 AND doc_id % 8 <> 2 THEN 'judge' ELSE 'manual_review' END AS method, CASE WHEN doc_id % 4 <= 1 THEN 'a' WHEN doc_id % 4 = 2 AND doc_id % 8 <> 2 THEN 'b' ELSE '' END AS winner, CASE WHEN doc_id % 4 <= 1 THEN false WHEN doc_id % 4 = 2 AND doc_id % 8 <> 2 THEN doc_id % 3 = 0 ELSE true END AS review FROM documents")
 def decision_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The better of two readings of a page, or a review."""
     m = F.col("doc_id") % 4
-    d = table(spark, sf_dir, "documents").filter(F.length("text") >= 20).withColumn("b", F.when(m == 0, F.col("text")).when(m == 1, F.concat(F.lit("  "), "text", F.lit("\n"))).otherwise(F.concat("text", F.lit("x"))))
+    d = table(spark, sf_dir, "documents").withColumn("b", F.when(m == 0, F.col("text")).when(m == 1, F.concat(F.lit("  "), "text", F.lit("\n"))).otherwise(F.concat("text", F.lit("x"))))
     judge = F.when((m == 2) & (F.col("doc_id") % 8 != 2), F.struct(F.lit("b").alias("winner"), F.when(F.col("doc_id") % 3 == 0, 0.5).otherwise(0.9).alias("confidence")))
     return decisions.decide(d, "text", "b", judge=judge).select("doc_id", "method", F.coalesce("winner", F.lit("")).alias("winner"), "review")
 

@@ -43,13 +43,18 @@ def gloss_lookup_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.join(spark.createDataFrame(_POS, "lemma string, p string"), F.col("token") == F.col("lemma")).groupBy(F.col("p").alias("pos")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("token").alias("types"))
 
 
-_UPOS_SQL = "CASE p WHEN 'adn' THEN 'DET' WHEN 'cconj' THEN 'SCONJ' WHEN 'postp' THEN 'ADP' WHEN 'cop' THEN 'AUX' WHEN 'sconj' THEN 'SCONJ' WHEN 'n' THEN 'NOUN' ELSE '_' END"
+# What each part of speech must become, told one by one.
+_TAGS = [
+    ("vi", "VERB"), ("vd", "VERB"), ("vc", "VERB"), ("v", "VERB"), ("verb", "VERB"), ("n", "NOUN"), ("nl", "NOUN"), ("nmlz", "NOUN"), ("noun", "NOUN"), ("pron", "PRON"), ("int", "PRON"), ("propn", "PROPN"),
+    ("adn", "DET"), ("determiner", "DET"), ("adv", "ADV"), ("cconj", "SCONJ"), ("sconj", "SCONJ"), ("padv", "SCONJ"), ("post", "POST"), ("auxv", "AUX"), ("cop", "AUX"), ("sfp", "PART"), ("pers", "PART"),
+    ("intj", "INTJ"), ("advp", "ADP"), ("postp", "ADP"), ("parti", "ADP"), ("num", "NUM"), ("punct", "PUNCT"), ("vt", "_"), ("unknown", "_"),
+]
 
 
-@query(f"WITH {_POS_SQL} SELECT lemma, p AS xpos, {_UPOS_SQL} AS upos FROM pos")
+@query("SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in _TAGS) + ") t(xpos, upos)")
 def pos_remap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tags mapped to universal ones, the later of two mappings holding."""
-    return spark.createDataFrame(_POS, "lemma string, p string").select("lemma", F.col("p").alias("xpos"), morphology.upos(F.col("p")).alias("upos"))
+    return spark.createDataFrame([(a,) for a, _ in _TAGS], "xpos string").select("xpos", morphology.upos(F.col("xpos")).alias("upos"))
 
 
 _LEMMA_WORDS = [("w_a", "sconj"), ("h_ine", "sconj"), ("ne[y]", "cop"), ("awa[n]", "sconj"), ("[u]", "intj"), ("ne'ampe", "n"), ("inkar'", "vi"), ("oka", "vi"), ("okay", "vi"), ("mat", "n"), ("maci", "n"), ("macihi", "n"), ("a=", "pers"), ("eci=", "pers"), ("ek", "vi"), ("arki", "vi")]
@@ -208,10 +213,6 @@ def brace_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- lexicon ---
 
-_UNITS = """u AS (SELECT doc_id, unnest(string_split_regex(lower(text), '[.,\\n]+')) AS unit FROM documents WHERE doc_id < 400),
-p AS (SELECT doc_id, trim(unit) AS unit, regexp_extract_all(unit, '[a-zà-ÿ]+') AS ws FROM u)"""
-
-
 @query("WITH s AS (SELECT conv_id || '-' || turn AS sid, role, text, " + _WORDS + " AS ws FROM conversations), m AS (SELECT sid, unnest(ws) AS morpheme, role AS gloss, generate_subscripts(ws, 1) AS i FROM s), g AS (SELECT morpheme, gloss, count(*) AS n, min(sid || ':' || lpad(CAST(i AS VARCHAR), 6, '0')) AS o FROM m GROUP BY ALL), b AS (SELECT morpheme, count(*) AS occurrences, count(DISTINCT sid) AS sentences FROM m GROUP BY morpheme) SELECT b.*, (SELECT gloss FROM g WHERE g.morpheme = b.morpheme ORDER BY n DESC, o LIMIT 1) AS primary_gloss, (SELECT string_agg(gloss || ' (' || n || ')', ' || ' ORDER BY n DESC, o) FROM g WHERE g.morpheme = b.morpheme) AS glosses FROM b WHERE occurrences >= 3")
 def lexicon_primary_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Morphemes with counted glosses, the primary one and the number of sentences."""
@@ -220,24 +221,22 @@ def lexicon_primary_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexicon.lexicon(c, "sid", "ord").filter("occurrences >= 3").select("morpheme", "occurrences", "sentences", "primary_gloss", "glosses")
 
 
-_TIER = "SELECT doc_id, array_to_string(list_transform(range(1, 1 + least(6, len(ws))), lambda i: ws[i] || '-' || length(ws[i])), '||') AS m, array_to_string(list_transform(range(1, 1 + least(6, len(ws))), lambda i: CASE WHEN length(ws[i]) % 3 = 0 THEN 'x' ELSE 'x-y' END), '||') AS e FROM w"
+def _tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents").select("doc_id", _words().alias("ws")).filter(F.size("ws") > 0)
+    return d.select("doc_id", F.array_join(F.transform("ws", lambda w: F.concat_ws("-", w, F.length(w))), "||").alias("morpheme"), F.array_join(F.transform("ws", lambda w: F.when(F.length(w) % 3 == 0, "x").otherwise("x-y")), "||").alias("gloss_en"), F.array_join(F.transform("ws", lambda w: F.lit("j")), "||").alias("gloss_jp"))
 
 
-@query(f"WITH w AS (SELECT doc_id, {_WORDS} AS ws FROM documents), t AS (SELECT doc_id, unnest(ws[1:6]) AS word, generate_subscripts(ws[1:6], 1) - 1 AS unit FROM w) SELECT doc_id, CAST(unit AS INTEGER) AS unit, p.part AS part, CASE WHEN p.part = 0 THEN word ELSE CAST(length(word) AS VARCHAR) END AS morpheme, CASE WHEN p.part = 0 THEN 'x' ELSE 'y' END AS gloss_en, 'j' AS gloss_jp FROM t, (VALUES (0), (1)) p(part) WHERE length(word) % 3 <> 0")
+@query(f"WITH w AS (SELECT doc_id, {_WORDS} AS ws FROM documents), t AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) - 1 AS unit FROM w) SELECT doc_id, CAST(unit AS INTEGER) AS unit, p.part AS part, CASE WHEN p.part = 0 THEN word ELSE CAST(length(word) AS VARCHAR) END AS morpheme, CASE WHEN p.part = 0 THEN 'x' ELSE 'y' END AS gloss_en, 'j' AS gloss_jp FROM t, (VALUES (0), (1)) p(part) WHERE length(word) % 3 <> 0")
 def align_units_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tiers of units and parts aligned, a Japanese gloss of one part going to all."""
-    d = table(spark, sf_dir, "documents").select("doc_id", F.slice(_words(), 1, 6).alias("ws")).filter(F.size("ws") > 0)
-    d = d.select("doc_id", F.array_join(F.transform("ws", lambda w: F.concat_ws("-", w, F.length(w))), "||").alias("morpheme"), F.array_join(F.transform("ws", lambda w: F.when(F.length(w) % 3 == 0, "x").otherwise("x-y")), "||").alias("gloss_en"), F.array_join(F.transform("ws", lambda w: F.lit("j")), "||").alias("gloss_jp"))
-    good, _ = lexicon.align(d, "morpheme", "gloss_en", "gloss_jp", "doc_id")
+    good, _ = lexicon.align(_tiers(spark, sf_dir), "morpheme", "gloss_en", "gloss_jp", "doc_id")
     return good.select("doc_id", "unit", "part", "morpheme", "gloss_en", "gloss_jp")
 
 
-@query(f"WITH w AS (SELECT doc_id, {_WORDS} AS ws FROM documents), t AS (SELECT doc_id, unnest(ws[1:6]) AS word, generate_subscripts(ws[1:6], 1) - 1 AS unit FROM w) SELECT doc_id, CAST(unit AS INTEGER) AS unit, word || '-' || length(word) AS text, 'part_count_mismatch' AS reason FROM t WHERE length(word) % 3 = 0")
+@query(f"WITH w AS (SELECT doc_id, {_WORDS} AS ws FROM documents), t AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) - 1 AS unit FROM w) SELECT doc_id, CAST(unit AS INTEGER) AS unit, word || '-' || length(word) AS text, 'part_count_mismatch' AS reason FROM t WHERE length(word) % 3 = 0")
 def align_unresolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The units that don't align, with a reason."""
-    d = table(spark, sf_dir, "documents").select("doc_id", F.slice(_words(), 1, 6).alias("ws")).filter(F.size("ws") > 0)
-    d = d.select("doc_id", F.array_join(F.transform("ws", lambda w: F.concat_ws("-", w, F.length(w))), "||").alias("morpheme"), F.array_join(F.transform("ws", lambda w: F.when(F.length(w) % 3 == 0, "x").otherwise("x-y")), "||").alias("gloss_en"), F.array_join(F.transform("ws", lambda w: F.lit("j")), "||").alias("gloss_jp"))
-    return lexicon.align(d, "morpheme", "gloss_en", "gloss_jp", "doc_id")[1]
+    return lexicon.align(_tiers(spark, sf_dir), "morpheme", "gloss_en", "gloss_jp", "doc_id")[1]
 
 
 @query("WITH g AS (SELECT p_brand, p_size, list_sort(list(DISTINCT p_type)) AS forms FROM part GROUP BY ALL) SELECT p_brand, list(p_size || ':' || array_to_string(forms, ',') ORDER BY p_size) AS glosses FROM g GROUP BY p_brand")
@@ -274,11 +273,11 @@ def token_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shared.filter(j >= 0.05).select("item_id", "entry", F.round(j, 6).alias("jaccard"))
 
 
-@query("WITH q AS (SELECT DISTINCT p_brand || p_size AS key FROM part WHERE p_size < 20), e AS (SELECT DISTINCT p_brand || p_size AS ekey FROM part) SELECT key, ekey FROM q, e WHERE levenshtein(key, ekey) = 1")
+@query("WITH q AS (SELECT DISTINCT p_brand || p_size AS key FROM part), e AS (SELECT DISTINCT p_brand || p_size AS ekey FROM part) SELECT key, ekey FROM q, e WHERE levenshtein(key, ekey) = 1")
 def match_edit1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs within one edit, by one-deletion neighbourhoods."""
-    p = table(spark, sf_dir, "part").select(F.concat("p_brand", "p_size").alias("key"), "p_size")
-    q = p.filter("p_size < 20").select("key").distinct().withColumn("near", F.explode(orthography.edit1_keys(F.col("key"))))
+    p = table(spark, sf_dir, "part").select(F.concat("p_brand", "p_size").alias("key"))
+    q = p.select("key").distinct().withColumn("near", F.explode(orthography.edit1_keys(F.col("key"))))
     e = p.select(F.col("key").alias("ekey")).distinct().withColumn("near", F.explode(orthography.edit1_keys(F.col("ekey"))))
     return q.join(e, "near").filter(F.levenshtein("key", "ekey", 1) == 1).select("key", "ekey").distinct()
 
@@ -293,24 +292,102 @@ def match_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.join(e, F.col("sub") == F.col("ekey")).select("name", "ekey")
 
 
-def _cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), F.coalesce(F.get(_words(), F.lit(2)), F.lit("x")).alias("lemma"), F.col("text").alias("gloss"))
-    words = table(spark, sf_dir, "conversations").select((F.col("conv_id") * 100 + F.col("turn")).alias("entry"), F.lit("conv").alias("source"), F.lit(0.85).alias("base_conf"), (F.col("conv_id") * 100 + F.col("turn")).alias("ord"), F.coalesce(F.get(_words(), F.lit(2)), F.lit("")).alias("lemma"), F.col("text").alias("definition"))
-    return linkage.cascade(b, words)
+# Prepared tables of the matcher's stages: lists of keys, tokens and first Japanese runs made from names and types.
+_PREPARED = """q AS (SELECT p_partkey AS id, [lower(p_type), split_part(p_name, ' ', 2), split_part(p_name, ' ', 1)] AS keys, CASE WHEN p_size % 5 = 0 THEN 'ア' || p_size ELSE '' END AS kana,
+ string_split(lower(p_name || ' ' || p_type || CASE WHEN p_size % 2 = 0 THEN ' 水' ELSE '' END), ' ') AS tokens, CASE p_size % 5 WHEN 0 THEN '満足スル' WHEN 1 THEN '水' WHEN 2 THEN '大きいの木' WHEN 3 THEN '' ELSE '一二三四五六七八九' END AS prim FROM part),
+e AS (SELECT min(p_partkey) AS entry, CASE WHEN min(p_partkey) % 4 = 0 THEN 'asjp' ELSE 'own' END AS source, 0.80 + (min(p_partkey) % 3) / 100.0 AS base_conf, min(p_partkey) AS ord, split_part(p_name, ' ', 2) AS ekey, CASE WHEN min(p_partkey) % 2 = 0 THEN 'ア' || (min(p_partkey) % 50) ELSE '' END AS ekana,
+ list_distinct(string_split(lower(p_name || ' ' || min(p_type) || ' ' || min(p_brand) || CASE WHEN min(p_partkey) % 3 = 0 THEN ' 水 満足' ELSE '' END), ' ')) AS etokens FROM part GROUP BY p_name, p_size),
+jac AS (SELECT q.*, e.*, len(list_intersect(tokens, etokens)) / len(list_distinct(tokens || etokens)) AS overlap, len(list_intersect(tokens, etokens)) / len(etokens) AS recall FROM q, e)"""
+_BEST = "SELECT id, entry, kind, score FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, step, ord, entry) AS r FROM found) WHERE r = 1"
 
 
-@query()
+def _prepared(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    p = table(spark, sf_dir, "part")
+    word = lambda c, i: F.lower(F.split(c, " ")[i])
+    m = F.col("p_size") % 5
+    q = p.select(
+        F.col("p_partkey").alias("id"), F.array(F.lower("p_type"), word("p_name", 1), word("p_name", 0)).alias("keys"), F.when(m == 0, F.concat(F.lit("ア"), "p_size")).otherwise("").alias("kana"),
+        F.split(F.lower(F.concat("p_name", F.lit(" "), "p_type", F.when(F.col("p_size") % 2 == 0, " 水").otherwise(""))), " ").alias("tokens"), F.when(m == 0, "満足スル").when(m == 1, "水").when(m == 2, "大きいの木").when(m == 3, "").otherwise("一二三四五六七八九").alias("primary"),
+    )
+    e = p.groupBy("p_name", "p_size").agg(F.min("p_partkey").alias("entry"), F.min("p_brand").alias("b"), F.min("p_type").alias("t"))
+    n = F.col("entry")
+    text = F.lower(F.concat("p_name", F.lit(" "), "t", F.lit(" "), "b", F.when(n % 3 == 0, " 水 満足").otherwise("")))
+    e = e.select("entry", F.when(n % 4 == 0, "asjp").otherwise("own").alias("source"), (0.80 + (n % 3) / 100.0).alias("base_conf"), n.alias("ord"), word("p_name", 1).alias("ekey"), F.when(n % 2 == 0, F.concat(F.lit("ア"), n % 50)).otherwise("").alias("ekana"), F.array_distinct(F.split(text, " ")).alias("etokens"))
+    return q, e.withColumn("index", F.slice("etokens", 1, 8)).withColumn("eprimary", F.when(n % 3 == 0, "水").otherwise("")).withColumn("long", F.when(n % 2 == 0, 100).otherwise(20))
+
+
+@query(f"WITH {_PREPARED}, ota AS (SELECT DISTINCT lower(p_type) AS word, p_brand AS title FROM part), found AS (SELECT DISTINCT id, CAST(entry AS VARCHAR) AS entry, ord, 0 AS step, 'latn' AS kind, round(least(1.0, base_conf + 0.10 * overlap), 6) AS score FROM jac WHERE list_contains(keys, ekey) UNION ALL SELECT id, CAST(entry AS VARCHAR), ord, 1, 'kana', round(least(1.0, base_conf - 0.05 + 0.15 * overlap), 6) FROM jac WHERE kana = ekana AND kana <> '' UNION ALL SELECT DISTINCT id, 'ota:' || title, 0, 2, 'ota_reverse', 0.65 FROM q JOIN ota ON list_contains(keys, word)) {_BEST}")
+def match_exact_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries under any key, the kana, or as a word inside a Japanese entry; the best of all."""
+    q, e = _prepared(spark, sf_dir)
+    words = linkage.ota_words(table(spark, sf_dir, "part").select(F.col("p_brand").alias("title"), F.concat(F.lit("訳 "), F.lower("p_type"), F.lit(" X。")).alias("description")))
+    return linkage.exact_stage(q, e, words)
+
+
+@query(f"WITH {_PREPARED}, s AS (SELECT id, entry, ord, greatest(recall, overlap) AS o, list_sum(list_transform(list_intersect(list_distinct(tokens), etokens[1:8]), lambda t: CASE WHEN t IN ('水', '満足') THEN 2 ELSE 1 END)) AS w FROM jac WHERE source <> 'asjp'), found AS (SELECT id, entry, ord, 0 AS step, 'reverse_gloss' AS kind, round(least(0.78, 0.50 + 0.25 * o), 6) AS score FROM s WHERE w >= 3 AND o >= 0.18) {_BEST}")
+def match_reverse_gloss(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries whose definitions share enough weighted tokens with the gloss."""
+    q, e = _prepared(spark, sf_dir)
+    return linkage.gloss_stage(q.withColumn("tokens", F.array_distinct("tokens")), e)
+
+
+@query(f"WITH {_PREPARED}, v(prim, tok, step) AS (VALUES ('満足スル', '満足スル', 0), ('満足スル', '満足', 1), ('水', '水', 0), ('大きいの木', '大きいの木', 0), ('大きいの木', '大', 1), ('大きいの木', '木', 2)), found AS (SELECT id, entry, ord, step, 'primary_ja' AS kind, round(least(0.72, base_conf - 0.20 + CASE WHEN entry % 2 = 0 THEN 0 ELSE 0.05 END + CASE WHEN v.tok = v.prim THEN 0.04 ELSE 0 END), 6) AS score FROM q JOIN v USING (prim), e WHERE source <> 'asjp' AND list_contains(etokens[1:8], v.tok)) {_BEST}")
+def match_primary_gloss(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries under the first Japanese run of the gloss, whole, without endings, or its kanji."""
+    return linkage.primary_stage(*_prepared(spark, sf_dir))
+
+
+@query("SELECT p_partkey AS id, CASE WHEN p_size % 3 = 0 THEN 1 WHEN p_size % 3 = 1 THEN 2 WHEN p_size % 2 = 0 THEN 3 END AS entry, CASE WHEN p_size % 3 <= 1 THEN 'latn' WHEN p_size % 2 = 0 THEN 'kana' END AS kind, CASE WHEN p_size % 3 <= 1 THEN 0.85 WHEN p_size % 2 = 0 THEN 0.7 END AS score FROM part WHERE p_size % 3 <= 1 OR p_size % 2 = 0")
+def match_first_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The oldest matcher: the first spelling that hits, the first source that has it, else the kana source."""
+    m = F.col("p_size") % 3
+    q = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.when(m == 0, "Chise").when(m == 1, "Kamui").otherwise("Zzz").alias("lemma"), F.when(F.col("p_size") % 2 == 0, "ポネ、x").otherwise("").alias("kana"), F.lit("").alias("gloss"))
+    entry = "entry long, source string, base_conf double, ord long, lemma string, lemma_kana string, definition string"
+    nakagawa = spark.createDataFrame([(1, "nakagawa", 0.85, 1, "cise", "", "house"), (9, "nakagawa", 0.85, 9, "chise", "", "late spelling")], entry)
+    kayano = spark.createDataFrame([(8, "kayano", 0.85, 8, "cise", "", "second source"), (2, "kayano", 0.85, 2, "kamuy", "", "god")], entry)
+    tamura = spark.createDataFrame([(3, "tamura", 0.85, 3, "pone", "ポネ", "bone")], entry)
+    return linkage.first_variant(q, [nakagawa, kayano], tamura)
+
+
+_STAGES = "CASE p_size % 7 WHEN 0 THEN 'latn' WHEN 1 THEN 'kana' WHEN 2 THEN 'fuzzy_edit1' WHEN 3 THEN 'reverse_gloss' WHEN 4 THEN 'primary_ja' WHEN 5 THEN 'substring' ELSE 'manual' END"
+
+
+def _cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One query a part, whose size decides which stage can find it: spelling, kana, one edit, gloss, first Japanese run,
+    part of the headword, or the table of manual pairs."""
+    m = F.col("p_size") % 7
+    lemma = F.when(m == 0, "Chise").when(m == 1, "Qqq").when(m == 2, "kimunkamuj").when(m == 3, "Www").when(m == 4, "Xxx").when(m == 5, "retarsetabeh").otherwise("manualword ")
+    gloss = F.when(m == 2, "a bear of mountains").when(m == 3, "a sacred white headed eagle").when(m == 4, "滿足スル。").when(m == 5, "white dog thing").otherwise("")
+    q = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), lemma.alias("lemma"), F.when(m == 1, "ポネ").otherwise("").alias("kana"), gloss.alias("gloss"))
+    rows = [
+        (1, "own", 0.85, 1, "cise", "", "house"), (2, "own", 0.85, 2, "pone", "ポネ", "bone"), (3, "own", 0.85, 3, "kimunkamuy", "", "bear of mountains"), (4, "own", 0.85, 4, "kapacir", "", "sacred white eagle"),
+        (5, "asjp", 0.85, 5, "asjpword", "", "sacred white headed eagle"), (6, "own", 0.85, 6, "ramu", "", "満足する。"), (7, "own", 0.85, 7, "seta", "", "dog"),
+    ]
+    e = spark.createDataFrame(rows, "entry long, source string, base_conf double, ord long, lemma string, lemma_kana string, definition string")
+    manual = spark.createDataFrame([("manualword", 2)], "lemma string, entry long")
+    return linkage.cascade(q, e, manual, old="滿", new="満")
+
+
+@query(f"SELECT p_partkey AS id, CASE p_size % 7 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 3 WHEN 3 THEN 4 WHEN 4 THEN 6 WHEN 5 THEN 7 ELSE 2 END AS entry, {_STAGES} AS kind, CASE p_size % 7 WHEN 0 THEN 0.85 WHEN 1 THEN 0.8 WHEN 2 THEN 0.85 WHEN 3 THEN 0.75 WHEN 4 THEN 0.7 WHEN 5 THEN round(0.6 + 0.25 / 3, 6) ELSE 1.0 END AS score FROM part")
 def match_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole cascade of matching stages."""
+    """The cascade of matching stages, each for what the ones before left, then manual pairs."""
     return _cascade(spark, sf_dir)
 
 
-@query()
+@query(f"SELECT {_STAGES} AS kind, count(*) AS n, round(100.0 * count(*) / (SELECT count(*) FROM part), 4) AS percent FROM part GROUP BY ALL")
 def match_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many matched by which stage."""
+    """How many matched by which stage, in percent."""
     return linkage.match_summary(_cascade(spark, sf_dir))
 
 
+@query()
+def match_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage of the benchmark against all documents as entries, by headword (their third word) and gloss."""
+    b = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), F.coalesce(F.get(_words(), F.lit(2)), F.lit("x")).alias("lemma"), F.col("text").alias("gloss"))
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("entry"), F.lit("documents").alias("source"), F.lit(0.85).alias("base_conf"), F.col("doc_id").alias("ord"), F.coalesce(F.get(_words(), F.lit(2)), F.lit("")).alias("lemma"), F.col("text").alias("definition"))
+    return linkage.cascade(b, d)
+
+
 @query()
 def lookup_key_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """all lookup keys of frequent words."""

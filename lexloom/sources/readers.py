@@ -162,6 +162,12 @@ def first_present(df: DataFrame, *names: str) -> Column:
     return F.coalesce(*there, F.lit("")) if there else F.lit("")
 
 
+def kanji_pairs(spark: SparkSession, path: str) -> tuple[str, str]:
+    """Old and new forms of characters, as two strings of equal length, of a table of two columns without header."""
+    rows = tsv(spark, path, "old string, new string", header=False, quote="").filter("length(old) = 1 and length(new) = 1").dropDuplicates(["old"]).orderBy("old").limit(100_000).collect()
+    return "".join(r["old"] for r in rows), "".join(r["new"] for r in rows)
+
+
 def literal_table(spark: SparkSession, rows: list[tuple], schema: str | T.StructType) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 

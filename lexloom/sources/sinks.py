@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexloom.operators.ranking import with_totals
+
 
 def write_tsv(df: DataFrame, path: str, header: bool = True, by: str | None = None) -> None:
     w = df.write.mode("overwrite").option("sep", "\t").option("header", header)
@@ -38,8 +40,8 @@ def compact_json(df: DataFrame, *order: str) -> DataFrame:
 
 
 def chunked(df: DataFrame, order: list[str], size: int = 250) -> DataFrame:
-    """df with `chunk`: numbers of consecutive rows of a table in order. For tables of export size."""
-    return df.withColumn("chunk", F.floor((F.row_number().over(Window.orderBy(*order)) - 1) / size))
+    """df with `chunk`: numbers of consecutive rows of a table in order of columns without nulls, by ranges of them."""
+    return with_totals(df, [F.col(c) for c in order], "__at").withColumn("chunk", F.floor((F.col("__at") - 1) / size)).drop("__at")
 
 
 def conllu_lines(sentences: DataFrame, book: str = "book", sent: str = "sent_id", text: str = "text", tokens: str = "tokens") -> DataFrame:

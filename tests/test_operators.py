@@ -29,7 +29,7 @@ def test_string_or_list_buckets(spark):
 
 def test_ngrams_across_rows(spark):
     df = spark.createDataFrame([(1, ["a", "b"]), (2, []), (3, ["c"]), (4, ["d", "e"])], "k long, t array<string>")
-    got = sorted(r[0] for r in counts.ngrams_across(df, "k", F.col("t"), 3).collect())
+    got = sorted(r[0] for r in counts.ngrams_across(df, ["k"], F.col("t"), 3).collect())
     assert got == ["a b c", "b c d", "c d e"]
 
 
