@@ -59,18 +59,15 @@ def held_out(key: Column) -> Column:
 
 
 def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pool adjacent violators: knots and values of the rising step function nearest to y."""
-    order = np.lexsort((y, x))
+    """Pool adjacent violators: knots and values of the rising step function nearest to y. Equal x are one point."""
+    knots, at = np.unique(x, return_inverse=True)
+    weight, total = np.bincount(at, w, len(knots)), np.bincount(at, w * y, len(knots))
     pools: list[list[float]] = []
-    for a, b, c in zip(x[order].tolist(), y[order].tolist(), w[order].tolist(), strict=True):
-        if pools and pools[-1][3] == a:
-            pools[-1][0] += b * c
-            pools[-1][1] += c
-        else:
-            pools.append([b * c, c, a, a])
+    for knot, a, b in zip(knots.tolist(), total.tolist(), weight.tolist(), strict=True):
+        pools.append([a, b, knot])
         while len(pools) > 1 and pools[-2][0] / pools[-2][1] >= pools[-1][0] / pools[-1][1]:
-            top = pools.pop()
-            pools[-1] = [pools[-1][0] + top[0], pools[-1][1] + top[1], pools[-1][2], top[3]]
+            a, b, _ = pools.pop()
+            pools[-1] = [pools[-1][0] + a, pools[-1][1] + b, pools[-1][2]]
     return np.array([p[2] for p in pools]), np.array([p[0] / p[1] for p in pools])
 
 

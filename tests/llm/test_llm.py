@@ -348,6 +348,9 @@ def test_toxicity_on_held_out_rows(spark):
 def test_isotonic():
     x, y = toxicity.isotonic(np.array([1.0, 2, 3, 4]), np.array([0.0, 1, 0, 1]), np.ones(4))
     assert x.tolist() == [1, 2, 4] and y.tolist() == [0, 0.5, 1]
+    # one clean example among many toxic ones of the same raw score pulls down its own point only
+    x, y = toxicity.isotonic(np.array([0.0] * 50 + [1.0] * 20), np.array([0.0] * 50 + [0.0] + [1.0] * 19), np.ones(70))
+    assert x.tolist() == [0, 1] and y.tolist() == [0, 0.95]
 
 
 # --- chat ---
