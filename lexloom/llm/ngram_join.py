@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from lexloom.llm.bloom import filled, has, spots
 from lexloom.llm.components import components
 from lexloom.llm.shingles import shingle_ids
-from lexloom.llm.tables import bound_batches, discard, keep, resting
+from lexloom.llm.tables import bound_batches, discard, keep, release, resting
 
 #: Least bits of a bitmap (it has 1.5 for each id or more, a power of two); documents of a band in one block; children
 #: compared with one copy of their parent.
@@ -339,6 +339,8 @@ def join(df: DataFrame, k: int = 5, num: int = 80, den: int = 100, key: str = "d
     ids = ids.view(np.uint64)
     order = np.argsort(ids)
     heavy = (ids[order], times[order].astype(np.int32))
+    del found, ids, times, order
+    release()
 
     nodes = classes.filter("node is not null").select(F.col("node").alias("v"))
     keyed = docs.filter("__key is not null")

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
@@ -68,3 +71,13 @@ def bound_batches(spark: SparkSession, rows: int = 1000) -> None:
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(name, "10000")) <= rows:
         spark.conf.set(name, rows)
+
+
+def release() -> None:
+    """Give memory that is free in this process back to the system: a driver lives long beside its JVM."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # only some C libraries have it
+        pass

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.llm.shingles import hash_spans, runs
-from lexloom.llm.tables import bound_batches, discard, keep
+from lexloom.llm.tables import bound_batches, discard, keep, release
 
 #: Documented bound: examples of each class, with their whole texts.
 EXAMPLES = 1500
@@ -110,11 +110,12 @@ class Index:
         self.labels = labels[order]
         share = {y: labelled.get(y, 0) / max(int((labels == y).sum()), 1) for y in (0, 1)}
         self.weights = np.array([share[int(y)] for y in self.labels])
-        term = np.concatenate([np.zeros(0, np.int64), *(places[i] for i in order)])
-        at = np.repeat(np.arange(n), [len(places[i]) for i in order])
-        value = np.concatenate([np.zeros(0), *(vectors[i] for i in order)])
+        term = np.concatenate([np.zeros(0, np.int32), *(places[i].astype(np.int32) for i in order)])
         by = np.argsort(term, kind="stable")  # within a term by example
-        term, self.at, self.value = term[by], at[by].astype(np.int32), value[by]
+        self.at = np.repeat(np.arange(n, dtype=np.int32), [len(places[i]) for i in order])[by]
+        self.value = np.concatenate([np.zeros(0), *(vectors[i] for i in order)])[by]
+        term = term[by]
+        del by, vectors
         self.ptr = np.searchsorted(term, np.arange(len(vocabulary) + 1))
         self.blocks = -(-n // BLOCK)
         self._dense = None
@@ -127,6 +128,7 @@ class Index:
         mine = [i for i, f in enumerate(near) if len(f[0])]
         if mine:
             self.knots, self.values = isotonic(np.array([self.raw(near[i]) for i in mine]), self.labels[mine], self.weights[mine])
+        self._dense = None  # made again by each worker
 
     def _vector(self, places: np.ndarray, counts: np.ndarray) -> np.ndarray:
         v = (1 + np.log(counts)) * self.weight[places]
@@ -153,10 +155,9 @@ class Index:
             row = np.full(len(self.vocabulary), -1)
             row[frequent] = np.arange(len(frequent))
             at, n = _spread(self.ptr, frequent)
-            weights = np.zeros((len(frequent), self.blocks * BLOCK))
-            weights[np.repeat(np.arange(len(frequent)), n), self.at[at]] = self.value[at]
-            cube = weights.reshape(len(frequent), self.blocks, BLOCK)
-            self._dense = row, np.ascontiguousarray(cube.transpose(1, 0, 2)), cube.max(2)
+            cube, at_block = np.zeros((self.blocks, len(frequent), BLOCK)), self.at[at]
+            cube[at_block // BLOCK, np.repeat(np.arange(len(frequent)), n), at_block % BLOCK] = self.value[at]
+            self._dense = row, cube, cube.max(2).T.copy()
         return self._dense
 
     def nearest(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int = NEAREST, without: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -239,14 +240,15 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = [terms_of(t.as_py()) for t in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([h.tobytes() for h, _ in got], pa.binary()), pa.array([n.astype(np.int64).tobytes() for _, n in got], pa.binary()), batch.column(3)], ["k", "y", "h", "n", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([h.tobytes() for h, _ in got], pa.binary()), pa.array([n.astype(np.int32).tobytes() for _, n in got], pa.binary()), batch.column(3)], ["k", "y", "h", "n", "x"])
 
     wanted = rows.filter("t is not null").join(F.broadcast(chosen), F.col("d") == F.col("k")).select("k", "y", "t", F.xxhash64("t").alias("x"))
     got = wanted.mapInArrow(terms, "k long, y int, h binary, n binary, x long").groupBy("k", "y").agg(F.min_by(F.struct("h", "n"), "x").alias("w"))
     got = keep(got.select("k", "y", "w.h", "w.n"), "examples", 4)
     in_order = got.orderBy(F.xxhash64("k"), "k").toLocalIterator()
-    sample = [(r["k"], np.frombuffer(r["h"], np.uint64), np.frombuffer(r["n"], np.int64), r["y"]) for r in in_order]
+    sample = [(r["k"], np.frombuffer(r["h"], np.uint64), np.frombuffer(r["n"], np.int32), r["y"]) for r in in_order]
     discard(known, chosen, got)
+    release()
     vocabulary = np.unique(np.concatenate([np.zeros(0, np.uint64), *(h for _, h, _, _ in sample)]))
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)  # the words of at most 2 * examples texts
 
@@ -267,7 +269,10 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     term, n = (found.column(c).to_numpy() for c in ("term", "n"))
     df = np.zeros(len(vocabulary), np.int64)
     df[term[term >= 0]] = n[term >= 0]
-    return Index(sample, vocabulary, df, int(n[term < 0].sum()), counts)
+    index = Index(sample, vocabulary, df, int(n[term < 0].sum()), counts)
+    del sample, found, term, n
+    release()
+    return index
 
 
 def score(docs: DataFrame, index: Index, key: str = "doc_id", text: str = "text") -> DataFrame:
