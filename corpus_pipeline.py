@@ -36,12 +36,14 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near duplicates: that of the smallest doc_id, then of the smallest hash. Rows
-    are told apart by doc_id and text, so rows of one doc_id with different texts, and rows without doc_id, are documents
-    of their own; of rows that are equal in both one stays. Documents without words stay. Texts of documents that may go
+    """One document of each component of near duplicates: that of the smallest doc_id, then of the smallest hash. Rows of
+    one doc_id with different texts, and rows without doc_id, are documents of their own: where ids repeat, rows are told
+    apart by a hash of doc_id and text. Of rows that are equal in both one stays. Documents without words stay. Texts of documents that may go
     move once, all others stay where they are: a Bloom filter tells them apart, as how many go isn't bounded."""
     own, may, gone = (unused(x, docs) for x in ("row", "may", "gone"))
-    marked = docs.withColumn(own, F.xxhash64("doc_id", "text"))
+    repeated = not docs.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").isEmpty()
+    row = F.xxhash64("doc_id", "text")
+    marked = docs.withColumn(own, row if repeated else F.coalesce(F.col("doc_id").cast("long"), row))
     joined = ngram_join.join(marked.select(own, "text"), WORDS, *SIMILAR, key=own)
     component = joined.filter("n_shingles > 0").groupBy(own).agg(F.min("component_id").alias("component"))
     ids = marked.groupBy(F.col(own).alias("r")).agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("rows"))
