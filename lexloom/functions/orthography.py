@@ -203,3 +203,15 @@ def single_lemma(c: Column) -> Column:
 
 def np_for_mp(c: Column) -> Column:
     return F.replace(c, F.lit("mp"), F.lit("np"))
+
+
+# English words that are no headwords.
+ENGLISH = (
+    "the", "and", "of", "to", "in", "is", "for", "with", "from", "this", "that", "as", "an", "by", "or", "on", "at", "be", "are", "was", "were",
+    "head", "hair", "body", "hand", "foot", "eye", "ear", "nose", "mouth", "see", "use", "name", "type", "var", "etc", "old", "new",
+    "one", "two", "three", "four", "five", "six", "seven", "eight", "nine", "ten", "man", "woman", "child", "tree", "water", "fire", "wind",
+)
+
+
+def looks_english(word: Column) -> Column:
+    return F.lower(word).isin(*ENGLISH)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.functions.textclean import same_but_space, small_kana_winner
+from lexloom.operators.ranking import with_totals
 
 
 def decide(pages: DataFrame, a: str, b: str, tie: str = "a", judge: Column | None = None, least_confidence: float = 0.8) -> DataFrame:
@@ -49,3 +50,16 @@ def side_by_side(a: DataFrame, b: DataFrame, key: str, order: str, value: str, m
     y = b.select(key, F.row_number().over(w).alias("n"), F.col(value).alias("b"))
     out = x.join(y, [key, "n"], "full")
     return out.filter(F.col("n") <= most) if most else out
+
+
+def with_responses(originals: DataFrame, responses: DataFrame, key: str, answer: str) -> DataFrame:
+    """originals with the answer of each batch response of their id (the last of several), null where none came. A batch's
+    responses come in any order, so they are joined by id, not by place."""
+    last = responses.groupBy(F.col("custom_id").alias("__c")).agg(F.max_by(answer, "ord").alias(answer))
+    return originals.join(last, F.col(key).cast("string") == F.col("__c"), "left").drop("__c")
+
+
+def zipped(a: DataFrame, b: DataFrame, a_keys: list[Column], b_keys: list[Column]) -> DataFrame:
+    """The rows of two tables next to each other by their place in order, as many as the shorter one has."""
+    x, y = with_totals(a, a_keys, "__i"), with_totals(b, b_keys, "__j")
+    return x.join(y, F.col("__i") == F.col("__j")).drop("__i", "__j")

@@ -110,6 +110,17 @@ def cluster_lines(words: DataFrame, keys: list[str], y: str, x: str, text: str,
     return folded.select(*keys, "line", F.col("l.anchor").alias("y"), F.array_join(F.transform(F.array_sort("l.ws"), lambda w: w["t"]), " ").alias("text"))
 
 
+def line_words(words: DataFrame, keys: list[str], y: str, columns: list[str], tolerance: float) -> DataFrame:
+    """keys, line, words (array of the columns' structs, by the first of them): words whose y is within the tolerance of
+    the line's first y. A line's anchor depends on the words before, so it is a fold over each page's words in order."""
+    item = F.struct(F.col(y).cast("double").alias("y"), *columns)
+    got = words.groupBy(*keys).agg(F.sort_array(F.collect_list(item)).alias("ws"))
+    anchors = F.aggregate("ws", F.array().cast("array<double>"), lambda s, w: F.concat(s, F.array(F.when((F.size(s) == 0) | (w["y"] - F.element_at(s, -1) > tolerance), w["y"]).otherwise(F.element_at(s, -1)))))
+    rows = got.select(*keys, F.explode(F.arrays_zip(anchors.alias("a"), F.col("ws").alias("w"))).alias("z")).select(*keys, F.col("z.a").alias("__a"), *[F.col(f"z.w.{c}").alias(c) for c in columns])
+    lines = rows.groupBy(*keys, "__a").agg(F.sort_array(F.collect_list(F.struct(*columns))).alias("words"))
+    return lines.withColumn("line", F.row_number().over(Window.partitionBy(*keys).orderBy("__a")) - 1).drop("__a")
+
+
 def column_of(x: Column, borders: list[float]) -> Column:
     """The column (from 0) that a place lies in."""
     out = F.lit(0)

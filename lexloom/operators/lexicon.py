@@ -77,3 +77,8 @@ def grouped_forms(rows: DataFrame, lemma: str, gloss: str, form: str) -> DataFra
     """lemma, glosses: for each gloss its sorted forms."""
     inner = rows.groupBy(lemma, gloss).agg(F.array_sort(F.collect_set(form)).alias("forms"))
     return inner.groupBy(lemma).agg(F.sort_array(F.collect_list(F.struct(gloss, "forms"))).alias("glosses"))
+
+
+def distinct_glosses(rows: DataFrame, lemma: str, glosses: str) -> DataFrame:
+    """lemma, glosses: how many different glosses the lists of a lemma hold."""
+    return rows.select(lemma, F.explode(glosses).alias("__g")).groupBy(lemma).agg(F.count_distinct("__g").alias("glosses"))

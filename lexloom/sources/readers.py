@@ -200,3 +200,68 @@ def zip_members(spark: SparkSession, path: str, encoding: str = "utf-8") -> Data
             yield pd.DataFrame(out, columns=["path", "member", "text"])
 
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "path string, member string, text string")
+
+
+def chained(*parts: DataFrame) -> DataFrame:
+    """The rows of several splits one after the other: split_ord (0 for the first), then their columns."""
+    out = None
+    for i, part in enumerate(parts):
+        rows = part.withColumn("split_ord", F.lit(i))
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return out
+
+
+def complete_rows(df: DataFrame, required: list[str], unique: list[str], order: list[str]) -> DataFrame:
+    """Rows without null or empty required fields, the first of each combination of the unique ones."""
+    whole = df
+    for c in required:
+        whole = whole.filter(F.col(c).isNotNull() & (F.col(c).cast("string") != ""))
+    return whole.groupBy(*[F.col(c).alias(f"__{c}") for c in unique]).agg(F.min_by(F.struct(*df.columns), F.struct(*order)).alias("r")).select("r.*")
+
+
+def either_pattern(text: Column, patterns: list[str], group: int = 1) -> Column:
+    """What the first pattern that is found captures; '' if none is."""
+    hit = [F.when(text.rlike(p), F.regexp_extract(text, p, group)) for p in patterns]
+    return F.coalesce(*hit, F.lit(""))
+
+
+def xlsx_rows(spark: SparkSession, path: str) -> DataFrame:
+    """path, sheet, row (from 1), cells (array<string>, blanks where a row has none) of the sheets of workbooks, one
+    workbook at a time in a task. Numbers read as they are stored; formulas give their stored values."""
+
+    def run(batches):
+        import io
+        import re
+        import zipfile
+        from xml.etree import ElementTree
+
+        import pandas as pd
+
+        def local(e, name):
+            return [x for x in e.iter() if x.tag.rpartition("}")[2] == name]
+
+        for pdf in batches:
+            out = []
+            for p, content in zip(pdf["path"], pdf["content"], strict=True):
+                with zipfile.ZipFile(io.BytesIO(content)) as z:
+                    names = z.namelist()
+                    shared = [("".join(t.text or "" for t in local(i, "t"))) for i in local(ElementTree.fromstring(z.read("xl/sharedStrings.xml")), "si")] if "xl/sharedStrings.xml" in names else []
+                    rels = {r.get("Id"): r.get("Target") for r in local(ElementTree.fromstring(z.read("xl/_rels/workbook.xml.rels")), "Relationship")}
+                    for sheet in local(ElementTree.fromstring(z.read("xl/workbook.xml")), "sheet"):
+                        target = rels[next(v for k, v in sheet.attrib.items() if k.endswith("}id"))].lstrip("/")
+                        for n, row in enumerate(local(ElementTree.fromstring(z.read(target if target.startswith("xl/") else f"xl/{target}")), "row"), 1):
+                            cells: list[str] = []
+                            for at, c in enumerate(local(row, "c")):
+                                letters = re.match("[A-Z]+", c.get("r") or "")
+                                column = at
+                                if letters:
+                                    column = 0
+                                    for ch in letters[0]:
+                                        column = column * 26 + ord(ch) - 64
+                                    column -= 1
+                                text = "".join(t.text or "" for t in local(c, "t")) if c.get("t") == "inlineStr" else "".join(v.text or "" for v in local(c, "v"))
+                                cells += [""] * (column - len(cells)) + [shared[int(text)] if c.get("t") == "s" and text else text]
+                            out.append((p, sheet.get("name"), int(row.get("r") or n), cells))
+            yield pd.DataFrame(out, columns=["path", "sheet", "row", "cells"])
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "path string, sheet string, row int, cells array<string>")

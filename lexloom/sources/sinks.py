@@ -66,3 +66,33 @@ def by_slug(df: DataFrame, citation: Column, slugs: dict[str, str]) -> DataFrame
     """df with `slug`: the short name of a citation, or the citation itself."""
     table = F.create_map(*[F.lit(x) for kv in slugs.items() for x in kv]) if slugs else None
     return df.withColumn("slug", F.coalesce(F.element_at(table, citation), citation) if table is not None else citation)
+
+
+def metadata_lines(fields: dict, indent: int = 0) -> list[str]:
+    """A metadata file of a dictionary in YAML: nested maps, lists of words, long texts as blocks; keys in order."""
+    out, pad = [], "  " * indent
+    for key, value in fields.items():
+        if isinstance(value, dict):
+            out += [f"{pad}{key}:", *metadata_lines(value, indent + 1)]
+        elif isinstance(value, list):
+            out += [f"{pad}{key}:", *(f"{pad}  - {v}" for v in value)]
+        elif isinstance(value, str) and "\n" in value:
+            out += [f"{pad}{key}: |", *(f"{pad}  {line}" for line in value.rstrip("\n").split("\n"))]
+        else:
+            out.append(f"{pad}{key}: {value}")
+    return out
+
+
+def write_file(spark, path: str, text: str, encoding: str = "utf-8") -> str:
+    """One file made on the driver, of driver size (metadata, settings, small samples), through the cluster's file system."""
+    return write_bytes(spark, path, text.encode(encoding))
+
+
+def write_bytes(spark, path: str, data: bytes) -> str:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(at, True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+    return path

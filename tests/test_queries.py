@@ -5,10 +5,10 @@ import os
 import pytest
 from oracle import connect, difference
 
-from lexloom.plans import corpus_queries, layout_queries, lexicon_queries
+from lexloom.plans import corpus_queries, format_queries, layout_queries, lexicon_queries
 
 SF = "/root/testdata/sf0.001"
-PLANS = (corpus_queries, lexicon_queries, layout_queries)
+PLANS = (corpus_queries, lexicon_queries, layout_queries, format_queries)
 ALL = [(p, n) for p in PLANS for n in p.QUERIES]
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
