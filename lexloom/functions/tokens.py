@@ -126,17 +126,22 @@ def to_sakhalin(word: Column) -> Column:
 
 
 def merge_long_vowels(parts: Column) -> Column:
-    """Syllables of southern words: a bare vowel that repeats the vowel before it joins its syllable, a syllable that
-    begins with an apostrophe loses it, a coda m becomes n."""
-    clean = F.transform(parts, lambda s: F.regexp_replace(F.regexp_replace(s, "^['’]", ""), r"m\z", "n"))
-    return F.aggregate(
-        clean,
+    """Syllables of southern words: a bare vowel that repeats the vowel before it joins its syllable; a syllable that then
+    begins with a vowel gets an apostrophe before it, and m at the end becomes n."""
+    joined = F.aggregate(
+        F.filter(parts, lambda s: s != ""),
         F.array().cast("array<string>"),
         lambda out, s: F.when(
             (F.size(out) > 0) & s.rlike("^[aiueo]$") & (F.right(F.element_at(out, -1), F.lit(1)) == s),
             F.concat(F.slice(out, 1, F.size(out) - 1), F.array(F.concat(F.element_at(out, -1), s))),
         ).otherwise(F.concat(out, F.array(s))),
     )
+    return F.transform(joined, lambda s: F.regexp_replace(F.when(s.rlike("^[aiueo]"), F.concat(F.lit("’"), s)).otherwise(s), r"m\z", "n"))
+
+
+def southern_syllables(word: Column) -> Column:
+    """array<string>: the syllables of a southern word, without affix marks, in lower case."""
+    return merge_long_vowels(syllables(F.replace(F.lower(word), F.lit("="), F.lit(""))))
 
 
 def word_break(word: Column, morphemes: Column) -> Column:

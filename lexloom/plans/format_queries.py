@@ -423,7 +423,7 @@ def function(name: str, doc: str, schema: str, rows: list[tuple], told) -> None:
 
 _fields = lambda c, *names: F.array(*[F.coalesce(c[n].cast("string"), F.lit("")) for n in names])
 
-function("fn_long_vowels", "F11: syllables of southern words joined.", "a array<string>", [(["ka", "a"], ["kaa"]), (["'am"], ["an"]), (["si", "’o"], ["si", "o"]), (["tu", "u", "u"], ["tuu", "u"])], lambda a: tk.merge_long_vowels(a))
+function("fn_long_vowels", "F11: syllables of southern words joined.", "a array<string>", [(["ka", "a"], ["kaa"]), (["am"], ["’an"]), (["si", "o"], ["si", "’o"]), (["tu", "u", "u"], ["tuuu"]), (["", "kim"], ["kin"])], lambda a: tk.merge_long_vowels(a))
 function("fn_remove_accent", "F16: letters without marks.", "a string", [("néno", "neno"), ("côsi", "cosi"), ("ñandú 神", "nandu "), ("", "")], tk.remove_accent)
 function("fn_ascii_only", "F16: the same for all scripts, by compatibility decomposition.", "a string", [("néno", "neno"), ("ﬁn Å①", "fin A1"), ("神", "")], lambda a: textdiff.ascii_only(a))
 function("fn_regional_spelling", "F22: a regional spelling to the modern one.", "a string", [("chikap", "cikap"), ("kamui", "kamuy"), ("shiri", "siri"), ("gaba", "kapa")], orthography.normalize_regional)
@@ -455,7 +455,7 @@ function("fn_tagged_entry", "F45: parts of speech and glosses of a tagged defini
 function("fn_list_line", "F46: a line of a word list.", "a string", [("アペ ape 火 【名】［x］", ["アペ", "ape", "火", "名", ""]), ("アン an ある 【自】", ["アン", "an", "ある", "自", ""]), ("no", ["", "", "", "", ""])], lambda a: F.coalesce(_fields(entries.list_line(a), "kana", "latin", "gloss", "pos", "note"), F.array(*[F.lit("")] * 5)))
 function("fn_list_term", "F46: lists of a word list's row, tags in full.", "a string, b string, c string, d string", [("a pe", "火、 明かり", "【名・位名】", "（ x ）", ["ape", "火|明かり", "名詞|位置名詞", "x"])], lambda a, b, c, d: F.array(entries.list_term(a, b, c, d)["lemma"], F.array_join(entries.list_term(a, b, c, d)["glosses"], "|"), F.array_join(entries.list_term(a, b, c, d)["poses"], "|"), entries.list_term(a, b, c, d)["notes"]))
 function("fn_split_tags", "F46: a line with two tags cut in two.", "a string", [("アペ ape 火【名】 アン an ある【自】", ["アペ ape 火【名】", "アン an ある【自】"]), ("one【名】", ["one【名】"])], lambda a: F.transform(entries.lines_with_one_tag(a), lambda x: F.trim(x)))
-function("fn_column_entry", "F47: an entry of a column.", "a string", [("アペ ape 火 【名】 note ［more］", ["アペ", "ape", "火", "名", "note more"]), ("アン(x) an ある", ["アン(x)", "an", "ある", "", ""]), ("no entry", [])], lambda a: F.coalesce(_fields(entries.column_entry(a), "kana", "lemma", "gloss", "pos", "notes"), F.array().cast("array<string>")))
+function("fn_column_entry", "F47: an entry of a column.", "a string", [("アペ ape 火 【名】 note ［more］", ["アペ", "ape", "火", "名", "note more"]), ("アン(x) an ある", ["アン(x)", "an", "ある", "", ""]), ("no entry", [""] * 5)], lambda a: _fields(entries.column_entry(a), "kana", "lemma", "gloss", "pos", "notes"))
 function("fn_story_text", "F57: the repairs of a story's page.", "a string", [("12 h _ine [3]a =kor su y hetopo\n【注】n", "h_ine a=kor suy hetopo"), ("aynu\n\n\n\nitak 1968  20-8 next", "aynu\n\nitak"), ("k s apa", "ksapa")], entries.story_text)
 function("fn_story_page", "F57: a story's page without doubts and stray lines.", "a string", [("a (?)b \n（萱野）\n12\nc", "a b\n\n\nc")], entries.story_page)
 function("fn_story_title", "F57: a story's title.", "a string", [(" ウエペケㇾ 「 x 」（ y ） ", "ウエペケㇾ「x」（y）")], entries.story_title)

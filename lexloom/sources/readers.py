@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -110,9 +111,14 @@ def page_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def encoded_text(spark: SparkSession, path: str, encoding: str) -> DataFrame:
-    """Whole files in another encoding; a byte order mark goes."""
-    raw = spark.read.format("binaryFile").load(path)
-    return raw.select("path", F.regexp_replace(F.decode("content", encoding), "^﻿", "").alias("text"))
+    """path, text of whole files in another encoding, any that Python knows; a byte order mark goes, what can't be read
+    becomes the replacement character."""
+
+    @F.pandas_udf("string")
+    def decoded(content: pd.Series) -> pd.Series:
+        return content.map(lambda b: bytes(b).decode(encoding, "replace").removeprefix("\ufeff"))
+
+    return spark.read.format("binaryFile").load(path).select("path", decoded("content").alias("text"))
 
 
 # --- HTML, by expression ---
