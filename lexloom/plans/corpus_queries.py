@@ -413,13 +413,16 @@ def slices_by_book(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("source", "doc_id", F.row_number().over(w).alias("place")).filter(F.col("place").between(2, 4))
 
 
-@query()
+@query("SELECT doc_id, lang, n_chars FROM documents ORDER BY md5('12:' || doc_id) LIMIT 10")
 def random_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sample of ten, by a hash under a seed."""
-    return table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars").orderBy(F.xxhash64(F.lit(12), "doc_id")).limit(10)
+    return table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars").orderBy(F.md5(F.concat(F.lit("12:"), F.col("doc_id").cast("string")))).limit(10)
 
 
-@query()
+@query(f"""WITH w AS (SELECT conv_id AS book, conv_id || '-' || turn AS sent_id, replace(text, chr(10), ' ') AS text, {_WORDS} AS ws FROM conversations),
+t AS (SELECT book, sent_id, text, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM w), x AS (SELECT *, CASE w WHEN 'the' THEN 'adn' WHEN 'and' THEN 'cconj' WHEN 'of' THEN 'postp' WHEN 'in' THEN 'postp' WHEN 'is' THEN 'cop' WHEN 'that' THEN 'adn' WHEN 'this' THEN 'adn' ELSE 'n' END AS xpos FROM t),
+l AS (SELECT book, sent_id, string_agg(array_to_string([CAST(i AS VARCHAR), w, replace(replace(regexp_replace(strip_accents(w), '[^\\x00-\\x7F]', '', 'g'), 'neampe', 'neanpe'), 'ampe', 'anpe'), CASE xpos WHEN 'adn' THEN 'DET' WHEN 'cconj' THEN 'SCONJ' WHEN 'postp' THEN 'ADP' WHEN 'cop' THEN 'AUX' ELSE 'NOUN' END, xpos, '_', '_', '_', '_', '_'], chr(9)), chr(10) ORDER BY i) AS ls FROM x GROUP BY book, sent_id)
+SELECT book, sent_id, '# sent_id = ' || sent_id || chr(10) || '# text = ' || text || chr(10) || coalesce(ls || chr(10), '') AS line FROM w LEFT JOIN l USING (book, sent_id)""")
 def conllu_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sentences as CoNLL-U blocks."""
     from lexloom.functions.morphology import literal_map, upos

@@ -123,21 +123,25 @@ def clustered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.cluster_lines(w, ["page"], "y", "x", "t", 4.0)
 
 
-@query()
+@query("""WITH r AS (SELECT p_brand AS k, p_partkey AS n, p_size % 3 AS m, p_name, p_type, sum(CASE WHEN p_size % 3 = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY p_brand ORDER BY p_partkey) AS block FROM part),
+s AS (SELECT *, m = 0 OR (m = 1 AND block > 0) AS start FROM r), e AS (SELECT *, sum(CASE WHEN start THEN 1 ELSE 0 END) OVER (PARTITION BY k ORDER BY n) AS entry, sum(CASE WHEN start AND m = 1 THEN 1 ELSE 0 END) OVER (PARTITION BY k, block ORDER BY n) AS sub,
+CASE m WHEN 1 THEN '— ' || p_name ELSE p_type END AS body, last_value(CASE WHEN m = 0 THEN p_name END IGNORE NULLS) OVER (PARTITION BY k ORDER BY n) AS lemma FROM s)
+SELECT k, CAST(entry AS BIGINT) AS entry, max(CASE WHEN start THEN CASE WHEN m = 0 THEN CAST(n + 1 AS VARCHAR) ELSE '' END END) AS id, max(lemma) AS lemma, CAST(max(CASE WHEN start THEN sub END) AS BIGINT) AS sub_index, string_agg(body, ' ' ORDER BY n) AS body FROM e WHERE entry > 0 GROUP BY k, entry""")
 def inherited_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sub-entries that take their lemma from the entry above."""
     lines = table(spark, sf_dir, "part").select(F.col("p_brand").alias("k"), F.col("p_partkey").alias("n"), F.when(F.col("p_size") % 3 == 0, F.concat_ws("", F.col("p_partkey") + 1, F.lit(". "), "p_name", F.lit(". "), "p_type")).when(F.col("p_size") % 3 == 1, F.concat(F.lit("— "), "p_name")).otherwise(F.col("p_type")).alias("line"))
     return layout.inherited_entries(lines, "k", "n")
 
 
-@query()
+@query("""WITH r AS (SELECT p_brand AS k, p_partkey AS n, p_name || CASE WHEN p_size % 2 = 0 THEN ' 出所【X】' ELSE '' END AS t, coalesce(sum(CASE WHEN p_size % 2 = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY p_brand ORDER BY p_partkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS entry FROM part)
+SELECT k, CAST(entry AS INTEGER) AS entry, string_agg(t, chr(10) ORDER BY n) AS text FROM r GROUP BY k, entry""")
 def merged_continuations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Paragraphs merged until a closing mark."""
     p = table(spark, sf_dir, "part").select(F.col("p_brand").alias("k"), F.col("p_partkey").alias("n"), F.concat("p_name", F.when(F.col("p_size") % 2 == 0, " 出所【X】").otherwise("")).alias("t"))
     return layout.merge_until(p, "k", "n", "t", F.col("t").rlike("^[a-z]+"), "出所【[^】]+】")
 
 
-@query()
+@query("WITH r AS (SELECT p_brand AS k, p_partkey AS n, p_size, p_type, lag(p_name) OVER w AS name, lag(p_size) OVER w AS before FROM part WINDOW w AS (PARTITION BY p_brand ORDER BY p_partkey)) SELECT k, n, name AS first, p_type AS second FROM r WHERE p_size % 2 = 0 AND before % 2 = 1")
 def pending_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A line and the translation that closes it."""
     p = table(spark, sf_dir, "part").select(F.col("p_brand").alias("k"), F.col("p_partkey").alias("n"), F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("《"), "p_type", F.lit("》"))).otherwise(F.col("p_name")).alias("line"))
@@ -243,7 +247,7 @@ def compact_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.compact_json(p, "lemma", "forms")
 
 
-@query()
+@query("SELECT '{\"custom_id\":\"' || item_id || '\",\"method\":\"POST\",\"body\":{\"model\":\"none\",\"messages\":[{\"role\":\"user\",\"content\":' || CAST(to_json('Translate: ' || text) AS VARCHAR) || '}]}}' AS line FROM benchmark")
 def batch_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Request rows for texts, bodies only."""
     return sinks.request_lines(table(spark, sf_dir, "benchmark"), "item_id", F.concat(F.lit("Translate: "), "text"), "none")
@@ -256,12 +260,14 @@ def footnote_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.split_at_last_rule(lines, "page", "n", "line")
 
 
-@query()
+@query("""WITH r AS (SELECT p_brand AS k, p_partkey AS n, p_size % 4 AS m, p_name, p_type, last_value(CASE WHEN p_size % 4 = 0 THEN p_partkey END IGNORE NULLS) OVER (PARTITION BY p_brand ORDER BY p_partkey) AS num, last_value(CASE p_size % 4 WHEN 0 THEN '' WHEN 1 THEN '訳' END IGNORE NULLS) OVER (PARTITION BY p_brand ORDER BY p_partkey) AS tag FROM part),
+t AS (SELECT k, num, tag, string_agg(CASE m WHEN 1 THEN p_type ELSE p_name END, ' ' ORDER BY n) AS said FROM r WHERE num IS NOT NULL GROUP BY k, num, tag) SELECT k, CAST(num AS INTEGER) AS num, list(tag || ':' || said ORDER BY tag) AS parts FROM t GROUP BY k, num""")
 def tagged_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbered turns with tagged lines."""
     p = table(spark, sf_dir, "part")
     line = F.when(F.col("p_size") % 4 == 0, F.concat_ws(". ", "p_partkey", "p_name")).when(F.col("p_size") % 4 == 1, F.concat(F.lit("【訳】"), "p_type")).otherwise(F.col("p_name"))
-    return layout.tagged_turns(p.select(F.col("p_brand").alias("k"), F.col("p_partkey").alias("n"), line.alias("line")), "k", "n", "line")
+    t = layout.tagged_turns(p.select(F.col("p_brand").alias("k"), F.col("p_partkey").alias("n"), line.alias("line")), "k", "n", "line")
+    return t.select("k", "num", F.transform(F.map_entries("parts"), lambda e: F.concat_ws(":", e["key"], e["value"])).alias("parts"))
 
 
 @query("SELECT p_partkey, [p_brand] AS ja, CASE WHEN p_size > 40 THEN 'changed' ELSE p_type END AS v FROM part")
@@ -278,7 +284,8 @@ def variant_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fusion.variant_pairs(table(spark, sf_dir, "supplier").withColumnRenamed("s_nationkey", "origin"), "s_suppkey", "origin")
 
 
-@query()
+@query("""SELECT * FROM (VALUES (1, '--- a' || chr(10) || '+++ b' || chr(10) || '@@ -1,2 +1,2 @@' || chr(10) || '-イタク' || chr(10) || '+イタㇰ' || chr(10) || ' x', ['- イタク', '+ イタㇰ', '  x'], 'イタㇰ' || chr(10) || 'x', 'イタク' || chr(10) || 'x'),
+(2, '--- a' || chr(10) || '+++ b' || chr(10) || '@@ -1 +1 @@' || chr(10) || '-ｱ b' || chr(10) || '+ｱ c', ['  ｱ', '- b', '+ c'], 'ｱ b', 'ア b'), (3, '--- a' || chr(10) || '+++ b' || chr(10) || '@@ -0,0 +1 @@' || chr(10) || '+n', ['+ n'], NULL, NULL)) t(id, diff, words, restored, key)""")
 def review_diffs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Differences of two readings, small kana restored from one, and sort keys."""
     d = spark.createDataFrame([(1, "イタク\nx", "イタㇰ\nx"), (2, "ｱ b", "ｱ c"), (3, None, "n")], "id int, a string, b string")
