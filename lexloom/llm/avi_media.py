@@ -1,17 +1,20 @@
 """Media columns: AVI files of motion JPEG, written from bytes, indexed, decoded frame by frame and cut into clips.
 
 Bytes are grey samples of 32 x 18 frames. Each frame is an intra-coded JPEG of the lossless process (SOF3, 8-bit samples,
-predictor 1), so stored bytes come back as they were. A reader parses the RIFF index, decodes the frames (many frames in
-step, one sample of each at a time), takes a histogram of each, and starts a new shot where the histogram differs from
-the last one by more than an adaptive bound: the mean and spread of the differences just before.
+predictor 1), so stored bytes come back as they were. A reader parses the RIFF index, decodes the frames (those of our own
+form many in step, one sample of each at a time; those of the baseline process, which cameras write, one by one, their
+brightness), takes a histogram of each, and starts a new shot where the histogram differs from the last one by more than
+an adaptive bound: the mean and spread of the differences just before.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -121,7 +124,7 @@ def index(media: bytes) -> tuple[list[tuple[int, int]], float]:
             elif name == b"idx1":
                 entries = np.frombuffer(media, "<u4", size // 4, at + 8).reshape(-1, 4)
             at += 8 + size + (size & 1)
-    if entries is None or not movi:
+    if fps <= 0 or entries is None or not movi:
         raise ValueError("no index")
     video = np.frombuffer(b"dc", "<u2")[0]
     own = entries[(entries[:, 0] >> 16) == video]
@@ -129,50 +132,145 @@ def index(media: bytes) -> tuple[list[tuple[int, int]], float]:
     return [(base + int(o) + 8, int(n)) for o, n in own[:, 2:].tolist()], fps
 
 
-def _parse(frame: bytes, known: dict) -> tuple[int, tuple]:
-    """Where the scan begins, and (height, width, predictor, code lookup by 8 bits). Headers seen before are remembered."""
+def _codes(counts: bytes, symbols: bytes) -> np.ndarray:
+    """(symbol, length) for each 16 bits ahead, of a canonical code: counts of the lengths 1 .. 16 and the symbols."""
+    table, code, at = np.zeros((1 << 16, 2), np.int64), 0, 0
+    for k in range(16):
+        for _ in range(counts[k]):
+            first = code << (15 - k)
+            table[first : first + (1 << (15 - k))] = symbols[at], k + 1
+            code, at = code + 1, at + 1
+        code <<= 1
+    return table
+
+
+@dataclass
+class Header:
+    """What a frame's segments say before its scan."""
+
+    process: int = 0  # SOF0 baseline, SOF3 lossless
+    size: tuple[int, int] = (0, 0)
+    sampling: tuple[tuple[int, int, int, int], ...] = ()  # component, across, down, quantisation
+    predictor: int = 0
+    restart: int = 0
+    scan: tuple[tuple[int, int, int], ...] = ()  # component, DC table, AC table
+    tables: dict[tuple[int, int], np.ndarray] = field(default_factory=dict)
+    quant: dict[int, np.ndarray] = field(default_factory=dict)
+
+
+def _parse(frame: bytes, known: dict[bytes, Header]) -> tuple[int, Header]:
+    """Where the scan begins, and the header; headers seen before are remembered. Anything but a grey or colour frame of 8
+    bits, baseline or lossless with predictor 1, raises ValueError."""
     for head, what in known.items():
         if frame.startswith(head):
             return len(head), what
-    at, size, table = 2, None, None
     if frame[:2] != b"\xff\xd8":
         raise ValueError("no JPEG frame")
-    while True:
+    h, at = Header(), 2
+    while at + 4 <= len(frame):
+        if frame[at] != 0xFF:
+            raise ValueError("no JPEG segment")
         mark, length = frame[at + 1], struct.unpack_from(">H", frame, at + 2)[0]
         seg = frame[at + 4 : at + 2 + length]
-        if mark == 0xC3:
-            bits, h, w, n = struct.unpack_from(">BHHB", seg)
-            if bits != 8 or n != 1:
-                raise ValueError("only grey frames of 8 bits")
-            size = (h, w)
+        if mark in (0xC0, 0xC1, 0xC3):
+            bits, height, width, n = struct.unpack_from(">BHHB", seg)
+            if bits != 8 or (mark == 0xC3 and n != 1):
+                raise ValueError("only frames of 8 bits, lossless ones of one component")
+            h.process, h.size = mark, (height, width)
+            h.sampling = tuple((seg[6 + 3 * i], seg[7 + 3 * i] >> 4, seg[7 + 3 * i] & 15, seg[8 + 3 * i]) for i in range(n))
+        elif 0xC2 <= mark <= 0xCF and mark not in (0xC4, 0xC8, 0xCC):
+            raise ValueError("neither baseline nor lossless")
         elif mark == 0xC4:
-            table, code, values = np.zeros((256, 2), np.int64), 0, iter(seg[17:])
-            for k in range(8):
-                for _ in range(seg[1 + k]):
-                    first = code << (7 - k)
-                    table[first : first + (1 << (7 - k))] = next(values), k + 1
-                    code += 1
-                code <<= 1
+            while seg:
+                n = sum(seg[1:17])
+                h.tables[seg[0] >> 4, seg[0] & 15] = _codes(seg[1:17], seg[17 : 17 + n])
+                seg = seg[17 + n :]
+        elif mark == 0xDB:
+            while seg:
+                wide = seg[0] >> 4
+                h.quant[seg[0] & 15] = np.frombuffer(seg, ">u2" if wide else "u1", 64, 1).astype(np.int64)
+                seg = seg[1 + 64 * (1 + wide) :]
+        elif mark == 0xDD:
+            h.restart = struct.unpack(">H", seg)[0]
         elif mark == 0xDA:
-            what = (*size, seg[3], table)
-            if seg[3] != 1:
-                raise ValueError("only predictor 1")
-            known[frame[: at + 2 + length]] = what
-            return at + 2 + length, what
+            h.scan = tuple((seg[1 + 2 * i], seg[2 + 2 * i] >> 4, seg[2 + 2 * i] & 15) for i in range(seg[0]))
+            h.predictor = seg[1 + 2 * seg[0]]
+            if h.process == 0xC3 and (h.predictor != 1 or (0, h.scan[0][1]) not in h.tables):
+                raise ValueError("only predictor 1, with its table")
+            if not h.process or not h.size[0] * h.size[1]:
+                raise ValueError("no size")
+            known[frame[: at + 2 + length]] = h
+            return at + 2 + length, h
         at += 2 + length
-
-
-def decode_frames(frames: list[bytes]) -> np.ndarray:
+    raise ValueError("no scan")
+
+
+_k = np.arange(8)
+_COSINES = np.where(_k == 0, np.sqrt(1 / 8), 0.5)[:, None] * np.cos((2 * _k[None, :] + 1) * _k[:, None] * np.pi / 16)
+#: The zigzag order of an 8 x 8 block: by diagonals, every other one upwards.
+_ZIGZAG = np.array(sorted(range(64), key=lambda i: (i // 8 + i % 8, (i // 8) if (i // 8 + i % 8) % 2 else i % 8)))
+
+
+def decode_baseline(scan: bytes, h: Header) -> np.ndarray:
+    """The brightness (first component) of a baseline frame, as samples of its height and width, row by row."""
+    parts = re.split(rb"\xff[\xd0-\xd7]", scan) if h.restart else [scan]
+    sampling = {c: (x, y, q) for c, x, y, q in h.sampling}
+    most_x, most_y = max(x for x, _, _ in sampling.values()), max(y for _, y, _ in sampling.values())
+    alone = len(h.scan) == 1
+    wide, high = -(-h.size[1] // (8 * (1 if alone else most_x))), -(-h.size[0] // (8 * (1 if alone else most_y)))
+    first = h.scan[0][0]
+    x0, y0, q0 = sampling[first]
+    across, down = (1, 1) if alone else (x0, y0)
+    if not alone and (x0, y0) != (most_x, most_y):
+        raise ValueError("brightness is sampled less than colour")
+    blocks = np.zeros((high * down, wide * across, 64))
+    units = wide * high
+    for p, part in enumerate(parts):
+        data = part.replace(b"\xff\x00", b"\xff") + b"\xff" * 4
+        pos, last = 0, dict.fromkeys(sampling, 0)
+
+        def ahead(n: int) -> int:
+            at = pos >> 3
+            return int.from_bytes(data[at : at + 4], "big") >> (32 - n - (pos & 7)) & ((1 << n) - 1)
+
+        for unit in range(p * h.restart, min(units, (p + 1) * h.restart) if h.restart else units):
+            for c, dc, ac in h.scan:
+                cx, cy = (1, 1) if alone else sampling[c][:2]
+                for b in range(cx * cy):
+                    block, k = [0] * 64, 0
+                    while k < 64:
+                        symbol, n = h.tables[(0, dc) if k == 0 else (1, ac)][ahead(16)].tolist()
+                        if not n or pos >= 8 * len(data):
+                            raise ValueError("broken scan")
+                        pos += n
+                        run, size = (0, symbol) if k == 0 else (symbol >> 4, symbol & 15)
+                        if k and not size and run != 15:
+                            break
+                        k += run
+                        value = 0
+                        if size:
+                            value = ahead(size)
+                            pos += size
+                            value -= 0 if value >> (size - 1) else (1 << size) - 1
+                        if k == 0:
+                            last[c] = value = last[c] + value
+                        if k > 63:
+                            raise ValueError("broken block")
+                        block[k] = value
+                        k += 1
+                    if c == first:
+                        blocks[unit // wide * cy + b // cx, unit % wide * cx + b % cx] = block
+    natural = np.empty_like(blocks)
+    natural[..., _ZIGZAG] = blocks * h.quant[q0]
+    shown = _COSINES.T @ natural.reshape(*blocks.shape[:2], 8, 8) @ _COSINES + 128
+    rows = np.clip(np.round(shown), 0, 255).astype(np.uint8).transpose(0, 2, 1, 3).reshape(blocks.shape[0] * 8, -1)
+    return rows[: h.size[0], : h.size[1]].ravel()
+
+
+def decode_lossless(scans: list[bytes], h: Header) -> np.ndarray:
     """Samples of frames that have the same header: frames x (height * width), uint8."""
-    known: dict = {}
-    scans, what = [], None
-    for f in frames:
-        at, this = _parse(f, known)
-        if what is not None and this[:3] != what[:3]:
-            raise ValueError("frames of one file differ in form")
-        what = this
-        scans.append(f[at:-2].replace(b"\xff\x00", b"\xff"))
-    height, width, _, table = what
+    (height, width), table = h.size, h.tables[0, h.scan[0][1]][::256]
+    scans = [x.replace(b"\xff\x00", b"\xff") for x in scans]
     starts = np.cumsum([0, *map(len, scans)])[:-1].astype(np.int64)
     raw = np.frombuffer(b"".join(scans) + b"\xff" * 8, np.uint8).astype(np.uint32)
     ahead = raw[:-3] << 24 | raw[1:-2] << 16 | raw[2:-1] << 8 | raw[3:]  # 32 bits from each byte on
@@ -198,6 +296,8 @@ def decode_frames(frames: list[bytes]) -> np.ndarray:
 
 def histograms(samples: np.ndarray) -> np.ndarray:
     n = len(samples)
+    if not samples.size:
+        return np.zeros((n, BINS))
     at = (np.arange(n) * BINS)[:, None] + (samples >> 4)
     return np.bincount(at.ravel(), minlength=n * BINS).reshape(n, BINS) / samples.shape[1]
 
@@ -233,7 +333,9 @@ def _parts(batch: pa.RecordBatch, column: int, size) -> Iterator[tuple[int, list
 
 
 def store(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, n_bytes (of the text), media: an AVI file that holds each whole text (null: empty)."""
+    """key, n_bytes (of the text), media: an AVI file that holds each whole text (null: empty). Equal texts give equal
+    files; repeated rows and null keys are rows like any other; other columns aren't read; an empty table gives an empty
+    result."""
     bound_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,21 +348,59 @@ def store(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     return df.select(F.col(key), F.col(text)).mapInArrow(run, schema).withColumnRenamed("k", key)
 
 
-def read_media(media: list[bytes]) -> list[tuple[bytes, np.ndarray, float]]:
-    """(samples, histograms, frames a second) of each file; frames of several files are decoded together."""
-    places = [index(m) for m in media]
-    frames = [m[a : a + n] for m, (own, _) in zip(media, places, strict=True) for a, n in own]
-    whole = np.concatenate([decode_frames(frames[i : i + TOGETHER]) for i in range(0, len(frames), TOGETHER)]) if frames else np.zeros((0, SAMPLES), np.uint8)
-    hist, out, at = histograms(whole), [], 0
-    for own, fps in places:
-        out.append((whole[at : at + len(own)].tobytes(), hist[at : at + len(own)], fps))
-        at += len(own)
+def read_media(media: list[bytes]) -> list[tuple[np.ndarray, float] | str]:
+    """(frames x samples, frames a second) of each file, or what is wrong with it. Lossless frames of one form are decoded
+    together, of whichever files they are; a file that can't be decoded with others is tried alone."""
+    out: list = [None] * len(media)
+    known: dict[bytes, Header] = {}
+    lossless: dict[int, tuple[Header, list[tuple[int, int, bytes]]]] = {}
+    fps = {}
+    for i, m in enumerate(media):
+        try:
+            places, fps[i] = index(m)
+            out[i] = [None] * len(places)
+            for j, (at, n) in enumerate(places):
+                frame = m[at : at + n]
+                start, h = _parse(frame, known)
+                scan = frame[start:].removesuffix(b"\0").removesuffix(b"\xff\xd9")
+                if h.process == 0xC3:
+                    lossless.setdefault(id(h), (h, []))[1].append((i, j, scan))
+                else:
+                    out[i][j] = decode_baseline(scan, h)
+        except (ValueError, KeyError, IndexError, struct.error, ZeroDivisionError) as e:
+            out[i] = f"{type(e).__name__}: {e}"
+    for h, rows in lossless.values():
+        rows = [r for r in rows if not isinstance(out[r[0]], str)]
+        for at in range(0, len(rows), TOGETHER):
+            some = rows[at : at + TOGETHER]
+            try:
+                found = decode_lossless([x for _, _, x in some], h)
+            except IndexError:  # a broken frame runs past the end: tell it from the others
+                found = []
+                for i, _, x in some:
+                    try:
+                        found.append(decode_lossless([x], h)[0])
+                    except IndexError:
+                        found.append(None)
+            for (i, j, _), samples in zip(some, found, strict=True):
+                if samples is None:
+                    out[i] = "IndexError: broken scan"
+                elif not isinstance(out[i], str):
+                    out[i][j] = samples
+    for i, frames in enumerate(out):
+        if not isinstance(frames, str):
+            if len({len(f) for f in frames}) > 1:
+                out[i] = "ValueError: frames of one file differ in size"
+            else:
+                out[i] = (np.array(frames, np.uint8).reshape(len(frames), len(frames[0]) if frames else 0), fps[i])
     return out
 
 
 def read(df: DataFrame, key: str = "doc_id", media: str = "media") -> DataFrame:
-    """key, payload_bytes, payload_sha256, tail_crc32 (of the last 32 bytes), media_bytes, media_sha256, clips: timed clip
-    rows, in order. A null file has nulls; a file without frames has no clips; a broken one raises ValueError."""
+    """key, payload_bytes, payload_sha256, tail_crc32 (of the last 32 bytes), media_bytes, media_sha256, clips (timed clip
+    rows, in order), error. A null file has nulls; a file without frames has no clips; of a file that can't be read only
+    its own bytes and what is wrong are told, and the others go on. Repeated rows and null keys are rows like any other;
+    other columns aren't read; an empty table gives an empty result."""
     bound_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,15 +412,21 @@ def read(df: DataFrame, key: str = "doc_id", media: str = "media") -> DataFrame:
                     if m is None:
                         rows.append(dict.fromkeys(names[1:]))
                         continue
-                    data, hist, fps = next(found)
+                    told = dict.fromkeys(names[1:]) | {"media_bytes": len(m), "media_sha256": hashlib.sha256(m).hexdigest()}
+                    got = next(found)
+                    if isinstance(got, str):
+                        rows.append(told | {"error": got})
+                        continue
+                    samples, fps = got
+                    data, hist = samples.tobytes(), histograms(samples)
                     clips = [{"first_frame": a, "frames": n, "start_s": a / fps, "end_s": (a + n) / fps, "change": round(c, 6)} for a, n, c in shots(hist)] if len(hist) else []
-                    rows.append({"payload_bytes": len(data), "payload_sha256": hashlib.sha256(data).hexdigest(), "tail_crc32": zlib.crc32(data[-32:]), "media_bytes": len(m), "media_sha256": hashlib.sha256(m).hexdigest(), "clips": clips})
+                    rows.append(told | {"payload_bytes": len(data), "payload_sha256": hashlib.sha256(data).hexdigest(), "tail_crc32": zlib.crc32(data[-32:]), "clips": clips})
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(files)), *(pa.array([r[n] for r in rows], t) for n, t in zip(names[1:], kinds, strict=True))], names)
 
-    names = ["k", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "clips"]
+    names = ["k", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "clips", "error"]
     clip = pa.list_(pa.struct([("first_frame", pa.int32()), ("frames", pa.int32()), ("start_s", pa.float64()), ("end_s", pa.float64()), ("change", pa.float64())]))
-    kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), clip]
-    types = [T.LongType(), T.StringType(), T.LongType(), T.LongType(), T.StringType(), CLIPS]
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), clip, pa.string()]
+    types = [T.LongType(), T.StringType(), T.LongType(), T.LongType(), T.StringType(), CLIPS, T.StringType()]
     schema = T.StructType([T.StructField("k", df.schema[key].dataType), *(T.StructField(n, t) for n, t in zip(names[1:], types, strict=True))])
     return df.select(F.col(key), F.col(media)).mapInArrow(run, schema).withColumnRenamed("k", key)
 

@@ -451,7 +451,7 @@ def test_media_round_trip(spark):
     r = np.random.default_rng(1)
     data = [avi_media.payload(t) for _, t, _ in ODD] + [r.integers(0, 256, 576 * 7, dtype=np.uint8).tobytes(), bytes(576), b"\xff" * 1152]
     back = avi_media.read_media(avi_media.encode_all(data))
-    assert [b[0] for b in back] == data
+    assert [b[0].tobytes() for b in back] == data
     assert avi_media.payload("") == b"\xff" * 576 and len(avi_media.payload("x" * 577)) == 1152
     got = avi_media.read(avi_media.store(odd(spark))).collect()
     assert len(got) == len(ODD)
@@ -462,6 +462,73 @@ def test_media_round_trip(spark):
     assert avi_media.read(avi_media.store(odd(spark).limit(0))).count() == 0
 
 
+def baseline_frame(pixels: np.ndarray, colour=False, restart=0) -> bytes:
+    """A baseline JPEG of grey pixels (height and width multiples of 16), quantised by 1, with codes of equal length; in
+    colour the brightness is sampled 2 x 2 and the colour is flat."""
+    k = np.arange(8)
+    m = np.where(k == 0, np.sqrt(1 / 8), 0.5)[:, None] * np.cos((2 * k[None, :] + 1) * k[:, None] * np.pi / 16)
+    order = sorted(range(64), key=lambda i: (i // 8 + i % 8, (i // 8) if (i // 8 + i % 8) % 2 else i % 8))
+    ac = [r << 4 | z for r in range(16) for z in range(1, 11)] + [0x00, 0xF0]
+    h, w = pixels.shape
+    bits, parts, last = "", [], 0
+
+    def number(v):
+        n = abs(v).bit_length()
+        return n, "" if not n else format(v if v > 0 else v + (1 << n) - 1, f"0{n}b")
+
+    def block(at_y, at_x):
+        nonlocal last
+        z = np.round(m @ (pixels[at_y : at_y + 8, at_x : at_x + 8].astype(float) - 128) @ m.T).astype(int).ravel()[order].tolist()
+        n, b = number(z[0] - last)
+        last, out, run = z[0], format(n, "04b") + b, 0
+        for v in z[1:]:
+            if not v:
+                run += 1
+                continue
+            while run > 15:
+                out += format(ac.index(0xF0), "08b")
+                run -= 16
+            n, b = number(v)
+            out, run = out + format(ac.index(run << 4 | n), "08b") + b, 0
+        return out + (format(ac.index(0), "08b") if run else "")
+
+    step = 16 if colour else 8
+    units = [(y, x) for y in range(0, h, step) for x in range(0, w, step)]
+    for i, (y, x) in enumerate(units):
+        bits += "".join(block(y + dy, x + dx) for dy, dx in (((0, 0), (0, 8), (8, 0), (8, 8)) if colour else ((0, 0),)))
+        bits += ("0000" + format(ac.index(0), "08b")) * 2 if colour else ""
+        if i + 1 == len(units) or (restart and (i + 1) % restart == 0):
+            bits += "1" * (-len(bits) % 8)
+            parts.append(bytes(int(bits[j : j + 8], 2) for j in range(0, len(bits), 8)).replace(b"\xff", b"\xff\x00"))
+            bits, last = "", 0
+    scan = b"".join(p + (bytes([0xFF, 0xD0 + i % 8]) if i + 1 < len(parts) else b"") for i, p in enumerate(parts))
+    seg = lambda mark, body: bytes([0xFF, mark]) + (len(body) + 2).to_bytes(2, "big") + body
+    components = [(1, 0x22, 0), (2, 0x11, 0), (3, 0x11, 0)] if colour else [(1, 0x11, 0)]
+    out = b"\xff\xd8" + seg(0xE0, b"JFIF\0") + seg(0xDB, b"\0" + b"\1" * 64) + seg(0xC0, b"\x08" + h.to_bytes(2, "big") + w.to_bytes(2, "big") + bytes([len(components)]) + b"".join(map(bytes, components)))
+    out += seg(0xC4, b"\0" + bytes([0, 0, 0, 12, *[0] * 12]) + bytes(range(12)) + b"\x10" + bytes([*[0] * 7, len(ac), *[0] * 8]) + bytes(ac))
+    out += seg(0xDD, restart.to_bytes(2, "big")) if restart else b""
+    return out + seg(0xDA, bytes([len(components), *[x for c, _, _ in components for x in (c, 0)], 0, 63, 0])) + scan + b"\xff\xd9"
+
+
+def test_baseline_frames_broken_files_and_sizes(spark):
+    r = np.random.default_rng(4)
+    grey = r.integers(0, 256, (16, 32), dtype=np.uint8)
+    smooth = np.add.outer(np.arange(32) * 3, np.arange(48) * 2).astype(np.uint8)
+    files = [
+        avi_media.write_avi([baseline_frame(grey), baseline_frame(grey[::-1])]), avi_media.write_avi([baseline_frame(smooth, colour=True)] * 3 + [baseline_frame(255 - smooth, colour=True, restart=2)] * 3),
+        avi_media.encode_all([avi_media.payload("ok")])[0], b"RIFF no file", avi_media.write_avi([baseline_frame(grey)[:60]]), avi_media.write_avi([]), None, avi_media.write_avi([baseline_frame(grey), baseline_frame(smooth)]),
+        avi_media.encode_all([avi_media.payload("x" * 700)])[0][:-900], b"",
+    ]
+    got = {x["doc_id"]: x for x in avi_media.read(spark.createDataFrame(list(enumerate(files)), "doc_id long, media binary")).collect()}
+    back = avi_media.read_media([f for f in files[:2]])
+    assert np.abs(back[0][0][0].reshape(16, 32).astype(int) - grey).max() <= 2 and np.abs(back[0][0][1].reshape(16, 32).astype(int) - grey[::-1]).max() <= 2
+    assert np.abs(back[1][0][0].reshape(32, 48).astype(int) - smooth).max() <= 2 and np.abs(back[1][0][5].reshape(32, 48).astype(int) - (255 - smooth)).max() <= 2
+    assert got[0]["payload_bytes"] == 2 * 512 and [c["first_frame"] for c in got[1]["clips"]] == [0, 3] and got[0]["error"] is None
+    assert got[2]["payload_sha256"] == hashlib.sha256(avi_media.payload("ok")).hexdigest()
+    assert all(got[i]["error"] and got[i]["clips"] is None and got[i]["media_bytes"] == len(files[i]) for i in (3, 4, 7, 8, 9))
+    assert got[5]["clips"] == [] and got[5]["error"] is None and got[6]["media_bytes"] is None
+
+
 def test_shots_begin_where_the_picture_changes():
     hist = np.zeros((30, 16))
     hist[:10, 0], hist[10:22, 5], hist[22:, 9] = 1, 1, 1
