@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from lexloom.config import env_file, settings
 from lexloom.functions import entries, orthography, textclean, textdiff
 from lexloom.functions import tokens as tk
-from lexloom.operators import counts, decisions, fusion, layout, lexicon
+from lexloom.operators import counts, decisions, fusion, layout, lexicon, search
 from lexloom.operators.ranking import with_totals
 from lexloom.plans.corpus_queries import Query, table
 from lexloom.sources import readers, sinks
@@ -459,3 +459,28 @@ function("fn_column_entry", "F47: an entry of a column.", "a string", [("アペ
 function("fn_story_text", "F57: the repairs of a story's page.", "a string", [("12 h _ine [3]a =kor su y hetopo\n【注】n", "h_ine a=kor suy hetopo"), ("aynu\n\n\n\nitak 1968  20-8 next", "aynu\n\nitak"), ("k s apa", "ksapa")], entries.story_text)
 function("fn_story_page", "F57: a story's page without doubts and stray lines.", "a string", [("a (?)b \n（萱野）\n12\nc", "a b\n\n\nc")], entries.story_page)
 function("fn_story_title", "F57: a story's title.", "a string", [(" ウエペケㇾ 「 x 」（ y ） ", "ウエペケㇾ「x」（y）")], entries.story_title)
+function("fn_tokenize", "F01-F03: sentences cut into words, affixes and signs.", "a string", [("hioy’oy", ["hioy’oy"]), ("aynu itak k=eyaypakasnu kor k=an!", ["aynu", "itak", "k=", "eyaypakasnu", "kor", "k=", "an", "!"]), ("a=sirkocotca p ne kusu an hine <ne>", ["a=", "sirkocotca", "p", "ne", "kusu", "an", "hine", "<", "ne", ">"]), ("u ne[y] rok awa[n]", ["u", "ne[y]", "rok", "awa[n]"])], lambda a: tk.tokenize(a))
+function("fn_normalize", "F04: forms as they are looked up.", "a string", [("w_a", "wa"), ("__hine", "hine"), ("h_ine", "hine"), ("ne[y]", "ne"), ("awa[n]", "awa"), ("[u]", "u"), ("ne'ampe", "neanpe"), ("inkar'", "inkar"), ("’sekor", "sekor")], tk.normalize)
+function("fn_accent", "F09: the accented syllable.", "a string", [("úsey", 0), ("tané", 1), ("konkane", 0), ("kuni", 1)], tk.accent)
+function("fn_to_sakhalin", "F10: southern forms of northern words.", "a string", [("sat", "sah"), ("pirka", "pirika"), ("ikra", "isra"), ("kim", "kin")], tk.to_sakhalin)
+function("fn_syllables", "F12: syllables of words.", "a string", [("konkane", ["kon", "ka", "ne"]), ("itak", ["i", "tak"]), ("pirka", ["pir", "ka"]), ("aynu", ["ay", "nu"])], tk.syllables)
+function("fn_lookup_keys", "F24, F26: all keys of a headword, in order.", "a string", [("Chise", ["cise", "cis", "chise", "chis"]), ("=Kamuy2,", ["kamuy"])], orthography.lookup_keys)
+function("fn_is_word", "P01: whether a token is a word.", "a string", [("k=", True), ("ne'ampe", True), ("12", False), ("<", False), ("hioy’oy", True)], tk.is_word)
+
+
+_FOUND = [
+    ([], [], [0]), ([], [("wakka", ["noun"])], [0]), ([("wakka", "noun")], [], []), ([("exa", None)], [("exact", ["noun"])], []),
+    ([(None, "verb")], [("a", ["verb"]), ("b", ["verb"]), ("c", ["noun"]), ("d", ["verb"])], [0, 1, 3]), ([(None, None), (None, None)], [("a", []), ("b", []), ("c", [])], [0, 1]),
+    ([(None, "noun"), (None, "noun")], [("a", ["noun"]), ("b", ["verb"]), ("c", ["noun"]), ("d", ["noun"])], [2]), ([("a", None), ("c", None)], [("a", []), ("b", []), ("c", [])], []),
+]
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"({i}, {_sql(w)}{'::INTEGER[]' if not w else ''})" for i, (_, _, w) in enumerate(_FOUND)) + ") t(id, result)")
+def fn_find(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where runs of keywords, by word or part of speech, begin."""
+    out = None
+    for i, (keywords, words, _) in enumerate(_FOUND):
+        df = spark.createDataFrame([(i, words)], "id int, w array<struct<word:string,poss:array<string>>>")
+        part = df.select("id", search.find(keywords, F.transform("w", lambda x: x["word"]), F.transform("w", lambda x: x["poss"])).alias("result"))
+        out = part if out is None else out.unionByName(part)
+    return out
