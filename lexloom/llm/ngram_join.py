@@ -5,7 +5,8 @@
    ids. The order puts ids that many documents hold last (counted over all documents; it only decides the cost). A tile
    is such an id and its documents. Ids that one document holds end here.
 3. Each document is first compared with the tile-mate that heads most of its tiles, by bitmap and then exactly; the
-   links give components.
+   links give components. In a few turns more, a document whose tiles hold another component is compared with a member of
+   it, another member each turn: so a group of near copies comes together by as many comparisons as it has documents.
 4. Tiles that hold several components are cut by bands of size (sizes must agree within t) and, where a band is large,
    into blocks; every pair of bands and blocks that can hold links is a task's unit of bounded size. In it, pairs of
    different components are bounded by hashed bitmaps: bits set only in A count ids that B lacks, so
@@ -38,6 +39,8 @@ COUNTED, HEAVY_PART, HEAVY_IDS, HEAVY = 2_000_000, 2, 1_000_000, 3
 ROWS_IN_FILE = 40_000
 #: Tiles of a document that tell where a pair meets first (pairs that meet in none of them are told wherever they meet).
 FIRST_TILES = 32
+#: Turns in which documents ask a member of another component of their tiles, before all pairs that are left are bounded.
+TURNS = 3
 #: Documents in a part of a tile; the bits of a tile that number its parts.
 PART, PARTS = 20_000, np.uint64(255)
 
@@ -362,12 +365,34 @@ def join(df: DataFrame, k: int = 5, num: int = 80, den: int = 100, key: str = "d
     links = exact(likely)
 
     found = components(links, files)
-    known = found.withColumnRenamed("node", "v")
-    whole = tiles.select(F.col("tile").bitwiseAND(~255).alias("tile"), "node")
-    now = keep(whole.join(known, F.col("node") == F.col("v"), "left").select("tile", "node", F.coalesce("component", "node").alias("component")), "placed", files)
-    mixed = now.groupBy("tile").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select(F.col("tile").alias("m"))
-    open_tiles = every_open = keep(now.join(mixed, F.col("tile") == F.col("m"), "left_semi"), "mixed", files)
-    discard(now, tiles, likely, links)
+    star = lambda: found.select(F.col("node").alias("v"), "component")
+
+    def mixed(rows: DataFrame) -> DataFrame:
+        """rows (tile, node) of the tiles that hold several components, with the component."""
+        now = keep(rows.join(star(), F.col("node") == F.col("v"), "left").select("tile", "node", F.coalesce("component", "node").alias("component")), "placed", files)
+        several = now.groupBy("tile").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select(F.col("tile").alias("m"))
+        left = keep(now.join(several, F.col("tile") == F.col("m"), "left_semi"), "mixed", files)
+        discard(now)
+        return left
+
+    open_tiles = mixed(tiles.select(F.col("tile").bitwiseAND(~255).alias("tile"), "node"))
+    discard(tiles, likely, links)
+    for turn in range(TURNS):
+        # a member of the tile's first component, another one each turn; a document asks the one it meets most
+        asked = open_tiles.groupBy(F.col("tile").alias("m")).agg(F.min(F.struct("component", F.xxhash64(F.lit(turn), "node").alias("h"), "node")).alias("r")).select("m", F.col("r.component").alias("c"), F.col("r.node").alias("head"))
+        met = open_tiles.join(asked, F.col("tile") == F.col("m")).filter("component <> c").groupBy("node", "head").count()
+        best = met.groupBy("node").agg(F.max_by("head", F.struct(F.col("count"), -F.col("head"))).alias("parent"))
+        likely = keep(_likely(best.select("parent", F.col("node").alias("child")), meta, num, den), "likely", files)
+        links = exact(likely)
+        if links.isEmpty():
+            discard(likely, links)
+            break
+        joined = components(star().select(F.col("v").alias("a"), F.col("component").alias("b")).unionByName(links), files)
+        discard(found, likely, links)
+        found, before = joined, open_tiles
+        open_tiles = mixed(before.select("tile", "node"))
+        discard(before)
+    known, every_open = star(), open_tiles
     # of tiles with the same documents one is enough; a passage gives many such
     twins = open_tiles.groupBy("tile").agg(F.count(F.lit(1)).alias("k"), *[F.sum(F.xxhash64(F.lit(i), "node").cast("decimal(38,0)")).alias(f"s{i}") for i in (1, 2)])
     alone = twins.groupBy("k", "s1", "s2").agg(F.min("tile").alias("m")).select("m")
