@@ -24,6 +24,10 @@ LIST_TAGS = {
     "接": "接続詞", "人接": "人称接辞", "接頭": "接頭辞", "接美": "接尾辞", "単": "単数形", "複": "複数形", "所": "所属形", "複他": "複他動詞",
     "疑問": "疑問詞", "代名？": "代名詞", "指定": "繋辞", "序動": "助動詞", "接尾": "接尾辞",
 }
+# What is no gloss in a tagged definition, in order; the forms of a line of a word list and of a column's entry.
+NO_GLOSS = [("【(.*?)】", ""), ("（出典：.*?）", ""), (r"\[.*?\]", ""), (r"\(.*\)", ""), ("[☞☆].*", ""), (r"\{.*?\}", ""), ("｟テープ｠", "")]
+LIST_LINE = r"^([^\p{IsLatin}]+)\s*([^\p{IsHiragana}\p{IsKatakana}\p{IsHan}\p{N}～]+)\s*([^【]+?)\s*(【.*)"
+COLUMN_ENTRY = r"^([ァ-ヴーㇰ-ㇿ゠]+(?:\s*[(（][^)）]+[)）])?)\s+([A-Za-z][A-Za-z=~’'\-]*(?:[(（][^)）]+[)）])?)(?:\s+(.+))?$"
 # What lines that aren't entries begin with.
 JUNK = ("■", "＊", "※", "「", "単語", "単")
 KANA = "ァ-ヴーㇰ-ㇿ゠"
@@ -55,8 +59,7 @@ def tagged_entry(definition: Column) -> Column:
     """struct(poses, glosses) of a definition with a 【tag】, else null: joined tags parted and named; glosses are the runs
     between punctuation that don't begin with ASCII, without sources, brackets and references."""
     tag = F.regexp_replace(F.regexp_extract(definition, "【(?:< )?(.*?)】", 1), r"\(?[?？]\)?", "")
-    gone = [("【(.*?)】", ""), ("（出典：.*?）", ""), (r"\[.*?\]", ""), (r"\(.*\)", ""), ("[☞☆].*", ""), (r"\{.*?\}", ""), ("｟テープ｠", "")]
-    parts = F.transform(F.split(chain(definition, gone), r"[\p{P}①②③④⑤⑥⑦⑧⑨⑩]"), lambda g: F.trim(F.regexp_replace(g, r"(?U)^\s+|\s+\z", "")))
+    parts = F.transform(F.split(chain(definition, NO_GLOSS), r"[\p{P}①②③④⑤⑥⑦⑧⑨⑩]"), lambda g: F.trim(F.regexp_replace(g, r"(?U)^\s+|\s+\z", "")))
     told = F.struct(F.transform(F.split(tag, "[＋/+(]"), lambda t: _named(t, ENTRY_TAGS)).alias("poses"), F.filter(parts, lambda g: (g != "") & ~g.rlike(r"^[\x00-\x7F]")).alias("glosses"))
     return F.when((tag != "") & ~tag.rlike(r"^[\x00-\x7F]"), told)
 
@@ -68,7 +71,7 @@ def lines_with_one_tag(line: Column) -> Column:
 
 def list_line(line: Column) -> Column:
     """struct(kana, latin, gloss, pos, note) of a line `kana latin gloss 【pos】［note］`, without its spaces; else null."""
-    p = r"^([^\p{IsLatin}]+)\s*([^\p{IsHiragana}\p{IsKatakana}\p{IsHan}\p{N}～]+)\s*([^【]+?)\s*(【.*)"
+    p = LIST_LINE
     part = lambda i: F.replace(F.regexp_extract(line, p, i), F.lit(" "), F.lit(""))
     inside = lambda pattern: F.nullif(F.regexp_extract(part(4), pattern, 1), F.lit(""))
     return F.when(line.rlike(p), F.struct(part(1).alias("kana"), part(2).alias("latin"), part(3).alias("gloss"), inside("^【(.*)】").alias("pos"), inside("^［(.*)］").alias("note")))
@@ -99,7 +102,7 @@ def glued(words: Column, gap: float = 4.0) -> Column:
 
 def column_entry(text: Column) -> Column:
     """struct(kana, lemma, gloss, pos, notes) of `kana lemma gloss 【pos】 notes ［more notes］`, else null."""
-    p = rf"^([{KANA}]+(?:\s*[(（][^)）]+[)）])?)\s+([A-Za-z][A-Za-z=~’'\-]*(?:[(（][^)）]+[)）])?)(?:\s+(.+))?$"
+    p = COLUMN_ENTRY
     rest = F.trim(F.regexp_extract(text, p, 3))
     tagged = rest.rlike("【[^】]+】")
     gloss = F.when(tagged, F.trim(F.regexp_extract(rest, "^(.*?)【[^】]+】", 1))).otherwise(rest)

@@ -116,11 +116,13 @@ def page_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.page_ranges(c, "volume", "page", "page", "last").select("volume", "page", "end")
 
 
-@query()
+@query("""WITH RECURSIVE w AS (SELECT l_orderkey % 50 AS page, l_quantity * 10 AS y, l_extendedprice AS x, l_returnflag AS t FROM lineitem), d AS (SELECT DISTINCT page, y FROM w),
+nx AS (SELECT a.page, a.y, min(b.y) AS ny FROM d a JOIN d b ON a.page = b.page AND b.y > a.y + 15 GROUP BY a.page, a.y), an AS (SELECT page, min(y) AS y FROM d GROUP BY page UNION ALL SELECT an.page, nx.ny AS y FROM an JOIN nx ON an.page = nx.page AND an.y = nx.y),
+l AS (SELECT w.page, an.y, w.x, w.t FROM w ASOF JOIN an ON w.page = an.page AND w.y >= an.y) SELECT page, CAST(dense_rank() OVER (PARTITION BY page ORDER BY y) - 1 AS INTEGER) AS line, y, string_agg(t, ' ' ORDER BY x, t) AS text FROM l GROUP BY page, y""")
 def clustered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of a page gathered into lines by their height."""
     w = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") % 50).alias("page"), (F.col("l_quantity") * 10).alias("y"), F.col("l_extendedprice").alias("x"), F.col("l_returnflag").alias("t"))
-    return layout.cluster_lines(w, ["page"], "y", "x", "t", 4.0)
+    return layout.cluster_lines(w, ["page"], "y", "x", "t", 15.0)
 
 
 @query("""WITH r AS (SELECT p_brand AS k, p_partkey AS n, p_size % 3 AS m, p_name, p_type, sum(CASE WHEN p_size % 3 = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY p_brand ORDER BY p_partkey) AS block FROM part),
