@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexloom.functions.binding import let
 from lexloom.operators.counts import most_common_value, packed_counts
 
 # Fixed values of the glossed corpus.
@@ -22,7 +23,10 @@ def clean_morpheme(c: Column) -> Column:
 def morpheme_with_note(c: Column) -> Column:
     """struct(morpheme, note, drop): noise, refrain marks and Japanese are dropped; sources, optional parts, doubts and
     brackets are resolved and noted."""
-    raw = clean_morpheme(c)
+    return let(clean_morpheme(c), _noted)
+
+
+def _noted(raw: Column) -> Column:
     why = F.when(raw == "", "empty").when(raw.isin(NOISE), "noise_token").when(raw.rlike(r"^V(?:\d+)?(?:[:(].*)?\z"), "refrain_marker").when(raw.rlike("[ぁ-んァ-ン一-龯々〆ヵヶ]"), "japanese_transcript_noise")
     rules = [
         (r"^([A-Za-z=\-]+)\(<([^)>]+)>?\)\z", "$1", F.concat(F.lit("source:"), F.regexp_extract(raw, r"^([A-Za-z=\-]+)\(<([^)>]+)>?\)\z", 2))),
@@ -31,14 +35,22 @@ def morpheme_with_note(c: Column) -> Column:
         (r"^([A-Za-z=\-]*)\[([A-Za-z=]+)\]([A-Za-z=\-]*)\z", "$1$2$3", F.lit("bracket_markup_removed")),
         (r"^NI\.([A-Za-z=\-]+)\z", "$1", F.lit("ni_prefix_annotation_removed")),
     ]
-    form, notes = raw, []
-    for pattern, new, note in rules:
-        notes.append(F.when(form.rlike(pattern), note))
-        form = F.regexp_replace(form, pattern, new)
-    form = clean_morpheme(form)
-    gone = form.isin(NOISE)
-    notes.append(F.when(gone, F.lit("empty_after_normalization")))
-    return F.when(why.isNotNull(), F.struct(raw.alias("morpheme"), why.alias("note"), F.lit(True).alias("drop"))).otherwise(F.struct(form.alias("morpheme"), F.concat_ws(" | ", *notes).alias("note"), gone.alias("drop")))
+
+    def step(pattern: str, new: str, note: Column):
+        noted = lambda x: F.concat(x["notes"], F.when(x["form"].rlike(pattern), F.array(note)).otherwise(F.array().cast("array<string>")))
+        return lambda x: F.struct(F.regexp_replace(x["form"], pattern, new).alias("form"), noted(x).alias("notes"))
+
+    told = F.struct(raw.alias("form"), F.array().cast("array<string>").alias("notes"))
+    for rule in rules:
+        told = let(told, step(*rule))
+
+    def last(x: Column) -> Column:
+        gone = x["form"].isin(NOISE)
+        notes = F.when(gone, F.concat(x["notes"], F.array(F.lit("empty_after_normalization")))).otherwise(x["notes"])
+        return F.struct(x["form"].alias("morpheme"), F.array_join(notes, " | ").alias("note"), gone.alias("drop"))
+
+    clean = let(told, lambda x: last(F.struct(clean_morpheme(x["form"]).alias("form"), x["notes"].alias("notes"))))
+    return F.when(why.isNotNull(), F.struct(raw.alias("morpheme"), why.alias("note"), F.lit(True).alias("drop"))).otherwise(clean)
 
 
 def align(rows: DataFrame, morpheme: str = "morpheme", gloss_en: str = "gloss_en", gloss_jp: str = "gloss_jp", *carry: str) -> tuple[DataFrame, DataFrame]:
@@ -59,8 +71,10 @@ def align(rows: DataFrame, morpheme: str = "morpheme", gloss_en: str = "gloss_en
     ok = F.col("ep").isNotNull() & F.col("jp").isNotNull()
     bad_units = cells.filter(~ok).select(*carry, "unit", F.col("u").alias("text"), F.lit("part_count_mismatch").alias("reason"))
     good = cells.filter(ok).select(*carry, "unit", F.posexplode(F.arrays_zip("p", "ep", "jp")).alias("part", "z"))
-    told = good.select(*carry, "unit", "part", F.col("z.p").alias("raw"), F.trim("z.ep").alias("gloss_en"), F.trim("z.jp").alias("gloss_jp"), morpheme_with_note(F.col("z.p")).alias("m"))
-    aligned = told.filter("not m.drop and m.morpheme <> ''").select(*carry, "unit", "part", F.col("m.morpheme").alias("morpheme"), F.col("m.note").alias("note"), "raw", "gloss_en", "gloss_jp")
+    # what is dropped is told inside an array, so that the filter doesn't work the rules out a second time
+    kept = F.filter(F.array(morpheme_with_note(F.col("z.p"))), lambda m: ~m["drop"] & (m["morpheme"] != ""))
+    told = good.select(*carry, "unit", "part", F.col("z.p").alias("raw"), F.trim("z.ep").alias("gloss_en"), F.trim("z.jp").alias("gloss_jp"), F.explode(kept).alias("m"))
+    aligned = told.select(*carry, "unit", "part", F.col("m.morpheme").alias("morpheme"), F.col("m.note").alias("note"), "raw", "gloss_en", "gloss_jp")
     return aligned, bad_rows.unionByName(bad_units)
 
 

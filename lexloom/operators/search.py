@@ -46,7 +46,23 @@ def intervals(found: Column, length: int, offset: Column | int = 0) -> Column:
 
 
 def highlight(words: Column, spans: Column, mark: str = "**") -> Column:
-    return F.transform(words, lambda w, i: F.when(F.exists(spans, lambda s: (s["start"] <= i) & (i < s["end"])), F.concat(F.lit(mark), w, F.lit(mark))).otherwise(w))
+    """words with marks around those inside the spans (array<struct<start,end>>, in order of start; they may overlap). The
+    words are cut at the spans, so a text costs its words and its spans, not their product."""
+    none = F.array().cast("array<struct<start:int,end:int>>")
+
+    def merge(out: Column, s: Column) -> Column:
+        last = F.element_at(out, -1)
+        s = F.struct(s["start"].cast("int").alias("start"), s["end"].cast("int").alias("end"))
+        longer = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))
+        return F.when((F.size(out) > 0) & (s["start"] <= last["end"]), F.concat(F.slice(out, 1, F.size(out) - 1), F.array(longer))).otherwise(F.concat(out, F.array(s)))
+
+    def shown(x: Column) -> Column:
+        ws, at = x["ws"], x["at"]
+        end = lambda i: F.coalesce(F.get(at, i)["end"], F.lit(0))
+        pieces = F.transform(at, lambda s, i: F.concat(F.slice(ws, end(i - 1) + 1, F.greatest(s["start"] - end(i - 1), F.lit(0))), F.transform(F.slice(ws, s["start"] + 1, s["end"] - s["start"]), lambda w: F.concat(F.lit(mark), w, F.lit(mark)))))
+        return F.concat(F.flatten(pieces), F.slice(ws, end(F.size(at) - 1) + 1, F.size(ws)))
+
+    return let(F.struct(words.alias("ws"), F.aggregate(spans, none, merge).alias("at")), shown)
 
 
 def concordance(sentences: DataFrame, keywords: list[Keyword], k: int = 1, book: str = "book", idx: str = "idx", sentence: str = "sentence", words: str = "words", poss: str | None = None) -> DataFrame:
