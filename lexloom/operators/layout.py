@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 
 def lines_of(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -95,19 +97,39 @@ def nearest(left: DataFrame, right: DataFrame, on: str, id_: str, left_y: str, r
 
 def cluster_lines(words: DataFrame, keys: list[str], y: str, x: str, text: str, tolerance: float, moving: bool = False) -> DataFrame:
     """keys, line, y, text: words whose y is within the tolerance of a line's anchor, from the top; the anchor is the
-    first y, or moves to the largest one. A fold over each page's words in order, as the anchor isn't the last y."""
-    got = words.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(F.col(y).alias("y"), F.col(x).alias("x"), F.col(text).alias("t")))).alias("ws"))
-    kind = "array<struct<anchor:double,ws:array<struct<x:double,t:string>>>>"
-
-    def step(out: Column, w: Column) -> Column:
-        last = F.element_at(out, -1)
-        new = F.array(F.struct(w["y"].cast("double").alias("anchor"), F.array(F.struct(w["x"].cast("double").alias("x"), w["t"].alias("t"))).alias("ws")))
-        anchor = F.greatest(last["anchor"], w["y"].cast("double")) if moving else last["anchor"]
-        more = F.array(F.struct(anchor.alias("anchor"), F.concat(last["ws"], F.array(F.struct(w["x"].cast("double").alias("x"), w["t"].alias("t")))).alias("ws")))
-        return F.when((F.size(out) == 0) | (w["y"] - last["anchor"] > tolerance), F.concat(out, new)).otherwise(F.concat(F.slice(out, 1, F.size(out) - 1), more))
-
-    folded = got.select(*keys, F.posexplode(F.aggregate("ws", F.array().cast(kind), step)).alias("line", "l"))
-    return folded.select(*keys, "line", F.col("l.anchor").alias("y"), F.array_join(F.transform(F.array_sort("l.ws"), lambda w: w["t"]), " ").alias("text"))
+    first y, or moves to the largest one. Which line a word is in depends on its y alone, so the pass over a page in order
+    is over its distinct heights; words go to their lines by a join. A page that has a word without y is one line from
+    there on, unless the anchor moves."""
+    places = ArrayType(StructType([StructField(c, IntegerType()) for c in ("line", "first", "nth")]))
+
+    @F.pandas_udf(places)
+    def lines(pages: pd.Series, empty: pd.Series) -> pd.Series:
+        def page(ys, lacks):  # places are told by number (-1: none), as pandas can't tell NaN and null
+            line, first = (0, -1) if lacks else (-1, -1)
+            out, firsts = [(0, -1)] if lacks else [], {0: -1}
+            for n, at in enumerate(ys):
+                anchor = ys[first] if first >= 0 else None
+                # NaN is larger than all else
+                if line < 0 or (anchor is not None and (at - anchor > tolerance or (at != at and anchor == anchor))):
+                    line, first = line + 1, n
+                elif moving:
+                    first = n
+                firsts[line] = first
+                out.append((line, n))
+            return [{"line": k, "first": firsts[k], "nth": n} for k, n in out]
+
+        return pd.Series([page(ys, lacks) for ys, lacks in zip(pages, empty)])
+
+    w = words.select(*keys, F.col(y).cast("double").alias("__y"), F.struct(F.col(x).cast("double").alias("x"), F.col(text).alias("t")).alias("__w"))
+    pages = w.groupBy(*keys, "__y").agg(F.lit(0)).groupBy(*keys).agg(F.sort_array(F.collect_list("__y")).alias("__ys"), F.max(F.col("__y").isNull()).alias("__null"))
+    names = [f"__k{i}" for i in range(len(keys))]
+    told = pages.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], "__ys", F.explode(lines("__ys", "__null")).alias("l"))
+    told = told.select(*names, "l.line", F.get("__ys", F.col("l.first")).alias("anchor"), F.get("__ys", F.col("l.nth")).alias("at"))
+    same = F.col("__y").eqNullSafe(F.col("at"))
+    for k, n in zip(keys, names):
+        same = same & F.col(k).eqNullSafe(F.col(n))
+    found = w.join(told, same).groupBy(*keys, "line", F.col("anchor").alias("y")).agg(F.sort_array(F.collect_list("__w")).alias("ws"))
+    return found.select(*keys, "line", "y", F.array_join(F.transform("ws", lambda v: v["t"]), " ").alias("text"))
 
 
 def line_words(words: DataFrame, keys: list[str], y: str, columns: list[str], tolerance: float) -> DataFrame:

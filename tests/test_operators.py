@@ -1,5 +1,7 @@
 """Operators on small tables, oddities and empty input."""
 
+import time
+
 from pyspark.sql import functions as F
 
 from lexloom.operators import analytics, counts, decisions, fusion, layout, lexicon, linkage
@@ -175,3 +177,19 @@ def test_clustered_lines_take_every_line_number(spark, tmp_path):
     spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_returnflag string").write.parquet(f"{tmp_path}/lineitem.parquet")
     got = layout_queries.clustered_lines(spark, str(tmp_path)).collect()
     assert sorted(r["text"] for r in got) == [f"w{n}" for n in range(1, 8)]
+
+
+def test_lines_of_a_long_page(spark):
+    # one page of 60,000 words at 20,000 heights: a fold that copies its lines with each word doesn't end in time
+    w = spark.range(60_000).select(F.lit(1).alias("page"), (F.col("id") % 20_000).cast("double").alias("y"), F.col("id").cast("double").alias("x"), F.lit("w").alias("t"))
+    began = time.time()
+    got = layout.cluster_lines(w, ["page"], "y", "x", "t", 1.0).agg(F.count(F.lit(1)), F.sum(F.length("text")), F.max("line")).first()
+    assert tuple(got) == (10_000, 60_000 * 2 - 10_000, 9_999)
+    assert time.time() - began < 30
+
+
+def test_lines_of_heights_that_are_no_numbers(spark):
+    rows = [(None, 1.0, "a"), (1.0, 2.0, "b"), (2.0, 0.0, "c"), (float("nan"), 3.0, "d"), (float("nan"), 1.0, "e")]
+    w = spark.createDataFrame([(p, *r) for p in (1, None) for r in rows[1:]] + [(2, *r) for r in rows[:3]], "page int, y double, x double, t string")
+    got = layout.cluster_lines(w, ["page"], "y", "x", "t", 3.0).collect()
+    assert sorted(((r["page"], r["line"], r["text"]) for r in got), key=repr) == sorted([(p, n, t) for p in (1, None) for n, t in ((0, "c b"), (1, "e d"))] + [(2, 0, "c a b")], key=repr)
