@@ -3,22 +3,56 @@
 Queries have (id, lemma, gloss) and perhaps kana; entries have (entry, source, base_conf, ord, lemma, definition) and
 perhaps lemma_kana. Each stage yields (id, entry, kind, score); of equal scores the entry first in order wins. Old forms
 of characters are read as new ones by `old` and `new`, two strings of equal length (a table of pairs, see
-readers.kanji_pairs).
+readers.kanji_pairs). What a stage finds for a query depends on its content alone, so each distinct content is matched once
+and its best entry goes to all ids that have it.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexloom.functions.orthography import edit1_keys, gloss_lookup_variants, gloss_tokens_en, gloss_tokens_ja, jaccard, kana_key, latin_key, lookup_keys, primary_gloss, stem_variants, substrings, variants
 
 # Sources whose one-word concepts make gloss matches by chance.
 BLOCKED = ("asjp", "pannous_swadesh", "shimabukuro_proto")
+# Distinct queries that are broadcast; more are joined by sorting, as sizes of compressed files tell too little of them.
+FEW = 1000
 
 
 def best(matches: DataFrame) -> DataFrame:
-    return matches.groupBy("id").agg(F.min_by(F.struct("entry", "kind", "score"), F.struct(-F.col("score"), F.col("step"), F.col("ord"), F.col("entry"))).alias("r")).select("id", "r.*")
+    return _ranked(matches).select("id", "entry", "kind", "score")
+
+
+def _ranked(matches: DataFrame) -> DataFrame:
+    return matches.groupBy("id").agg(F.min_by(F.struct("entry", "kind", "score", "step", "ord"), F.struct(-F.col("score"), F.col("step"), F.col("ord"), F.col("entry"))).alias("r")).select("id", "r.*")
+
+
+def _contents(q: DataFrame, columns: list[str]) -> tuple[DataFrame, str]:
+    """Distinct rows of the columns, each with an id of its own, and how they are joined. Ids of queries may repeat, so a
+    hash tells contents of the same least id apart."""
+    rows = q.groupBy(*columns).agg(F.min("id").alias("id"))
+    # behind inline() no filter on keys or tokens, which are costly, moves in front of the grouping
+    rows = rows.select(F.struct("id", F.xxhash64(*columns).alias("hash")).alias("id"), F.inline(F.array(F.struct(*columns))))
+    how = "broadcast" if rows.limit(FEW + 1).count() <= FEW else "merge"
+    return rows.hint(how), how
+
+
+def _dealt(q: DataFrame, contents: DataFrame, found: DataFrame, columns: list[str], how: str, join: str) -> DataFrame:
+    """q's ids with what was found for their content."""
+    told = contents.join(found, "id").drop("id").withColumnsRenamed({c: f"__{c}" for c in columns})
+    same = F.lit(True)
+    for c in columns:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    return q.select("id", *columns).join(told.hint(how), same, join).drop(*columns, *told.columns[: len(columns)])
+
+
+def _once(q: DataFrame, columns: list[str], rows: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The best of rows(q), where rows() depends on the columns: it gets each distinct content once."""
+    contents, how = _contents(q, columns)
+    return best(_dealt(q, contents, _ranked(rows(contents)), columns, how, "inner"))
 
 
 def _scored(pairs: DataFrame, kind: str, base: Column, weight: float, least: float, most: float, step: Column | int = 0) -> DataFrame:
@@ -75,71 +109,99 @@ def first_variant(queries: DataFrame, latin: list[DataFrame], kana: DataFrame, o
 def exact_stage(q: DataFrame, e: DataFrame, ota: DataFrame | None = None, old: str = "", new: str = "") -> DataFrame:
     """Any key of the query is the entry's key, or the kana are the entry's, or a key is a Latin word inside a Japanese
     entry; the largest score of all."""
+    return _once(q, ["keys", "kana", "tokens"], lambda x: _exact(x, e, ota, old, new))
+
+
+def _exact(q: DataFrame, e: DataFrame, ota: DataFrame | None, old: str, new: str) -> DataFrame:
     keys = q.select("id", "tokens", F.explode("keys").alias("key"))
     found = _scored(keys.join(e, F.col("key") == F.col("ekey")), "latn", F.col("base_conf"), 0.10, 0.0, 1.0)
     by_kana = q.filter("kana <> ''").join(e, F.col("kana") == F.col("ekana"))
     found = found.unionByName(_scored(by_kana, "kana", F.col("base_conf") - 0.05, 0.15, 0.0, 1.0, 1))
     if ota is not None:
-        inside = ota.select("word", F.concat(F.lit("ota:"), "definition").alias("entry"), F.lit(0).cast("long").alias("ord"), _tokens(F.col("definition"), old, new).alias("etokens")).distinct()
+        inside = ota.select("word", "definition").distinct()
+        inside = inside.select("word", F.concat(F.lit("ota:"), "definition").alias("entry"), F.lit(0).cast("long").alias("ord"), _tokens(F.col("definition"), old, new).alias("etokens"))
         found = found.withColumn("entry", F.col("entry").cast("string")).unionByName(_scored(keys.filter(F.length("key") >= 3).join(inside, F.col("key") == F.col("word")), "ota_reverse", F.lit(0.65), 0.20, 0.0, 0.95, 2))
-    return best(found)
+    return found
 
 
 def edit_stage(q: DataFrame, e: DataFrame, least_length: int = 5) -> DataFrame:
     """Keys within one edit: both sides spread to their one-deletion neighbourhoods, met by equality, then checked."""
+    return best(_edit(q, e, least_length))
+
+
+def _edit(q: DataFrame, e: DataFrame, least_length: int = 5) -> DataFrame:
     left = q.select("id", "tokens", F.explode("keys").alias("key")).filter(F.length("key") >= least_length).withColumn("near", F.explode(edit1_keys(F.col("key"))))
     right = e.filter(F.length("ekey") >= least_length - 1).withColumn("enear", F.explode(edit1_keys(F.col("ekey"))))
     pairs = left.join(right, F.col("near") == F.col("enear")).filter(F.levenshtein("key", "ekey", 1) == 1)
-    return best(_scored(pairs, "fuzzy_edit1", F.col("base_conf") - 0.20, 0.20, 0.10, 0.90))
+    return _scored(pairs, "fuzzy_edit1", F.col("base_conf") - 0.20, 0.20, 0.10, 0.90)
 
 
 def gloss_stage(q: DataFrame, e: DataFrame, blocked: tuple[str, ...] = BLOCKED, en_weight: int = 1, ja_weight: int = 2, least_weight: int = 3, least_overlap: float = 0.18) -> DataFrame:
     """Glosses that share tokens: shared weight (Japanese double) first, then the larger of recall and Jaccard."""
+    return _once(q, ["tokens"], lambda x: _gloss(x, e, blocked, en_weight, ja_weight, least_weight, least_overlap))
+
+
+def _gloss(q: DataFrame, e: DataFrame, blocked: tuple[str, ...], en_weight: int = 1, ja_weight: int = 2, least_weight: int = 3, least_overlap: float = 0.18) -> DataFrame:
     e = e.filter(~F.col("source").isin(*blocked)) if blocked else e
     weight = F.when(F.col("tok").rlike("[^\\x00-\\x7F]"), ja_weight).otherwise(en_weight)
     pairs = q.select("id", F.explode("tokens").alias("tok")).join(e.select("entry", F.explode("index").alias("etok")), F.col("tok") == F.col("etok"))
     heavy = pairs.groupBy("id", "entry").agg(F.sum(weight).alias("w")).filter(F.col("w") >= least_weight)
-    told = heavy.join(q.select("id", "tokens"), "id").join(e.select("entry", "ord", "etokens"), "entry")
+    told = heavy.join(q.select("id", "tokens"), "id").join(e.select("entry", "ord", "etokens").hint("merge"), "entry")
     inter = F.size(F.array_intersect("tokens", "etokens"))
     overlap = F.greatest(inter / F.size("etokens"), inter / F.size(F.array_union("tokens", "etokens")))
     rows = told.withColumn("overlap", overlap).filter(F.col("overlap") >= least_overlap)
-    return best(rows.select("id", "entry", "ord", F.lit(0).alias("step"), F.lit("reverse_gloss").alias("kind"), F.round(F.least(F.lit(0.78), 0.50 + 0.25 * F.col("overlap")), 6).alias("score")))
+    return rows.select("id", "entry", "ord", F.lit(0).alias("step"), F.lit("reverse_gloss").alias("kind"), F.round(F.least(F.lit(0.78), 0.50 + 0.25 * F.col("overlap")), 6).alias("score"))
 
 
 def primary_stage(q: DataFrame, e: DataFrame, blocked: tuple[str, ...] = BLOCKED, longest: int = 8) -> DataFrame:
     """The first Japanese run of the query's gloss (of eight letters at most), also without verbal endings and its kanji
     alone, is an indexed token or such a first run of a definition; short definitions and the run itself count more."""
+    return best(_primary(q, e, blocked, longest))
+
+
+def _primary(q: DataFrame, e: DataFrame, blocked: tuple[str, ...], longest: int = 8) -> DataFrame:
     e = e.filter(~F.col("source").isin(*blocked)) if blocked else e
     own = F.when(F.length("eprimary").between(1, longest), F.filter(gloss_lookup_variants(F.col("eprimary")), lambda x: F.length(x) <= longest)).otherwise(F.array().cast("array<string>"))
     index = e.select("entry", "ord", "base_conf", "long", F.explode(F.array_union("index", own)).alias("etok"))
     asked = q.filter(F.length("primary").between(1, longest)).select("id", "primary", F.posexplode(gloss_lookup_variants(F.col("primary"))).alias("step", "tok"))
     score = F.least(F.lit(0.72), F.col("base_conf") - 0.20 + F.when(F.col("long") > 80, 0.0).otherwise(0.05) + F.when(F.col("tok") == F.col("primary"), 0.04).otherwise(0.0))
-    return best(asked.join(index, F.col("tok") == F.col("etok")).select("id", "entry", "ord", "step", F.lit("primary_ja").alias("kind"), F.round(score, 6).alias("score")))
+    return asked.join(index, F.col("tok") == F.col("etok")).select("id", "entry", "ord", "step", F.lit("primary_ja").alias("kind"), F.round(score, 6).alias("score"))
 
 
 def substring_stage(q: DataFrame, e: DataFrame, least_length: int = 6) -> DataFrame:
     """An entry's key is a substring (4 to 7 letters) of a long key."""
+    return best(_substring(q, e, least_length))
+
+
+def _substring(q: DataFrame, e: DataFrame, least_length: int = 6) -> DataFrame:
     left = q.select("id", "tokens", F.explode("keys").alias("key")).filter(F.length("key") >= least_length)
     left = left.withColumn("sub", F.explode(substrings(F.col("key")))).select("id", "tokens", "sub").distinct()
     pairs = left.join(e, F.col("sub") == F.col("ekey"))
-    return best(_scored(pairs, "substring", F.col("base_conf") - 0.25, 0.25, 0.15, 0.70))
+    return _scored(pairs, "substring", F.col("base_conf") - 0.25, 0.25, 0.15, 0.70)
 
 
 def cascade(queries: DataFrame, entries: DataFrame, manual: DataFrame | None = None, ota: DataFrame | None = None, blocked: tuple[str, ...] = BLOCKED, old: str = "", new: str = "") -> DataFrame:
     """id, entry, kind, score for all queries (nulls where nothing fits): the result of the first stage that has one, then
     of manual pairs (lemma, entry). Every stage is planned once and reads the prepared tables; the first stage of each
-    query is an aggregate, so no stage runs again to tell what it left."""
-    q, e = prepared_queries(queries, old, new), prepared_entries(entries, old, new)
-    stages = [exact_stage(q, e, ota, old, new), edit_stage(q, e), gloss_stage(q, e, blocked), primary_stage(q, e, blocked), substring_stage(q, e)]
+    query is an aggregate, so no stage runs again to tell what it left. A query without id stays unmatched; rows of one id
+    share the first result of all."""
+    columns = [c for c in ("lemma", "kana", "gloss") if c in queries.columns]
+    contents, how = _contents(queries, columns)
+    q, e = prepared_queries(contents, old, new), prepared_entries(entries, old, new)
+    stages = [_exact(q, e, ota, old, new), _edit(q, e), _gloss(q, e, blocked), _primary(q, e, blocked), _substring(q, e)]
     if manual is not None:
         pairs = manual.select(F.rtrim("lemma").alias("__m"), F.col("entry")).groupBy("__m").agg(F.min("entry").alias("entry"))
-        stages.append(queries.join(pairs, F.rtrim("lemma") == F.col("__m")).select("id", "entry", F.lit("manual").alias("kind"), F.lit(1.0).alias("score")))
+        stages.append(contents.join(pairs, F.rtrim("lemma") == F.col("__m")).select("id", "entry", F.lit(0).cast("long").alias("ord"), F.lit(0).alias("step"), F.lit("manual").alias("kind"), F.lit(1.0).alias("score")))
     out = None
     for i, found in enumerate(stages):
-        found = found.select("id", F.lit(i).alias("stage"), F.struct((F.col("entry").cast("string") if ota is not None else F.col("entry")).alias("entry"), "kind", "score").alias("r"))
+        entry = F.col("entry").cast("string") if ota is not None else F.col("entry")
+        found = _ranked(found).select("id", F.lit(i).alias("stage"), F.struct(entry.alias("entry"), "kind", "score", "step", "ord").alias("r"))
         out = found if out is None else out.unionByName(found)
-    first = out.groupBy("id").agg(F.min_by("r", "stage").alias("r")).select("id", "r.*")
-    return queries.select("id").join(first, "id", "left")
+    first = out.groupBy("id").agg(F.min_by(F.struct("r", "stage"), "stage").alias("f")).select("id", "f.*")
+    rows = _dealt(queries, contents, first, columns, how, "left")
+    rank = F.when(F.col("stage").isNotNull(), F.struct("stage", -F.col("r.score"), F.col("r.step"), F.col("r.ord"), F.col("r.entry")))
+    told = F.when(F.col("id").isNotNull(), F.min_by("r", rank).over(Window.partitionBy("id")))
+    return rows.select("id", told.alias("r")).select("id", "r.entry", "r.kind", "r.score")
 
 
 def match_summary(matches: DataFrame, by: str = "kind") -> DataFrame:

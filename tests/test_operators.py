@@ -193,3 +193,22 @@ def test_lines_of_heights_that_are_no_numbers(spark):
     w = spark.createDataFrame([(p, *r) for p in (1, None) for r in rows[1:]] + [(2, *r) for r in rows[:3]], "page int, y double, x double, t string")
     got = layout.cluster_lines(w, ["page"], "y", "x", "t", 3.0).collect()
     assert sorted(((r["page"], r["line"], r["text"]) for r in got), key=repr) == sorted([(p, n, t) for p in (1, None) for n, t in ((0, "c b"), (1, "e d"))] + [(2, 0, "c a b")], key=repr)
+
+
+def _repeated(spark, tmp_path, kinds):
+    name = lambda n: F.translate((n + 10_000).cast("string"), "0123456789", "abcdefghij")
+    kind = name(F.col("id") % kinds)
+    spark.range(3000).select("id", kind.alias("lemma"), F.lit("").alias("kana"), F.concat(F.lit("bear of high mountains "), kind).alias("gloss")).write.parquet(f"{tmp_path}/q")
+    spark.range(200).select(F.col("id").alias("entry"), F.lit("own").alias("source"), F.lit(0.85).alias("base_conf"), F.col("id").alias("ord"), name(F.col("id")).alias("lemma"), F.lit("").alias("lemma_kana"), F.lit("high mountains bear").alias("definition")).write.parquet(f"{tmp_path}/e")
+    return spark.read.parquet(f"{tmp_path}/q"), spark.read.parquet(f"{tmp_path}/e")
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_exact_stage_broadcasts_no_queries(spark, tmp_path):
+    q, e = _repeated(spark, tmp_path, 2000)
+    out = linkage.exact_stage(linkage.prepared_queries(q), linkage.prepared_entries(e))
+    assert "BroadcastExchange" not in _plan(out)
+    assert {r["id"]: r["entry"] for r in out.collect()} == {i: i % 2000 for i in range(3000) if i % 2000 < 200}
