@@ -212,3 +212,13 @@ def test_exact_stage_broadcasts_no_queries(spark, tmp_path):
     out = linkage.exact_stage(linkage.prepared_queries(q), linkage.prepared_entries(e))
     assert "BroadcastExchange" not in _plan(out)
     assert {r["id"]: r["entry"] for r in out.collect()} == {i: i % 2000 for i in range(3000) if i % 2000 < 200}
+
+
+def test_gloss_stage_matches_each_gloss_once(spark, tmp_path):
+    q, e = _repeated(spark, tmp_path, 1)
+    more = q.crossJoin(spark.range(100).select(F.col("id").alias("n"))).select((F.col("id") * 100 + F.col("n")).alias("id"), "lemma", "gloss")
+    began = time.time()
+    out = linkage.gloss_stage(linkage.prepared_queries(more), linkage.prepared_entries(e))
+    # 300,000 equal glosses against 200 equal definitions are 180 million pairs of tokens
+    assert out.agg(F.count_distinct("id"), F.max("entry"), F.min("score")).first()[:2] == (300_000, 0)
+    assert time.time() - began < 40
