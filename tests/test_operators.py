@@ -222,3 +222,18 @@ def test_gloss_stage_matches_each_gloss_once(spark, tmp_path):
     # 300,000 equal glosses against 200 equal definitions are 180 million pairs of tokens
     assert out.agg(F.count_distinct("id"), F.max("entry"), F.min("score")).first()[:2] == (300_000, 0)
     assert time.time() - began < 40
+
+
+def test_cascade_broadcasts_no_queries(spark, tmp_path):
+    q, e = _repeated(spark, tmp_path, 2000)
+    assert "BroadcastExchange" not in _plan(linkage.cascade(q, e))
+
+
+def test_cascade_of_repeated_and_missing_ids(spark, monkeypatch):
+    q = spark.createDataFrame([(1, "Qqq", ""), (1, "Kamui", ""), (2, None, None), (None, "Kamui", ""), (3, "Kamui", ""), (3, "Kamui", "")], "id long, lemma string, gloss string")
+    e = spark.createDataFrame([(7, "own", 0.85, 1, "kamuy", "god")], "entry long, source string, base_conf double, ord long, lemma string, definition string")
+    want = [(1, 7), (1, 7), (2, None), (3, 7), (3, 7), (None, None)]
+    for few in (1000, 0):
+        monkeypatch.setattr(linkage, "FEW", few)
+        got = linkage.cascade(q, e).collect()
+        assert sorted(((r["id"], r["entry"]) for r in got), key=repr) == want, few
