@@ -237,3 +237,9 @@ def test_cascade_of_repeated_and_missing_ids(spark, monkeypatch):
         monkeypatch.setattr(linkage, "FEW", few)
         got = linkage.cascade(q, e).collect()
         assert sorted(((r["id"], r["entry"]) for r in got), key=repr) == want, few
+
+
+def test_match_summary_broadcasts_no_queries(spark, tmp_path):
+    q, e = _repeated(spark, tmp_path, 2000)
+    out = linkage.match_summary(linkage.cascade(q, e))
+    assert _plan(out).count("BroadcastExchange") == 1  # the one row of the total
