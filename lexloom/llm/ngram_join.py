@@ -343,7 +343,7 @@ def join(df: DataFrame, k: int = 5, num: int = 80, den: int = 100, key: str = "d
     order = np.argsort(ids)
     heavy = (ids[order], times[order].astype(np.int32))
     del found, ids, times, order
-    release()
+    release(df.sparkSession)
 
     nodes = classes.filter("node is not null").select(F.col("node").alias("v"))
     keyed = docs.filter("__key is not null")

@@ -8,6 +8,7 @@ import tempfile
 import uuid
 
 import pyarrow as pa
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
@@ -41,6 +42,7 @@ def keep(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
     # no file that only marks success: the table is read only after its job has ended well
     (df.repartition(files) if files else df).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
     _delete_on_exit(spark, path)
+    trim(spark)
     return resting(spark.read.schema(df.schema).parquet(path), path)
 
 
@@ -73,8 +75,27 @@ def bound_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(name, rows)
 
 
-def release() -> None:
-    """Give memory that is free in this process back to the system: a driver lives long beside its JVM."""
+def trim(spark: SparkSession) -> str | None:
+    """Give native memory that the driver's JVM has freed back to the system, and what the JVM says about it: its C library
+    keeps what compiled code, plans and buffers have left, in an arena for each of many threads. Takes milliseconds; None
+    where a JVM or C library can't."""
+    gateway = spark.sparkContext._gateway
+    jvm, kind = gateway.jvm, gateway.jvm.java.lang.Class.forName
+    try:
+        kinds, given = gateway.new_array(jvm.java.lang.Class, 4), gateway.new_array(jvm.java.lang.Object, 4)
+        for i, name in enumerate(("javax.management.ObjectName", "java.lang.String", "[Ljava.lang.Object;", "[Ljava.lang.String;")):
+            kinds[i] = kind(name)
+        given[0], given[1] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+        # by the interface, as the class of the server isn't open to callers
+        server = jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer()
+        return kind("javax.management.MBeanServer").getMethod("invoke", kinds).invoke(server, given)
+    except Py4JError:
+        return None
+
+
+def release(spark: SparkSession) -> None:
+    """Give memory that is free in this process and in its JVM back to the system: a driver lives long."""
+    trim(spark)
     gc.collect()
     pa.default_memory_pool().release_unused()
     try:

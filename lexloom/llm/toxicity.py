@@ -34,7 +34,7 @@ HALF, FLOOR = 100.0, 0.02
 STEMS = (4, 6)
 #: A term that more than this share of the examples have lies in the block-max index, a rarer one in plain postings.
 FREQUENT = 1 / 16
-#: Texts compared with the examples together.
+#: Texts compared with the examples, and examples or terms taken in, together.
 TOGETHER = 128
 
 _letter: list[np.ndarray] = []
@@ -97,26 +97,29 @@ class Index:
     def __init__(self, examples: list[tuple[int, np.ndarray, np.ndarray, int]], vocabulary: np.ndarray, df: np.ndarray, corpus: int, labelled: dict[int, int]):
         n = len(examples)
         self.vocabulary = vocabulary
-        places = [np.searchsorted(vocabulary, h) for _, h, _, _ in examples]
+        # the driver makes the index: what has an entry for each posting is made once, in place
+        places = [np.searchsorted(vocabulary, h).astype(np.int32) for _, h, _, _ in examples]
         labels = np.array([y for *_, y in examples], float)
-        held = np.bincount(np.concatenate([np.zeros(0, np.int64), *places]), minlength=len(vocabulary))
-        toxic = np.bincount(np.concatenate([np.zeros(0, np.int64), *(p for p, y in zip(places, labels, strict=True) if y)]), minlength=len(vocabulary))
+        held, toxic = np.zeros(len(vocabulary), np.int64), np.zeros(len(vocabulary), np.int64)
+        for p, y in zip(places, labels, strict=True):  # an example has a word once
+            held[p] += 1
+            if y:
+                toxic[p] += 1
         self.weight = np.maximum(np.log((1 + corpus) / (1 + df)), 0.0) * relevance(held, toxic, n, int(labels.sum()))
-        vectors = [self._vector(p, c) for p, (_, _, c, _) in zip(places, examples, strict=True)]
         # examples whose heaviest terms agree share blocks, which keeps a block's bounds low
+        vectors = (self._vector(p, c) for p, (_, _, c, _) in zip(places, examples, strict=True))
         top = [int(p[np.argmax(v)]) if len(p) and v.max() > 0 else -1 for p, v in zip(places, vectors, strict=True)]
         order = sorted(range(n), key=lambda i: (top[i], labels[i], examples[i][0]))
         self.ids = [examples[i][0] for i in order]
         self.labels = labels[order]
         share = {y: labelled.get(y, 0) / max(int((labels == y).sum()), 1) for y in (0, 1)}
         self.weights = np.array([share[int(y)] for y in self.labels])
-        term = np.concatenate([np.zeros(0, np.int32), *(places[i].astype(np.int32) for i in order)])
-        by = np.argsort(term, kind="stable")  # within a term by example
-        self.at = np.repeat(np.arange(n, dtype=np.int32), [len(places[i]) for i in order])[by]
-        self.value = np.concatenate([np.zeros(0), *(vectors[i] for i in order)])[by]
-        term = term[by]
-        del by, vectors
-        self.ptr = np.searchsorted(term, np.arange(len(vocabulary) + 1))
+        self.ptr = np.concatenate([np.zeros(1, np.int64), np.cumsum(held)])
+        self.at, self.value, free = np.zeros(self.ptr[-1], np.int32), np.zeros(self.ptr[-1]), self.ptr[:-1].copy()
+        for place, i in enumerate(order):  # so within a term by example
+            p = places[i]
+            self.at[free[p]], self.value[free[p]] = place, self._vector(p, examples[i][2])
+            free[p] += 1
         self.blocks = -(-n // BLOCK)
         self._dense = None
         total = max(self.weights.sum(), 1.0)
@@ -154,9 +157,11 @@ class Index:
             frequent = np.flatnonzero(np.diff(self.ptr) > FREQUENT * len(self.ids))
             row = np.full(len(self.vocabulary), -1)
             row[frequent] = np.arange(len(frequent))
-            at, n = _spread(self.ptr, frequent)
-            cube, at_block = np.zeros((self.blocks, len(frequent), BLOCK)), self.at[at]
-            cube[at_block // BLOCK, np.repeat(np.arange(len(frequent)), n), at_block % BLOCK] = self.value[at]
+            cube = np.zeros((self.blocks, len(frequent), BLOCK))
+            for i in range(0, len(frequent), TOGETHER):
+                at, n = _spread(self.ptr, frequent[i : i + TOGETHER])
+                at_block = self.at[at]
+                cube[at_block // BLOCK, i + np.repeat(np.arange(len(n)), n), at_block % BLOCK] = self.value[at]
             self._dense = row, cube, cube.max(2).T.copy()
         return self._dense
 
@@ -248,8 +253,10 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     in_order = got.orderBy(F.xxhash64("k"), "k").toLocalIterator()
     sample = [(r["k"], np.frombuffer(r["h"], np.uint64), np.frombuffer(r["n"], np.int32), r["y"]) for r in in_order]
     discard(known, chosen, got)
-    release()
-    vocabulary = np.unique(np.concatenate([np.zeros(0, np.uint64), *(h for _, h, _, _ in sample)]))
+    vocabulary = np.zeros(0, np.uint64)
+    for i in range(0, len(sample), TOGETHER):
+        vocabulary = np.unique(np.concatenate([vocabulary, *(h for _, h, _, _ in sample[i : i + TOGETHER])]))
+    release(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)  # the words of at most 2 * examples texts
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,7 +278,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     df[term[term >= 0]] = n[term >= 0]
     index = Index(sample, vocabulary, df, int(n[term < 0].sum()), counts)
     del sample, found, term, n
-    release()
+    release(docs.sparkSession)
     return index
 
 

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lexloom.llm import avi_media, bpe_fst, chat_windows, components, importance, llm_queries, ngram_join, packing, quartile_digest, ranks, secret_scan, shard_tree, shingles, toxicity
+from lexloom.llm import avi_media, bpe_fst, chat_windows, components, importance, llm_queries, ngram_join, packing, quartile_digest, ranks, secret_scan, shard_tree, shingles, tables, toxicity
 from lexloom.llm.tables import keep
 
 P = pytest.importorskip("public_tokenizers")
@@ -274,6 +274,25 @@ def toy_labels():
     return rows
 
 
+def test_an_index_is_made_in_little_memory():
+    import tracemalloc
+
+    r, vocabulary = np.random.default_rng(3), np.arange(100_000, dtype=np.uint64)
+    sample = [(i, np.sort(r.choice(vocabulary, 2_000, replace=False)), np.ones(2_000, np.int32), i % 2) for i in range(400)]
+    tracemalloc.start()
+    index = toxicity.Index(sample, vocabulary, np.full(len(vocabulary), 20), 1000, {0: 200, 1: 200})
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 45 * len(index.at)  # bytes a posting, of which 12 stay; 51 while they were sorted
+
+
+def test_the_drivers_jvm_gives_freed_memory_back(spark, monkeypatch):
+    assert "Trim native heap" in tables.trim(spark)
+    asked = []
+    monkeypatch.setattr(tables, "trim", asked.append)
+    assert keep(spark.range(3), "three").count() == 3 and asked == [spark]
+
+
 @pytest.mark.parametrize("first,frequent", [(1, 0.02), (6, 0.5), (6, 2.0), (1, -1.0)])
 def test_nearest_is_exact(monkeypatch, first, frequent):
     monkeypatch.setattr(toxicity, "FIRST_BLOCKS", first)
