@@ -75,12 +75,13 @@ def prepared_queries(queries: DataFrame, old: str = "", new: str = "") -> DataFr
 
 
 def prepared_entries(entries: DataFrame, old: str = "", new: str = "") -> DataFrame:
-    """Entries with their keys and the tokens of their definitions, and `index`: the first eight English and the first
-    eight Japanese tokens, in order of the definition."""
+    """Entries with their keys and the tokens of their definitions; `terms`: those by which a gloss finds them, from the
+    whole definition; and `index`, for the primary stage: the first eight English and the first eight Japanese ones."""
     d = F.col("definition")
     en, ja = gloss_tokens_en(d), gloss_tokens_ja(d, old=old, new=new)
-    index = F.array_union(F.filter(F.slice(en, 1, 8), lambda t: F.length(t).between(3, 20)), F.slice(ja, 1, 8))
-    return entries.select("entry", "source", "base_conf", "ord", latin_key(F.col("lemma")).alias("ekey"), kana_key(_given(entries, "lemma_kana")).alias("ekana"), F.array_union(en, ja).alias("etokens"), index.alias("index"), primary_gloss(d, old, new).alias("eprimary"), F.length("definition").alias("long"))
+    fit = lambda t: F.length(t).between(3, 20)
+    index, terms = F.array_union(F.filter(F.slice(en, 1, 8), fit), F.slice(ja, 1, 8)), F.array_union(F.filter(en, fit), ja)
+    return entries.select("entry", "source", "base_conf", "ord", latin_key(F.col("lemma")).alias("ekey"), kana_key(_given(entries, "lemma_kana")).alias("ekana"), F.array_union(en, ja).alias("etokens"), terms.alias("terms"), index.alias("index"), primary_gloss(d, old, new).alias("eprimary"), F.length("definition").alias("long"))
 
 
 def ota_words(entries: DataFrame, title: str = "title", description: str = "description") -> DataFrame:
@@ -137,20 +138,25 @@ def _edit(q: DataFrame, e: DataFrame, least_length: int = 5) -> DataFrame:
 
 
 def gloss_stage(q: DataFrame, e: DataFrame, blocked: tuple[str, ...] = BLOCKED, en_weight: int = 1, ja_weight: int = 2, least_weight: int = 3, least_overlap: float = 0.18) -> DataFrame:
-    """Glosses that share tokens: shared weight (Japanese double) first, then the larger of recall and Jaccard."""
+    """Glosses that share tokens with any part of a definition: shared weight (Japanese double) first, then the larger of
+    recall and Jaccard."""
     return _once(q, ["tokens"], lambda x: _gloss(x, e, blocked, en_weight, ja_weight, least_weight, least_overlap))
 
 
 def _gloss(q: DataFrame, e: DataFrame, blocked: tuple[str, ...], en_weight: int = 1, ja_weight: int = 2, least_weight: int = 3, least_overlap: float = 0.18) -> DataFrame:
     e = e.filter(~F.col("source").isin(*blocked)) if blocked else e
+    # of entries with equal tokens only the first can be the best; the hash is first as it is quick to sort by
+    rows = e.groupBy(F.xxhash64("etokens", "terms").alias("hash"), "etokens", "terms").agg(F.min(F.struct("ord", "entry")).alias("r"))
+    flagged = F.concat(F.transform("terms", lambda t: F.struct(t.alias("etok"), F.lit(True).alias("term"))), F.transform(F.array_except("etokens", "terms"), lambda t: F.struct(t.alias("etok"), F.lit(False).alias("term"))))
+    rows = rows.select("hash", "r.*", F.size("etokens").alias("n"), F.inline(flagged))
     weight = F.when(F.col("tok").rlike("[^\\x00-\\x7F]"), ja_weight).otherwise(en_weight)
-    pairs = q.select("id", F.explode("tokens").alias("tok")).join(e.select("entry", F.explode("index").alias("etok")), F.col("tok") == F.col("etok"))
-    heavy = pairs.groupBy("id", "entry").agg(F.sum(weight).alias("w")).filter(F.col("w") >= least_weight)
-    told = heavy.join(q.select("id", "tokens"), "id").join(e.select("entry", "ord", "etokens").hint("merge"), "entry")
-    inter = F.size(F.array_intersect("tokens", "etokens"))
-    overlap = F.greatest(inter / F.size("etokens"), inter / F.size(F.array_union("tokens", "etokens")))
-    rows = told.withColumn("overlap", overlap).filter(F.col("overlap") >= least_overlap)
-    return rows.select("id", "entry", "ord", F.lit(0).alias("step"), F.lit("reverse_gloss").alias("kind"), F.round(F.least(F.lit(0.78), 0.50 + 0.25 * F.col("overlap")), 6).alias("score"))
+    asked = q.select("id", F.size("tokens").alias("m"), F.explode("tokens").alias("tok")).withColumn("w", weight)
+    # recall is the larger one, as both sides together have no fewer tokens than the entry; nor are more shared than asked
+    pairs = asked.join(rows, (F.col("tok") == F.col("etok")) & (F.col("m") / F.col("n") >= least_overlap))
+    told = pairs.groupBy("id", "entry", "ord", "hash", "n").agg(F.sum(F.when(F.col("term"), F.col("w")).otherwise(0)).alias("w"), F.count(F.lit(1)).alias("shared"))
+    overlap = F.col("shared") / F.col("n")
+    found = told.filter((F.col("w") >= least_weight) & (overlap >= least_overlap))
+    return found.select("id", "entry", "ord", F.lit(0).alias("step"), F.lit("reverse_gloss").alias("kind"), F.round(F.least(F.lit(0.78), 0.50 + 0.25 * overlap), 6).alias("score"))
 
 
 def primary_stage(q: DataFrame, e: DataFrame, blocked: tuple[str, ...] = BLOCKED, longest: int = 8) -> DataFrame:

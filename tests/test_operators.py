@@ -1,5 +1,8 @@
 """Operators on small tables, oddities and empty input."""
 
+import glob
+import itertools
+import os
 import time
 
 from pyspark.sql import functions as F
@@ -224,6 +227,33 @@ def test_gloss_stage_matches_each_gloss_once(spark, tmp_path):
     assert time.time() - began < 40
 
 
+def test_gloss_stage_reads_whole_definitions(spark, monkeypatch):
+    words = ["".join(c) for c in itertools.product("bdfgk", "aeiou", "lmnrs")]
+    q = spark.createDataFrame([(1, "x", " ".join(words[40:48])), (2, "x", "満足 神様"), (3, "x", " ".join(words[100:108])), (4, "x", " ".join(words[8:12]))], "id long, lemma string, gloss string")
+    long = " ".join(words[8:48])
+    kana = " ".join(chr(ord("あ") + i) * 3 for i in range(9)) + " 満足 神様"
+    rows = [(11, "own", 0.85, 2, "y", long), (10, "own", 0.85, 1, "y", long), (10, "own", 0.85, 1, "y", long), (12, "own", 0.85, 3, "y", kana), (13, "own", 0.85, 4, "y", " ".join(words[50:95] + words[100:108])), (14, "asjp", 0.85, 0, "y", long)]
+    e = spark.createDataFrame(rows, "entry long, source string, base_conf double, ord long, lemma string, definition string")
+    # 8 of 40 and 2 of 11 tokens are shared, each after the first eight; 8 of 53 and 4 of 40 are too few
+    want = [(1, 10, round(0.5 + 0.25 * 8 / 40, 6)), (2, 12, round(0.5 + 0.25 * 2 / 11, 6))]
+    for few in (1000, 0):
+        monkeypatch.setattr(linkage, "FEW", few)
+        got = linkage.gloss_stage(linkage.prepared_queries(q), linkage.prepared_entries(e)).collect()
+        assert sorted((r["id"], r["entry"], r["score"]) for r in got) == want, few
+
+
+def test_match_reverse_gloss_reads_whole_definitions(spark, tmp_path):
+    from lexloom.plans import lexicon_queries
+    from oracle import difference
+
+    names = [(1, " ".join(f"w{i}" for i in range(1, 13)), "Brand#1", "LARGE", 1), (4, "w9 w10 w11", "Brand#2", "W12", 1), (8, "w9 z1 z2 z3", "Brand#2", "W12", 1)]
+    spark.createDataFrame(names, "p_partkey long, p_name string, p_brand string, p_type string, p_size int").coalesce(1).write.parquet(f"{tmp_path}/rows")
+    os.rename(glob.glob(f"{tmp_path}/rows/*.parquet")[0], f"{tmp_path}/part.parquet")
+    run = lambda: lexicon_queries.match_reverse_gloss(spark, str(tmp_path))
+    assert sorted((r["id"], r["entry"], r["score"]) for r in run().collect()) == [(1, 1, 0.732143), (4, 1, 0.571429)]
+    assert difference(run(), lexicon_queries.SQL["match_reverse_gloss"], str(tmp_path)) == ""
+
+
 def test_cascade_broadcasts_no_queries(spark, tmp_path):
     q, e = _repeated(spark, tmp_path, 2000)
     assert "BroadcastExchange" not in _plan(linkage.cascade(q, e))
